@@ -14,7 +14,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import columns as X
 
 # --- fixed values: how event rows become log lines ---
 # (event_type, bucket predicate on event_id % 840) -> template; first match wins.
@@ -42,48 +41,56 @@ CLF_STAMP = "dd/MMM/yyyy:HH:mm:ss"
 # --- end of fixed values ---
 
 
+_SLOTS = ("h", "w", "pid", "uid", "ip", "port", "sz")
+
+
+def _positional(tmpl: str) -> str:
+    """``{name}`` template -> positional ``format_string`` pattern (``%3$s``)."""
+    out = tmpl.replace("%", "%%")
+    for i, name in enumerate(_SLOTS, start=1):
+        out = out.replace("{" + name + "}", f"%{i}$s")
+    return out
+
+
 def event_log_lines(events: DataFrame) -> DataFrame:
     """``events`` -> ``(line_id, line, source_file, log_type)``.
 
     ``source_file`` names the log file the line would live in, so the
     name-based source classifier applies unchanged.
+
+    The line is ``format_string`` of a per-row pattern picked from a literal
+    array by a small rule index, so the expression stays compact even where
+    the optimizer substitutes it into pushed-down filters.
     """
-    b = events.select(
-        F.col("event_id").alias("line_id"),
-        F.col("event_type").alias("et"),
-        (F.col("event_id") % BUCKET_MOD).alias("m"),
-        F.col("user_id").alias("uid"),
-        F.concat(F.lit("10."), (F.col("user_id") % 3).cast("string"),
-                 F.lit("."), (F.col("user_id") % 7).cast("string"),
-                 F.lit("."), (F.col("user_id") % 50).cast("string")).alias("ip"),
-        (F.lit(1000) + F.col("event_id") % 9000).cast("string").alias("pid"),
-        (F.lit(50000) + F.col("event_id") % 10000).cast("string").alias("port"),
-        (F.lit(200) + F.col("event_id") % 50000).cast("string").alias("sz"),
-        F.date_format("ts", SYSLOG_STAMP).alias("st"),
-        F.date_format("ts", CLF_STAMP).alias("ct"),
-    )
-    b = b.withColumn("h", F.concat("st", F.lit(" server "))).withColumn(
-        "w", F.concat("ip", F.lit(" - - ["), "ct", F.lit(' +0000] "')))
-
-    line = None
-    source = None
-    for et, bucket, src, tmpl in LINE_RULES:
+    s = lambda c: c.cast("string")
+    ev = F.col("event_id")
+    uid = F.col("user_id")
+    m = ev % BUCKET_MOD
+    rule = None
+    for i, (et, bucket, _src, _t) in enumerate(LINE_RULES, start=1):
         cond = F.lit(True)
         if et is not None:
-            cond = F.col("et") == et
+            cond = F.col("event_type") == et
         if bucket is not None:
-            mod, rem = bucket
-            cond = cond & ((F.col("m") % mod) == rem)
-        text = X.template(tmpl, h="h", w="w", pid="pid", uid="uid", ip="ip", port="port", sz="sz")
-        if line is None:
-            line, source = F.when(cond, text), F.when(cond, F.lit(src))
-        elif et is None and bucket is None:
-            line, source = line.otherwise(text), source.otherwise(F.lit(src))
+            cond = cond & ((m % bucket[0]) == bucket[1])
+        if et is None and bucket is None:
+            rule = rule.otherwise(F.lit(i))
         else:
-            line, source = line.when(cond, text), source.when(cond, F.lit(src))
-
+            rule = F.when(cond, F.lit(i)) if rule is None else rule.when(cond, F.lit(i))
+    ip = F.concat(F.lit("10."), s(uid % 3), F.lit("."), s(uid % 7), F.lit("."), s(uid % 50))
+    b = events.select(
+        ev.alias("line_id"), rule.alias("rule"), ip.alias("ip"), s(uid).alias("uid"),
+        s(F.lit(1000) + ev % 9000).alias("pid"), s(F.lit(50000) + ev % 10000).alias("port"),
+        s(F.lit(200) + ev % 50000).alias("sz"),
+        F.concat(F.date_format("ts", SYSLOG_STAMP), F.lit(" server ")).alias("h"),
+        F.date_format("ts", CLF_STAMP).alias("ct"))
+    pats = F.array(*[F.lit(_positional(t)) for _, _, _, t in LINE_RULES])
+    srcs = F.array(*[F.lit(src) for _, _, src, _ in LINE_RULES])
+    w = F.concat("ip", F.lit(" - - ["), "ct", F.lit(' +0000] "'))
+    line = F.call_function("format_string", F.element_at(pats, F.col("rule")),
+                           F.col("h"), w, *[F.col(c) for c in _SLOTS[2:]])
+    out = b.select("line_id", line.alias("line"), F.element_at(srcs, F.col("rule")).alias("source_file"))
     from .files import log_type_of
-    out = b.select("line_id", line.alias("line"), source.alias("source_file"))
     return out.withColumn("log_type", log_type_of("source_file", "line"))
 
 
