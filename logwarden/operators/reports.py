@@ -65,10 +65,11 @@ def _alert_rows(alerts: DataFrame, channel: str, section: str) -> DataFrame:
     return _rows(a, section, sev_rank, F.col("severity"), F.col("message"))
 
 
-def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "") -> DataFrame:
+def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
+                 facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """Executive summary, anomaly breakdown, IP risk, alerts, usage."""
-    facts = line_facts(lines)
-    summary = A.ip_summary(lines, cfg, facts)
+    facts = facts if facts is not None else line_facts(lines)
+    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     usage = A.usage_stats(lines)
     counts = _alert_counts(alerts)
@@ -99,10 +100,11 @@ def status_flag(alerts: DataFrame) -> DataFrame:
     return c.select(F.when(F.col("n") > 0, K.STATUS_ACTION).otherwise(K.STATUS_NORMAL).alias("status"))
 
 
-def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "") -> DataFrame:
+def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
+                 facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """Digest sections: summary, status, alerts, anomalies, top IPs, actions."""
-    facts = line_facts(lines)
-    summary = A.ip_summary(lines, cfg, facts)
+    facts = facts if facts is not None else line_facts(lines)
+    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     counts = _alert_counts(alerts)
     total = lines.agg(F.count_if(~F.col("line").startswith("#")).alias("n"))
@@ -162,10 +164,11 @@ def parse_ip_summary(text: DataFrame) -> DataFrame:
     return out.where(F.col("occurrences").isNotNull() & (F.col("ip") != ""))
 
 
-def run_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "") -> DataFrame:
+def run_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
+                facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """T5: totals, then the critical alerts re-split into (ts, type, detail)."""
-    facts = line_facts(lines)
-    summary = A.ip_summary(lines, cfg, facts)
+    facts = facts if facts is not None else line_facts(lines)
+    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     usage = A.usage_stats(lines)
     counts = _alert_counts(alerts)
