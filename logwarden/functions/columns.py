@@ -19,9 +19,45 @@ def C(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_LOWER = "abcdefghijklmnopqrstuvwxyz"
+_META = set("[](){}*+?^$|\\")
+
+
+def literal_alternatives(pattern: str) -> tuple[bool, list[str]] | None:
+    """``(ignore_case, [literal, ...])`` when ``pattern`` is an alternation of
+    plain strings (``\\.`` and ``\\/`` escapes allowed); None otherwise."""
+    icase = pattern.startswith("(?i)")
+    body = pattern[4:] if icase else pattern
+    alts = []
+    for alt in body.split("|"):
+        lit = re.sub(r"\\([./\- ])", r"\1", alt)
+        if any(ch in _META for ch in lit):
+            return None
+        alts.append(lit)
+    return icase, alts
+
+
 def matches(pattern: str, c="line") -> Column:
-    """Unanchored regex find (``grep -E``; ``(?i)`` for ``grep -i``)."""
-    return C(c).rlike(pattern)
+    """Unanchored regex find (``grep -E``; ``(?i)`` for ``grep -i``).
+
+    Most rules are alternations of fixed strings; those are evaluated as
+    ``contains`` tests (a vectorised substring search) instead of a
+    backtracking regex that tries every alternative at every offset.
+    ``(?i)`` in Java regex folds ASCII letters only, so the case-blind form
+    folds with ``translate`` over A-Z rather than a Unicode ``lower``.
+    Anything else stays ``rlike``.
+    """
+    lit = literal_alternatives(pattern)
+    if lit is None:
+        return C(c).rlike(pattern)
+    icase, alts = lit
+    subject = F.translate(C(c), _UPPER, _LOWER) if icase else C(c)
+    out = None
+    for a in alts:
+        t = subject.contains(a.translate(str.maketrans(_UPPER, _LOWER)) if icase else a)
+        out = t if out is None else out | t
+    return out
 
 
 def has(text: str, c="line") -> Column:

@@ -19,6 +19,7 @@ from .. import config as K
 from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
 from ..functions import patterns as P
+from ..session import materialize
 from . import aggregates as agg
 from .tagging import line_facts
 
@@ -101,7 +102,8 @@ def alert_suspicious_ip(lines: DataFrame, cfg: Thresholds = DEFAULT, summary=Non
 
 
 def stage4_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None, summary=None) -> DataFrame:
-    """L1-L4 together."""
+    """L1-L4 together (the fact table is checkpointed once and read by both IP rules)."""
+    facts = facts if facts is not None else materialize(line_facts(lines))
     return (alert_brute_force(lines, cfg, facts)
             .unionByName(alert_error_rate(lines, cfg))
             .unionByName(alert_suspicious_ip(lines, cfg, summary)))
@@ -219,8 +221,12 @@ def alert_ip_reputation(lines: DataFrame, cfg: Thresholds = DEFAULT, summary=Non
 
 
 def detailed_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None, summary=None) -> DataFrame:
-    """SSH, WEB, SYSTEM and REPUTATION alerts together, routed."""
-    facts = facts if facts is not None else line_facts(lines)
+    """SSH, WEB, SYSTEM and REPUTATION alerts together, routed.
+
+    The three rule groups read one checkpointed fact table, not three
+    recomputations of it.
+    """
+    facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else agg.ip_summary(lines, cfg, facts)
     return (alert_ssh_tiers(lines, cfg, facts)
             .unionByName(global_alerts(lines, cfg, facts))

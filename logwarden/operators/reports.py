@@ -20,6 +20,7 @@ from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
 from . import aggregates as A
 from . import alerts as AL
+from ..session import materialize
 from .tagging import line_facts
 
 REPORT_COLUMNS = ["section", "ord", "key", "value"]
@@ -68,7 +69,7 @@ def _alert_rows(alerts: DataFrame, channel: str, section: str) -> DataFrame:
 def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
                  facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """Executive summary, anomaly breakdown, IP risk, alerts, usage."""
-    facts = facts if facts is not None else line_facts(lines)
+    facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     usage = A.usage_stats(lines)
@@ -103,7 +104,7 @@ def status_flag(alerts: DataFrame) -> DataFrame:
 def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
                  facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """Digest sections: summary, status, alerts, anomalies, top IPs, actions."""
-    facts = facts if facts is not None else line_facts(lines)
+    facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     counts = _alert_counts(alerts)
@@ -167,7 +168,7 @@ def parse_ip_summary(text: DataFrame) -> DataFrame:
 def run_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
                 facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
     """T5: totals, then the critical alerts re-split into (ts, type, detail)."""
-    facts = facts if facts is not None else line_facts(lines)
+    facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     usage = A.usage_stats(lines)

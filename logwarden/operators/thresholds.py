@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..config import DEFAULT, THRESHOLD_ROWS, Thresholds
 from ..functions import columns as X
 from ..functions import patterns as P
+from ..session import materialize
 from . import aggregates as agg
 from .tagging import line_facts
 
@@ -41,7 +42,7 @@ def threshold_metrics(lines: DataFrame, cfg: Thresholds = DEFAULT,
     The two totals are only present when their filter set is non-empty,
     like the original scan that skipped empty files.
     """
-    facts = facts if facts is not None else line_facts(lines)
+    facts = facts if facts is not None else materialize(line_facts(lines))
     per_ip = agg.failed_by_ip(lines, facts).select(
         F.concat(F.lit("Failed logins from "), "ip").alias("label"), F.col("cnt").alias("value"),
         F.lit(cfg.failed_login).cast("bigint").alias("threshold"))

@@ -19,7 +19,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import DEFAULT, Thresholds
@@ -29,6 +28,7 @@ from ..operators import parse as PR
 from ..operators import reports as RP
 from ..operators.tagging import line_facts
 from ..sources.derived import load_log_lines
+from ..session import materialize
 from . import manifest as M
 
 
@@ -97,12 +97,12 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
 
 
 def pipeline_tables(spark: SparkSession, sf_dir: str, cfg: Thresholds = DEFAULT) -> dict[str, DataFrame]:
-    """Every stage output as a lazy DataFrame over one shared, persisted fact table.
+    """Every stage output as a lazy DataFrame over one shared, checkpointed fact table.
 
     For measuring and inspection; ``run_pipeline`` is the durable form.
     """
     lines = load_log_lines(spark, sf_dir)
-    facts = line_facts(lines).persist(StorageLevel.MEMORY_AND_DISK)
+    facts = materialize(line_facts(lines))
     summary = A.ip_summary(lines, cfg, facts)
     return {
         "line_facts": facts,

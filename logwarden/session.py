@@ -43,15 +43,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared folder there; it is read, never overridden.  Only
-    when it is unset (local tests) a scratch folder is created and set.
+    a local session (tests, benches) without one gets a scratch folder; a
+    cluster session without one is an error, because a machine-local folder
+    would not survive the loss of that machine.
     """
-    cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getCheckpointDir() or ""
+    sc = spark.sparkContext
+    cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or ""
     if not cur:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
+                               "before running multi-branch queries")
         cur = tempfile.mkdtemp(prefix="logwarden-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-        spark.sparkContext.setCheckpointDir(cur)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(cur)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(cur)
     return cur
+
+
+def materialize(df):
+    """Cut lineage at a shared intermediate that several branches read.
+
+    Eager ``checkpoint()`` into the folder named by ``spark.checkpoint.dir``
+    (reliable storage on a cluster): the branches then scan the written
+    files instead of each recomputing the shuffle that produced them, and a
+    lost executor never forces a recompute from the raw logs.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

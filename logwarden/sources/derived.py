@@ -11,6 +11,8 @@ The same rendering is written in SQL for the oracle; the two are byte-equal.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,14 +46,6 @@ CLF_STAMP = "dd/MMM/yyyy:HH:mm:ss"
 _SLOTS = ("h", "w", "pid", "uid", "ip", "port", "sz")
 
 
-def _positional(tmpl: str) -> str:
-    """``{name}`` template -> positional ``format_string`` pattern (``%3$s``)."""
-    out = tmpl.replace("%", "%%")
-    for i, name in enumerate(_SLOTS, start=1):
-        out = out.replace("{" + name + "}", f"%{i}$s")
-    return out
-
-
 def _sql_str(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -68,41 +62,81 @@ def _rule_index_sql() -> str:
     return "CASE " + " ".join(arms) + " END"
 
 
+def _segments() -> tuple[list[list[str]], list[list[int]]]:
+    """Templates as literal segments around slot numbers, padded to one width.
+
+    Slot ``k`` is the k-th value of ``_SLOTS``; slot ``len(_SLOTS)+1`` is ''.
+    """
+    split = [re.split(r"\{(\w+)\}", t) for _, _, _, t in LINE_RULES]
+    width = max(len(p) // 2 for p in split)
+    lits, slots = [], []
+    for p in split:
+        lit = p[0::2] + [""] * (width + 1 - len(p[0::2]))
+        sl = [_SLOTS.index(n) + 1 for n in p[1::2]]
+        slots.append(sl + [len(_SLOTS) + 1] * (width - len(sl)))
+        lits.append(lit)
+    return lits, slots
+
+
 def event_log_lines(events: DataFrame) -> DataFrame:
     """``events`` -> ``(line_id, line, source_file, log_type)``.
 
     ``source_file`` names the log file the line would live in, and
     ``log_type`` is what the name-based classifier gives for it.
 
-    The line is ``format_string`` of a per-row pattern picked from a literal
-    array by a small rule index, so the expression stays compact even where
-    the optimizer substitutes it into pushed-down filters.  It is written as
-    SQL expressions: one round trip to the JVM instead of hundreds of
-    ``Column`` calls.
+    A rule index picks, from literal arrays, the text segments of the line's
+    template and which value fills each gap; the line is one ``concat`` of
+    those lookups.  It is written as SQL expressions: one round trip to the
+    JVM instead of hundreds of ``Column`` calls.
     """
     from ..functions.patterns import SOURCE_FILES
 
-    pats = ", ".join(_sql_str(_positional(t)) for _, _, _, t in LINE_RULES)
+    lits, slots = _segments()
+    width = len(slots[0])
+    parts = []
+    for j in range(width + 1):
+        parts.append("element_at(array(" + ", ".join(_sql_str(l[j]) for l in lits) + "), rule)")
+        if j < width:
+            pick = "element_at(array(" + ", ".join(str(sl[j]) for sl in slots) + "), rule)"
+            parts.append(f"element_at(vals, {pick})")
     srcs = ", ".join(_sql_str(src) for _, _, src, _ in LINE_RULES)
     types = ", ".join(_sql_str(SOURCE_FILES[src]) for _, _, src, _ in LINE_RULES)
     b = events.selectExpr(
         "event_id AS line_id",
         f"{_rule_index_sql()} AS rule",
         "concat('10.', user_id % 3, '.', user_id % 7, '.', user_id % 50) AS ip",
-        "cast(user_id AS string) AS uid",
-        "cast(1000 + event_id % 9000 AS string) AS pid",
-        "cast(50000 + event_id % 10000 AS string) AS port",
-        "cast(200 + event_id % 50000 AS string) AS sz",
-        f"concat(date_format(ts, '{SYSLOG_STAMP}'), ' server ') AS h",
-        f"date_format(ts, '{CLF_STAMP}') AS ct")
+        "ts", "user_id", "event_id")
+    vals = ("array(concat(date_format(ts, '" + SYSLOG_STAMP + "'), ' server '), "
+            "concat(ip, ' - - [', date_format(ts, '" + CLF_STAMP + "'), ' +0000] \"'), "
+            "cast(1000 + event_id % 9000 AS string), cast(user_id AS string), ip, "
+            "cast(50000 + event_id % 10000 AS string), cast(200 + event_id % 50000 AS string), '')")
+    b = b.selectExpr("line_id", "rule", f"{vals} AS vals")
+    # The one-element explode makes ``line`` a real column, as it is for a
+    # text source: filters on it stay above this node instead of being
+    # rewritten over the whole rendering expression (once per predicate).
     return b.selectExpr(
         "line_id",
-        f"format_string(element_at(array({pats}), rule), h, "
-        "concat(ip, ' - - [', ct, ' +0000] \"'), pid, uid, ip, port, sz) AS line",
+        "explode(array(concat(" + ", ".join(parts) + "))) AS line",
         f"element_at(array({srcs}), rule) AS source_file",
-        f"element_at(array({types}), rule) AS log_type")
+        f"element_at(array({types}), rule) AS log_type").select(
+        "line_id", "line", "source_file", "log_type")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin an under-split input across the cluster's cores.
+
+    A large input already arrives in many splits and is left alone; a small
+    file that Spark reads as one split (one Parquet row group) would
+    otherwise put all per-row regex work in a single task.  Only the pruned
+    input columns cross this exchange.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
 
 
 def load_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    events = spread(events.select("event_id", "ts", "user_id", "event_type"))
     return event_log_lines(events)
