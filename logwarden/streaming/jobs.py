@@ -104,9 +104,25 @@ def stream_failed_login_windows(spark: SparkSession, in_path: str, checkpoint: s
                   "failed_login_windows")
 
 
+WINDOW_SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint, batch_id bigint"
+ALERT_SCHEMA = ("engine string, severity string, category string, ip string, metric_value bigint, "
+                "threshold bigint, message string, action string, in_main_log boolean, "
+                "window_start timestamp_ntz, batch_id bigint, channel string")
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A ``batch_id=<n>`` table with a fixed schema; empty before the first write."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:
+        return spark.createDataFrame([], schema)
+
+
 def latest_window_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """The current value of every (window, ip): the row of the newest batch."""
-    t = spark.read.parquet(out_path)
+    t = _read(spark, out_path, WINDOW_SCHEMA)
     last = F.max_by(F.struct("window_end", "cnt"), "batch_id")
     return (t.groupBy("window_start", "ip").agg(last.alias("l"))
             .select("window_start", F.col("l.window_end").alias("window_end"), "ip",
@@ -169,7 +185,7 @@ def stream_alerts(spark: SparkSession, in_path: str, checkpoint: str, out_path:
 
 def latest_stream_alerts(spark: SparkSession, out_path: str) -> DataFrame:
     """De-duplicated alerts: the newest row per (engine, ip, window_start)."""
-    t = spark.read.parquet(out_path)
+    t = _read(spark, out_path, ALERT_SCHEMA)
     cols = [c for c in t.columns if c not in ("engine", "ip", "window_start", "batch_id")]
     last = F.max_by(F.struct(*cols), "batch_id")
     return (t.groupBy("engine", "ip", "window_start").agg(last.alias("l"))
