@@ -17,6 +17,20 @@ from ..config import DEFAULT, Thresholds
 from ..functions import patterns as P
 from ..sources import derived as D
 
+# --- fixed values: report sections and the severity order inside an alert section ---
+SEC_EXEC = "EXECUTIVE SUMMARY"
+SEC_ANOMALY = "ANOMALY BREAKDOWN"
+SEC_IPS = "IP RISK SUMMARY"
+SEC_CRIT = "CRITICAL ALERTS"
+SEC_WARN = "WARNING ALERTS"
+SEC_USAGE = "USAGE STATISTICS"
+SEC_STATUS = "STATUS"
+SEC_TOP = "TOP SUSPICIOUS IPS"
+SEC_ACTIONS = "RECOMMENDED ACTIONS"
+SEC_HEADER = "HEADER"
+SEV_ORDER = ("CRITICAL", "HIGH", "WARNING", "MEDIUM", "LOW", "INFO")
+# --- end of fixed values ---
+
 
 def q(s: str) -> str:
     """SQL string literal."""
@@ -304,7 +318,133 @@ FROM (
     return ctes, body
 
 
-def build(cfg: Thresholds = DEFAULT, alt: Thresholds | None = None) -> dict[str, str]:
+def _sev_rank(col: str = "severity") -> str:
+    return "CASE " + " ".join(f"WHEN {col} = {q(s)} THEN {i}" for i, s in enumerate(SEV_ORDER, 1)) + " END"
+
+
+def _name_rank(names: list[str], col: str = "metric") -> str:
+    return "CASE " + " ".join(f"WHEN {col} = {q(n)} THEN {i}" for i, n in enumerate(names, 1)) + " END"
+
+
+def _report_sql(out: dict[str, str], cfg: Thresholds, generated_at: str) -> dict[str, str]:
+    """T1, T2, T4, T5, P4, P5 as unions of the single-table queries (each a subquery)."""
+    def sub(name: str) -> str:
+        return f"({out[name]})"
+
+    S4 = sub("stage4_alerts")
+    usage = sub("usage_stats")
+    anomaly = sub("anomaly_counts")
+    anom_names = [P.ANOMALY_FAILED_SSH, P.ANOMALY_INVALID, P.ANOMALY_HTTP, P.ANOMALY_SYSTEM,
+                  P.ANOMALY_SENSITIVE, P.TOTAL]
+    usage_names = ["total_lines", "total_errors", "total_success", "total_success_strict", "unique_ips"]
+    cnt_crit = "count(*) FILTER (WHERE channel = 'critical')"
+    cnt_warn = "count(*) FILTER (WHERE channel = 'warning')"
+
+    def row(section, ord_, key, value, src="", where=""):
+        w = f" WHERE {where}" if where else ""
+        f = f" FROM {src}" if src else ""
+        return (f"SELECT {q(section)} AS section, CAST({ord_} AS BIGINT) AS ord, CAST({key} AS VARCHAR) AS key, "
+                f"CAST({value} AS VARCHAR) AS value{f}{w}")
+
+    header = row(SEC_HEADER, 0, q("Generated"), q(generated_at))
+    alerts = [row(SEC_CRIT, _sev_rank(), "severity", "message", S4, "channel = 'critical'"),
+              row(SEC_WARN, _sev_rank(), "severity", "message", S4, "channel = 'warning'")]
+    anom_rows = row(SEC_ANOMALY, _name_rank(anom_names), "metric", "cnt", anomaly)
+    res: dict[str, str] = {}
+    res["final_report"] = "\nUNION ALL ".join([
+        header,
+        row(SEC_EXEC, 1, q("Total Log Lines Processed"), "cnt", usage, "metric = 'total_lines'"),
+        row(SEC_EXEC, 2, q("Unique IP Addresses"), "cnt", usage, "metric = 'unique_ips'"),
+        row(SEC_EXEC, 3, q("Critical Alerts"), cnt_crit, S4),
+        row(SEC_EXEC, 4, q("Warning Alerts"), cnt_warn, S4),
+        anom_rows,
+        row(SEC_IPS, "-occurrences", "ip", "CAST(occurrences AS VARCHAR) || ' ' || risk", sub("ip_summary")),
+        *alerts,
+        row(SEC_USAGE, _name_rank(usage_names), "metric", "cnt", usage),
+    ])
+    status = f"CASE WHEN {cnt_crit} > 0 THEN {q(K.STATUS_ACTION)} ELSE {q(K.STATUS_NORMAL)} END"
+    res["status_flag"] = f"SELECT {status} AS status FROM {S4}"
+    crit_actions = ", ".join(q(a) for a in K.ACTIONS_CRITICAL)
+    norm_actions = ", ".join(q(a) for a in K.ACTIONS_NORMAL)
+    res["alert_digest"] = "\nUNION ALL ".join([
+        header,
+        row(SEC_EXEC, 1, q("Log lines processed"), f"count(*) FILTER (WHERE {NOT_COMMENT})", sub("classify_source")),
+        row(SEC_EXEC, 2, q("Critical alerts"), cnt_crit, S4),
+        row(SEC_EXEC, 3, q("Warning alerts"), cnt_warn, S4),
+        row(SEC_STATUS, 1, q("STATUS"), status, S4),
+        *alerts,
+        anom_rows,
+        row(SEC_TOP, "-occurrences", "ip", "CAST(occurrences AS VARCHAR) || ' ' || risk", sub("top_suspicious_ips")),
+        row(SEC_ACTIONS, "i", "i", "a",
+            f"(SELECT generate_subscripts(acts, 1) AS i, unnest(acts) AS a FROM (SELECT CASE WHEN {cnt_crit} > 0 "
+            f"THEN [{crit_actions}] ELSE [{norm_actions}] END AS acts FROM {S4}))"),
+    ])
+    rendered = f"(SELECT '[' || severity || '] ' || {q(generated_at)} || ' | ' || message AS line FROM {S4})"
+    parsed = r"""SELECT nullif(regexp_extract(head, '^\[([A-Z]+)\]', 1), '') AS severity,
+  trim(regexp_replace(head, '^\[[A-Z]+\]', '')) AS ts, trim(parts[2]) AS type, trim(parts[3]) AS detail
+FROM (SELECT parts, trim(parts[1]) AS head FROM (SELECT string_split(line, '|') AS parts FROM {src}))"""
+    res["parse_alert_line"] = parsed.format(src=rendered)
+    crit_rendered = rendered.replace(f"FROM {S4})", f"FROM {S4} WHERE channel = 'critical')")
+    res["run_summary"] = "\nUNION ALL ".join([
+        row(SEC_EXEC, 1, q("Total Log Lines Processed"), "cnt", usage, "metric = 'total_lines'"),
+        row(SEC_EXEC, 2, q("Unique IP Addresses Found"), "cnt", usage, "metric = 'unique_ips'"),
+        row(SEC_EXEC, 3, q("Critical Alerts Fired"), cnt_crit, S4),
+        row(SEC_EXEC, 4, q("Warning Alerts Fired"), cnt_warn, S4),
+        row(SEC_CRIT, 1, "type", "concat_ws(' | ', ts, detail)", f"({parsed.format(src=crit_rendered)})"),
+    ])
+    text = (f"(SELECT rpad(ip, 20, ' ') || ' | ' || rpad(CAST(occurrences AS VARCHAR), 12, ' ') || ' | ' "
+            f"|| risk AS line FROM {sub('ip_summary')})")
+    strip = "replace(replace(trim(parts[{i}]), ' ', ''), chr(9), '')"
+    res["parse_ip_summary"] = (
+        f"SELECT * FROM (SELECT {strip.format(i=1)} AS ip, TRY_CAST({strip.format(i=2)} AS BIGINT) AS occurrences, "
+        f"{strip.format(i=3)} AS risk FROM (SELECT string_split(line, '|') AS parts FROM {text})) "
+        f"WHERE occurrences IS NOT NULL AND ip <> ''")
+    return res
+
+
+def _alert_rule_sql(cfg: Thresholds) -> dict[str, str]:
+    """One query per alert rule group: the engine's union, filtered to the rule's rows."""
+    s4c, s4 = stage4_sql(cfg)
+    dc, det = detailed_sql(cfg)
+
+    def pick(ctes, body, where):
+        return with_lines(f"SELECT {ALERT_SELECT} FROM ({body}) WHERE {where}", *ctes)
+
+    return {
+        "alert_brute_force": pick(s4c, s4, "category = 'SSH'"),
+        "alert_error_rate": pick(s4c, s4, "category = 'SYSTEM'"),
+        "alert_suspicious_ip": pick(s4c, s4, "category = 'IP'"),
+        "alert_ssh_tiers": pick(dc, det, "category = 'SSH' AND ip IS NOT NULL"),
+        "alert_invalid_users": pick(dc, det, "category = 'SSH' AND ip IS NULL"),
+        "alert_web_rules": pick(dc, det, "category = 'WEB'"),
+        "alert_system_rules": pick(dc, det, "category = 'SYSTEM'"),
+        "alert_ip_reputation": pick(dc, det, "category = 'REPUTATION'"),
+    }
+
+
+def _window_alert_sql(windows_sql: str, cfg: Thresholds) -> str:
+    """W3 rules over the batch window counts (one row per engine, ip and window)."""
+    tiers = [(cfg.ssh_extreme, "CRITICAL", K.SSH_EXTREME), (cfg.ssh_critical, "CRITICAL", K.SSH_CRITICAL),
+             (cfg.failed_login, "HIGH", K.SSH_HIGH), (cfg.ssh_medium, "MEDIUM", K.SSH_MEDIUM)]
+
+    def case(pick):
+        return "CASE " + " ".join(f"WHEN cnt >= {b} THEN {pick(b, s, t)}" for b, s, t in tiers) + " END"
+
+    t = cfg.failed_login
+    body = f"""SELECT 'stage4' AS engine, 'CRITICAL' AS severity, ip, cnt, window_start, {t} AS threshold,
+  {tmpl(K.STAGE4_BRUTE_FORCE, ip='ip', n='cnt', t=str(t))} AS message, CAST(NULL AS VARCHAR) AS action
+FROM wc WHERE cnt >= {t}
+UNION ALL
+SELECT 'detailed', {case(lambda b, s, x: q(s))}, ip, cnt, window_start, {case(lambda b, s, x: str(b))},
+  {case(lambda b, s, x: tmpl(x[0], ip='ip', n='cnt'))}, {case(lambda b, s, x: tmpl(x[1], ip='ip', n='cnt'))}
+FROM wc WHERE cnt >= {cfg.ssh_medium}"""
+    return (f"SELECT engine, severity, 'SSH' AS category, ip, CAST(cnt AS BIGINT) AS metric_value, "
+            f"CAST(threshold AS BIGINT) AS threshold, message, action, {_route('severity')} AS channel, "
+            f"TRUE AS in_main_log, window_start FROM (WITH wc AS ({windows_sql}) {body})")
+
+
+def build(cfg: Thresholds = DEFAULT, alt: Thresholds | None = None,
+          generated_at: str = "2024-02-01 00:00:00") -> dict[str, str]:
     """name -> DuckDB SQL over the pre-registered driver tables."""
     W = with_lines
     A = cte_auth(cfg)
@@ -461,4 +601,7 @@ FROM (SELECT ip, count(*) AS cnt FROM parsed_apache GROUP BY ip)""", *CTE_APACHE
   ip, count(*) AS cnt
 FROM (SELECT {syslog_ts(cfg.syslog_year)} AS ts, unnest({ips_of()}) AS ip FROM log_lines WHERE {F1})
 GROUP BY ALL""")
+    out["window_alerts"] = _window_alert_sql(out["failed_login_windows"], cfg)
+    out.update(_alert_rule_sql(cfg))
+    out.update(_report_sql(out, cfg, generated_at))
     return out

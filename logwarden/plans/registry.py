@@ -21,6 +21,7 @@ from ..operators import reports as RP
 from ..operators import tagging as TG
 from ..operators import thresholds as TH
 from ..sources.derived import load_log_lines
+from ..streaming import jobs as J
 from ..streaming import windows as W
 
 # A second set of bounds so every tier / status branch is compared too.
@@ -106,6 +107,14 @@ REGISTRY: dict[str, Q] = {
     "stage4_alerts_alt": lambda s, d: AL.stage4_alerts(_L(s, d), ALT),
     "detailed_alerts": _lines(AL.detailed_alerts),
     "detailed_alerts_alt": lambda s, d: AL.detailed_alerts(_L(s, d), ALT),
+    "alert_brute_force": _lines(AL.alert_brute_force),
+    "alert_error_rate": _lines(AL.alert_error_rate),
+    "alert_suspicious_ip": _lines(AL.alert_suspicious_ip),
+    "alert_ssh_tiers": _lines(AL.alert_ssh_tiers),
+    "alert_invalid_users": lambda s, d: AL.global_alerts(_L(s, d)).where(F.col("category") == "SSH"),
+    "alert_web_rules": lambda s, d: AL.global_alerts(_L(s, d)).where(F.col("category") == "WEB"),
+    "alert_system_rules": lambda s, d: AL.global_alerts(_L(s, d)).where(F.col("category") == "SYSTEM"),
+    "alert_ip_reputation": _lines(AL.alert_ip_reputation),
     "alert_severity_counts": lambda s, d: AL.alert_severity_counts(AL.detailed_alerts(_L(s, d))),
     # reports
     "final_report": lambda s, d: RP.final_report(_L(s, d), DEFAULT, GENERATED_AT),
@@ -117,6 +126,7 @@ REGISTRY: dict[str, Q] = {
     "parse_ip_summary": lambda s, d: RP.parse_ip_summary(RP.render_ip_summary(A.ip_summary(_L(s, d)))),
     # windows (batch form of the streaming rule)
     "failed_login_windows": lambda s, d: W.failed_login_windows(_L(s, d)),
+    "window_alerts": lambda s, d: J.window_alerts(W.failed_login_windows(_L(s, d))),
 }
 
 
