@@ -38,7 +38,26 @@ def literal_alternatives(pattern: str) -> tuple[bool, list[str]] | None:
     return icase, alts
 
 
-def matches(pattern: str, c="line") -> Column:
+FOLDED = "_lc"
+
+
+def with_folded(df, c="line"):
+    """Add ``_lc``, the line with A-Z folded to a-z, computed once per row.
+
+    The one-element ``explode`` makes it a real column: predicates above it
+    read the folded text instead of being rewritten to fold the line again
+    for every case-blind literal they test.
+    """
+    return df.select("*", F.explode(F.array(F.translate(C(c), _UPPER, _LOWER))).alias(FOLDED))
+
+
+def fenced(df, *cols):
+    """Project ``cols`` behind a one-row ``inline``, so a filter on them is not
+    pushed below and re-evaluated from the expressions that define them."""
+    return df.select(F.inline(F.array(F.struct(*cols))))
+
+
+def matches(pattern: str, c="line", folded: str | None = None) -> Column:
     """Unanchored regex find (``grep -E``; ``(?i)`` for ``grep -i``).
 
     Most rules are alternations of fixed strings; those are evaluated as
@@ -46,13 +65,17 @@ def matches(pattern: str, c="line") -> Column:
     backtracking regex that tries every alternative at every offset.
     ``(?i)`` in Java regex folds ASCII letters only, so the case-blind form
     folds with ``translate`` over A-Z rather than a Unicode ``lower``.
-    Anything else stays ``rlike``.
+    Anything else stays ``rlike``.  ``folded`` names a column that already
+    holds the folded line (see ``with_folded``).
     """
     lit = literal_alternatives(pattern)
     if lit is None:
         return C(c).rlike(pattern)
     icase, alts = lit
-    subject = F.translate(C(c), _UPPER, _LOWER) if icase else C(c)
+    if icase:
+        subject = F.col(folded) if folded else F.translate(C(c), _UPPER, _LOWER)
+    else:
+        subject = C(c)
     out = None
     for a in alts:
         t = subject.contains(a.translate(str.maketrans(_UPPER, _LOWER)) if icase else a)

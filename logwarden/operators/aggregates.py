@@ -186,7 +186,11 @@ def anomaly_counts(lines: DataFrame) -> DataFrame:
     twice), as in the original report.
     """
     names = [n for n, _, _ in ANOMALY_RULES]
-    row = lines.agg(*[F.count_if(fn(arg)).alias(n) for n, fn, arg in ANOMALY_RULES])
+    def test(fn, arg):
+        return fn(arg, folded=X.FOLDED) if fn is X.matches else fn(arg)
+
+    row = X.with_folded(lines.select("line")).agg(
+        *[F.count_if(test(fn, arg)).alias(n) for n, fn, arg in ANOMALY_RULES])
     row = row.withColumn(P.TOTAL, sum((F.col(f"`{n}`") for n in names), F.lit(0)))
     return long_form(row, names + [P.TOTAL])
 
@@ -199,8 +203,8 @@ def usage_stats(lines: DataFrame) -> DataFrame:
     distinct aggregate on the token makes Spark shuffle pre-deduplicated
     tokens only.
     """
-    x = lines.where(flt.not_comment()).select(
-        flt.is_server_error().alias("err"),
+    x = X.with_folded(lines.select("line").where(flt.not_comment())).select(
+        flt.is_server_error(X.FOLDED).alias("err"),
         X.matches(P.RX_SUCCESS_LOOSE).alias("ok_loose"),
         X.matches(P.RX_SUCCESS_STRICT).alias("ok_strict"),
         F.posexplode_outer(X.ip_tokens("line")).alias("pos", "ip"))

@@ -79,7 +79,7 @@ def alert_brute_force(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -
 def alert_error_rate(lines: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:
     """L3: F3 size at the bound -> CRITICAL; else an INFO line in the main log only."""
     from . import filters as flt
-    n = lines.agg(F.count_if(flt.is_server_error()).alias("n"))
+    n = X.with_folded(lines.select("line")).agg(F.count_if(flt.is_server_error(X.FOLDED)).alias("n"))
     crit = F.col("n") >= cfg.error
     t = F.lit(cfg.error)
     msg = F.when(crit, X.template(K.STAGE4_ERROR_RATE, n="n", t=t)).otherwise(

@@ -14,17 +14,17 @@ from ..functions import columns as X
 from ..functions import patterns as P
 
 
-def is_failed() -> Column:
-    return X.matches(P.RX_FAILED)
+def is_failed(folded: str | None = None) -> Column:
+    return X.matches(P.RX_FAILED, folded=folded)
 
 
-def is_suspicious() -> Column:
+def is_suspicious(folded: str | None = None) -> Column:
     """F2 predicate: sensitive path words OR an HTTP 4xx/5xx status (one scan)."""
-    return X.matches(P.RX_SUSP_PATH) | X.matches(P.RX_HTTP_ERR)
+    return X.matches(P.RX_SUSP_PATH, folded=folded) | X.matches(P.RX_HTTP_ERR)
 
 
-def is_server_error() -> Column:
-    return X.matches(P.RX_SRV_ERR)
+def is_server_error(folded: str | None = None) -> Column:
+    return X.matches(P.RX_SRV_ERR, folded=folded)
 
 
 def not_comment() -> Column:
@@ -33,7 +33,7 @@ def not_comment() -> Column:
 
 def failed_logins(lines: DataFrame) -> DataFrame:
     """failed-login lines, duplicates kept."""
-    return lines.where(is_failed())
+    return X.with_folded(lines).where(is_failed(X.FOLDED)).drop(X.FOLDED)
 
 
 def suspicious_lines(lines: DataFrame) -> DataFrame:
@@ -44,12 +44,12 @@ def suspicious_lines(lines: DataFrame) -> DataFrame:
     line before the shuffle, so a line repeated a billion times moves once
     per map task.
     """
-    return lines.where(is_suspicious()).select("line").distinct()
+    return X.with_folded(lines.select("line")).where(is_suspicious(X.FOLDED)).select("line").distinct()
 
 
 def server_errors(lines: DataFrame) -> DataFrame:
     """server/system error lines, duplicates kept."""
-    return lines.where(is_server_error())
+    return X.with_folded(lines).where(is_server_error(X.FOLDED)).drop(X.FOLDED)
 
 
 def strip_comments(lines: DataFrame) -> DataFrame:

@@ -50,11 +50,11 @@ def anomaly_summary(lines: DataFrame) -> DataFrame:
 
 
 FACT_FLAGS = {
-    # flag column -> predicate on the line
-    "f_failed": lambda: flt.is_failed(),
-    "f_susp": lambda: flt.is_suspicious(),
-    "f_srv_err": lambda: flt.is_server_error(),
-    "f_invalid": lambda: X.has(P.LIT_INVALID_USER),
+    # flag column -> predicate on the line (given the folded-line column)
+    "f_failed": lambda lc=None: flt.is_failed(lc),
+    "f_susp": lambda lc=None: flt.is_suspicious(lc),
+    "f_srv_err": lambda lc=None: flt.is_server_error(lc),
+    "f_invalid": lambda lc=None: X.has(P.LIT_INVALID_USER),
 }
 
 
@@ -63,8 +63,12 @@ def line_facts(lines: DataFrame) -> DataFrame:
 
     Flags are functions of the line, so grouping by them next to the line
     changes nothing but saves re-evaluating the regexes after the shuffle.
+    The case-folded line is computed once, and the flags once: the filter on
+    them is fenced off so it cannot be rewritten into a second evaluation.
     """
-    flagged = lines.select("line", *[fn().alias(k) for k, fn in FACT_FLAGS.items()])
+    folded = X.with_folded(lines.select("line"))
+    flagged = X.fenced(folded, F.col("line"),
+                       *[fn(X.FOLDED).alias(k) for k, fn in FACT_FLAGS.items()])
     anyf = None
     for k in FACT_FLAGS:
         anyf = F.col(k) if anyf is None else anyf | F.col(k)
