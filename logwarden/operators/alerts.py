@@ -76,10 +76,18 @@ def alert_brute_force(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -
                             channel=F.when(crit, "critical").otherwise("warning"), in_main=crit))
 
 
-def alert_error_rate(lines: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:
-    """L3: F3 size at the bound -> CRITICAL; else an INFO line in the main log only."""
+def alert_error_rate(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
+    """L3: F3 size at the bound -> CRITICAL; else an INFO line in the main log only.
+
+    With a fact table the size is the sum of server-error multiplicities
+    there (no second scan of the raw lines).
+    """
     from . import filters as flt
-    n = X.with_folded(lines.select("line")).agg(F.count_if(flt.is_server_error(X.FOLDED)).alias("n"))
+    if facts is not None:
+        n = facts.agg(F.coalesce(F.sum(F.when(F.col("f_srv_err"), F.col("n"))), F.lit(0))
+                      .cast("bigint").alias("n"))
+    else:
+        n = X.with_folded(lines.select("line")).agg(F.count_if(flt.is_server_error(X.FOLDED)).alias("n"))
     crit = F.col("n") >= cfg.error
     t = F.lit(cfg.error)
     msg = F.when(crit, X.template(K.STAGE4_ERROR_RATE, n="n", t=t)).otherwise(
@@ -105,7 +113,7 @@ def stage4_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None, summa
     """L1-L4 together (the fact table is checkpointed once and read by both IP rules)."""
     facts = facts if facts is not None else materialize(line_facts(lines))
     return (alert_brute_force(lines, cfg, facts)
-            .unionByName(alert_error_rate(lines, cfg))
+            .unionByName(alert_error_rate(lines, cfg, facts))
             .unionByName(alert_suspicious_ip(lines, cfg, summary)))
 
 

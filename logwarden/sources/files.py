@@ -66,6 +66,10 @@ def collect_logs(spark: SparkSession, paths: str | Sequence[str],
     return df.withColumn("log_type", log_type_of("source_file", "line"))
 
 
+def _glob_escape(name: str) -> str:
+    return "".join("\\" + ch if ch in "{}[]*?,\\" else ch for ch in name)
+
+
 def source_health(spark: SparkSession, path: str,
                   expected: Sequence[str] = tuple(P.SOURCE_FILES)) -> DataFrame:
     """``(source, bytes, status)`` for each expected file name.
@@ -83,13 +87,19 @@ def source_health(spark: SparkSession, path: str,
 
     want = list(dict.fromkeys(expected))
     wanted = set(want)
+    # the listing is filtered by name while it is built, so only the expected
+    # files (not every log under ``path``) reach the driver
+    only = "{" + ",".join(_glob_escape(n) for n in want) + "}"
     present = set()
-    for p in spark.read.option("recursiveFileLookup", "true").text(path).inputFiles():
+    listing = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", only)
+               .text(path).inputFiles())
+    for p in listing:
         b = posixpath.basename(p.rstrip("/"))
         if b in wanted:
             present.add(b)
     names = spark.createDataFrame([(n, n in present) for n in want], "source string, present boolean")
     sizes = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", only)
              .load(path).select(F.element_at(F.split("path", "/"), -1).alias("source"), "length")
              .where(F.col("source").isin(want))
              .groupBy("source").agg(F.sum("length").alias("bytes")))
