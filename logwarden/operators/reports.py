@@ -72,7 +72,8 @@ def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
     facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
-    usage = A.usage_stats(lines)
+    stats = materialize(A.line_stats(lines))   # one scan, read by four sections
+    usage = A.usage_stats(lines, stats)
     counts = _alert_counts(alerts)
     exec_rows = (
         _rows(usage.where(F.col("metric") == "total_lines"), SEC_EXEC, F.lit(1),
@@ -82,8 +83,8 @@ def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
         .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Critical Alerts"), "critical"))
         .unionByName(_rows(counts, SEC_EXEC, F.lit(4), F.lit("Warning Alerts"), "warning")))
     header = _rows(counts, SEC_HEADER, F.lit(0), F.lit("Generated"), F.lit(generated_at))
-    an = A.anomaly_counts(lines)
-    names = [n for n, _, _ in A.ANOMALY_RULES] + ["TOTAL"]
+    an = A.anomaly_counts(lines, stats)
+    names = A.ANOMALY_NAMES
     ips = _rows(summary, SEC_IPS, -F.col("occurrences"), "ip",
                 F.concat_ws(" ", F.col("occurrences").cast("string"), F.col("risk")))
     return (header.unionByName(exec_rows)
@@ -91,8 +92,7 @@ def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
             .unionByName(ips)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
-            .unionByName(_long_rows(usage, SEC_USAGE, ["total_lines", "total_errors", "total_success",
-                                                        "total_success_strict", "unique_ips"])))
+            .unionByName(_long_rows(usage, SEC_USAGE, A.USAGE_NAMES)))
 
 
 def status_flag(alerts: DataFrame) -> DataFrame:
@@ -108,7 +108,8 @@ def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
     counts = _alert_counts(alerts)
-    total = lines.agg(F.count_if(~F.col("line").startswith("#")).alias("n"))
+    stats = materialize(A.line_stats(lines))
+    total = stats.where(F.col("metric") == "total_lines").select(F.col("cnt").alias("n"))
     exec_rows = (_rows(total, SEC_EXEC, F.lit(1), F.lit("Log lines processed"), "n")
                  .unionByName(_rows(counts, SEC_EXEC, F.lit(2), F.lit("Critical alerts"), "critical"))
                  .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Warning alerts"), "warning")))
@@ -122,8 +123,8 @@ def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
     actions = counts.select(F.posexplode(F.when(F.col("critical") > 0, crit_actions)
                                          .otherwise(norm_actions)).alias("p", "a"))
     action_rows = _rows(actions, SEC_ACTIONS, F.col("p") + 1, (F.col("p") + 1).cast("string"), "a")
-    an = A.anomaly_counts(lines)
-    names = [n for n, _, _ in A.ANOMALY_RULES] + ["TOTAL"]
+    an = A.anomaly_counts(lines, stats)
+    names = A.ANOMALY_NAMES
     return (header.unionByName(exec_rows).unionByName(status)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
@@ -171,7 +172,7 @@ def run_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str =
     facts = facts if facts is not None else materialize(line_facts(lines))
     summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
     alerts = AL.stage4_alerts(lines, cfg, facts, summary)
-    usage = A.usage_stats(lines)
+    usage = materialize(A.usage_stats(lines))
     counts = _alert_counts(alerts)
     stats = (_rows(usage.where(F.col("metric") == "total_lines"), SEC_EXEC, F.lit(1),
                    F.lit("Total Log Lines Processed"), "cnt")

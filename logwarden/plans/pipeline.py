@@ -11,7 +11,7 @@ Outputs under ``out_dir``:
 * ``line_facts`` (stage 2): distinct matched lines, multiplicity and rule flags
   (the compact form of the three filter sets); ``auth``, ``apache``,
   ``syslog`` parsed tables
-* ``ip_summary``, ``anomaly_counts``, ``usage_stats`` (stage 3)
+* ``ip_summary``, ``line_stats`` and its two views ``anomaly_counts``, ``usage_stats`` (stage 3)
 * ``alerts`` partitioned by ``channel`` (both engines), ``final_report`` (stage 4)
 """
 
@@ -78,8 +78,10 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
         lines = spark.read.parquet(_p(out_dir, "lines"))
         facts = spark.read.parquet(_p(out_dir, "line_facts"))
         n = _write(A.ip_summary(lines, cfg, facts), _p(out_dir, "ip_summary"))
-        _write(A.anomaly_counts(lines), _p(out_dir, "anomaly_counts"))
-        _write(A.usage_stats(lines), _p(out_dir, "usage_stats"))
+        _write(A.line_stats(lines), _p(out_dir, "line_stats"))
+        stats = spark.read.parquet(_p(out_dir, "line_stats"))
+        _write(A.anomaly_counts(lines, stats), _p(out_dir, "anomaly_counts"))
+        _write(A.usage_stats(lines, stats), _p(out_dir, "usage_stats"))
         M.record_stage(spark, out_dir, run_id, 3, n)
 
     if todo(4):
@@ -104,11 +106,12 @@ def pipeline_tables(spark: SparkSession, sf_dir: str, cfg: Thresholds = DEFAULT)
     lines = load_log_lines(spark, sf_dir)
     facts = materialize(line_facts(lines))
     summary = A.ip_summary(lines, cfg, facts)
+    stats = materialize(A.line_stats(lines))
     return {
         "line_facts": facts,
         "ip_summary": summary,
-        "anomaly_counts": A.anomaly_counts(lines),
-        "usage_stats": A.usage_stats(lines),
+        "anomaly_counts": A.anomaly_counts(lines, stats),
+        "usage_stats": A.usage_stats(lines, stats),
         "stage2_counts": A.stage2_counts(lines, facts),
         "alerts": AL.stage4_alerts(lines, cfg, facts, summary)
         .unionByName(AL.detailed_alerts(lines, cfg, facts, summary)),
