@@ -39,15 +39,21 @@ from .windows import WATERMARK, WINDOW, failed_login_events, window_counts
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 exclude=P.DERIVED_SOURCE_FILES) -> DataFrame:
-    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream."""
+                 exclude=P.DERIVED_SOURCE_FILES, keep_split: bool = False) -> DataFrame:
+    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream.
+
+    ``keep_split`` adds ``_split``, the (file, split offset) a line was read
+    from, for salting hot keys deterministically.
+    """
     r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
          .option("lineSep", "\n"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(path)
+    extra = [F.concat_ws("@", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"))
+             .alias("_split")] if keep_split else []
     df = raw.select(F.regexp_replace("value", r"\r$", "").alias("line"),
-                    F.col("_metadata.file_name").alias("source_file"))
+                    F.col("_metadata.file_name").alias("source_file"), *extra)
     excl = list(exclude or ())
     if excl:
         df = df.where(~F.col("source_file").isin(excl))
@@ -193,7 +199,8 @@ def latest_stream_alerts(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def stream_dedup(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,
-                 cfg: Thresholds = DEFAULT, watermark: str = WATERMARK, available_now: bool = True,
+                 cfg: Thresholds = DEFAULT, watermark: str = WATERMARK, salt_buckets: int = 64,
+                 available_now: bool = True,
                  processing_time: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """W4 job: lines of the stream without repeats of a line seen within the watermark.
@@ -203,10 +210,17 @@ def stream_dedup(spark: SparkSession, in_path: str, checkpoint: str, out_path: s
     """
     from ..operators.parse import with_event_time
 
-    lines = with_event_time(stream_lines(spark, in_path, max_files_per_trigger), cfg)
+    lines = with_event_time(stream_lines(spark, in_path, max_files_per_trigger, keep_split=True), cfg)
     lines = lines.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
     timed = lines.where(F.col("event_ts").isNotNull()).withWatermark("event_ts", watermark)
-    deduped = timed.dropDuplicatesWithinWatermark(["line"])
+    # Two levels, so a line repeated in a third of a micro-batch never sends
+    # all its copies to one task: first per (line, input split), which spreads
+    # a hot line over the tasks of its splits, then per line, which sees at
+    # most one copy per split.  Splits are fixed by the files, so a replayed
+    # batch salts the same way.
+    salt = F.pmod(F.hash("_split"), F.lit(salt_buckets))
+    deduped = (timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["line", "_salt"])
+               .dropDuplicatesWithinWatermark(["line"]).drop("_salt", "_split"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         _write_batch(batch, out_path, batch_id)

@@ -65,3 +65,18 @@ def test_stream_picks_up_only_new_files(spark, tmp_path):
     (logs / "b.log").write_text(line.format(2, 2))
     J.stream_failed_lines(spark, str(logs), ck, out).awaitTermination()
     assert spark.read.parquet(out).count() == 2
+
+
+def test_stream_dedup_hot_line(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    hot = "May 01 10:00:00 server sshd[1]: Failed password for root from 1.1.1.1 port 22 ssh2\n"
+    other = "May 01 10:0{}:00 server kernel[2]: ERROR: Segmentation fault {}\n"
+    for f in range(4):
+        (logs / f"part{f}.log").write_text(hot * 50 + "".join(other.format(i % 10, i) for i in range(f * 5, f * 5 + 5)))
+    (logs / "again.log").write_text(hot * 10 + other.format(0, 0))
+    q = J.stream_dedup(spark, str(logs), str(tmp_path / "ck"), str(tmp_path / "out"), salt_buckets=8)
+    q.awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.count() == 1 + 20
+    assert out.select("line").distinct().count() == 21
