@@ -412,6 +412,7 @@ def _alert_rule_sql(cfg: Thresholds) -> dict[str, str]:
 
     return {
         "alert_brute_force": pick(s4c, s4, "category = 'SSH'"),
+        "alert_elevated": pick(s4c, s4, "category = 'SSH' AND severity = 'WARNING'"),
         "alert_error_rate": pick(s4c, s4, "category = 'SYSTEM'"),
         "alert_suspicious_ip": pick(s4c, s4, "category = 'IP'"),
         "alert_ssh_tiers": pick(dc, det, "category = 'SSH' AND ip IS NOT NULL"),
@@ -480,6 +481,7 @@ def build(cfg: Thresholds = DEFAULT, alt: Thresholds | None = None,
     out["success_events"] = W(f"SELECT line_id, line FROM log_lines WHERE {m(P.RX_SUCCESS_LOOSE)}")
     out["success_events_strict"] = W(f"SELECT line_id, line FROM log_lines WHERE {m(P.RX_SUCCESS_STRICT)}")
     out["dedup_lines"] = W("SELECT DISTINCT line FROM log_lines")
+    out["sorted_log"] = W("SELECT line_id, line, source_file FROM log_lines ORDER BY line")
     # tagging
     scan = [(P.SCAN_SSH, P.RX_SSH_BF), (P.SCAN_WEB, P.RX_WEB_PROBE),
             (P.SCAN_HTTP, P.RX_HTTP_ERR), (P.SCAN_SYS, P.RX_SYS_ERR)]

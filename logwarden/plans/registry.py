@@ -69,6 +69,7 @@ REGISTRY: dict[str, Q] = {
     "success_events": lambda s, d: _ids(FL.success_events(_L(s, d))),
     "success_events_strict": lambda s, d: _ids(FL.success_events(_L(s, d), strict=True)),
     "dedup_lines": _lines(FL.dedup_lines),
+    "sorted_log": lambda s, d: FL.sorted_log(_L(s, d)).select("line_id", "line", "source_file"),
     # tagging
     "anomaly_scan": _lines(TG.anomaly_scan),
     "anomaly_summary": _lines(TG.anomaly_summary),
@@ -108,6 +109,7 @@ REGISTRY: dict[str, Q] = {
     "detailed_alerts": _lines(AL.detailed_alerts),
     "detailed_alerts_alt": lambda s, d: AL.detailed_alerts(_L(s, d), ALT),
     "alert_brute_force": _lines(AL.alert_brute_force),
+    "alert_elevated": lambda s, d: AL.alert_brute_force(_L(s, d)).where(F.col("severity") == "WARNING"),
     "alert_error_rate": _lines(AL.alert_error_rate),
     "alert_suspicious_ip": _lines(AL.alert_suspicious_ip),
     "alert_ssh_tiers": _lines(AL.alert_ssh_tiers),
