@@ -68,5 +68,13 @@ def materialize(df):
     files instead of each recomputing the shuffle that produced them, and a
     lost executor never forces a recompute from the raw logs.
     """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first, so the checkpoint write reads the computed partitions
+    # instead of running the query (and re-reading its shuffle) a second time
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
