@@ -94,3 +94,21 @@ def test_line_facts_multiplicity(spark):
     f = TG.line_facts(df).collect()
     assert len(f) == 1 and f[0].n == 7 and f[0].f_srv_err and not f[0].f_failed
     assert {r.metric: r.cnt for r in A.system_fault_counts(df).collect()}["segmentation"] == 7
+
+
+def test_window_alert_tiers(spark):
+    import datetime as dt
+
+    from logwarden.streaming.jobs import window_alerts
+
+    t = dt.datetime(2024, 1, 1)
+    counts = spark.createDataFrame([(t, t, f"ip{n}", n) for n in (1, 2, 4, 5, 20, 50)],
+                                   "window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint")
+    got = {(r.engine, r.metric_value): (r.severity, r.channel) for r in window_alerts(counts).collect()}
+    assert got == {
+        ("detailed", 2): ("MEDIUM", "warning"), ("detailed", 4): ("MEDIUM", "warning"),
+        ("detailed", 5): ("HIGH", "critical"), ("detailed", 20): ("CRITICAL", "critical"),
+        ("detailed", 50): ("CRITICAL", "critical"),
+        ("stage4", 5): ("CRITICAL", "critical"), ("stage4", 20): ("CRITICAL", "critical"),
+        ("stage4", 50): ("CRITICAL", "critical"),
+    }
