@@ -119,6 +119,15 @@ def token_after(word: str, c="line") -> Column:
     return F.when(v != "", v)
 
 
+def field_after(fields: Column, word: str) -> Column:
+    """``token_after`` on already split AWK fields: the field after the last
+    field equal to ``word`` that has a successor (array lookups, no regex)."""
+    n = F.size(fields)
+    head = F.slice(fields, 1, F.greatest(n - 1, F.lit(0)))
+    r = F.array_position(F.reverse(head), F.lit(word))
+    return F.when(r > 0, F.element_at(fields, (n - r + 1).cast("int")))
+
+
 def risk_tier(n, cfg: Thresholds = DEFAULT) -> Column:
     crit, high, med = cfg.tiers
     n = C(n)

@@ -48,9 +48,9 @@ def _auth_base(lines: DataFrame, cfg: Thresholds) -> DataFrame:
         F.replace(F.regexp_replace(f5, r"\[.*\]", ""), F.lit(":"), F.lit("")).alias("process"),
         F.regexp_extract(f5, r"\[([0-9]+)\]", 1).try_cast("int").alias("pid"),
         F.explode("_kinds").alias("kind"),
-        X.token_after("from").alias("ip"),
-        X.token_after("for").alias("_for"),
-        X.token_after("port").alias("_port"),
+        X.field_after(F.col("_f"), "from").alias("ip"),
+        X.field_after(F.col("_f"), "for").alias("_for"),
+        X.field_after(F.col("_f"), "port").alias("_port"),
     )
 
 

@@ -23,12 +23,15 @@ def test_auth_last_from_and_for(spark):
         "May 01 10:00:00 server sshd[1]: Failed password for invalid user bob from 9.9.9.9 port 22 ssh2",
         "May 01 10:00:01 server sshd[2]: Failed password for root from 1.1.1.1 from 2.2.2.2 port 22 ssh2",
         "May 01 10:00:02 server sshd[3]: Failed password for nobody",
+        "May 01 10:00:03 server sshd[4]: Failed password for x from 3.3.3.3 port 22 from",
     ]
     rows = PR.parse_auth(lines_df(spark, lines)).orderBy("pid").collect()
     assert rows[0].user == "invalid" and rows[0].user_clean == "bob" and rows[0].ip == "9.9.9.9"
     assert rows[1].ip == "2.2.2.2" and rows[1].port == 22
     # no carry-over from the previous line
     assert rows[2].ip is None
+    # a trailing word with nothing after it is skipped: the last usable ``from`` counts
+    assert rows[3].ip == "3.3.3.3" and rows[3].port == 22
 
 
 def test_short_apache_line(spark):
