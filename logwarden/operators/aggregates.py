@@ -9,7 +9,7 @@ Shapes used throughout:
 * category counts ``(metric, cnt)``: one scan with one ``count_if`` per
   category, unpivoted into long form; categories with zero hits are kept.
 * anything that counts *distinct* suspicious lines goes through
-  ``line_facts`` (one shuffle on the line with map-side dedup).
+  ``line_facts`` (one shuffle keyed by the suspicious line, map-side dedup).
 """
 
 from __future__ import annotations
@@ -45,7 +45,7 @@ def ip_weights(facts: DataFrame) -> DataFrame:
     w = (F.col("n") * (F.col("f_failed").cast("int") + F.col("f_srv_err").cast("int"))
          + F.col("f_susp").cast("int"))
     return (facts.where(F.col("f_failed") | F.col("f_susp") | F.col("f_srv_err"))
-            .select(F.explode(X.ip_tokens("line")).alias("ip"), w.alias("w")))
+            .select(F.explode("ips").alias("ip"), w.alias("w")))
 
 
 def ip_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, facts: DataFrame | None = None) -> DataFrame:
@@ -74,7 +74,7 @@ def failed_by_ip(lines: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """
     if facts is not None:
         return (facts.where("f_failed")
-                .select(F.explode(X.ip_tokens("line")).alias("ip"), "n")
+                .select(F.explode("ips").alias("ip"), "n")
                 .groupBy("ip").agg(F.sum("n").cast("bigint").alias("cnt")))
     return (prs.extract_ips(flt.failed_logins(lines), keep=())
             .groupBy("ip").agg(F.count(F.lit(1)).alias("cnt")))

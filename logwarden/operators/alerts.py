@@ -166,9 +166,9 @@ def detail_counters(lines: DataFrame, facts: DataFrame | None = None) -> DataFra
         F.count_if(d & X.has(P.LIT_WP_ADMIN)).alias("wp_hits"),
         F.count_if(d).alias("susp_lines"),
         rep(e).alias("total_errors"),
-        rep(e & X.has(P.LIT_OOM)).alias("oom"),
-        rep(e & X.has(P.LIT_SEGFAULT)).alias("segfault"),
-        rep(e & X.has(P.LIT_DISK_IO)).alias("disk"),
+        rep(e & F.col("f_oom")).alias("oom"),
+        rep(e & F.col("f_segv")).alias("segfault"),
+        rep(e & F.col("f_disk")).alias("disk"),
     )
 
 

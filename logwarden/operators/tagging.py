@@ -1,10 +1,13 @@
-"""Multi-label rule tagging (G1, G2) and the shared per-line fact table.
+"""Multi-label rule tagging (G1, G2) and the shared fact table.
 
 ``line_facts`` is the one intermediate the later stages share: matched lines
-only, one row per distinct line with its multiplicity and every rule flag.
-It is built from one scan with one shuffle on the line (partial aggregation
-collapses repeats of a hot line before the exchange), and is orders of
-magnitude smaller than the raw logs, so a pipeline run checkpoints it once
+only, with every rule flag, their IP tokens and a multiplicity ``n``.  Only
+the suspicious set (F2) is defined on *distinct* lines, so only F2 lines are
+keyed by their text; every other matched line is keyed by its IP tokens and
+flags, which map-side partial aggregation collapses to a few rows per task.
+The shuffle therefore carries the distinct suspicious lines plus a small
+per-IP residue, not every matched line, and a hot line or a hot IP is
+collapsed before the exchange.  A pipeline run checkpoints this table once
 and derives every IP count, category count and alert input from it.
 """
 
@@ -56,15 +59,24 @@ FACT_FLAGS = {
     "f_srv_err": lambda lc=None: flt.is_server_error(lc),
     "f_invalid": lambda lc=None: X.has(P.LIT_INVALID_USER),
 }
+# substring flags the system-fault rules count among F3 (with repeats)
+DETAIL_FLAGS = {
+    "f_oom": lambda: X.has(P.LIT_OOM),
+    "f_segv": lambda: X.has(P.LIT_SEGFAULT),
+    "f_disk": lambda: X.has(P.LIT_DISK_IO),
+}
+FACT_KEYS = ["line", "ips", *FACT_FLAGS, *DETAIL_FLAGS]
 
 
 def line_facts(lines: DataFrame) -> DataFrame:
-    """Distinct matched lines with multiplicity ``n`` and rule flags.
+    """``(line, ips, flags..., n)`` over the matched lines.
 
-    Flags are functions of the line, so grouping by them next to the line
-    changes nothing but saves re-evaluating the regexes after the shuffle.
-    The case-folded line is computed once, and the flags once: the filter on
-    them is fenced off so it cannot be rewritten into a second evaluation.
+    ``line`` is kept (and distinct) for suspicious lines only and null
+    otherwise; ``ips`` are the line's IP tokens.  Flags are functions of the
+    line, so grouping by them changes nothing but saves re-evaluating the
+    rules after the shuffle.  The case-folded line is computed once, and the
+    flags once: the filter on them is fenced off so it cannot be rewritten
+    into a second evaluation.
     """
     folded = X.with_folded(lines.select("line"))
     flagged = X.fenced(folded, F.col("line"),
@@ -72,4 +84,8 @@ def line_facts(lines: DataFrame) -> DataFrame:
     anyf = None
     for k in FACT_FLAGS:
         anyf = F.col(k) if anyf is None else anyf | F.col(k)
-    return flagged.where(anyf).groupBy("line", *FACT_FLAGS).agg(F.count(F.lit(1)).alias("n"))
+    keyed = flagged.where(anyf).select(
+        F.when(F.col("f_susp"), F.col("line")).alias("line"),
+        X.ip_tokens("line").alias("ips"),
+        *FACT_FLAGS, *[fn().alias(k) for k, fn in DETAIL_FLAGS.items()])
+    return keyed.groupBy(*FACT_KEYS).agg(F.count(F.lit(1)).alias("n"))

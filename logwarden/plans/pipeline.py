@@ -8,8 +8,9 @@ only materialisation points; inside a stage Spark plans one DAG.
 Outputs under ``out_dir``:
 
 * ``lines`` (stage 1): ``line, source_file, log_type``, partitioned by ``log_type``
-* ``line_facts`` (stage 2): distinct matched lines, multiplicity and rule flags
-  (the compact form of the three filter sets); ``auth``, ``apache``,
+* ``line_facts`` (stage 2): matched lines with rule flags, IP tokens and
+  multiplicity (distinct text for suspicious lines; the compact form of the
+  three filter sets); ``auth``, ``apache``,
   ``syslog`` parsed tables
 * ``ip_summary``, ``line_stats`` and its two views ``anomaly_counts``, ``usage_stats`` (stage 3)
 * ``alerts`` partitioned by ``channel`` (both engines), ``final_report`` (stage 4)
