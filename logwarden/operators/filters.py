@@ -85,13 +85,19 @@ def success_events(lines: DataFrame, strict: bool = False) -> DataFrame:
     return lines.where(X.matches(P.RX_SUCCESS_STRICT if strict else P.RX_SUCCESS_LOOSE))
 
 
+SORT_TIEBREAKS = ("line_id", "source_path", "source_block")
+
+
 def sorted_log(lines: DataFrame, by: str = "line") -> DataFrame:
     """O1: the merged log in order (whole-line text order, or ``event_ts``).
 
     A global sort is a range shuffle; use only when ordered output is the
-    product.
+    product.  The row's origin (``line_id``, or file and split) breaks ties,
+    so the range partitioner can cut a line repeated a billion times into
+    several tasks instead of sorting all its copies in one.
     """
-    return lines.orderBy(by)
+    ties = [c for c in SORT_TIEBREAKS if c in lines.columns and c != by]
+    return lines.orderBy(by, *ties)
 
 
 def dedup_lines(lines: DataFrame) -> DataFrame:

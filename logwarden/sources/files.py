@@ -59,6 +59,7 @@ def collect_logs(spark: SparkSession, paths: str | Sequence[str],
         F.regexp_replace("value", r"\r$", "").alias("line"),
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("source_path"),
+        F.col("_metadata.file_block_start").alias("source_block"),
     )
     excl = list(exclude or ())
     if excl:

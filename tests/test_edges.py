@@ -115,3 +115,23 @@ def test_window_alert_tiers(spark):
         ("stage4", 5): ("CRITICAL", "critical"), ("stage4", 20): ("CRITICAL", "critical"),
         ("stage4", 50): ("CRITICAL", "critical"),
     }
+
+
+def test_sorted_log_splits_hot_line(spark):
+    from logwarden.operators.filters import sorted_log
+
+    hot = "May 01 10:00:00 server kernel[1]: ERROR: Segmentation fault"
+    df = spark.createDataFrame([(i, hot if i % 3 else f"line {i:05d}") for i in range(3000)],
+                               "line_id long, line string")
+    out = sorted_log(df)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")        # keep the range partitions apart on this tiny input
+    try:
+        parts = out.rdd.glom().map(lambda rows: sum(1 for r in rows if r.line == hot)).collect()
+    finally:
+        spark.conf.set(key, old)
+    assert sum(parts) == 2000
+    assert sum(1 for p in parts if p) > 1          # the hot line is cut across several sort tasks
+    rows = out.collect()
+    assert [r.line for r in rows] == sorted(r.line for r in rows)
