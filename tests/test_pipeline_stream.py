@@ -80,3 +80,18 @@ def test_stream_dedup_hot_line(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == 1 + 20
     assert out.select("line").distinct().count() == 21
+
+
+def test_append_mode_emits_closed_windows_only(spark, tmp_path):
+    logs = tmp_path / "logs"
+    logs.mkdir()
+    line = "May 01 {}:{:02d}:00 server sshd[1]: Failed password for root from 1.1.1.1 port 22 ssh2\n"
+    # windows 10:00, 10:30, 11:00 and 13:00; the last event moves the watermark to 12:00
+    (logs / "a.log").write_text(line.format(10, 5) + line.format(10, 40) + line.format(11, 10)
+                                + line.format(13, 0))
+    out = str(tmp_path / "out")
+    J.stream_failed_login_windows(spark, str(logs), str(tmp_path / "ck"), out,
+                                  output_mode="append").awaitTermination()
+    got = J.latest_window_counts(spark, out)
+    # closed behind the watermark: the three windows ending by 12:00; 13:00 stays open
+    assert got.count() == 3
