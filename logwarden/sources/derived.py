@@ -136,7 +136,11 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+# the four ``events`` columns the rendering reads, with the driver's types; an
+# explicit read schema prunes the other columns and skips schema inference
+EVENTS_READ_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string"
+
+
 def load_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    events = spread(events.select("event_id", "ts", "user_id", "event_type"))
-    return event_log_lines(events)
+    events = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    return event_log_lines(spread(events))
