@@ -73,16 +73,30 @@ def matches(pattern: str, c="line", folded: str | None = None) -> Column:
         return C(c).rlike(pattern)
     icase, alts = lit
     if icase:
-        subject = F.col(folded) if folded else F.translate(C(c), _UPPER, _LOWER)
+        alts = [a.translate(str.maketrans(_UPPER, _LOWER)) for a in alts]
+    if isinstance(c, str):
+        # one SQL expression (a single JVM call) instead of a Column call per alternative
+        if icase:
+            subject = f"`{folded}`" if folded else f"translate(`{c}`, '{_UPPER}', '{_LOWER}')"
+        else:
+            subject = f"`{c}`"
+        return F.expr(" OR ".join(f"contains({subject}, {_sql_str(a)})" for a in alts))
+    if icase:
+        subject = F.col(folded) if folded else F.translate(c, _UPPER, _LOWER)
     else:
-        subject = C(c)
+        subject = c
     out = None
     for a in alts:
-        t = subject.contains(a.translate(str.maketrans(_UPPER, _LOWER)) if icase else a)
+        t = subject.contains(a)
         out = t if out is None else out | t
     return out
 
 
+def _sql_str(s: str) -> str:
+    """A Spark SQL string literal (backslash escapes, as the default parser reads them)."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def has(text: str, c="line") -> Column:
     """Fixed-substring test (``grep -c 'text'`` without metacharacters)."""
     return C(c).contains(text)
