@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import columns as X
 from ..operators import filters as FL
 
 # --- fixed values: names of the three filter outputs ---
@@ -32,10 +33,11 @@ def filtered_lines(lines: DataFrame) -> DataFrame:
     F1 and F3 keep repeated lines; F2 holds each suspicious line once (the
     distinct is a hash aggregate on the line with map-side dedup).
     """
-    tags = F.array_compact(F.array(F.when(FL.is_failed(), F.lit(TAG_FAILED)),
-                                   F.when(FL.is_server_error(), F.lit(TAG_SERVER_ERRORS))))
-    kept = lines.select(F.explode(tags).alias("tag"), "line")
-    susp = (lines.where(FL.is_suspicious()).select("line").distinct()
+    folded = X.with_folded(lines.select("line"))
+    tags = F.array_compact(F.array(F.when(FL.is_failed(X.FOLDED), F.lit(TAG_FAILED)),
+                                   F.when(FL.is_server_error(X.FOLDED), F.lit(TAG_SERVER_ERRORS))))
+    kept = folded.select(F.explode(tags).alias("tag"), "line")
+    susp = (folded.where(FL.is_suspicious(X.FOLDED)).select("line").distinct()
             .select(F.lit(TAG_SUSPICIOUS).alias("tag"), "line"))
     return kept.unionByName(susp)
 
