@@ -36,6 +36,9 @@ Q = Callable[[SparkSession, str], DataFrame]
 
 
 def _L(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # event times are defined in UTC (log stamps carry +0000 or no zone)
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return load_log_lines(spark, sf_dir)
 
 
