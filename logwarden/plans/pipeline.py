@@ -7,7 +7,7 @@ only materialisation points; inside a stage Spark plans one DAG.
 
 Outputs under ``out_dir``:
 
-* ``lines`` (stage 1): ``line, source_file, log_type``, partitioned by ``log_type``
+* ``lines`` (stage 1): ``line, source_file``, partitioned by ``log_type`` and ``event_date``
 * ``line_facts`` (stage 2): matched lines with rule flags, IP tokens and
   multiplicity (distinct text for suspicious lines; the compact form of the
   three filter sets); ``auth``, ``apache``,
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
 from ..operators import aggregates as A
@@ -37,15 +38,29 @@ def _p(out_dir: str, name: str) -> str:
     return f"{out_dir.rstrip('/')}/{name}"
 
 
-def _write(df: DataFrame, path: str, partition_by: str | None = None) -> int:
+def _write(df: DataFrame, path: str, *partition_by: str) -> int:
     w = df.write.mode("overwrite")
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(*partition_by)
     w.parquet(path)
     # row count from the committed files (a metadata-light scan), not a recompute
     return df.sparkSession.read.parquet(path).count()
 
 
+def read_lines(spark: SparkSession, out_dir: str, start: str | None = None, end: str | None = None,
+               log_type: str | None = None) -> DataFrame:
+    """The stage-1 lines table, pruned to a day range and log type by partition (no file reads
+    outside them); lines without a readable time sit in the null-date partition."""
+    df = spark.read.parquet(_p(out_dir, "lines"))
+    if start:
+        df = df.where(F.col("event_date") >= F.lit(start).cast("date"))
+    if end:
+        df = df.where(F.col("event_date") <= F.lit(end).cast("date"))
+    if log_type:
+        df = df.where(F.col("log_type") == log_type)
+    return df
+
+
 def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame], out_dir: str,
                  run_id: str, cfg: Thresholds = DEFAULT, resume: bool = True,
                  generated_at: str = "") -> DataFrame:
@@ -62,7 +77,11 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
 
     if todo(1):
         lines = source(spark).select("line", "source_file", "log_type")
-        n = _write(lines, _p(out_dir, "lines"), "log_type")
+        # no shuffle before the write: each task writes the (type, day)
+        # partitions it holds, few per task since logs arrive in time order
+        dated = PR.with_event_time(lines, cfg).select(
+            "line", "source_file", "log_type", F.to_date("event_ts").alias("event_date"))
+        n = _write(dated, _p(out_dir, "lines"), "log_type", "event_date")
         M.record_stage(spark, out_dir, run_id, 1, n)
 
     if todo(2):

@@ -1,7 +1,7 @@
 """Resumable batch run (manifest) and the streaming jobs against their batch form."""
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F  # noqa: F401
 
 from conftest import SMOKE, have_testdata
 from logwarden.plans import manifest as M
@@ -22,6 +22,16 @@ def test_pipeline_resume_and_rollback(spark, tmp_path):
     assert M.resume_point(st).first().resume_stage == "done"
     n_alerts = spark.read.parquet(f"{out}/alerts").count()
     assert n_alerts > 0
+    # the lines table is partitioned by type and day: a day range prunes partitions
+    from logwarden.plans.pipeline import read_lines
+    from logwarden.operators.parse import with_event_time
+
+    part = read_lines(spark, out, "2024-01-05", "2024-01-06", "auth")
+    plan = part._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(log_type" in plan or "event_date" in plan.split("PartitionFilters")[1]
+    want = (with_event_time(load_log_lines(spark, SMOKE))
+            .where("log_type = 'auth' AND to_date(event_ts) BETWEEN '2024-01-05' AND '2024-01-06'").count())
+    assert part.count() == want > 0
     M.rollback(spark, out, "run1", 3)
     st = M.stage_status(spark, out, "run1")
     assert M.resume_point(st).first().resume_stage == "3"
