@@ -105,3 +105,19 @@ def test_append_mode_emits_closed_windows_only(spark, tmp_path):
     got = J.latest_window_counts(spark, out)
     # closed behind the watermark: the three windows ending by 12:00; 13:00 stays open
     assert got.count() == 3
+
+
+def test_text_path_equals_derived_view(spark, tmp_path):
+    """The real-log path (text files -> collect_logs) gives the oracle-checked answers."""
+    from logwarden.operators import aggregates as A
+    from logwarden.operators import alerts as AL
+    from logwarden.operators import parse as PR
+
+    L = load_log_lines(spark, SMOKE)
+    logs = str(tmp_path / "logs")
+    L.select("line", "source_file").write.partitionBy("source_file").text(logs)
+    T = collect_logs(spark, logs)
+    for fn in (A.ip_summary, A.anomaly_counts, A.usage_stats, AL.stage4_alerts, AL.detailed_alerts,
+               PR.parse_auth, PR.parse_apache, PR.parse_syslog, W.failed_login_windows):
+        a, b = fn(L), fn(T)
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, fn.__name__
