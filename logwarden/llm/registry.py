@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from . import url_filter
+from . import secrets, toxicity, url_filter
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
+    "op4_secret_scan": secrets.query,
     "op9_url_filter": url_filter.query,
 }
 
