@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from . import secrets, toxicity, url_filter
+from . import decontaminate, secrets, sentencepiece_sampling, simhash, token_files, toxicity, url_filter
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op4_secret_scan": secrets.query,
+    "op5_sentencepiece_sampling": sentencepiece_sampling.query,
+    "op7_simhash_dedup": simhash.query,
+    "op8_token_files": token_files.query,
     "op9_url_filter": url_filter.query,
+    "op10_decontaminate": decontaminate.query,
 }
 
 ORACLE_SQL = {
     "op9_url_filter": url_filter.ORACLE,
+    "op10_decontaminate": decontaminate.ORACLE,
 }
