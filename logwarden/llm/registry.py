@@ -2,19 +2,28 @@
 
 from __future__ import annotations
 
-from . import decontaminate, secrets, sentencepiece_sampling, simhash, token_files, toxicity, url_filter
+import corpus_pipeline
+
+from . import (ann, chat_perspectives, decontaminate, secrets, sentencepiece_sampling, simhash, token_files, toxicity,
+               url_filter, warc_audit)
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
+    "op2_warc_audit": warc_audit.query,
+    "op3_chat_perspectives": chat_perspectives.query,
     "op4_secret_scan": secrets.query,
     "op5_sentencepiece_sampling": sentencepiece_sampling.query,
+    "op6_nn_descent": ann.query,
     "op7_simhash_dedup": simhash.query,
     "op8_token_files": token_files.query,
     "op9_url_filter": url_filter.query,
     "op10_decontaminate": decontaminate.query,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL = {
+    "op2_warc_audit": warc_audit.ORACLE,
+    "op3_chat_perspectives": chat_perspectives.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
 }
