@@ -1,30 +1,38 @@
-"""Command line: the batch run, its status, rollback, threshold scan, alerts, digest, stream.
+"""Command line: the batch run and its stages, parsers, scans, alerts, digest, stream.
 
     python -m logwarden.cli run --logs DIR --out DIR [--run-id ID] [--reset]
     python -m logwarden.cli status --out DIR [--run-id ID]
     python -m logwarden.cli rollback --out DIR --stage N [--run-id ID]
-    python -m logwarden.cli scan --logs DIR
+    python -m logwarden.cli filter --logs DIR --out DIR [--run-id ID]
+    python -m logwarden.cli parse FORMAT --logs DIR --out DIR
+    python -m logwarden.cli scan (--logs DIR | --run DIR [--run-id ID]) [--out DIR]
     python -m logwarden.cli check VALUE THRESHOLD [LABEL]
     python -m logwarden.cli show
-    python -m logwarden.cli alerts --logs DIR --out DIR [--run-id ID]
-    python -m logwarden.cli digest --logs DIR --out DIR [--run-id ID]
+    python -m logwarden.cli health --logs DIR
+    python -m logwarden.cli alerts (--logs DIR | --run DIR) --out DIR [--run-id ID]
+    python -m logwarden.cli digest (--logs DIR | --run DIR) --out DIR [--run-id ID]
     python -m logwarden.cli stream --logs DIR --checkpoint DIR --out DIR [--continuous SECONDS]
 
-Every command builds DataFrames and writes tables; only small result tables
-(stage status, the scan verdict) are shown on the console.  On a cluster,
-submit this module with ``spark-submit`` and set ``spark.checkpoint.dir`` to
-shared storage.
+``--run DIR`` reads the tables of a finished run instead of scanning raw logs.
+Every bound can be set: ``--config FILE`` (JSON, names as in ``Thresholds``),
+``--set NAME=VALUE`` (repeatable) and ``--year`` for the year of syslog lines;
+``--exclude NAME`` (repeatable) leaves files of that name out.
+
+Every command builds DataFrames and writes tables; rows on the console are
+streamed, all of them.  On a cluster, submit this module with
+``spark-submit`` and set ``spark.checkpoint.dir`` to shared storage.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import json
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-from .config import DEFAULT
+from .config import DEFAULT, Thresholds
 
 
 def _session() -> SparkSession:
@@ -44,23 +52,61 @@ def _run_id(args) -> str:
     return args.run_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d")
 
 
+def _config(args) -> Thresholds:
+    values: dict = {}
+    if args.config:
+        with open(args.config) as f:
+            values |= json.load(f)
+    for pair in args.set or ():
+        name, _, value = pair.partition("=")
+        values[name] = value
+    if args.year is not None:
+        values["syslog_year"] = args.year
+    return DEFAULT.replaced(values)
+
+
+def _lines(spark: SparkSession, args) -> DataFrame:
+    from .sources.files import collect_logs
+
+    return collect_logs(spark, args.logs, exclude=args.exclude or ())
+
+
+def _print_rows(df: DataFrame) -> None:
+    """Every row, fetched partition by partition."""
+    for r in df.toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in r))
+
+
+def _incidents(spark, args) -> DataFrame:
+    """The incident table of a finished run, or of raw logs."""
+    from .operators.alerts import incident_table
+    from .plans.pipeline import read_table
+
+    return read_table(spark, args.run, _run_id(args), "incidents") if args.run else incident_table(_lines(spark, args))
+
+
 def cmd_run(spark, args) -> int:
     from .plans import manifest as M
-    from .plans.pipeline import run_pipeline
-    from .sources.files import collect_logs
+    from .plans.pipeline import read_table, run_pipeline
+    from .sources.files import source_health
 
-    st = run_pipeline(spark, lambda s: collect_logs(s, args.logs), args.out, _run_id(args),
+    run_id = _run_id(args)
+    st = run_pipeline(spark, lambda s: _lines(s, args), args.out, run_id, _config(args),
                       resume=not args.reset, generated_at=_now())
-    st.show(truncate=False)
-    return 0 if M.resume_point(st).first().resume_stage == "done" else 1
+    _print_rows(st)
+    done = M.resume_point(st).first().resume_stage == "done"
+    if done:
+        _print_rows(read_table(spark, args.out, run_id, "run_summary").orderBy("section", "ord", "key"))
+    _print_rows(source_health(spark, args.logs))
+    return 0 if done else 1
 
 
 def cmd_status(spark, args) -> int:
     from .plans import manifest as M
 
     st = M.stage_status(spark, args.out, _run_id(args))
-    st.show(truncate=False)
-    M.resume_point(st).show()
+    _print_rows(st.orderBy("stage"))
+    _print_rows(M.resume_point(st))
     return 0
 
 
@@ -72,16 +118,34 @@ def cmd_rollback(spark, args) -> int:
     return 0
 
 
+def cmd_filter(spark, args) -> int:
+    from .sources.sinks import write_filtered
+
+    write_filtered(_lines(spark, args), args.out, _run_id(args))
+    return 0
+
+
+def cmd_parse(spark, args) -> int:
+    from .operators import parse as PR
+
+    lines, cfg = _lines(spark, args), _config(args)
+    parsed = {"auth": lambda: PR.parse_auth(lines, cfg), "apache": lambda: PR.parse_apache(lines),
+              "syslog": lambda: PR.parse_syslog(lines)}[args.format]()
+    parsed.write.mode("overwrite").parquet(args.out)
+    return 0
+
+
 def cmd_scan(spark, args) -> int:
     from .operators import thresholds as TH
-    from .sources.files import collect_logs
 
-    scan = TH.threshold_scan(collect_logs(spark, args.logs))
+    scan = TH.threshold_scan(None, _config(args), table=_incidents(spark, args))
     if args.out:
         scan.write.mode("overwrite").parquet(args.out)
         scan = spark.read.parquet(args.out)
-    scan.where("status <> 'OK'").show(truncate=False)
-    exceeded = TH.threshold_verdict(scan).first().any_exceeded
+    exceeded = False
+    for r in scan.toLocalIterator():
+        print(f"{r.label}: {r.value}/{r.threshold} ({r.pct}%) {r.status}")
+        exceeded |= r.status == "EXCEEDED"
     print("any threshold exceeded:", exceeded)
     return 1 if exceeded else 0
 
@@ -91,7 +155,7 @@ def cmd_check(spark, args) -> int:
 
     m = spark.createDataFrame([(args.label, args.value, args.threshold)],
                               "label string, value string, threshold string")
-    r = TH.threshold_check(m).first()
+    r = TH.threshold_check(m, cfg=_config(args)).first()
     print(f"{r.label}: {r.value}/{r.threshold} ({r.pct}%) {r.status}")
     return {"EXCEEDED": 0, "WARNING": 0, "OK": 1}.get(r.status, 2)
 
@@ -99,35 +163,41 @@ def cmd_check(spark, args) -> int:
 def cmd_show(spark, args) -> int:
     from .operators import thresholds as TH
 
-    TH.thresholds_table(spark, DEFAULT).show(truncate=False)
+    _print_rows(TH.thresholds_table(spark, _config(args)))
+    return 0
+
+
+def cmd_health(spark, args) -> int:
+    from .sources.files import source_health
+
+    _print_rows(source_health(spark, args.logs))
     return 0
 
 
 def cmd_alerts(spark, args) -> int:
     from .operators import alerts as AL
-    from .sources.files import collect_logs
     from .sources.sinks import write_alerts
 
-    lines = collect_logs(spark, args.logs)
-    alerts = AL.stage4_alerts(lines).unionByName(AL.detailed_alerts(lines))
-    write_alerts(alerts, args.out, _run_id(args))
+    write_alerts(AL.all_alerts(None, _config(args), table=_incidents(spark, args)), args.out, _run_id(args))
     return 0
 
 
 def cmd_digest(spark, args) -> int:
     from .operators import reports as RP
-    from .sources.files import collect_logs
+    from .plans.pipeline import read_table
     from .sources.sinks import write_reports
 
-    lines = collect_logs(spark, args.logs)
-    write_reports({"alert_digest": RP.alert_digest(lines, DEFAULT, _now())}, args.out, _run_id(args))
+    stats = read_table(spark, args.run, _run_id(args), "line_stats") if args.run else None
+    lines = None if args.run else _lines(spark, args)
+    digest = RP.alert_digest(lines, _config(args), _now(), _incidents(spark, args), stats)
+    write_reports({"alert_digest": digest}, args.out, _run_id(args))
     return 0
 
 
 def cmd_stream(spark, args) -> int:
     from .streaming import jobs as J
 
-    q = J.stream_alerts(spark, args.logs, args.checkpoint, args.out,
+    q = J.stream_alerts(spark, args.logs, args.checkpoint, args.out, _config(args),
                         available_now=args.continuous is None,
                         processing_time=f"{args.continuous} seconds" if args.continuous else None)
     q.awaitTermination()
@@ -140,25 +210,39 @@ def parser() -> argparse.ArgumentParser:
 
     def add(name, fn, *opts):
         s = sub.add_parser(name)
+        s.add_argument("--config", default=None, help="JSON file of bounds")
+        s.add_argument("--set", action="append", metavar="NAME=VALUE", help="one bound")
+        s.add_argument("--year", type=int, default=None, help="year of syslog lines")
+        s.add_argument("--exclude", action="append", metavar="NAME", help="file name to leave out")
         for o in opts:
             o(s)
         s.set_defaults(fn=fn)
         return s
 
-    logs = lambda s: s.add_argument("--logs", required=True)
+    def logs(s):
+        s.add_argument("--logs", required=True)
+
+    def logs_or_run(s):
+        g = s.add_mutually_exclusive_group(required=True)
+        g.add_argument("--logs")
+        g.add_argument("--run", help="output folder of a finished run")
+
     out = lambda s: s.add_argument("--out", required=True)
     rid = lambda s: s.add_argument("--run-id", default=None)
     add("run", cmd_run, logs, out, rid).add_argument("--reset", action="store_true")
     add("status", cmd_status, out, rid)
     add("rollback", cmd_rollback, out, rid).add_argument("--stage", type=int, required=True)
-    add("scan", cmd_scan, logs).add_argument("--out", default=None)
+    add("filter", cmd_filter, logs, out, rid)
+    add("parse", cmd_parse, logs, out).add_argument("format", choices=("auth", "apache", "syslog"))
+    add("scan", cmd_scan, logs_or_run, rid).add_argument("--out", default=None)
     c = add("check", cmd_check)
     c.add_argument("value")
     c.add_argument("threshold")
     c.add_argument("label", nargs="?", default="metric")
     add("show", cmd_show)
-    add("alerts", cmd_alerts, logs, out, rid)
-    add("digest", cmd_digest, logs, out, rid)
+    add("health", cmd_health, logs)
+    add("alerts", cmd_alerts, logs_or_run, out, rid)
+    add("digest", cmd_digest, logs_or_run, out, rid)
     s = add("stream", cmd_stream, logs, out)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--continuous", type=int, default=None, help="trigger interval in seconds")

@@ -7,7 +7,7 @@ it, so one query with other bounds exercises every branch of a rule.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 
 @dataclass(frozen=True)
@@ -31,6 +31,23 @@ class Thresholds:
     syslog_year: int = 2024        # syslog lines carry no year
 
 
+    def replaced(self, values: dict) -> "Thresholds":
+        """A copy with other bounds; values may be text (``"20,10,5"`` for a tuple)."""
+        kinds = {f.name: f.default for f in fields(self)}
+        changed = {}
+        for name, value in values.items():
+            if name not in kinds:
+                raise ValueError(f"no such bound: {name} (known: {', '.join(sorted(kinds))})")
+            if isinstance(kinds[name], tuple):
+                parts = value.split(",") if isinstance(value, str) else value
+                changed[name] = tuple(int(x) for x in parts)
+                if len(changed[name]) != len(kinds[name]):
+                    raise ValueError(f"{name} takes {len(kinds[name])} values")
+            else:
+                changed[name] = int(value)
+        return replace(self, **changed)
+
+
 DEFAULT = Thresholds()
 
 # --- fixed values: alert wording (message and action templates) ---

@@ -48,7 +48,10 @@ def with_folded(df, c="line"):
     read the folded text instead of being rewritten to fold the line again
     for every case-blind literal they test.
     """
-    return df.select("*", F.explode(F.array(F.translate(C(c), _UPPER, _LOWER))).alias(FOLDED))
+    c = C(c)
+    # an all-ASCII line (as many bytes as characters) takes the fast fold, which means the same there
+    fold = F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(F.translate(c, _UPPER, _LOWER))
+    return df.select("*", F.explode(F.array(fold)).alias(FOLDED))
 
 
 def fenced(df, *cols):
@@ -80,7 +83,7 @@ def matches(pattern: str, c="line", folded: str | None = None) -> Column:
             subject = f"`{folded}`" if folded else f"translate(`{c}`, '{_UPPER}', '{_LOWER}')"
         else:
             subject = f"`{c}`"
-        return F.expr(" OR ".join(f"contains({subject}, {_sql_str(a)})" for a in alts))
+        return F.expr(" OR ".join(f"contains({subject}, {sql_str(a)})" for a in alts))
     if icase:
         subject = F.col(folded) if folded else F.translate(c, _UPPER, _LOWER)
     else:
@@ -92,7 +95,7 @@ def matches(pattern: str, c="line", folded: str | None = None) -> Column:
     return out
 
 
-def _sql_str(s: str) -> str:
+def sql_str(s: str) -> str:
     """A Spark SQL string literal (backslash escapes, as the default parser reads them)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -123,19 +126,9 @@ def field(fields: Column, i: int) -> Column:
     return F.get(fields, i - 1)
 
 
-def token_after(word: str, c="line") -> Column:
-    """Token that follows the *last* whole-word ``word`` (AWK loop over fields).
-
-    The greedy prefix makes the match end at the last occurrence.
-    """
-    rx = r"^(?:.*[ \t])?" + re.escape(word) + r"[ \t]+([^ \t]+)"
-    v = F.regexp_extract(C(c), rx, 1)
-    return F.when(v != "", v)
-
-
 def field_after(fields: Column, word: str) -> Column:
-    """``token_after`` on already split AWK fields: the field after the last
-    field equal to ``word`` that has a successor (array lookups, no regex)."""
+    """The field after the last field equal to ``word`` that has a successor
+    (AWK loop over fields, as array lookups)."""
     n = F.size(fields)
     head = F.slice(fields, 1, F.greatest(n - 1, F.lit(0)))
     r = F.array_position(F.reverse(head), F.lit(word))
@@ -149,13 +142,15 @@ def risk_tier(n, cfg: Thresholds = DEFAULT) -> Column:
             .when(n >= med, "MEDIUM").otherwise("LOW"))
 
 
-def int_div(a, b) -> Column:
-    """Integral division ``a div b`` for non-negative a and positive b.
+def int_percent(value: Column, bound: Column) -> Column:
+    """Whole percent of ``value`` against ``bound``, rounded down, as bigint.
 
-    ``a - pmod(a, b)`` is a multiple of ``b``, so the double quotient is exact.
+    Exact decimals throughout: any two bigints work, and a percentage beyond
+    bigint is null instead of an error.
     """
-    a, b = C(a).cast("bigint"), C(b).cast("bigint")
-    return ((a - F.pmod(a, b)) / b).cast("bigint")
+    hundredfold = value.cast("decimal(19,0)") * F.lit(100).cast("decimal(3,0)")
+    exact = (hundredfold - hundredfold % bound.cast("decimal(19,0)")) / bound.cast("decimal(19,0)")
+    return exact.try_cast("bigint")
 
 
 def threshold_status(value, threshold, cfg: Thresholds = DEFAULT) -> tuple[Column, Column]:
@@ -167,7 +162,7 @@ def threshold_status(value, threshold, cfg: Thresholds = DEFAULT) -> tuple[Colum
     v = C(value).cast("bigint")
     t = C(threshold).cast("bigint")
     ok = v.isNotNull() & t.isNotNull() & (v >= 0) & (t > 0)
-    pct = F.when(ok, int_div(v * 100, t))
+    pct = F.when(ok, int_percent(v, t))
     status = (F.when(~ok, "INVALID").when(v >= t, "EXCEEDED")
               .when(pct >= cfg.warn_pct, "WARNING").otherwise("OK"))
     return pct, status
@@ -186,18 +181,23 @@ def template(text: str, **cols) -> Column:
     return F.concat(*out) if out else F.lit("")
 
 
+def _utc_wall_clock(ts: Column) -> Column:
+    """The UTC wall-clock time of an instant, whatever the session's zone."""
+    seconds = (F.unix_micros(ts) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
 def syslog_time(year: int, c="line") -> Column:
-    """Event time of a syslog-framed line (``MMM dd HH:mm:ss`` + year).
+    """Event time of a syslog-framed line (``MMM dd HH:mm:ss`` + year), in UTC.
 
     Real syslog pads one-digit days with a space; both paddings parse.
     """
     stamp = F.regexp_replace(F.substring(C(c), 1, 15), "  +", " ")
-    ts = F.try_to_timestamp(F.concat(F.lit(f"{year} "), stamp), F.lit(P.SYSLOG_TIME_FORMAT))
-    return ts.cast("timestamp_ntz")
+    return _utc_wall_clock(F.try_to_timestamp(F.concat(F.lit(f"{year} "), stamp, F.lit(" +0000")),
+                                              F.lit(P.SYSLOG_TIME_FORMAT + " Z")))
 
 
 def apache_time(c="line") -> Column:
-    """Event time of an Apache combined-log line (``[dd/MMM/yyyy:HH:mm:ss Z]``)."""
+    """Event time of an Apache combined-log line (``[dd/MMM/yyyy:HH:mm:ss Z]``), in UTC."""
     raw = F.regexp_extract(C(c), r"\[([^\]]+)\]", 1)
-    ts = F.try_to_timestamp(F.when(raw != "", raw), F.lit(P.APACHE_TIME_FORMAT))
-    return ts.cast("timestamp_ntz")
+    return _utc_wall_clock(F.try_to_timestamp(F.when(raw != "", raw), F.lit(P.APACHE_TIME_FORMAT)))

@@ -22,7 +22,7 @@ from ..functions import columns as X
 from ..functions import patterns as P
 from . import filters as flt
 from . import parse as prs
-from .tagging import line_facts
+from .tagging import line_facts, token_weight
 
 
 def long_form(row: DataFrame, names: list[str], key: str = "metric", value: str = "cnt") -> DataFrame:
@@ -38,21 +38,20 @@ def _sum_n(cond: Column) -> Column:
 # ---------------------------------------------------------------- IP counts
 
 def ip_weights(facts: DataFrame) -> DataFrame:
-    """``(ip, w)`` tokens of the three filter sets, F1 and F3 with repeats, F2 once.
-
-    A line in two sets counts in both, as the three files were concatenated.
-    """
-    w = (F.col("n") * (F.col("f_failed").cast("int") + F.col("f_srv_err").cast("int"))
-         + F.col("f_susp").cast("int"))
+    """``(ip, w)`` tokens of the three filter sets."""
     return (facts.where(F.col("f_failed") | F.col("f_susp") | F.col("f_srv_err"))
-            .select(F.explode("ips").alias("ip"), w.alias("w")))
+            .select(F.explode("ips").alias("ip"), token_weight().alias("w")))
 
 
 def ip_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, facts: DataFrame | None = None) -> DataFrame:
     """A1 + R1: ``(ip, occurrences, risk)`` over F1 + F2 + F3."""
     facts = facts if facts is not None else line_facts(lines)
     agg = ip_weights(facts).groupBy("ip").agg(F.sum("w").cast("bigint").alias("occurrences"))
-    return agg.select("ip", "occurrences", X.risk_tier("occurrences", cfg).alias("risk"))
+    return agg.select("ip", "occurrences", risk("occurrences", cfg))
+
+
+def risk(n: str, cfg: Thresholds = DEFAULT) -> Column:
+    return X.risk_tier(n, cfg).alias("risk")
 
 
 def ip_rank(summary: DataFrame) -> DataFrame:
@@ -189,7 +188,7 @@ def line_stats(lines: DataFrame) -> DataFrame:
     Each line is exploded into its IP tokens (or one null row); line-level
     counts only look at the first row of a line, and the single distinct
     aggregate on the token makes Spark shuffle pre-deduplicated tokens only.
-    Anomaly categories count every line; usage metrics skip ``#`` comments.
+    Every count is over all lines but ``total_lines``, which skips ``#`` comments.
     The anomaly ``TOTAL`` is the sum of the categories (a line in two
     categories counts twice), as in the original report.
 
@@ -207,15 +206,14 @@ def line_stats(lines: DataFrame) -> DataFrame:
         *[test(fn, arg).alias(n) for n, fn, arg in ANOMALY_RULES],
         F.posexplode_outer(X.ip_tokens("line")).alias("pos", "ip"))
     first = F.coalesce(F.col("pos") == 0, F.lit(True))
-    nc = first & F.col("nc")
     cats = [n for n, _, _ in ANOMALY_RULES]
     row = x.agg(
         *[F.count_if(first & F.col(f"`{n}`")).alias(n) for n in cats],
-        F.count_if(nc).alias("total_lines"),
-        F.count_if(nc & F.col("err")).alias("total_errors"),
-        F.count_if(nc & F.col("ok_loose")).alias("total_success"),
-        F.count_if(nc & F.col("ok_strict")).alias("total_success_strict"),
-        F.count_distinct(F.when(F.col("nc"), F.col("ip"))).alias("unique_ips"))
+        F.count_if(first & F.col("nc")).alias("total_lines"),
+        F.count_if(first & F.col("err")).alias("total_errors"),
+        F.count_if(first & F.col("ok_loose")).alias("total_success"),
+        F.count_if(first & F.col("ok_strict")).alias("total_success_strict"),
+        F.count_distinct("ip").alias("unique_ips"))
     row = row.withColumn(P.TOTAL, sum((F.col(f"`{n}`") for n in cats), F.lit(0)))
     return long_form(row, ANOMALY_NAMES + USAGE_NAMES)
 
@@ -245,8 +243,8 @@ def http_class_counts(lines: DataFrame, facts: DataFrame | None = None) -> DataF
     """4xx and 5xx lines among the distinct suspicious lines."""
     facts = facts if facts is not None else line_facts(lines)
     s = facts.where("f_susp")
-    row = s.agg(F.count_if(X.matches(P.RX_HTTP_4XX)).alias("http_4xx"),
-                F.count_if(X.matches(P.RX_HTTP_5XX)).alias("http_5xx"))
+    row = s.agg(F.count_if("f_4xx").alias("http_4xx"),
+                F.count_if("f_5xx").alias("http_5xx"))
     return long_form(row, ["http_4xx", "http_5xx"])
 
 
@@ -254,9 +252,9 @@ def probe_counts(lines: DataFrame, facts: DataFrame | None = None) -> DataFrame:
     """``.env``, ``/admin``, ``wp-admin`` among distinct suspicious lines (case-sensitive)."""
     facts = facts if facts is not None else line_facts(lines)
     s = facts.where("f_susp")
-    row = s.agg(F.count_if(X.has(P.LIT_ENV)).alias("env"),
-                F.count_if(X.has(P.LIT_ADMIN)).alias("admin"),
-                F.count_if(X.has(P.LIT_WP_ADMIN)).alias("wp_admin"))
+    row = s.agg(F.count_if("f_env").alias("env"),
+                F.count_if("f_admin").alias("admin"),
+                F.count_if("f_wp").alias("wp_admin"))
     return long_form(row, ["env", "admin", "wp_admin"])
 
 

@@ -1,13 +1,11 @@
 """Alert rules (L1-L18) and their routing, as one ``alerts`` table.
 
 Both engines emit rows of the same schema (``ALERT_COLUMNS``), told apart by
-``engine``.  Rule tiers are ``when`` chains (first match wins), so every
-rule is a projection over a small aggregate:
-
-* per-IP rules read a ``groupBy(ip)`` result (one row per IP);
-* global rules read ONE single-row aggregate that computes every counter in
-  one pass over ``line_facts``, then turn it into alert rows with ``inline``
-  of an array of candidate structs; no cross join, no per-rule rescan.
+``engine``.  All rules read one table, ``tagging.incidents``: a row per IP and
+a row of totals.  A rule is a struct that is null where it does not fire
+(tiers are ``when`` chains, first match wins); an engine is the ``inline`` of
+its rules' structs.  So an engine is one projection over one aggregation of
+one scan: no join, no rescan per rule, nothing written in between.
 """
 
 from __future__ import annotations
@@ -18,10 +16,7 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
-from ..functions import patterns as P
-from ..session import materialize
-from . import aggregates as agg
-from .tagging import line_facts
+from .tagging import incidents, line_facts
 
 ALERT_COLUMNS = ["engine", "severity", "category", "ip", "metric_value", "threshold",
                  "message", "action", "channel", "in_main_log"]
@@ -33,212 +28,195 @@ def route(severity: Column) -> Column:
             .when(severity.isin("MEDIUM", "LOW", "WARNING"), "warning").otherwise("main"))
 
 
-def _alert(engine: str, severity, category: str, ip, value, threshold, message: Column,
-           action: Column | None, channel: Column | None = None, in_main: bool | Column = True) -> list[Column]:
+def alert(cond: Column, engine: str, severity, category: str, ip, value: Column, threshold, message: Column,
+          action: Column | None = None, channel: Column | None = None, in_main: Column | None = None) -> Column:
+    """One alert row as a struct, null where ``cond`` does not hold."""
     sev = F.lit(severity) if isinstance(severity, str) else severity
-    return [
+    return F.when(cond, F.struct(
         F.lit(engine).alias("engine"), sev.alias("severity"), F.lit(category).alias("category"),
-        (ip if isinstance(ip, Column) else F.lit(ip).cast("string")).alias("ip"),
-        F.col(value).cast("bigint").alias("metric_value") if isinstance(value, str) else value.cast("bigint").alias("metric_value"),
+        (ip if ip is not None else F.lit(None).cast("string")).alias("ip"),
+        value.cast("bigint").alias("metric_value"),
         (threshold if isinstance(threshold, Column) else F.lit(threshold)).cast("bigint").alias("threshold"),
-        message.alias("message"),
-        (action if action is not None else F.lit(None).cast("string")).alias("action"),
+        message.alias("message"), (action if action is not None else F.lit(None).cast("string")).alias("action"),
         (channel if channel is not None else route(sev)).alias("channel"),
-        (in_main if isinstance(in_main, Column) else F.lit(in_main)).alias("in_main_log"),
-    ]
+        (in_main if in_main is not None else F.lit(True)).alias("in_main_log")))
 
 
-def _cand(severity: str, category: str, cond: Column, value: Column, threshold, text: tuple,
-          **fill) -> Column:
-    """One candidate alert of a single-row aggregate (null when ``cond`` is false)."""
-    msg, act = text
-    return F.when(cond, F.struct(
-        F.lit(severity).alias("severity"), F.lit(category).alias("category"),
-        value.cast("bigint").alias("metric_value"),
-        F.lit(threshold).cast("bigint").alias("threshold"),
-        X.template(msg, **fill).alias("message"), X.template(act, **fill).alias("action")))
+def _fire(table: DataFrame, rules: list[Column]) -> DataFrame:
+    return table.select(F.inline(F.array_compact(F.array(*rules)))).select(*ALERT_COLUMNS)
+
+
+def incident_table(lines: DataFrame | None, facts: DataFrame | None = None) -> DataFrame:
+    return incidents(facts if facts is not None else line_facts(lines))
+
+
+def _tiers(n: Column, tiers, pick) -> Column:
+    """First tier reached: ``pick(tier)`` of it, null below the lowest."""
+    out = None
+    for t in tiers:
+        out = F.when(n >= t[0], pick(t)) if out is None else out.when(n >= t[0], pick(t))
+    return out
+
+
+def is_ip() -> Column:
+    """Rows of an address."""
+    return ~F.col("is_total") & F.col("ip").isNotNull()
+
+
+def is_total() -> Column:
+    """The row of totals."""
+    return F.col("is_total")
 
 
 # ---------------------------------------------------------------- stage-4 engine
 
+def _brute_force(cfg: Thresholds) -> list[Column]:
+    crit = F.col("failed") >= cfg.failed_login
+    msg = F.when(crit, X.template(K.STAGE4_BRUTE_FORCE, ip="ip", n="failed", t=F.lit(cfg.failed_login))).otherwise(
+        X.template(K.STAGE4_ELEVATED, ip="ip", n="failed"))
+    return [alert(is_ip() & (F.col("failed") > 0), "stage4", F.when(crit, "CRITICAL").otherwise("WARNING"), "SSH",
+                  F.col("ip"), F.col("failed"), cfg.failed_login, msg,
+                  channel=F.when(crit, "critical").otherwise("warning"), in_main=crit)]
+
+
+def error_rate_rule(cond: Column, n: str, cfg: Thresholds) -> Column:
+    crit = F.col(n) >= cfg.error
+    msg = F.when(crit, X.template(K.STAGE4_ERROR_RATE, n=n, t=F.lit(cfg.error))).otherwise(
+        X.template(K.STAGE4_ERRORS_NORMAL, n=n))
+    return alert(cond, "stage4", F.when(crit, "CRITICAL").otherwise("INFO"), "SYSTEM", None, F.col(n), cfg.error,
+                 msg, channel=F.when(crit, "critical").otherwise("main"))
+
+
+def _suspicious_ip(cfg: Thresholds) -> list[Column]:
+    risk = X.risk_tier("occurrences", cfg)
+    crit = risk == "CRITICAL"
+    msg = F.when(crit, X.template(K.STAGE4_SUSPICIOUS_CRIT, ip="ip", n="occurrences")).otherwise(
+        X.template(K.STAGE4_SUSPICIOUS_HIGH, ip="ip", n="occurrences"))
+    return [alert(is_ip() & risk.isin("CRITICAL", "HIGH"), "stage4", F.when(crit, "CRITICAL").otherwise("WARNING"),
+                  "IP", F.col("ip"), F.col("occurrences"),
+                  F.when(crit, F.lit(cfg.tiers[0])).otherwise(F.lit(cfg.tiers[1])), msg)]
+
+
 def alert_brute_force(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
     """L1 + L2: per failed-login IP, CRITICAL brute force at the bound, else an elevated WARNING.
 
     WARNING rows go to the warning channel only (not the main log).
     """
-    a = agg.failed_by_ip(lines, facts)
-    crit = F.col("cnt") >= cfg.failed_login
-    t = F.lit(cfg.failed_login)
-    msg = F.when(crit, X.template(K.STAGE4_BRUTE_FORCE, ip="ip", n="cnt", t=t)).otherwise(
-        X.template(K.STAGE4_ELEVATED, ip="ip", n="cnt"))
-    sev = F.when(crit, "CRITICAL").otherwise("WARNING")
-    return a.select(*_alert("stage4", sev, "SSH", F.col("ip"), "cnt", cfg.failed_login, msg, None,
-                            channel=F.when(crit, "critical").otherwise("warning"), in_main=crit))
+    return _fire(incident_table(lines, facts), _brute_force(cfg))
 
 
 def alert_error_rate(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
-    """L3: F3 size at the bound -> CRITICAL; else an INFO line in the main log only.
+    """L3: F3 size at the bound -> CRITICAL; else an INFO line in the main log only."""
+    return _fire(incident_table(lines, facts), [error_rate_rule(is_total(), "total_errors", cfg)])
 
-    With a fact table the size is the sum of server-error multiplicities
-    there (no second scan of the raw lines).
-    """
-    from . import filters as flt
-    if facts is not None:
-        n = facts.agg(F.coalesce(F.sum(F.when(F.col("f_srv_err"), F.col("n"))), F.lit(0))
-                      .cast("bigint").alias("n"))
-    else:
-        n = X.with_folded(lines.select("line")).agg(F.count_if(flt.is_server_error(X.FOLDED)).alias("n"))
-    crit = F.col("n") >= cfg.error
-    t = F.lit(cfg.error)
-    msg = F.when(crit, X.template(K.STAGE4_ERROR_RATE, n="n", t=t)).otherwise(
-        X.template(K.STAGE4_ERRORS_NORMAL, n="n"))
-    sev = F.when(crit, "CRITICAL").otherwise("INFO")
-    return n.select(*_alert("stage4", sev, "SYSTEM", None, "n", cfg.error, msg, None,
-                            channel=F.when(crit, "critical").otherwise("main")))
-
-
-def alert_suspicious_ip(lines: DataFrame, cfg: Thresholds = DEFAULT, summary=None) -> DataFrame:
-    """L4: summary IPs of risk CRITICAL -> CRITICAL, HIGH -> WARNING (both in the main log)."""
-    s = summary if summary is not None else agg.ip_summary(lines, cfg)
-    s = s.where(F.col("risk").isin("CRITICAL", "HIGH"))
-    crit = F.col("risk") == "CRITICAL"
-    msg = F.when(crit, X.template(K.STAGE4_SUSPICIOUS_CRIT, ip="ip", n="occurrences")).otherwise(
-        X.template(K.STAGE4_SUSPICIOUS_HIGH, ip="ip", n="occurrences"))
-    sev = F.when(crit, "CRITICAL").otherwise("WARNING")
-    thr = F.when(crit, F.lit(cfg.tiers[0])).otherwise(F.lit(cfg.tiers[1]))
-    return s.select(*_alert("stage4", sev, "IP", F.col("ip"), "occurrences", thr, msg, None))
+
+def alert_suspicious_ip(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
+    """L4: IPs of risk CRITICAL -> CRITICAL, HIGH -> WARNING (both in the main log)."""
+    return _fire(incident_table(lines, facts), _suspicious_ip(cfg))
+
+
+def stage4_rules(cfg: Thresholds) -> list[Column]:
+    return [*_brute_force(cfg), error_rate_rule(is_total(), "total_errors", cfg), *_suspicious_ip(cfg)]
 
 
-def stage4_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None, summary=None) -> DataFrame:
-    """L1-L4 together (the fact table is checkpointed once and read by both IP rules)."""
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    return (alert_brute_force(lines, cfg, facts)
-            .unionByName(alert_error_rate(lines, cfg, facts))
-            .unionByName(alert_suspicious_ip(lines, cfg, summary)))
+def stage4_alerts(lines: DataFrame | None, cfg: Thresholds = DEFAULT, facts=None, table=None) -> DataFrame:
+    """L1-L4 together."""
+    return _fire(table if table is not None else incident_table(lines, facts), stage4_rules(cfg))
 
 
 # ---------------------------------------------------------------- detailed engine
 
-def alert_ssh_tiers(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
-    """Per failed-login IP, EXTREME / CRITICAL / HIGH / MEDIUM tiers; one attempt gives none."""
-    a = agg.failed_by_ip(lines, facts)
-    n = F.col("cnt")
+def ssh_tier_rule(cond: Column, n: str, cfg: Thresholds) -> Column:
+    """L5 on a failed-login count: EXTREME / CRITICAL / HIGH / MEDIUM; one attempt gives none."""
     tiers = [
-        (n >= cfg.ssh_extreme, "CRITICAL", K.SSH_EXTREME, cfg.ssh_extreme),
-        (n >= cfg.ssh_critical, "CRITICAL", K.SSH_CRITICAL, cfg.ssh_critical),
-        (n >= cfg.failed_login, "HIGH", K.SSH_HIGH, cfg.failed_login),
-        (n >= cfg.ssh_medium, "MEDIUM", K.SSH_MEDIUM, cfg.ssh_medium),
+        (cfg.ssh_extreme, "CRITICAL", K.SSH_EXTREME),
+        (cfg.ssh_critical, "CRITICAL", K.SSH_CRITICAL),
+        (cfg.failed_login, "HIGH", K.SSH_HIGH),
+        (cfg.ssh_medium, "MEDIUM", K.SSH_MEDIUM),
     ]
-    sev = msg = act = thr = None
-    for cond, s, (m, ac), t in tiers:
-        mm, aa = X.template(m, ip="ip", n="cnt"), X.template(ac, ip="ip", n="cnt")
-        if sev is None:
-            sev, msg, act, thr = F.when(cond, s), F.when(cond, mm), F.when(cond, aa), F.when(cond, t)
-        else:
-            sev, msg, act, thr = sev.when(cond, s), msg.when(cond, mm), act.when(cond, aa), thr.when(cond, t)
-    out = a.select("ip", "cnt", sev.alias("_sev"), msg.alias("_msg"), act.alias("_act"), thr.alias("_thr"))
-    out = out.where(F.col("_sev").isNotNull())
-    return out.select(*_alert("detailed", F.col("_sev"), "SSH", F.col("ip"), "cnt", F.col("_thr"),
-                              F.col("_msg"), F.col("_act")))
-
-
-def detail_counters(lines: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """Every counter the global detailed rules need, as ONE row from one pass.
-
-    Web counters look at distinct suspicious lines; system counters at F3
-    with repeats; the invalid-user counter at all lines (see ``alert_invalid_users``).
-    """
-    facts = facts if facts is not None else line_facts(lines)
-    d = F.col("f_susp")
-    e = F.col("f_srv_err")
-    n = F.col("n")
-
-    def rep(cond):  # lines with repeats
-        return F.coalesce(F.sum(F.when(cond, n)), F.lit(0)).cast("bigint")
-
-    return facts.agg(
-        rep(F.col("f_failed")).alias("failed_lines"),
-        rep(F.col("f_invalid")).alias("invalid_users"),
-        F.count_if(d & X.matches(P.RX_HTTP_5XX)).alias("err5xx"),
-        F.count_if(d & X.matches(P.RX_HTTP_4XX)).alias("err4xx"),
-        F.count_if(d & X.has(P.LIT_ENV)).alias("env_hits"),
-        F.count_if(d & X.has(P.LIT_ADMIN)).alias("admin_hits"),
-        F.count_if(d & X.has(P.LIT_WP_ADMIN)).alias("wp_hits"),
-        F.count_if(d).alias("susp_lines"),
-        rep(e).alias("total_errors"),
-        rep(e & F.col("f_oom")).alias("oom"),
-        rep(e & F.col("f_segv")).alias("segfault"),
-        rep(e & F.col("f_disk")).alias("disk"),
-    )
-
-
-def _global_candidates(cfg: Thresholds) -> list[Column]:
+    c = F.col(n)
+    sev = _tiers(c, tiers, lambda t: F.lit(t[1]))
+    return alert(cond & sev.isNotNull(), "detailed", sev, "SSH", F.col("ip"), c, _tiers(c, tiers, lambda t: F.lit(t[0])),
+                 _tiers(c, tiers, lambda t: X.template(t[2][0], ip="ip", n=n)),
+                 _tiers(c, tiers, lambda t: X.template(t[2][1], ip="ip", n=n)))
+
+
+def _ssh_tiers(cfg: Thresholds) -> list[Column]:
+    return [ssh_tier_rule(is_ip(), "failed", cfg)]
+
+
+def _global_rules(cfg: Thresholds) -> list[Column]:
     c = F.col
     hi5, mid5 = cfg.web_5xx
     hi4, mid4 = cfg.web_4xx
-    web = c("susp_lines") > 0          # the web check is skipped on an empty F2
-    sysok = c("total_errors") > 0      # the system check is skipped on an empty F3
+    web = is_total() & (c("susp_lines") > 0)        # the web check is skipped on an empty F2
+    sysok = is_total() & (c("total_errors") > 0)    # the system check is skipped on an empty F3
+    ssh = is_total() & (c("failed_lines") > 0)      # the SSH check is skipped on an empty F1
+
+    def rule(severity: str, category: str, cond: Column, n: str, threshold: int, text: tuple) -> Column:
+        return alert(cond, "detailed", severity, category, None, c(n), threshold,
+                     X.template(text[0], n=n), X.template(text[1], n=n))
+
     return [
         # L6 (count over all lines: the original searched F1, which never holds such lines)
-        # (the SSH check is skipped on an empty F1)
-        _cand("HIGH", "SSH", (c("failed_lines") > 0) & (c("invalid_users") > cfg.invalid_users), c("invalid_users"),
-              cfg.invalid_users, K.SSH_INVALID, n="invalid_users"),
+        rule("HIGH", "SSH", ssh & (c("invalid_users") > cfg.invalid_users), "invalid_users", cfg.invalid_users,
+             K.SSH_INVALID),
         # L7
-        _cand("CRITICAL", "WEB", web & (c("err5xx") >= hi5), c("err5xx"), hi5, K.WEB_5XX_CRIT, n="err5xx"),
-        _cand("HIGH", "WEB", web & (c("err5xx") < hi5) & (c("err5xx") >= mid5), c("err5xx"), mid5,
-              K.WEB_5XX_HIGH, n="err5xx"),
+        rule("CRITICAL", "WEB", web & (c("err5xx") >= hi5), "err5xx", hi5, K.WEB_5XX_CRIT),
+        rule("HIGH", "WEB", web & (c("err5xx") < hi5) & (c("err5xx") >= mid5), "err5xx", mid5, K.WEB_5XX_HIGH),
         # L8
-        _cand("HIGH", "WEB", web & (c("err4xx") >= hi4), c("err4xx"), hi4, K.WEB_4XX_HIGH, n="err4xx"),
-        _cand("MEDIUM", "WEB", web & (c("err4xx") < hi4) & (c("err4xx") >= mid4), c("err4xx"), mid4,
-              K.WEB_4XX_MED, n="err4xx"),
+        rule("HIGH", "WEB", web & (c("err4xx") >= hi4), "err4xx", hi4, K.WEB_4XX_HIGH),
+        rule("MEDIUM", "WEB", web & (c("err4xx") < hi4) & (c("err4xx") >= mid4), "err4xx", mid4, K.WEB_4XX_MED),
         # L9-L11
-        _cand("CRITICAL", "WEB", web & (c("env_hits") > 0), c("env_hits"), 0, K.WEB_ENV, n="env_hits"),
-        _cand("HIGH", "WEB", web & (c("admin_hits") > cfg.admin_probe), c("admin_hits"), cfg.admin_probe,
-              K.WEB_ADMIN, n="admin_hits"),
-        _cand("MEDIUM", "WEB", web & (c("wp_hits") > 0), c("wp_hits"), 0, K.WEB_WP, n="wp_hits"),
+        rule("CRITICAL", "WEB", web & (c("env_hits") > 0), "env_hits", 0, K.WEB_ENV),
+        rule("HIGH", "WEB", web & (c("admin_hits") > cfg.admin_probe), "admin_hits", cfg.admin_probe, K.WEB_ADMIN),
+        rule("MEDIUM", "WEB", web & (c("wp_hits") > 0), "wp_hits", 0, K.WEB_WP),
         # L12
-        _cand("CRITICAL", "SYSTEM", sysok & (c("total_errors") >= cfg.error_storm), c("total_errors"),
-              cfg.error_storm, K.SYS_STORM, n="total_errors"),
-        _cand("HIGH", "SYSTEM", sysok & (c("total_errors") < cfg.error_storm) & (c("total_errors") >= cfg.error),
-              c("total_errors"), cfg.error, K.SYS_HIGH, n="total_errors"),
+        rule("CRITICAL", "SYSTEM", sysok & (c("total_errors") >= cfg.error_storm), "total_errors",
+             cfg.error_storm, K.SYS_STORM),
+        rule("HIGH", "SYSTEM", sysok & (c("total_errors") < cfg.error_storm) & (c("total_errors") >= cfg.error),
+             "total_errors", cfg.error, K.SYS_HIGH),
         # L13-L15
-        _cand("CRITICAL", "SYSTEM", sysok & (c("oom") > 0), c("oom"), 0, K.SYS_OOM, n="oom"),
-        _cand("CRITICAL", "SYSTEM", sysok & (c("segfault") > 0), c("segfault"), 0, K.SYS_SEGFAULT, n="segfault"),
-        _cand("HIGH", "SYSTEM", sysok & (c("disk") > 0), c("disk"), 0, K.SYS_DISK, n="disk"),
+        rule("CRITICAL", "SYSTEM", sysok & (c("oom") > 0), "oom", 0, K.SYS_OOM),
+        rule("CRITICAL", "SYSTEM", sysok & (c("segfault") > 0), "segfault", 0, K.SYS_SEGFAULT),
+        rule("HIGH", "SYSTEM", sysok & (c("disk") > 0), "disk", 0, K.SYS_DISK),
     ]
 
 
-def global_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
-    """L6-L15 from one single-row aggregate."""
-    row = detail_counters(lines, facts)
-    cands = row.select(F.inline(F.array_compact(F.array(*_global_candidates(cfg)))))
-    return cands.select(
-        F.lit("detailed").alias("engine"), "severity", "category",
-        F.lit(None).cast("string").alias("ip"), "metric_value", "threshold", "message", "action",
-        route(F.col("severity")).alias("channel"), F.lit(True).alias("in_main_log"))
-
-
-def alert_ip_reputation(lines: DataFrame, cfg: Thresholds = DEFAULT, summary=None) -> DataFrame:
-    """Each CRITICAL IP of the summary, with its occurrences (an exact key, no prefix match)."""
-    s = summary if summary is not None else agg.ip_summary(lines, cfg)
-    s = s.where(F.col("risk") == "CRITICAL")
+def _reputation(cfg: Thresholds) -> list[Column]:
     m, a = K.REPUTATION
-    return s.select(*_alert("detailed", "CRITICAL", "REPUTATION", F.col("ip"), "occurrences",
-                            cfg.tiers[0], X.template(m, ip="ip", n="occurrences"),
-                            X.template(a, ip="ip", n="occurrences")))
+    return [alert(is_ip() & (X.risk_tier("occurrences", cfg) == "CRITICAL"), "detailed", "CRITICAL", "REPUTATION",
+                  F.col("ip"), F.col("occurrences"), cfg.tiers[0], X.template(m, ip="ip", n="occurrences"),
+                  X.template(a, ip="ip", n="occurrences"))]
 
 
-def detailed_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None, summary=None) -> DataFrame:
-    """SSH, WEB, SYSTEM and REPUTATION alerts together, routed.
+def alert_ssh_tiers(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
+    """Per failed-login IP."""
+    return _fire(incident_table(lines, facts), _ssh_tiers(cfg))
 
-    The three rule groups read one checkpointed fact table, not three
-    recomputations of it.
-    """
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    summary = summary if summary is not None else agg.ip_summary(lines, cfg, facts)
-    return (alert_ssh_tiers(lines, cfg, facts)
-            .unionByName(global_alerts(lines, cfg, facts))
-            .unionByName(alert_ip_reputation(lines, cfg, summary)))
+
+def global_alerts(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
+    """L6-L15 from the row of totals."""
+    return _fire(incident_table(lines, facts), _global_rules(cfg))
+
+
+def alert_ip_reputation(lines: DataFrame, cfg: Thresholds = DEFAULT, facts=None) -> DataFrame:
+    """Each CRITICAL IP, with its occurrences (an exact key, no prefix match)."""
+    return _fire(incident_table(lines, facts), _reputation(cfg))
+
+
+def detailed_rules(cfg: Thresholds) -> list[Column]:
+    return [*_ssh_tiers(cfg), *_global_rules(cfg), *_reputation(cfg)]
+
+
+def detailed_alerts(lines: DataFrame | None, cfg: Thresholds = DEFAULT, facts=None, table=None) -> DataFrame:
+    """SSH, WEB, SYSTEM and REPUTATION alerts together, routed."""
+    return _fire(table if table is not None else incident_table(lines, facts), detailed_rules(cfg))
+
+
+def all_alerts(lines: DataFrame | None, cfg: Thresholds = DEFAULT, facts=None, table=None) -> DataFrame:
+    """Both engines, in one projection."""
+    return _fire(table if table is not None else incident_table(lines, facts), [*stage4_rules(cfg), *detailed_rules(cfg)])
 
 
 def alert_severity_counts(alerts: DataFrame) -> DataFrame:

@@ -110,6 +110,12 @@ def parse_apache(lines: DataFrame) -> DataFrame:
     )
 
 
+def raw_status(lines: DataFrame) -> DataFrame:
+    """Path and status field of Apache lines as they stand, numeric or not."""
+    b = lines.where(F.col("log_type") == "apache").select(X.awk_fields("line").alias("_f"))
+    return b.select(X.field(F.col("_f"), 7).alias("path"), X.field(F.col("_f"), 9).alias("status"))
+
+
 def apache_events_detail(lines: DataFrame) -> DataFrame:
     """P10: one row per HTTP error and one per sensitive-path hit (a request may give both)."""
     a = parse_apache(lines)

@@ -20,8 +20,6 @@ from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
 from . import aggregates as A
 from . import alerts as AL
-from ..session import materialize
-from .tagging import line_facts
 
 REPORT_COLUMNS = ["section", "ord", "key", "value"]
 
@@ -66,13 +64,32 @@ def _alert_rows(alerts: DataFrame, channel: str, section: str) -> DataFrame:
     return _rows(a, section, sev_rank, F.col("severity"), F.col("message"))
 
 
-def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
-                 facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
-    """Executive summary, anomaly breakdown, IP risk, alerts, usage."""
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
-    alerts = AL.stage4_alerts(lines, cfg, facts, summary)
-    stats = materialize(A.line_stats(lines))   # one scan, read by four sections
+def _header(df: DataFrame, generated_at: str) -> DataFrame:
+    """A literal row: no data is read for it."""
+    return _rows(df.sparkSession.range(1), SEC_HEADER, F.lit(0), F.lit("Generated"), F.lit(generated_at))
+
+
+def _ip_rows(table: DataFrame, cfg: Thresholds) -> DataFrame:
+    """``ip, occurrences, risk`` of an incident table."""
+    t = table.where(AL.is_ip() & (F.col("occurrences") > 0))
+    return t.select("ip", "occurrences", X.risk_tier("occurrences", cfg).alias("risk"))
+
+
+def _inputs(lines, cfg, table, stats, alerts):
+    """The three small tables reports are made of: incidents, line statistics, stage-4 alerts."""
+    table = table if table is not None else AL.incident_table(lines)
+    stats = stats if stats is not None else A.line_stats(lines)
+    return table, stats, alerts if alerts is not None else AL.stage4_alerts(None, cfg, table=table)
+
+
+def final_report(lines: DataFrame | None, cfg: Thresholds = DEFAULT, generated_at: str = "", table: DataFrame | None = None,
+                 stats: DataFrame | None = None, alerts: DataFrame | None = None) -> DataFrame:
+    """Executive summary, anomaly breakdown, IP risk, alerts, usage.
+
+    Sections are small branches over the incident table and the line
+    statistics; the branches share their exchanges.
+    """
+    table, stats, alerts = _inputs(lines, cfg, table, stats, alerts)
     usage = A.usage_stats(lines, stats)
     counts = _alert_counts(alerts)
     exec_rows = (
@@ -82,13 +99,10 @@ def final_report(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
                            F.lit("Unique IP Addresses"), "cnt"))
         .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Critical Alerts"), "critical"))
         .unionByName(_rows(counts, SEC_EXEC, F.lit(4), F.lit("Warning Alerts"), "warning")))
-    header = _rows(counts, SEC_HEADER, F.lit(0), F.lit("Generated"), F.lit(generated_at))
-    an = A.anomaly_counts(lines, stats)
-    names = A.ANOMALY_NAMES
-    ips = _rows(summary, SEC_IPS, -F.col("occurrences"), "ip",
+    ips = _rows(_ip_rows(table, cfg), SEC_IPS, -F.col("occurrences"), "ip",
                 F.concat_ws(" ", F.col("occurrences").cast("string"), F.col("risk")))
-    return (header.unionByName(exec_rows)
-            .unionByName(_long_rows(an, SEC_ANOMALY, names))
+    return (_header(table, generated_at).unionByName(exec_rows)
+            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.ANOMALY_NAMES))
             .unionByName(ips)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
@@ -101,21 +115,17 @@ def status_flag(alerts: DataFrame) -> DataFrame:
     return c.select(F.when(F.col("n") > 0, K.STATUS_ACTION).otherwise(K.STATUS_NORMAL).alias("status"))
 
 
-def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
-                 facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+def alert_digest(lines: DataFrame | None, cfg: Thresholds = DEFAULT, generated_at: str = "", table: DataFrame | None = None,
+                 stats: DataFrame | None = None, alerts: DataFrame | None = None) -> DataFrame:
     """Digest sections: summary, status, alerts, anomalies, top IPs, actions."""
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
-    alerts = AL.stage4_alerts(lines, cfg, facts, summary)
+    table, stats, alerts = _inputs(lines, cfg, table, stats, alerts)
     counts = _alert_counts(alerts)
-    stats = materialize(A.line_stats(lines))
     total = stats.where(F.col("metric") == "total_lines").select(F.col("cnt").alias("n"))
     exec_rows = (_rows(total, SEC_EXEC, F.lit(1), F.lit("Log lines processed"), "n")
                  .unionByName(_rows(counts, SEC_EXEC, F.lit(2), F.lit("Critical alerts"), "critical"))
                  .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Warning alerts"), "warning")))
     status = _rows(status_flag(alerts), SEC_STATUS, F.lit(1), F.lit("STATUS"), "status")
-    header = _rows(counts, SEC_HEADER, F.lit(0), F.lit("Generated"), F.lit(generated_at))
-    top = A.top_suspicious_ips(summary, cfg.top_ips)
+    top = A.top_suspicious_ips(_ip_rows(table, cfg), cfg.top_ips)
     top_rows = _rows(top, SEC_TOP, -F.col("occurrences"), "ip",
                      F.concat_ws(" ", F.col("occurrences").cast("string"), F.col("risk")))
     crit_actions = F.array(*[F.lit(a) for a in K.ACTIONS_CRITICAL])
@@ -123,12 +133,10 @@ def alert_digest(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str
     actions = counts.select(F.posexplode(F.when(F.col("critical") > 0, crit_actions)
                                          .otherwise(norm_actions)).alias("p", "a"))
     action_rows = _rows(actions, SEC_ACTIONS, F.col("p") + 1, (F.col("p") + 1).cast("string"), "a")
-    an = A.anomaly_counts(lines, stats)
-    names = A.ANOMALY_NAMES
-    return (header.unionByName(exec_rows).unionByName(status)
+    return (_header(table, generated_at).unionByName(exec_rows).unionByName(status)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
-            .unionByName(_long_rows(an, SEC_ANOMALY, names))
+            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.ANOMALY_NAMES))
             .unionByName(top_rows).unionByName(action_rows))
 
 
@@ -150,10 +158,9 @@ def parse_alert_lines(text: DataFrame) -> DataFrame:
 
 
 def render_ip_summary(summary: DataFrame) -> DataFrame:
-    """IP summary text rows ``%-20s | %-12s | %s``."""
-    return summary.select(F.concat(F.rpad("ip", 20, " "), F.lit(" | "),
-                                   F.rpad(F.col("occurrences").cast("string"), 12, " "),
-                                   F.lit(" | "), F.col("risk")).alias("line"))
+    """IP summary text rows; short fields are padded, long ones never cut."""
+    return summary.select(F.format_string("%-20s | %-12s | %s", "ip", F.col("occurrences").cast("string"),
+                                          "risk").alias("line"))
 
 
 def parse_ip_summary(text: DataFrame) -> DataFrame:
@@ -166,22 +173,19 @@ def parse_ip_summary(text: DataFrame) -> DataFrame:
     return out.where(F.col("occurrences").isNotNull() & (F.col("ip") != ""))
 
 
-def run_summary(lines: DataFrame, cfg: Thresholds = DEFAULT, generated_at: str = "",
-                facts: DataFrame | None = None, summary: DataFrame | None = None) -> DataFrame:
+def run_summary(lines: DataFrame | None, cfg: Thresholds = DEFAULT, generated_at: str = "", table: DataFrame | None = None,
+                stats: DataFrame | None = None, alerts: DataFrame | None = None) -> DataFrame:
     """T5: totals, then the critical alerts re-split into (ts, type, detail)."""
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    summary = summary if summary is not None else A.ip_summary(lines, cfg, facts)
-    alerts = AL.stage4_alerts(lines, cfg, facts, summary)
-    usage = materialize(A.usage_stats(lines))
+    table, stats, alerts = _inputs(lines, cfg, table, stats, alerts)
+    usage = A.usage_stats(lines, stats)
     counts = _alert_counts(alerts)
-    stats = (_rows(usage.where(F.col("metric") == "total_lines"), SEC_EXEC, F.lit(1),
-                   F.lit("Total Log Lines Processed"), "cnt")
-             .unionByName(_rows(usage.where(F.col("metric") == "unique_ips"), SEC_EXEC, F.lit(2),
-                                F.lit("Unique IP Addresses Found"), "cnt"))
-             .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Critical Alerts Fired"), "critical"))
-             .unionByName(_rows(counts, SEC_EXEC, F.lit(4), F.lit("Warning Alerts Fired"), "warning")))
+    totals = (_rows(usage.where(F.col("metric") == "total_lines"), SEC_EXEC, F.lit(1),
+                    F.lit("Total Log Lines Processed"), "cnt")
+              .unionByName(_rows(usage.where(F.col("metric") == "unique_ips"), SEC_EXEC, F.lit(2),
+                                 F.lit("Unique IP Addresses Found"), "cnt"))
+              .unionByName(_rows(counts, SEC_EXEC, F.lit(3), F.lit("Critical Alerts Fired"), "critical"))
+              .unionByName(_rows(counts, SEC_EXEC, F.lit(4), F.lit("Warning Alerts Fired"), "warning")))
     crit = parse_alert_lines(render_stage4_alerts(alerts.where(F.col("channel") == "critical"),
                                                   generated_at))
-    crit_rows = _rows(crit, SEC_CRIT, F.lit(1), "type",
-                      F.concat_ws(" | ", F.col("ts"), F.col("detail")))
-    return stats.unionByName(crit_rows)
+    return totals.unionByName(_rows(crit, SEC_CRIT, F.lit(1), "type",
+                                    F.concat_ws(" | ", F.col("ts"), F.col("detail"))))

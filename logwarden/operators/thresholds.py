@@ -11,10 +11,8 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT, THRESHOLD_ROWS, Thresholds
 from ..functions import columns as X
-from ..functions import patterns as P
-from ..session import materialize
 from . import aggregates as agg
-from .tagging import line_facts
+from . import alerts as AL
 
 CHECK_COLUMNS = ["label", "value", "threshold", "pct", "status"]
 
@@ -35,34 +33,29 @@ def threshold_check(metrics: DataFrame, value: str = "value", threshold: str = "
                           status.alias("status"))
 
 
-def threshold_metrics(lines: DataFrame, cfg: Thresholds = DEFAULT,
-                      facts: DataFrame | None = None) -> DataFrame:
+def threshold_metrics(lines: DataFrame | None, cfg: Thresholds = DEFAULT,
+                      facts: DataFrame | None = None, table: DataFrame | None = None) -> DataFrame:
     """The metrics the scan checks: failed logins per IP, total F3, HTTP errors in F2.
 
     The two totals are only present when their filter set is non-empty,
     like the original scan that skipped empty files.
     """
-    facts = facts if facts is not None else materialize(line_facts(lines))
-    per_ip = agg.failed_by_ip(lines, facts).select(
-        F.concat(F.lit("Failed logins from "), "ip").alias("label"), F.col("cnt").alias("value"),
-        F.lit(cfg.failed_login).cast("bigint").alias("threshold"))
-    totals = facts.agg(
-        F.coalesce(F.sum(F.when(F.col("f_srv_err"), F.col("n"))), F.lit(0)).cast("bigint").alias("errors"),
-        F.count_if("f_susp").alias("susp"),
-        F.count_if(F.col("f_susp") & X.matches(P.RX_HTTP_ERR)).alias("http"))
-    tot = totals.select(F.inline(F.array(
-        F.struct(F.lit("Total server errors").alias("label"), F.col("errors").alias("value"),
-                 (F.col("errors") > 0).alias("keep")),
-        F.struct(F.lit("HTTP 4xx/5xx errors").alias("label"), F.col("http").cast("bigint").alias("value"),
-                 (F.col("susp") > 0).alias("keep")))))
-    tot = tot.where("keep").select("label", "value", F.lit(cfg.error).cast("bigint").alias("threshold"))
-    return per_ip.unionByName(tot)
-
-
-def threshold_scan(lines: DataFrame, cfg: Thresholds = DEFAULT,
-                   facts: DataFrame | None = None) -> DataFrame:
+    t = table if table is not None else AL.incident_table(lines, facts)
+
+    def metric(cond, label, value, threshold: int):
+        return F.when(cond, F.struct(label.alias("label"), F.col(value).alias("value"),
+                                     F.lit(threshold).cast("bigint").alias("threshold")))
+
+    return t.select(F.inline(F.array_compact(F.array(
+        metric(AL.is_ip() & (F.col("failed") > 0), F.concat(F.lit("Failed logins from "), "ip"), "failed", cfg.failed_login),
+        metric(AL.is_total() & (F.col("total_errors") > 0), F.lit("Total server errors"), "total_errors", cfg.error),
+        metric(AL.is_total() & (F.col("susp_lines") > 0), F.lit("HTTP 4xx/5xx errors"), "http_errors", cfg.error)))))
+
+
+def threshold_scan(lines: DataFrame | None, cfg: Thresholds = DEFAULT, facts: DataFrame | None = None,
+                   table: DataFrame | None = None) -> DataFrame:
     """Every scanned metric checked against its bound."""
-    return threshold_check(threshold_metrics(lines, cfg, facts), cfg=cfg)
+    return threshold_check(threshold_metrics(lines, cfg, facts, table), cfg=cfg)
 
 
 def threshold_verdict(scan: DataFrame) -> DataFrame:

@@ -15,21 +15,11 @@ import re
 from .. import config as K
 from ..config import DEFAULT, Thresholds
 from ..functions import patterns as P
+from ..operators.reports import (SEC_ACTIONS, SEC_ANOMALY, SEC_CRIT, SEC_EXEC, SEC_HEADER, SEC_IPS, SEC_STATUS, SEC_TOP,
+                                 SEC_USAGE, SEC_WARN)
 from ..sources import derived as D
 
-# --- fixed values: report sections and the severity order inside an alert section ---
-SEC_EXEC = "EXECUTIVE SUMMARY"
-SEC_ANOMALY = "ANOMALY BREAKDOWN"
-SEC_IPS = "IP RISK SUMMARY"
-SEC_CRIT = "CRITICAL ALERTS"
-SEC_WARN = "WARNING ALERTS"
-SEC_USAGE = "USAGE STATISTICS"
-SEC_STATUS = "STATUS"
-SEC_TOP = "TOP SUSPICIOUS IPS"
-SEC_ACTIONS = "RECOMMENDED ACTIONS"
-SEC_HEADER = "HEADER"
 SEV_ORDER = ("CRITICAL", "HIGH", "WARNING", "MEDIUM", "LOW", "INFO")
-# --- end of fixed values ---
 
 
 def q(s: str) -> str:
@@ -74,13 +64,25 @@ def _lines_cte() -> str:
   FROM events),
 log_r AS (SELECT *, st || ' server ' AS h, ip || ' - - [' || ct || ' +0000] "' AS w FROM log_b),
 log_s AS (SELECT line_id, {line} AS line, {source} AS source_file FROM log_r),
-log_lines AS (
-  SELECT line_id, line, source_file,
-    CASE source_file {" ".join(f"WHEN {q(k)} THEN {q(v)}" for k, v in P.SOURCE_FILES.items())} END AS log_type
-  FROM log_s)"""
+log_lines AS (SELECT line_id, line, source_file, {_log_type()} AS log_type FROM log_s)"""
+
+
+def _log_type() -> str:
+    """The classifier: known names, else the shape of the line."""
+    return r"""CASE WHEN source_file = 'auth.log' THEN 'auth' WHEN source_file = 'syslog' THEN 'syslog'
+    WHEN source_file = 'apache.log' THEN 'apache'
+    WHEN regexp_matches(line, '^\S+ \S+ \S+ \[[^\]]+\] "') THEN 'apache'
+    WHEN regexp_matches(line, '^[A-Z][a-z]{2} [ 0-9][0-9] [0-9]{2}:[0-9]{2}:[0-9]{2} \S+ (sshd|sudo|su|login|passwd)(\[[0-9]+\])?:') THEN 'auth'
+    WHEN regexp_matches(line, '^[A-Z][a-z]{2} [ 0-9][0-9] [0-9]{2}:[0-9]{2}:[0-9]{2} \S+ [^ \[:]+(\[[0-9]+\])?:') THEN 'syslog'
+    ELSE 'unknown' END"""
 
 
 LOG_LINES = _lines_cte()
+DOC_LINES = f"""log_d AS (
+  SELECT doc_id, source AS source_file, unnest(string_split(text, chr(10))) AS line,
+    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
+  FROM documents),
+log_lines AS (SELECT doc_id || ':' || place AS line_id, line, source_file, {_log_type()} AS log_type FROM log_d)"""
 
 
 def with_lines(body: str, *ctes: str) -> str:
@@ -88,6 +90,11 @@ def with_lines(body: str, *ctes: str) -> str:
     return f"WITH {LOG_LINES}{extra}\n{body}"
 
 
+def over_documents(sql: str) -> str:
+    """The same question over the lines of the documents."""
+    return sql.replace(LOG_LINES, DOC_LINES)
+
+
 def rx(pattern: str) -> str:
     """A rule pattern as a DuckDB/RE2 regex literal (``(?i)`` stays inline)."""
     return q(pattern)
@@ -392,8 +399,7 @@ FROM (SELECT parts, trim(parts[1]) AS head FROM (SELECT string_split(line, '|')
         row(SEC_EXEC, 4, q("Warning Alerts Fired"), cnt_warn, S4),
         row(SEC_CRIT, 1, "type", "concat_ws(' | ', ts, detail)", f"({parsed.format(src=crit_rendered)})"),
     ])
-    text = (f"(SELECT rpad(ip, 20, ' ') || ' | ' || rpad(CAST(occurrences AS VARCHAR), 12, ' ') || ' | ' "
-            f"|| risk AS line FROM {sub('ip_summary')})")
+    text = f"(SELECT printf('%-20s | %-12s | %s', ip, CAST(occurrences AS VARCHAR), risk) AS line FROM {sub('ip_summary')})"
     strip = "replace(replace(trim(parts[{i}]), ' ', ''), chr(9), '')"
     res["parse_ip_summary"] = (
         f"SELECT * FROM (SELECT {strip.format(i=1)} AS ip, TRY_CAST({strip.format(i=2)} AS BIGINT) AS occurrences, "
@@ -423,7 +429,7 @@ def _alert_rule_sql(cfg: Thresholds) -> dict[str, str]:
     }
 
 
-def _window_alert_sql(windows_sql: str, cfg: Thresholds) -> str:
+def _window_alert_sql(windows_sql: str, errors_sql: str, cfg: Thresholds) -> str:
     """W3 rules over the batch window counts (one row per engine, ip and window)."""
     tiers = [(cfg.ssh_extreme, "CRITICAL", K.SSH_EXTREME), (cfg.ssh_critical, "CRITICAL", K.SSH_CRITICAL),
              (cfg.failed_login, "HIGH", K.SSH_HIGH), (cfg.ssh_medium, "MEDIUM", K.SSH_MEDIUM)]
@@ -438,10 +444,14 @@ FROM wc WHERE cnt >= {t}
 UNION ALL
 SELECT 'detailed', {case(lambda b, s, x: q(s))}, ip, cnt, window_start, {case(lambda b, s, x: str(b))},
   {case(lambda b, s, x: tmpl(x[0], ip='ip', n='cnt'))}, {case(lambda b, s, x: tmpl(x[1], ip='ip', n='cnt'))}
-FROM wc WHERE cnt >= {cfg.ssh_medium}"""
-    return (f"SELECT engine, severity, 'SSH' AS category, ip, CAST(cnt AS BIGINT) AS metric_value, "
+FROM wc WHERE cnt >= {cfg.ssh_medium}
+UNION ALL
+SELECT 'stage4', 'CRITICAL', CAST(NULL AS VARCHAR), errors, window_start, {cfg.error},
+  {tmpl(K.STAGE4_ERROR_RATE, n='errors', t=str(cfg.error))}, CAST(NULL AS VARCHAR)
+FROM we WHERE errors >= {cfg.error}"""
+    return (f"SELECT engine, severity, CASE WHEN ip IS NULL THEN 'SYSTEM' ELSE 'SSH' END AS category, ip, CAST(cnt AS BIGINT) AS metric_value, "
             f"CAST(threshold AS BIGINT) AS threshold, message, action, {_route('severity')} AS channel, "
-            f"TRUE AS in_main_log, window_start FROM (WITH wc AS ({windows_sql}) {body})")
+            f"TRUE AS in_main_log, window_start FROM (WITH wc AS ({windows_sql}), we AS ({errors_sql}) {body})")
 
 
 def build(cfg: Thresholds = DEFAULT, alt: Thresholds | None = None,
@@ -597,13 +607,32 @@ FROM (SELECT ip, count(*) AS cnt FROM parsed_apache GROUP BY ip)""", *CTE_APACHE
     out["alert_severity_counts"] = W(
         f"SELECT severity, channel, count(*) AS cnt FROM ({dbody}) GROUP BY severity, channel", *dctes)
     # windows
+    event_ts = f"CASE WHEN log_type = 'apache' THEN {apache_ts()} ELSE {syslog_ts(cfg.syslog_year)} END"
+    bucket = """CAST(time_bucket(INTERVAL '30 minutes', ts) AS TIMESTAMP) AS window_start,
+  CAST(time_bucket(INTERVAL '30 minutes', ts) + INTERVAL '30 minutes' AS TIMESTAMP) AS window_end"""
     out["failed_login_windows"] = W(
-        f"""SELECT CAST(time_bucket(INTERVAL '30 minutes', ts) AS TIMESTAMP) AS window_start,
-  CAST(time_bucket(INTERVAL '30 minutes', ts) + INTERVAL '30 minutes' AS TIMESTAMP) AS window_end,
-  ip, count(*) AS cnt
-FROM (SELECT {syslog_ts(cfg.syslog_year)} AS ts, unnest({ips_of()}) AS ip FROM log_lines WHERE {F1})
-GROUP BY ALL""")
-    out["window_alerts"] = _window_alert_sql(out["failed_login_windows"], cfg)
+        f"""SELECT {bucket}, ip, count(*) AS cnt
+FROM (SELECT {event_ts} AS ts, unnest({ips_of()}) AS ip FROM log_lines WHERE {F1}) GROUP BY ALL""")
+    error_windows = W(f"SELECT {bucket}, count(*) AS errors FROM (SELECT {event_ts} AS ts FROM log_lines WHERE {F3}) GROUP BY ALL")
+    out["window_alerts"] = _window_alert_sql(out["failed_login_windows"], error_windows, cfg)
     out.update(_alert_rule_sql(cfg))
+    if alt is not None:
+        out["window_alerts_alt"] = _window_alert_sql(out["failed_login_windows"], error_windows, alt)
+    out["untimed_failed_logins"] = W(
+        f"SELECT line_id, line FROM log_lines WHERE {F1} AND CASE WHEN log_type = 'apache' THEN {apache_ts()} "
+        f"ELSE {syslog_ts(cfg.syslog_year)} END IS NULL")
+    out["status_check"] = W(f"""SELECT path AS label, v AS value, CAST(450 AS BIGINT) AS threshold,
+  CASE WHEN v >= 0 THEN CAST(v * 100 // 450 AS BIGINT) END AS pct,
+  CASE WHEN v IS NULL OR v < 0 THEN 'INVALID' WHEN v >= 450 THEN 'EXCEEDED'
+       WHEN v * 100 // 450 >= {cfg.warn_pct} THEN 'WARNING' ELSE 'OK' END AS status
+FROM (SELECT f[7] AS path, TRY_CAST(f[9] AS BIGINT) AS v FROM (SELECT {FIELDS} AS f FROM log_lines WHERE log_type = 'apache'))""")
     out.update(_report_sql(out, cfg, generated_at))
+    for name in DOCUMENT_QUERIES:
+        out[f"doc_{name}"] = over_documents(out[name])
     return out
+
+
+#: questions that are also asked of the documents' lines
+DOCUMENT_QUERIES = ("classify_source", "event_time", "extract_ips", "strip_comments", "dedup_lines", "normal_anomaly_split",
+                    "suspicious_lines", "anomaly_summary", "usage_stats", "ip_summary", "detailed_alerts", "threshold_scan",
+                    "final_report")

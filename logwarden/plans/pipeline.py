@@ -5,22 +5,24 @@ Each stage reads the previous stage's Parquet output and writes its own with
 executor or a lost driver repeats at most one stage.  Stage edges are the
 only materialisation points; inside a stage Spark plans one DAG.
 
-Outputs under ``out_dir``:
-
-* ``lines`` (stage 1): ``line, source_file``, partitioned by ``log_type`` and ``event_date``
-* ``line_facts`` (stage 2): matched lines with rule flags, IP tokens and
-  multiplicity (distinct text for suspicious lines; the compact form of the
-  three filter sets); ``auth``, ``apache``,
-  ``syslog`` parsed tables
-* ``ip_summary``, ``line_stats`` and its two views ``anomaly_counts``, ``usage_stats`` (stage 3)
-* ``alerts`` partitioned by ``channel`` (both engines), ``final_report`` (stage 4)
+Outputs of a run are under ``out_dir/run_id=<r>``: runs never overwrite each
+other, and older runs stay as they were.
+
+* stage 1: ``lines`` (``line, source_file``, partitioned by ``log_type`` and ``event_date``)
+* stage 2: ``filtered`` (the three filter sets, by ``tag``), ``line_facts``
+  (their compact form: rule flags, IP tokens, multiplicity), ``auth``,
+  ``apache``, ``syslog`` (parsed)
+* stage 3: ``incidents`` (a row per IP and one of totals), ``ip_summary``,
+  ``line_stats`` and its two views ``anomaly_counts``, ``usage_stats``
+* stage 4: ``alerts`` partitioned by ``channel`` (both engines),
+  ``final_report``, ``run_summary``
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT, Thresholds
@@ -28,30 +30,43 @@ from ..operators import aggregates as A
 from ..operators import alerts as AL
 from ..operators import parse as PR
 from ..operators import reports as RP
-from ..operators.tagging import line_facts
+from ..operators.tagging import incidents, line_facts
 from ..sources.derived import load_log_lines
-from ..session import materialize
+from ..sources.sinks import filtered_lines
 from . import manifest as M
 
+#: every table that a finished stage leaves
+STAGE_TABLES = {
+    1: ("lines",),
+    2: ("filtered", "line_facts", "auth", "apache", "syslog"),
+    3: ("incidents", "ip_summary", "line_stats", "anomaly_counts", "usage_stats"),
+    4: ("alerts", "final_report", "run_summary"),
+}
 
-def _p(out_dir: str, name: str) -> str:
-    return f"{out_dir.rstrip('/')}/{name}"
+
+def table_path(out_dir: str, run_id: str, name: str) -> str:
+    return f"{out_dir.rstrip('/')}/run_id={run_id}/{name}"
 
 
 def _write(df: DataFrame, path: str, *partition_by: str) -> int:
-    w = df.write.mode("overwrite")
+    """Write a table and return its rows, counted while they are written."""
+    seen = Observation()
+    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    # row count from the committed files (a metadata-light scan), not a recompute
-    return df.sparkSession.read.parquet(path).count()
+    return int(seen.get["rows"])
+
+
+def read_table(spark: SparkSession, out_dir: str, run_id: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(out_dir, run_id, name))
 
 
-def read_lines(spark: SparkSession, out_dir: str, start: str | None = None, end: str | None = None,
+def read_lines(spark: SparkSession, out_dir: str, run_id: str, start: str | None = None, end: str | None = None,
                log_type: str | None = None) -> DataFrame:
-    """The stage-1 lines table, pruned to a day range and log type by partition (no file reads
+    """The stage-1 lines of a run, pruned to a day range and log type by partition (no file reads
     outside them); lines without a readable time sit in the null-date partition."""
-    df = spark.read.parquet(_p(out_dir, "lines"))
+    df = read_table(spark, out_dir, run_id, "lines")
     if start:
         df = df.where(F.col("event_date") >= F.lit(start).cast("date"))
     if end:
@@ -68,71 +83,69 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
 
     ``source(spark)`` yields the collected lines (``collect_logs`` for text
     files, ``load_log_lines`` for the events-derived view).  With
-    ``resume=False`` all stages run again and overwrite their outputs.
+    ``resume=False`` all stages run again; they are marked as rolled back
+    before the first write, so a crash on the way leaves none of the old
+    ones complete.
     """
+    if not resume:
+        M.rollback(spark, out_dir, run_id, min(M.STAGES))
     status = {r["stage"]: r["status"] for r in M.stage_status(spark, out_dir, run_id).collect()}
-
-    def todo(stage: int) -> bool:
-        return not (resume and status.get(stage) == "COMPLETE")
-
-    if todo(1):
-        lines = source(spark).select("line", "source_file", "log_type")
-        # no shuffle before the write: each task writes the (type, day)
-        # partitions it holds, few per task since logs arrive in time order
-        dated = PR.with_event_time(lines, cfg).select(
-            "line", "source_file", "log_type", F.to_date("event_ts").alias("event_date"))
-        n = _write(dated, _p(out_dir, "lines"), "log_type", "event_date")
-        M.record_stage(spark, out_dir, run_id, 1, n)
-
-    if todo(2):
-        M.stage_inputs_ok(spark, [_p(out_dir, "lines")])
-        lines = spark.read.parquet(_p(out_dir, "lines"))
-        n = _write(line_facts(lines), _p(out_dir, "line_facts"))
-        _write(PR.parse_auth(lines, cfg), _p(out_dir, "auth"))
-        _write(PR.parse_apache(lines), _p(out_dir, "apache"))
-        _write(PR.parse_syslog(lines), _p(out_dir, "syslog"))
-        M.record_stage(spark, out_dir, run_id, 2, n)
-
-    if todo(3):
-        M.stage_inputs_ok(spark, [_p(out_dir, "lines")])
-        lines = spark.read.parquet(_p(out_dir, "lines"))
-        facts = spark.read.parquet(_p(out_dir, "line_facts"))
-        n = _write(A.ip_summary(lines, cfg, facts), _p(out_dir, "ip_summary"))
-        _write(A.line_stats(lines), _p(out_dir, "line_stats"))
-        stats = spark.read.parquet(_p(out_dir, "line_stats"))
-        _write(A.anomaly_counts(lines, stats), _p(out_dir, "anomaly_counts"))
-        _write(A.usage_stats(lines, stats), _p(out_dir, "usage_stats"))
-        M.record_stage(spark, out_dir, run_id, 3, n)
-
-    if todo(4):
-        M.stage_inputs_ok(spark, [_p(out_dir, "anomaly_counts")])
-        lines = spark.read.parquet(_p(out_dir, "lines"))
-        facts = spark.read.parquet(_p(out_dir, "line_facts"))
-        summary = spark.read.parquet(_p(out_dir, "ip_summary"))
-        alerts = (AL.stage4_alerts(lines, cfg, facts, summary)
-                  .unionByName(AL.detailed_alerts(lines, cfg, facts, summary)))
-        n = _write(alerts, _p(out_dir, "alerts"), "channel")
-        _write(RP.final_report(lines, cfg, generated_at, facts, summary), _p(out_dir, "final_report"))
-        M.record_stage(spark, out_dir, run_id, 4, n)
+    first = min((s for s in M.STAGES if status.get(s) != "COMPLETE"), default=None)
+    if first is not None and any(status.get(s) == "COMPLETE" for s in M.STAGES if s > first):
+        M.rollback(spark, out_dir, run_id, first)  # a stage runs on its predecessors' outputs: later ones are stale
+
+    def write(name: str, df: DataFrame, *partition_by: str) -> int:
+        return _write(df, table_path(out_dir, run_id, name), *partition_by)
+
+    def read(name: str) -> DataFrame:
+        return read_table(spark, out_dir, run_id, name)
+
+    for stage in M.STAGES:
+        if first is None or stage < first:
+            continue
+        for before in range(1, stage):
+            M.stage_inputs_ok(spark, [table_path(out_dir, run_id, t) for t in STAGE_TABLES[before]],
+                              filled=[table_path(out_dir, run_id, "lines")])
+        if stage == 1:
+            lines = PR.with_event_time(source(spark).select("line", "source_file", "log_type"), cfg)
+            dated = lines.select("line", "source_file", "log_type", F.to_date("event_ts").alias("event_date"))
+            # few files per (type, day) whatever the order of the input; AQE splits a large one over tasks
+            n = write("lines", dated.hint("rebalance", "log_type", "event_date"), "log_type", "event_date")
+        elif stage == 2:
+            lines = read("lines")
+            write("filtered", filtered_lines(lines), "tag")
+            n = write("line_facts", line_facts(lines))
+            write("auth", PR.parse_auth(lines, cfg))
+            write("apache", PR.parse_apache(lines))
+            write("syslog", PR.parse_syslog(lines))
+        elif stage == 3:
+            write("incidents", incidents(read("line_facts")))
+            t = read("incidents").where(AL.is_ip() & (F.col("occurrences") > 0))
+            n = write("ip_summary", t.select("ip", "occurrences", A.risk("occurrences", cfg)))
+            write("line_stats", A.line_stats(read("lines")))
+            write("anomaly_counts", A.anomaly_counts(None, read("line_stats")))
+            write("usage_stats", A.usage_stats(None, read("line_stats")))
+        else:
+            table, stats = read("incidents"), read("line_stats")
+            n = write("alerts", AL.all_alerts(None, cfg, table=table), "channel")
+            alerts = read("alerts").where("engine = 'stage4'").select(*AL.ALERT_COLUMNS)
+            write("final_report", RP.final_report(None, cfg, generated_at, table, stats, alerts))
+            write("run_summary", RP.run_summary(None, cfg, generated_at, table, stats, alerts))
+        M.record_stage(spark, out_dir, run_id, stage, n)
 
     return M.stage_status(spark, out_dir, run_id)
 
 
 def pipeline_tables(spark: SparkSession, sf_dir: str, cfg: Thresholds = DEFAULT) -> dict[str, DataFrame]:
-    """Every stage output as a lazy DataFrame over one shared, checkpointed fact table.
-
-    For measuring and inspection; ``run_pipeline`` is the durable form.
-    """
+    """Every stage output as a lazy DataFrame, for measuring and inspection; ``run_pipeline`` is the durable form."""
     lines = load_log_lines(spark, sf_dir)
-    facts = materialize(line_facts(lines))
-    summary = A.ip_summary(lines, cfg, facts)
-    stats = materialize(A.line_stats(lines))
+    facts = line_facts(lines)
+    stats = A.line_stats(lines)
     return {
         "line_facts": facts,
-        "ip_summary": summary,
+        "ip_summary": A.ip_summary(lines, cfg, facts),
         "anomaly_counts": A.anomaly_counts(lines, stats),
         "usage_stats": A.usage_stats(lines, stats),
         "stage2_counts": A.stage2_counts(lines, facts),
-        "alerts": AL.stage4_alerts(lines, cfg, facts, summary)
-        .unionByName(AL.detailed_alerts(lines, cfg, facts, summary)),
+        "alerts": AL.all_alerts(lines, cfg, facts),
     }

@@ -20,7 +20,7 @@ from ..operators import parse as PR
 from ..operators import reports as RP
 from ..operators import tagging as TG
 from ..operators import thresholds as TH
-from ..sources.derived import load_log_lines
+from ..sources.derived import load_document_lines, load_log_lines
 from ..streaming import jobs as J
 from ..streaming import windows as W
 
@@ -36,9 +36,6 @@ Q = Callable[[SparkSession, str], DataFrame]
 
 
 def _L(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # event times are defined in UTC (log stamps carry +0000 or no zone)
-    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return load_log_lines(spark, sf_dir)
 
 
@@ -131,9 +128,31 @@ REGISTRY: dict[str, Q] = {
     "parse_ip_summary": lambda s, d: RP.parse_ip_summary(RP.render_ip_summary(A.ip_summary(_L(s, d)))),
     # windows (batch form of the streaming rule)
     "failed_login_windows": lambda s, d: W.failed_login_windows(_L(s, d)),
-    "window_alerts": lambda s, d: J.window_alerts(W.failed_login_windows(_L(s, d))),
+    "window_alerts": lambda s, d: J.window_alerts(W.window_table(_L(s, d))),
+    "window_alerts_alt": lambda s, d: J.window_alerts(W.window_table(_L(s, d), ALT), ALT),
+    "untimed_failed_logins": lambda s, d: _ids(W.untimed_failed_logins(_L(s, d))),
+    "status_check": lambda s, d: TH.threshold_check(PR.raw_status(_L(s, d)).select(
+        F.col("path").alias("label"), F.col("status").alias("value"), F.lit("450").alias("threshold"))),
 }
 
+#: the same operators over the lines of the documents
+DOCUMENT_LINES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "classify_source": lambda t: t,
+    "event_time": lambda t: PR.with_event_time(t).select("line_id", "log_type", "event_ts"),
+    "extract_ips": lambda t: PR.extract_ips(t, keep=("line_id",)),
+    "strip_comments": lambda t: _ids(FL.strip_comments(t)),
+    "dedup_lines": FL.dedup_lines,
+    "normal_anomaly_split": FL.normal_anomaly_split,
+    "suspicious_lines": FL.suspicious_lines,
+    "anomaly_summary": TG.anomaly_summary,
+    "usage_stats": A.usage_stats,
+    "ip_summary": A.ip_summary,
+    "detailed_alerts": AL.detailed_alerts,
+    "threshold_scan": TH.threshold_scan,
+    "final_report": lambda t: RP.final_report(t, DEFAULT, GENERATED_AT),
+}
+REGISTRY.update({f"doc_{name}": (lambda s, d, fn=fn: fn(load_document_lines(s, d))) for name, fn in DOCUMENT_LINES.items()})
+
 
 def queries() -> dict[str, Q]:
     return dict(REGISTRY)

@@ -8,7 +8,6 @@ caller brings its own session and this package never changes it except for
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -35,46 +34,20 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8,
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    A cluster names a shared folder there; it is read, never overridden.  Only
-    a local session (tests, benches) without one gets a scratch folder; a
-    cluster session without one is an error, because a machine-local folder
-    would not survive the loss of that machine.
+    It is read from the session and never overridden.  Where it is unset, a
+    folder below the session's warehouse (shared storage as well) is set.
     """
     sc = spark.sparkContext
     cur = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir() or ""
     if not cur:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) "
-                               "before running multi-branch queries")
-        cur = tempfile.mkdtemp(prefix="logwarden-ckpt-")
+        cur = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", cur)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(cur)
     return cur
-
-
-def materialize(df):
-    """Cut lineage at a shared intermediate that several branches read.
-
-    Eager ``checkpoint()`` into the folder named by ``spark.checkpoint.dir``
-    (reliable storage on a cluster): the branches then scan the written
-    files instead of each recomputing the shuffle that produced them, and a
-    lost executor never forces a recompute from the raw logs.
-    """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    # persisted first, so the checkpoint write reads the computed partitions
-    # instead of running the query (and re-reading its shuffle) a second time
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()

@@ -16,11 +16,27 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import sql_str
+
 
 # --- fixed values: how event rows become log lines ---
 # (event_type, bucket predicate on event_id % 840) -> template; first match wins.
 # h = "<MMM dd HH:mm:ss> server ", w = "<ip> - - [<dd/MMM/yyyy:HH:mm:ss> +0000] \""
+# lines of this block are what real logs hold beside clean records: comments, repeats, other
+# letter cases, several addresses, unknown file names, unreadable times and statuses, bursts
 LINE_RULES = (
+    (None, (42, 5), "auth.log", "# ERROR: rotated by 10.0.0.1, Accepted 200"),
+    (None, (42, 11), "shop-access.txt", '{w}GET /Backup/.ENV HTTP/1.1" 404 {sz} "-" "curl/7.68.0"'),
+    (None, (42, 17), "host7.out", "{h}sshd[{pid}]: FAILED password for root from {ip} port {port} ssh2"),
+    (None, (42, 23), "notes.txt", "ERROR: nightly copy from 10.9.8.7 to 10.9.8.6 failed"),
+    (None, (42, 29), "apache.log", '{ip} - - [99/Foo/2024:00:00:00 +0000] "GET /x HTTP/1.1" none {sz} "-" "-"'),
+    (None, (42, 35), "auth.log", "Jan 32 25:61:00 server sshd[{pid}]: Failed password for invalid user x from {ip} port {port} ssh2"),
+    (None, (42, 41), "sample_logs.log", "{h}kernel[{pid}]: ERROR: Connection refused by 10.7.7.7 for {ip}"),
+    (None, (21, 3), "auth.log", "Mar 03 04:10:00 server sshd[77]: Failed password for root from 10.66.0.1 port 22 ssh2"),
+    (None, (84, 9), "auth.log", "Mar 03 04:20:00 server sshd[{pid}]: Failed password for root from 10.66.0.2 port 22 ssh2"),
+    (None, (420, 10), "auth.log", "Mar 03 04:40:00 server sshd[{pid}]: Failed password for root from 10.66.0.3 port 22 ssh2"),
+    (None, (840, 12), "auth.log", "Mar 03 04:50:00 server sshd[{pid}]: Failed password for root from 10.66.0.4 port 22 ssh2"),
+    (None, (840, 13), "auth.log", "Mar 03 05:10:00 server sshd[78]: Failed password for root from 10.66.0.5 port 22 ssh2"),
     ("signup", None, "auth.log", "{h}sshd[{pid}]: Accepted password for user{uid} from {ip} port {port} ssh2"),
     ("error", (8, 0), "auth.log", "{h}sshd[{pid}]: Failed password for root from {ip} port {port} ssh2"),
     ("error", (8, 4), "auth.log", "{h}sshd[{pid}]: Failed password for admin from {ip} port {port} ssh2"),
@@ -46,16 +62,12 @@ CLF_STAMP = "dd/MMM/yyyy:HH:mm:ss"
 _SLOTS = ("h", "w", "pid", "uid", "ip", "port", "sz")
 
 
-def _sql_str(s: str) -> str:
-    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _rule_index_sql() -> str:
     arms = []
     for i, (et, bucket, _src, _t) in enumerate(LINE_RULES, start=1):
         conds = []
         if et is not None:
-            conds.append(f"event_type = {_sql_str(et)}")
+            conds.append(f"event_type = {sql_str(et)}")
         if bucket is not None:
             conds.append(f"event_id % {BUCKET_MOD} % {bucket[0]} = {bucket[1]}")
         arms.append(f"WHEN {' AND '.join(conds)} THEN {i}" if conds else f"ELSE {i}")
@@ -81,59 +93,46 @@ def _segments() -> tuple[list[list[str]], list[list[int]]]:
 def event_log_lines(events: DataFrame) -> DataFrame:
     """``events`` -> ``(line_id, line, source_file, log_type)``.
 
-    ``source_file`` names the log file the line would live in, and
-    ``log_type`` is what the name-based classifier gives for it.
+    ``source_file`` names the log file the line would live in; ``log_type``
+    is the classifier's answer for name and line.
 
     A rule index picks, from literal arrays, the text segments of the line's
     template and which value fills each gap; the line is one ``concat`` of
     those lookups.  It is written as SQL expressions: one round trip to the
     JVM instead of hundreds of ``Column`` calls.
     """
-    from ..functions.patterns import SOURCE_FILES
+    from .files import log_type_of
 
     lits, slots = _segments()
     width = len(slots[0])
     parts = []
     for j in range(width + 1):
-        parts.append("element_at(array(" + ", ".join(_sql_str(l[j]) for l in lits) + "), rule)")
+        parts.append("element_at(array(" + ", ".join(sql_str(l[j]) for l in lits) + "), rule)")
         if j < width:
             pick = "element_at(array(" + ", ".join(str(sl[j]) for sl in slots) + "), rule)"
             parts.append(f"element_at(vals, {pick})")
-    srcs = ", ".join(_sql_str(src) for _, _, src, _ in LINE_RULES)
-    types = ", ".join(_sql_str(SOURCE_FILES[src]) for _, _, src, _ in LINE_RULES)
+    srcs = ", ".join(sql_str(src) for _, _, src, _ in LINE_RULES)
+    # a line shows one stamp at most, in the layout of its rule
+    clf = ", ".join("true" if "{w}" in t else "false" for _, _, _, t in LINE_RULES)
     b = events.selectExpr(
         "event_id AS line_id",
         f"{_rule_index_sql()} AS rule",
         "concat('10.', user_id % 3, '.', user_id % 7, '.', user_id % 50) AS ip",
         "ts", "user_id", "event_id")
-    vals = ("array(concat(date_format(ts, '" + SYSLOG_STAMP + "'), ' server '), "
-            "concat(ip, ' - - [', date_format(ts, '" + CLF_STAMP + "'), ' +0000] \"'), "
+    b = b.selectExpr("*", f"if(element_at(array({clf}), rule), date_format(ts, '{CLF_STAMP}'), "
+                          f"date_format(ts, '{SYSLOG_STAMP}')) AS stamp")
+    vals = ("array(concat(stamp, ' server '), concat(ip, ' - - [', stamp, ' +0000] \"'), "
             "cast(1000 + event_id % 9000 AS string), cast(user_id AS string), ip, "
             "cast(50000 + event_id % 10000 AS string), cast(200 + event_id % 50000 AS string), '')")
     b = b.selectExpr("line_id", "rule", f"{vals} AS vals")
     # The one-element explode makes ``line`` a real column, as it is for a
     # text source: filters on it stay above this node instead of being
     # rewritten over the whole rendering expression (once per predicate).
-    return b.selectExpr(
+    b = b.selectExpr(
         "line_id",
         "explode(array(concat(" + ", ".join(parts) + "))) AS line",
-        f"element_at(array({srcs}), rule) AS source_file",
-        f"element_at(array({types}), rule) AS log_type").select(
-        "line_id", "line", "source_file", "log_type")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin an under-split input across the cluster's cores.
-
-    A large input already arrives in many splits and is left alone; a small
-    file that Spark reads as one split (one Parquet row group) would
-    otherwise put all per-row regex work in a single task.  Only the pruned
-    input columns cross this exchange.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+        f"element_at(array({srcs}), rule) AS source_file")
+    return b.select("line_id", "line", "source_file", log_type_of().alias("log_type"))
 
 
 # the four ``events`` columns the rendering reads, with the driver's types; an
@@ -143,4 +142,18 @@ EVENTS_READ_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_t
 
 def load_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return event_log_lines(spread(events))
+    return event_log_lines(events)
+
+
+def load_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document as a log line: ``(line_id, line, source_file, log_type)``.
+
+    The lines repeat, are in several languages, hold addresses and junk, and
+    come from names no classifier knows.  ``line_id`` is ``doc_id:place``.
+    """
+    from .files import log_type_of
+
+    docs = spark.read.schema("doc_id bigint, text string, source string").parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    t = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    return t.select(F.concat_ws(":", "doc_id", "place").alias("line_id"), "line", F.col("source").alias("source_file"),
+                    log_type_of("source", "line").alias("log_type"))

@@ -35,21 +35,22 @@ def content_log_type(line="line") -> Column:
 
 
 def log_type_of(source_file="source_file", line="line") -> Column:
-    """File name -> log type; content shape when the name is not known."""
+    """File name -> log type; content shape when the name is unknown or holds mixed formats."""
     name = C(source_file)
     out = None
     for fname, ltype in P.SOURCE_FILES.items():
+        if fname in P.DERIVED_SOURCE_FILES:
+            continue
         out = F.when(name == fname, ltype) if out is None else out.when(name == fname, ltype)
     return out.otherwise(content_log_type(line))
 
 
 def collect_logs(spark: SparkSession, paths: str | Sequence[str],
-                 exclude: Iterable[str] = P.DERIVED_SOURCE_FILES) -> DataFrame:
+                 exclude: Iterable[str] = ()) -> DataFrame:
     """S1 + S3 + S4: every regular file under ``paths`` -> ``(line, source_file, log_type)``.
 
-    ``exclude`` drops files that are copies of the others (by default the
-    merged sample log, which would count every event twice); pass ``()`` to
-    collect everything.  Lines are split on ``\\n`` only and a trailing ``\\r``
+    Every file is collected; ``exclude`` names files to leave out, such as a
+    merged copy of the others, which would count every event twice.  Lines are split on ``\\n`` only and a trailing ``\\r``
     is removed, so CRLF files read like LF files.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
@@ -78,34 +79,33 @@ def source_health(spark: SparkSession, path: str,
     MISSING when no file of that name exists under ``path``; EMPTY when it
     exists with zero bytes; OK otherwise.
 
-    Sizes come from a ``binaryFile`` scan projected to ``(path, length)``, which
-    reads no file bodies and runs on the executors.  That scan skips empty
-    files, so presence is taken from the scan's own file listing
-    (``inputFiles``), reduced to the expected names: the driver only keeps a
-    set bounded by ``expected``.
+    Sizes come from a ``binaryFile`` scan of the expected names projected to
+    ``(path, length)``: no file body is read, and one row per expected name
+    comes back, however many hosts ship a file of that name.  That scan skips
+    empty files, so a name it does not find is looked up by a listing that
+    stops at the first file.
     """
-    import posixpath
-
     want = list(dict.fromkeys(expected))
-    wanted = set(want)
-    # the listing is filtered by name while it is built, so only the expected
-    # files (not every log under ``path``) reach the driver
-    only = "{" + ",".join(_glob_escape(n) for n in want) + "}"
-    present = set()
-    listing = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", only)
-               .text(path).inputFiles())
-    for p in listing:
-        b = posixpath.basename(p.rstrip("/"))
-        if b in wanted:
-            present.add(b)
-    names = spark.createDataFrame([(n, n in present) for n in want], "source string, present boolean")
-    sizes = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", only)
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "{" + ",".join(_glob_escape(n) for n in want) + "}")
              .load(path).select(F.element_at(F.split("path", "/"), -1).alias("source"), "length")
-             .where(F.col("source").isin(want))
-             .groupBy("source").agg(F.sum("length").alias("bytes")))
-    j = names.join(F.broadcast(sizes), "source", "left")
-    bytes_ = F.when(F.col("present"), F.coalesce(F.col("bytes"), F.lit(0))).cast("bigint")
-    status = (F.when(~F.col("present"), "MISSING")
-              .when(F.coalesce(F.col("bytes"), F.lit(0)) == 0, "EMPTY").otherwise("OK"))
-    return j.select("source", bytes_.alias("bytes"), status.alias("status"))
+             .where(F.col("source").isin(want)).groupBy("source").agg(F.sum("length").alias("bytes")))
+    sizes = {r["source"]: r["bytes"] for r in found.collect()}  # at most one row per expected name
+    rows = []
+    for name in want:
+        size = sizes.get(name)
+        if size is None:
+            size = 0 if _any_file(spark, path, name) else None
+        rows.append((name, size, "MISSING" if size is None else "OK" if size else "EMPTY"))
+    return spark.createDataFrame(rows, "source string, bytes bigint, status string")
+
+
+def _any_file(spark: SparkSession, path: str, name: str) -> bool:
+    """Whether a file of that name exists below ``path``; the walk ends at the first."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    walk = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    while walk.hasNext():
+        if walk.next().getPath().getName() == name:
+            return True
+    return False

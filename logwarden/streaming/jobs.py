@@ -2,21 +2,22 @@
 
 The batch pipeline re-reads every log on each run.  These jobs pick up only
 new files (the file source keeps the list of processed files in the
-checkpoint) and keep per-window state instead:
+checkpoint).
 
 * W1 ``stream_lines``: ``readStream.text`` over the log folder with the same
   provenance and classification columns as ``collect_logs``.
-* W2 ``stream_failed_login_windows``: failed-login IP tokens per 30-minute
-  tumbling window with a watermark, so state for closed windows is dropped.
-* W3 ``stream_alerts``: brute-force tiers over the window counts, written by
-  ``foreachBatch`` into an ``alerts`` table partitioned by channel.
-* W4 ``stream_dedup``: re-shipped lines dropped within the watermark.
-
-Sinks are idempotent: every ``foreachBatch`` write goes to its own
-``batch_id=<n>`` folder with ``mode('overwrite')``, so a micro-batch replayed
-after a failure rewrites the same folder instead of appending twice.  The
-readers (``latest_window_counts``, ``latest_stream_alerts``) keep the newest
-row per key, which is what ``update`` output mode means.
+* W2 ``stream_failed_login_windows``: each micro-batch writes its own window
+  counts.  Counts add up, so readers sum them: lines that arrive late count
+  like any other and no state is held.  ``append`` mode is the stateful form:
+  a watermark closes windows and each is written once.
+* W3 ``stream_alerts``: brute-force tiers and the error-rate rule over the
+  windows a micro-batch touched, partitioned by channel.
+* W4 ``stream_dedup``: one copy of each line, whenever its repeats arrive.
+
+Sinks are idempotent: a micro-batch writes to ``query=<id>/batch_id=<n>`` with
+``mode('overwrite')``, so a batch replayed after a failure rewrites its own
+folder, and a job restarted with a new checkpoint (a new query id) overwrites
+nothing.  ``compact`` folds the folders of a job into one.
 
 Checkpoint and output folders must be on shared storage on a cluster; the
 caller passes them in.
@@ -31,29 +32,22 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import config as K
 from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
-from ..functions import patterns as P
 from ..operators import filters as FL
-from ..operators.alerts import route
+from ..operators.alerts import ALERT_COLUMNS, alert, error_rate_rule, ssh_tier_rule
 from ..sources.files import log_type_of
-from .windows import WATERMARK, WINDOW, failed_login_events, window_counts
+from .windows import KEYS, WATERMARK, WINDOW, add_up, failed_login_events, window_counts, window_table
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 exclude=P.DERIVED_SOURCE_FILES, keep_split: bool = False) -> DataFrame:
-    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream.
-
-    ``keep_split`` adds ``_split``, the (file, split offset) a line was read
-    from, for salting hot keys deterministically.
-    """
+                 exclude=()) -> DataFrame:
+    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream."""
     r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
          .option("lineSep", "\n"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(path)
-    extra = [F.concat_ws("@", F.col("_metadata.file_path"), F.col("_metadata.file_block_start").cast("string"))
-             .alias("_split")] if keep_split else []
     df = raw.select(F.regexp_replace("value", r"\r$", "").alias("line"),
-                    F.col("_metadata.file_name").alias("source_file"), *extra)
+                    F.col("_metadata.file_name").alias("source_file"))
     excl = list(exclude or ())
     if excl:
         df = df.where(~F.col("source_file").isin(excl))
@@ -72,11 +66,18 @@ def failed_login_window_stream(lines: DataFrame, cfg: Thresholds = DEFAULT, wind
     return window_counts(ev, window)
 
 
-def _write_batch(df: DataFrame, out: str, batch_id: int, partition_by: str | None = None) -> None:
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Structured Streaming keeps in a checkpoint; another checkpoint has another."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def _folder(spark: SparkSession, out: str, checkpoint: str, batch_id: int) -> str:
+    return f"{out.rstrip('/')}/query={_query_id(spark, checkpoint)}/batch_id={batch_id}"
+
+
+def _write(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(f"{out.rstrip('/')}/batch_id={batch_id}")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
 
 
 def _start(df: DataFrame, checkpoint: str, sink, output_mode: str, available_now: bool,
@@ -95,29 +96,35 @@ def stream_failed_login_windows(spark: SparkSession, in_path: str, checkpoint: s
                                 cfg: Thresholds = DEFAULT, output_mode: str = "update",
                                 available_now: bool = True, processing_time: str | None = None,
                                 max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """W2 job: window counts of every micro-batch into ``out_path/batch_id=<n>``.
+    """W2 job: window counts into ``out_path`` (read them with ``latest_window_counts``).
 
-    ``update`` emits a window each time its count changes (read the newest
-    row per key with ``latest_window_counts``); ``append`` emits a window once,
-    after the watermark passes its end.
+    ``update``: each batch writes the counts of its own lines, late and
+    untimed ones included.  ``append``: a window is written once, after the
+    watermark passes its end; what comes later is no longer counted.
     """
-    counts = failed_login_window_stream(stream_lines(spark, in_path, max_files_per_trigger), cfg)
+    lines = stream_lines(spark, in_path, max_files_per_trigger)
+    if output_mode == "append":
+        t = failed_login_window_stream(lines, cfg).withColumn("errors", F.lit(0).cast("bigint"))
+    else:
+        t = lines
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, out_path, batch_id)
+        rows = batch if output_mode == "append" else window_table(batch, cfg)
+        _write(rows, _folder(spark, out_path, checkpoint, batch_id))
 
-    return _start(counts, checkpoint, sink, output_mode, available_now, processing_time,
-                  "failed_login_windows")
+    return _start(t, checkpoint, sink, "append", available_now, processing_time, "failed_login_windows")
 
 
-WINDOW_SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint, batch_id bigint"
+WINDOW_SCHEMA = ("window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint, errors bigint, "
+                 "query string, batch_id bigint")
 ALERT_SCHEMA = ("engine string, severity string, category string, ip string, metric_value bigint, "
                 "threshold bigint, message string, action string, in_main_log boolean, "
-                "window_start timestamp_ntz, batch_id bigint, channel string")
+                "window_start timestamp_ntz, query string, batch_id bigint, channel string")
+LINE_SCHEMA = "line string, source_file string, log_type string, event_ts timestamp_ntz, query string, batch_id bigint"
 
 
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A ``batch_id=<n>`` table with a fixed schema; empty before the first write."""
+    """A table of batch folders with a fixed schema; empty before the first write."""
     from pyspark.errors import AnalysisException
 
     try:
@@ -126,106 +133,121 @@ def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def window_totals(spark: SparkSession, out_path: str) -> DataFrame:
+    """The window table of all lines that a W2 or W3 job has read so far."""
+    return add_up(_read(spark, out_path, WINDOW_SCHEMA))
+
+
 def latest_window_counts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The current value of every (window, ip): the row of the newest batch."""
-    t = _read(spark, out_path, WINDOW_SCHEMA)
-    last = F.max_by(F.struct("window_end", "cnt"), "batch_id")
-    return (t.groupBy("window_start", "ip").agg(last.alias("l"))
-            .select("window_start", F.col("l.window_end").alias("window_end"), "ip",
-                    F.col("l.cnt").alias("cnt")))
+    """The current value of every (window, ip)."""
+    return window_totals(spark, out_path).where("ip IS NOT NULL").select(*KEYS, "cnt")
+
+
+def compact(spark: SparkSession, out_path: str) -> int:
+    """Fold all batch folders of a W2 job (between its runs) into one; returns the rows kept.
+
+    The sum is written beside the folders before any of them is deleted, and
+    takes their place by one rename; a crash leaves the old or the new form
+    and a folder ``<out>.compact`` that the next call replaces.
+    """
+    from pyspark.sql import Observation
+
+    seen, new = Observation(), f"{out_path.rstrip('/')}.compact"
+    rows = window_totals(spark, out_path).observe(seen, F.count(F.lit(1)).alias("n"))
+    rows.write.mode("overwrite").parquet(f"{new}/query=compact/batch_id=0")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old_p, new_p = (jvm.org.apache.hadoop.fs.Path(p) for p in (out_path, new))
+    fs = old_p.getFileSystem(conf)
+    fs.delete(old_p, True)
+    fs.rename(new_p, old_p)
+    return int(seen.get["n"])
 
 
 def window_alerts(counts: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:
-    """W3 rules over window counts: L1 (stage-4 brute force) and L5 (detailed tiers).
+    """W3 rules over a window table: L1 (brute force), L5 (tiers), L3 (error rate).
 
-    One row per (engine, ip, window) that reaches a tier, with the alert
-    columns plus ``window_start``.
+    One row per rule that fires on a window (and address), with the alert
+    columns plus ``window_start``.  Counts without ``errors`` have no L3.
     """
-    n = F.col("cnt")
-    stage4 = counts.where(n >= cfg.failed_login).select(
-        F.lit("stage4").alias("engine"), F.lit("CRITICAL").alias("severity"), "ip", "cnt", "window_start",
-        F.lit(cfg.failed_login).cast("bigint").alias("threshold"),
-        X.template(K.STAGE4_BRUTE_FORCE, ip="ip", n="cnt", t=F.lit(cfg.failed_login)).alias("message"),
-        F.lit(None).cast("string").alias("action"))
-    tiers = [
-        (n >= cfg.ssh_extreme, "CRITICAL", K.SSH_EXTREME, cfg.ssh_extreme),
-        (n >= cfg.ssh_critical, "CRITICAL", K.SSH_CRITICAL, cfg.ssh_critical),
-        (n >= cfg.failed_login, "HIGH", K.SSH_HIGH, cfg.failed_login),
-        (n >= cfg.ssh_medium, "MEDIUM", K.SSH_MEDIUM, cfg.ssh_medium),
-    ]
-    sev = thr = msg = act = None
-    for cond, s, (m, a), t in tiers:
-        mm, aa = X.template(m, ip="ip", n="cnt"), X.template(a, ip="ip", n="cnt")
-        if sev is None:
-            sev, thr, msg, act = F.when(cond, s), F.when(cond, t), F.when(cond, mm), F.when(cond, aa)
-        else:
-            sev, thr, msg, act = sev.when(cond, s), thr.when(cond, t), msg.when(cond, mm), act.when(cond, aa)
-    detailed = counts.select(
-        F.lit("detailed").alias("engine"), sev.alias("severity"), "ip", "cnt", "window_start",
-        thr.cast("bigint").alias("threshold"), msg.alias("message"), act.alias("action")
-    ).where(F.col("severity").isNotNull())
-    both = stage4.unionByName(detailed)
-    return both.select(
-        "engine", "severity", F.lit("SSH").alias("category"), "ip",
-        F.col("cnt").cast("bigint").alias("metric_value"), "threshold", "message", "action",
-        route(F.col("severity")).alias("channel"), F.lit(True).alias("in_main_log"), "window_start")
+    t = counts if "errors" in counts.columns else counts.withColumn("errors", F.lit(0).cast("bigint"))
+    ip = F.col("ip").isNotNull()
+    brute = alert(ip & (F.col("cnt") >= cfg.failed_login), "stage4", "CRITICAL", "SSH", F.col("ip"), F.col("cnt"),
+                  cfg.failed_login, X.template(K.STAGE4_BRUTE_FORCE, ip="ip", n="cnt", t=F.lit(cfg.failed_login)))
+    rate = error_rate_rule(~ip & (F.col("errors") >= cfg.error), "errors", cfg)
+    rules = F.array_compact(F.array(brute, ssh_tier_rule(ip, "cnt", cfg), rate))
+    return t.select("window_start", F.inline(rules)).select(*ALERT_COLUMNS, "window_start")
 
 
 def stream_alerts(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,
                   cfg: Thresholds = DEFAULT, available_now: bool = True,
                   processing_time: str | None = None,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """W3 job: alert rows of every micro-batch, partitioned by channel.
+    """W3 job: alerts of the windows each micro-batch touched, partitioned by channel.
 
-    Runs in ``update`` mode, so an alert appears as soon as its window
-    reaches a tier and is re-emitted when it climbs to a higher one; the
-    reader keeps the newest row per (engine, ip, window).
+    A batch writes its window counts to ``<out>/counts`` and, from the counts
+    of all batches, the alerts of its windows to ``<out>/alerts``: an alert
+    appears as soon as its window reaches a tier and again when it climbs;
+    the reader keeps the newest row per rule and window.
     """
-    counts = failed_login_window_stream(stream_lines(spark, in_path, max_files_per_trigger), cfg)
+    counts_path, alerts_path = f"{out_path.rstrip('/')}/counts", f"{out_path.rstrip('/')}/alerts"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(window_alerts(batch, cfg), out_path, batch_id, partition_by="channel")
+        own = _folder(spark, counts_path, checkpoint, batch_id)
+        _write(window_table(batch, cfg), own)
+        touched = spark.read.parquet(own).select(F.col("window_start").alias("w"), F.col("ip").alias("i"))
+        now = window_totals(spark, counts_path)
+        now = now.join(touched, F.col("window_start").eqNullSafe(F.col("w")) & F.col("ip").eqNullSafe(F.col("i")), "left_semi")
+        _write(window_alerts(now, cfg), _folder(spark, alerts_path, checkpoint, batch_id), partition_by="channel")
 
-    return _start(counts, checkpoint, sink, "update", available_now, processing_time, "stream_alerts")
+    return _start(stream_lines(spark, in_path, max_files_per_trigger), checkpoint, sink, "append", available_now,
+                  processing_time, "stream_alerts")
 
 
 def latest_stream_alerts(spark: SparkSession, out_path: str) -> DataFrame:
-    """De-duplicated alerts: the newest row per (engine, ip, window_start)."""
-    t = _read(spark, out_path, ALERT_SCHEMA)
-    cols = [c for c in t.columns if c not in ("engine", "ip", "window_start", "batch_id")]
-    last = F.max_by(F.struct(*cols), "batch_id")
-    return (t.groupBy("engine", "ip", "window_start").agg(last.alias("l"))
-            .select("engine", "ip", "window_start", "l.*"))
+    """The newest row per rule (engine, category), address and window."""
+    t = _read(spark, f"{out_path.rstrip('/')}/alerts", ALERT_SCHEMA)
+    keys = ["engine", "category", "ip", "window_start"]
+    cols = [c for c in t.columns if c not in (*keys, "query", "batch_id")]
+    # counts only grow, so of several writes the largest is the newest, whatever job wrote it
+    return (t.groupBy(*keys).agg(F.max_by(F.struct(*cols), "metric_value").alias("l"))
+            .select(*keys, "l.*"))
 
 
 def stream_dedup(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,
-                 cfg: Thresholds = DEFAULT, watermark: str = WATERMARK, salt_buckets: int = 64,
-                 available_now: bool = True,
+                 cfg: Thresholds = DEFAULT, available_now: bool = True,
                  processing_time: str | None = None,
                  max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """W4 job: lines of the stream without repeats of a line seen within the watermark.
+    """W4 job: one copy of each line; lines without a readable time pass through as they are.
 
-    State holds each distinct line until the watermark passes its event time
-    plus ``watermark``; lines without a readable time are passed through.
+    Equal lines have equal times, so a line's earlier copies are in the
+    output of its day: each batch keeps one copy of its own lines (a plain
+    aggregate that folds a hot line before the shuffle) and drops those that
+    the days it touches already hold.  However late a repeat comes, it is
+    dropped, and a late new line is kept.
     """
     from ..operators.parse import with_event_time
 
-    lines = with_event_time(stream_lines(spark, in_path, max_files_per_trigger, keep_split=True), cfg)
-    lines = lines.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    timed = lines.where(F.col("event_ts").isNotNull()).withWatermark("event_ts", watermark)
-    # Two levels, so a line repeated in a third of a micro-batch never sends
-    # all its copies to one task: first per (line, input split), which spreads
-    # a hot line over the tasks of its splits, then per line, which sees at
-    # most one copy per split.  Splits are fixed by the files, so a replayed
-    # batch salts the same way.
-    salt = F.pmod(F.hash("_split"), F.lit(salt_buckets))
-    deduped = (timed.withColumn("_salt", salt).dropDuplicatesWithinWatermark(["line", "_salt"])
-               .dropDuplicatesWithinWatermark(["line"]).drop("_salt", "_split"))
-
     def sink(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, out_path, batch_id)
-
-    return _start(deduped, checkpoint, sink, "append", available_now, processing_time, "stream_dedup")
+        own = _folder(spark, out_path, checkpoint, batch_id)
+        t = with_event_time(batch, cfg)
+        timed = t.where("event_ts IS NOT NULL").groupBy("line").agg(
+            F.min_by(F.struct("source_file", "log_type", "event_ts"), F.struct("source_file", "log_type", "event_ts")).alias("f"))
+        timed = timed.select("line", "f.*").withColumn("day", F.to_date("event_ts"))
+        if _exists(spark, out_path):
+            before = _read(spark, out_path, LINE_SCHEMA + ", day date")
+            before = before.where(~((F.col("query") == _query_id(spark, checkpoint)) & (F.col("batch_id") == batch_id)))
+            timed = timed.join(before.where("day IS NOT NULL").select("day", "line"), ["day", "line"], "left_anti")
+        untimed = t.where("event_ts IS NULL").withColumn("day", F.lit(None).cast("date"))
+        cols = ["line", "source_file", "log_type", "event_ts", "day"]
+        _write(timed.select(*cols).unionAll(untimed.select(*cols)), own, partition_by="day")
+
+    return _start(stream_lines(spark, in_path, max_files_per_trigger), checkpoint, sink, "append", available_now,
+                  processing_time, "stream_dedup")
 
 
 def stream_failed_lines(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,

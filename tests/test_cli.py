@@ -15,7 +15,14 @@ def _logs(tmp_path):
 def test_cli_run_status_rollback(spark, tmp_path, capsys):
     logs, out = _logs(tmp_path), str(tmp_path / "out")
     assert main(["run", "--logs", logs, "--out", out, "--run-id", "r1"], spark) == 0
-    alerts = spark.read.parquet(f"{out}/alerts")
+    alerts = spark.read.parquet(f"{out}/run_id=r1/alerts")
+    assert "Critical Alerts Fired" in capsys.readouterr().out
+    # scan, alerts and digest over the tables of the finished run
+    assert main(["scan", "--run", out, "--run-id", "r1"], spark) == 1
+    again = str(tmp_path / "again")
+    assert main(["alerts", "--run", out, "--run-id", "r1", "--out", again], spark) == 0
+    assert spark.read.parquet(again).count() == alerts.count()
+    assert main(["digest", "--run", out, "--run-id", "r1", "--out", again + "-d"], spark) == 0
     assert alerts.where("engine = 'stage4' AND channel = 'critical'").count() == 5
     assert main(["rollback", "--out", out, "--run-id", "r1", "--stage", "4"], spark) == 0
     assert main(["status", "--out", out, "--run-id", "r1"], spark) == 0
@@ -37,3 +44,31 @@ def test_cli_scan_check_alerts(spark, tmp_path, capsys):
     dg = str(tmp_path / "digest")
     assert main(["digest", "--logs", logs, "--out", dg, "--run-id", "r"], spark) == 0
     assert spark.read.parquet(f"{dg}/alert_digest").where("section = 'STATUS'").count() == 1
+
+
+def test_cli_scan_prints_every_metric(spark, tmp_path, capsys):
+    d = tmp_path / "many"
+    d.mkdir()
+    line = "May 01 10:00:00 server sshd[1]: Failed password for root from 1.1.1.{} port 22 ssh2\n"
+    (d / "auth.log").write_text("".join(line.format(i) * (6 if i < 30 else 1) for i in range(60)))
+    assert main(["scan", "--logs", str(d)], spark) == 1
+    out = capsys.readouterr().out
+    assert out.count("EXCEEDED") == 30 and out.count(" OK") == 30
+
+
+def test_cli_bounds_year_and_excluded_files(spark, tmp_path, capsys):
+    logs = _logs(tmp_path)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert main(["alerts", "--logs", logs, "--out", a, "--run-id", "r"], spark) == 0
+    cfg = tmp_path / "bounds.json"
+    cfg.write_text('{"failed_login": 1000, "tiers": [1000, 900, 800]}')
+    assert main(["alerts", "--logs", logs, "--out", b, "--run-id", "r", "--config", str(cfg),
+                 "--set", "error=100000"], spark) == 0
+    crit = lambda p: spark.read.parquet(p).where("engine = 'stage4' AND severity = 'CRITICAL'").count()
+    assert crit(a) > 0 and crit(b) == 0
+    p = str(tmp_path / "p")
+    assert main(["parse", "auth", "--logs", logs, "--out", p, "--year", "2031"], spark) == 0
+    assert {r[0] for r in spark.read.parquet(p).selectExpr("year(event_time)").distinct().collect()} == {2031}
+    assert main(["scan", "--logs", logs, "--exclude", "auth.log", "--exclude", "syslog", "--exclude", "apache.log"], spark) == 0
+    assert main(["health", "--logs", logs], spark) == 0
+    assert "sample_logs.log |  | MISSING" in capsys.readouterr().out

@@ -135,3 +135,57 @@ def test_sorted_log_splits_hot_line(spark):
     assert sum(1 for p in parts if p) > 1          # the hot line is cut across several sort tasks
     rows = out.collect()
     assert [r.line for r in rows] == sorted(r.line for r in rows)
+
+
+def test_usage_counts_comment_lines_but_not_in_the_total(spark):
+    df = lines_df(spark, ["# ERROR: x 1.2.3.4 Accepted", "plain"])
+    got = {r.metric: r.cnt for r in A.usage_stats(df).collect()}
+    assert got["total_lines"] == 1 and got["total_errors"] == 1
+    assert got["total_success"] == 1 and got["unique_ips"] == 1
+
+
+def test_event_time_is_utc_in_any_session_zone(spark):
+    web = '1.1.1.1 - - [01/May/2024:23:30:00 +0000] "GET / HTTP/1.1" 200 1 "-" "-"'
+    log = "May 01 23:30:00 server sshd[1]: x"
+    df = lines_df(spark, [web], "apache", "apache.log").unionByName(lines_df(spark, [log]))
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "Asia/Tokyo", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got = {str(r.t) for r in PR.with_event_time(df).selectExpr("string(event_ts) AS t").collect()}
+            assert got == {"2024-05-01 23:30:00"}, zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_percent_is_exact_and_never_overflows(spark):
+    m = spark.createDataFrame([("a", 9223372036854775807, 5), ("b", 90071992547409931, 100), ("c", -1, 5)],
+                              "label string, value bigint, threshold bigint")
+    got = {r.label: (r.pct, r.status) for r in TH.threshold_check(m).collect()}
+    assert got == {"a": (None, "EXCEEDED"), "b": (90071992547409931, "EXCEEDED"), "c": (None, "INVALID")}
+
+
+def test_rendered_counts_are_never_cut(spark):
+    from logwarden.operators import reports as RP
+
+    s = spark.createDataFrame([("1.2.3.4", 1234567890123, "CRITICAL"), ("a" * 30, 7, "LOW")],
+                              "ip string, occurrences bigint, risk string")
+    back = {(r.ip, r.occurrences, r.risk) for r in RP.parse_ip_summary(RP.render_ip_summary(s)).collect()}
+    assert back == {("1.2.3.4", 1234567890123, "CRITICAL"), ("a" * 30, 7, "LOW")}
+
+
+def test_order_and_top_k_under_ties(spark):
+    s = spark.createDataFrame([("1.1.1.1", 5, "LOW"), ("9.9.9.9", 5, "LOW"), ("5.5.5.5", 5, "LOW"), ("2.2.2.2", 8, "LOW")],
+                              "ip string, occurrences bigint, risk string")
+    assert [r.ip for r in A.ip_rank(s).collect()] == ["2.2.2.2", "9.9.9.9", "5.5.5.5", "1.1.1.1"]
+    assert [r.ip for r in A.top_suspicious_ips(s, 3).collect()] == ["2.2.2.2", "9.9.9.9", "5.5.5.5"]
+    df = spark.createDataFrame([(3, "b"), (1, "b"), (2, "a")], "line_id long, line string")
+    assert [(r.line, r.line_id) for r in FL.sorted_log(df).collect()] == [("a", 2), ("b", 1), ("b", 3)]
+
+
+def test_empty_input_has_totals(spark):
+    from logwarden.operators import alerts as AL
+
+    a = AL.stage4_alerts(lines_df(spark, ["x"]).limit(0)).collect()
+    assert [(r.severity, r.category, r.metric_value) for r in a] == [("INFO", "SYSTEM", 0)]
+    assert AL.detailed_alerts(lines_df(spark, ["x"]).limit(0)).count() == 0

@@ -12,7 +12,7 @@ def _plan(df) -> str:
 
 
 def test_no_pair_joins_or_windows_anywhere(spark):
-    from __spark_entry__ import queries
+    from logwarden.plans.registry import queries
 
     for name, fn in queries().items():
         p = _plan(fn(spark, SMOKE))
@@ -21,7 +21,7 @@ def test_no_pair_joins_or_windows_anywhere(spark):
 
 
 def test_per_key_counts_aggregate_before_the_shuffle(spark):
-    from __spark_entry__ import queries
+    from logwarden.plans.registry import queries
 
     qs = queries()
     for name in ("ip_summary", "failed_by_ip", "requests_per_ip", "errors_per_service",
@@ -33,7 +33,7 @@ def test_per_key_counts_aggregate_before_the_shuffle(spark):
 
 
 def test_event_scan_reads_only_needed_columns(spark):
-    from __spark_entry__ import queries
+    from logwarden.plans.registry import queries
 
     p = _plan(queries()["ip_summary"](spark, SMOKE))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string>" in p
@@ -41,8 +41,34 @@ def test_event_scan_reads_only_needed_columns(spark):
 
 
 def test_alert_engines_have_no_broadcast_of_data(spark):
-    from __spark_entry__ import queries
+    from logwarden.plans.registry import queries
 
     for name in ("stage4_alerts", "detailed_alerts", "final_report", "threshold_scan"):
         p = _plan(queries()[name](spark, SMOKE))
         assert "BroadcastExchange" not in p, name
+
+
+def _tree_count(df, word: str) -> int:
+    return _plan(df).count(word)
+
+
+def test_alert_engines_are_one_lazy_scan(spark):
+    from logwarden.plans.registry import queries
+
+    qs = queries()
+    for name in ("threshold_scan", "threshold_verdict", "stage4_alerts", "stage4_alerts_alt", "detailed_alerts",
+                 "detailed_alerts_alt", "alert_severity_counts", "status_flag", "parse_alert_line"):
+        df = qs[name](spark, SMOKE)
+        assert _tree_count(df, "FileScan") == 1, name
+        assert "Scan ExistingRDD" not in _plan(df).replace("Scan ExistingRDD[]", ""), name
+
+
+def test_reports_scan_their_lines_twice_at_most(spark):
+    from logwarden.plans.registry import queries
+
+    for name in ("final_report", "alert_digest", "run_summary"):
+        df = queries()[name](spark, SMOKE)
+        df.collect()
+        p = _plan(df)
+        final = p.split("== Initial Plan ==")[0]
+        assert final.count("FileScan") <= 2, (name, final.count("FileScan"))

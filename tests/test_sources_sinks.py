@@ -20,20 +20,23 @@ def _log_dir(tmp_path):
     (d / "nested").mkdir(parents=True)
     _write(d / "auth.log", auth_lines(), crlf=True)
     _write(d / "nested" / "apache.log", apache_lines())
-    _write(d / "sample_logs.log", auth_lines())     # a copy: excluded by default
+    _write(d / "sample_logs.log", auth_lines())     # a copy: collected unless excluded
     _write(d / "other.txt", syslog_lines())         # unknown name: typed by content
     return str(d)
 
 
 def test_collect_logs(spark, tmp_path):
     d = _log_dir(tmp_path)
-    L = collect_logs(spark, d)
+    L = collect_logs(spark, d, exclude=["sample_logs.log"])
     got = {r.log_type: r["count"] for r in L.groupBy("log_type").count().collect()}
     assert got == {"auth": 80, "apache": 85, "syslog": 60}
     assert L.where(F.col("line").endswith("\r")).count() == 0
     files = {r.source_file for r in L.select("source_file").distinct().collect()}
     assert files == {"auth.log", "apache.log", "other.txt"}
-    assert collect_logs(spark, d, exclude=()).count() == 80 + 85 + 60 + 80
+    every = collect_logs(spark, d)
+    assert every.count() == 80 + 85 + 60 + 80
+    # a file of mixed formats is typed line by line
+    assert every.where("source_file = 'sample_logs.log' AND log_type = 'auth'").count() == 80
 
 
 def test_source_health(spark, tmp_path):
