@@ -43,7 +43,8 @@ BROADCAST_RULES = 200_000
 
 
 def rules_frame(spark, rules=RULES) -> DataFrame:
-    return spark.createDataFrame(list(rules), "host string, path string, verdict string")
+    rows = [F.struct(*[F.lit(v).alias(n) for v, n in zip(r, ("host", "path", "verdict"), strict=True)]) for r in rules]
+    return spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def url_parts(url) -> tuple:
@@ -103,10 +104,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
     # the size of the rule side is counted, not assumed
     small = depth["n"] <= BROADCAST_RULES and depth["n"] * (depth["chars"] + 200) < 256 << 20
     r = F.broadcast(r) if small else r
-    fits = (F.col("__short") == F.col("__rshort")) & (F.col("__digest") == F.col("__rdigest")) & \
-        F.col("__path").startswith(F.col("__rpath"))
-    m = e.join(r, fits, "left")
-    best = F.max(F.when(F.col("__rhost").isNotNull(), F.struct(
+    m = e.join(r, F.col("__short") == F.col("__rshort"), "left")
+    # a meeting of short prefixes counts only if the digests agree and the whole rule path fits
+    fits = (F.col("__digest") == F.col("__rdigest")) & F.col("__path").startswith(F.col("__rpath"))
+    best = F.max(F.when(fits, F.struct(
         (F.length("__rhost") + F.length("__rpath")).alias("length"), F.length("__rhost").alias("host_length"),
         F.concat("__rhost", "__rpath").alias("rule"), F.col("__rverdict").alias("verdict"))))
     # __row keeps repeated pages apart; partial aggregation folds a page's expressions before the shuffle
