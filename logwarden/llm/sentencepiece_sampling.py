@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +37,12 @@ from .common import read
 ALPHA = 1.0
 SEED = 2024
 #: characters of a batch that are sampled together, and table cells per block of words
-BLOCK_CHARS, BLOCK_CELLS = 1 << 21, 1 << 23
+BLOCK_CHARS, BLOCK_CELLS = 1 << 22, 1 << 21
 _MARK, _OUTSIDE = 0x2581, 0x110000
+#: words up to so many characters are filtered with plain products
+_LINEAR = 32
 _U = np.uint64
+_STEP = _U(0x9E3779B97F4A7C15)
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -49,7 +53,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """splitmix64."""
-    x = x + _U(0x9E3779B97F4A7C15)
+    x = x + _STEP
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> _U(27))) * _U(0x94D049BB133111EB)
     return x ^ (x >> _U(31))
@@ -86,8 +90,13 @@ class Sampler:
             order = np.argsort(h)
             ids = np.array([r[1] for r in rows], np.int32)[order]
             logw = -alpha * np.log(np.array([r[2] for r in rows])[order] + 1.0)
-            self.tables[length] = (h[order], ids, logw)
+            # most substrings are no piece: a bitmap of hash bits says so before the search
+            maybe = np.zeros(1 << 20, bool)
+            maybe[h >> _U(44)] = True
+            self.tables[length] = (h[order], ids, logw, maybe)
         self.outside_log = -alpha * np.log(4.0 * n)
+        # a factor per character, which all segmentations of a word share, keeps products near one
+        self.lift = float(np.mean([-t[2].mean() / k for k, t in self.tables.items() if k <= 4]))
         self.breaks_at_newline = not any(10 in r[0] for rows in found.values() for r in rows)
 
     def _hash(self, cps: np.ndarray, length: int) -> np.ndarray:
@@ -104,7 +113,7 @@ class Sampler:
         return re.findall(r" *[^ \n]+|\n| +" if self.breaks_at_newline else r" *[^ ]+| +", text)
 
     def _filter(self, words: list[str]):
-        """Forward filtering of words of like length: cumulative draw shares and piece of (word, end, length)."""
+        """Forward filtering of words of like length: cumulative draw shares and piece of (length - 1, end, word)."""
         size = np.array([len(w) for w in words])
         m, top = int(size.max()), min(int(size.max()), self.longest)
         cps = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
@@ -113,8 +122,11 @@ class Sampler:
         at = np.repeat(np.arange(len(words)), size)
         pos = np.arange(len(cps)) - start[at]
         room = size[at] - pos
-        piece = np.full((len(words), m + 1, top), -1, np.int32)
-        logw = np.full((len(words), m + 1, top), -np.inf, np.float32)
+        piece = np.full((top, m + 1, len(words)), -1, np.int32)
+        weight = np.zeros((top, m + 1, len(words)))
+        long = m > _LINEAR
+        if long:  # products would leave the range of doubles: logarithms
+            weight[:] = -np.inf
         c = _mix(cps.astype(np.uint64))
         h = c.copy()
         for length in range(1, top + 1):
@@ -122,32 +134,37 @@ class Sampler:
                 h[:1 - length] = h[:1 - length] * _U(0x100000001B3) + c[length - 1:]
             if length not in self.tables:
                 continue
-            keys, ids, w = self.tables[length]
-            ok = np.nonzero(room >= length)[0]
+            keys, ids, w, maybe = self.tables[length]
+            ok = np.nonzero((room >= length) & maybe[h >> _U(44)])[0]
             k = np.searchsorted(keys, h[ok])
             k[k == len(keys)] = 0
             hit = keys[k] == h[ok]
             ok, k = ok[hit], k[hit]
-            piece[at[ok], pos[ok] + length, length - 1] = ids[k]
-            logw[at[ok], pos[ok] + length, length - 1] = w[k]
+            piece[length - 1, pos[ok] + length, at[ok]] = ids[k]
+            value = w[k] + self.lift * length
+            weight[length - 1, pos[ok] + length, at[ok]] = value if long else np.exp(value)
         # a character without a piece of its own: its bytes
-        bare = np.nonzero(piece[at, pos + 1, 0] < 0)[0]
-        piece[at[bare], pos[bare] + 1, 0] = -2
-        logw[at[bare], pos[bare] + 1, 0] = self.outside_log
-        total = np.full((len(words), m + 1), -np.inf)
-        total[:, 0] = 0.0
-        for j in range(1, m + 1):
-            n = min(j, top)
-            v = logw[:, j, :n] + total[:, j - 1::-1][:, :n] if j > 1 else logw[:, 1, :1] + total[:, :1]
-            high = v.max(1)
-            high = np.where(np.isfinite(high), high, 0.0)
-            e = np.exp(v - high[:, None])
-            s = np.cumsum(e, 1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                total[:, j] = high + np.log(s[:, -1])
-                logw[:, j, :n] = s / s[:, -1:]
-            logw[:, j, n:] = 2.0
-        return logw, piece  # logw now holds cumulative shares
+        bare = np.nonzero(piece[0, pos + 1, at] < 0)[0]
+        piece[0, pos[bare] + 1, at[bare]] = -2
+        value = self.outside_log + self.lift
+        weight[0, pos[bare] + 1, at[bare]] = value if long else np.exp(value)
+        total = np.full((m + 1, len(words)), -np.inf if long else 0.0)
+        total[0] = 0.0 if long else 1.0
+        share = np.full((top, m + 1, len(words)), 2.0, np.float32)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            for j in range(1, m + 1):
+                n = min(j, top)
+                v = weight[:n, j]
+                if long:
+                    v = v + total[j - 1::-1][:n]
+                    high = np.where(np.isfinite(high := v.max(0)), high, 0.0)
+                    v = np.exp(v - high)
+                else:
+                    v = v * total[j - 1::-1][:n]
+                s = np.cumsum(v, 0)
+                total[j] = high + np.log(s[-1]) if long else s[-1]
+                share[:n, j] = s / s[-1]
+        return share, piece
 
     def encode(self, texts: list[str], keys: list[str], seed: int = SEED) -> list[np.ndarray]:
         """Sampled ids of each text."""
@@ -189,17 +206,23 @@ class Sampler:
             last = min(int(np.searchsorted(size[by_size], m, side="right")), k + max(1, BLOCK_CELLS // cells))
             own = by_size[k:last]
             share, piece = self._filter([distinct[i] for i in own])
+            flat = share.reshape(len(share), -1)
             occ = np.concatenate([order[at[i]:at[i + 1]] for i in own])
             word = np.repeat(np.arange(len(own)), at[own + 1] - at[own])
-            j, lo, d = size[index[occ]].copy(), start[occ], doc[occ]
-            while len(occ):
-                u = (_mix(row[d] ^ _mix((lo + j - first[d]).astype(np.uint64))) >> _U(11)).astype(np.float64) * 2.0 ** -53
-                length = (u[:, None] >= share[word, j]).sum(1) + 1
-                length = np.minimum(length, np.minimum(j, share.shape[2]))
-                drawn[lo + j - length] = piece[word, j, length - 1]
-                j = j - length
-                more = j > 0
-                occ, word, j, lo, d = occ[more], word[more], j[more], lo[more], d[more]
+            lo, j = start[occ], size[index[occ]]
+            # a stream of random numbers per row, one number per character position
+            base = row[doc[occ]] + (lo - first[doc[occ]]).astype(np.uint64) * _STEP
+            while len(lo):
+                u = (_mix(base + j.astype(np.uint64) * _STEP) >> _U(40)).astype(np.float32) * np.float32(2.0 ** -24)
+                state = j * len(own) + word
+                length = np.ones(len(lo), np.int64)
+                for k_share in flat:
+                    length += u >= k_share[state]
+                length = np.minimum(length, np.minimum(j, len(flat)))
+                at_end = j - length
+                drawn[lo + at_end] = piece[length - 1, j, word]
+                more = np.nonzero(at_end)[0]
+                word, j, lo, base = word[more], at_end[more], lo[more], base[more]
             k = last
         return self._collect(texts, chars, drawn)
 
@@ -234,33 +257,69 @@ def _sampler(path: str, alpha: float) -> Sampler:
     return _SAMPLERS[path, alpha]
 
 
+def _lists(ids: list[np.ndarray | None]) -> pa.Array:
+    """An Arrow array of id lists; None is null."""
+    offsets = np.concatenate([[0], np.cumsum([0 if x is None else len(x) for x in ids])]).astype(np.int32)
+    values = [x for x in ids if x is not None]
+    flat = pa.array(np.concatenate(values) if values else np.zeros(0, np.int32), pa.int32())
+    mask = pa.array([x is None for x in ids], pa.bool_())
+    return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=mask)
+
+
+def _encoded(s: Sampler, texts: pa.Array, keys: pa.Array, seed: int) -> list:
+    plain = texts.to_pylist()
+    ids = s.encode([t or "" for t in plain], keys.to_pylist(), seed)
+    return [None if t is None else x for t, x in zip(plain, ids, strict=True)]
+
+
+def _row_key(id_col: str):
+    return F.coalesce(F.col(id_col).cast("string"), F.lit(""))
+
+
 def encode_sampled(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", to: str = "ids",
                    alpha: float = ALPHA, seed: int = SEED) -> DataFrame:
     """Add the sampled ids of every whole text; the other columns stay."""
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         s = _sampler(path, alpha)
         for texts, keys in batches:
-            ids = s.encode([t or "" for t in texts], list(keys), seed)
-            yield pd.Series([x if t is not None else None for x, t in zip(ids, texts, strict=True)], dtype=object)
+            yield _lists(_encoded(s, texts, keys, seed))
 
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return docs.withColumn(to, F.pandas_udf(run, "array<int>")(F.col(text_col).cast("string"), key))
+    return docs.withColumn(to, F.arrow_udf(run, "array<int>")(F.col(text_col).cast("string"), _row_key(id_col)))
 
 
 def decode_ids(docs: DataFrame, path: str, ids_col: str = "ids", to: str = "decoded") -> DataFrame:
     """Add the text of the ids; null stays null."""
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         s = _sampler(path, ALPHA)
         for ids in batches:
-            yield pd.Series([None if x is None else s.decode(x.tolist()) for x in ids], dtype=object)
+            yield pa.array([None if x is None else s.decode(x) for x in ids.to_pylist()], pa.string())
+
+    return docs.withColumn(to, F.arrow_udf(run, "string")(F.col(ids_col)))
+
+
+def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", alpha: float = ALPHA,
+               seed: int = SEED) -> DataFrame:
+    """``id, n_tokens, lossless, ids``: encode every text, decode the ids and compare, in one pass.
+
+    Rows go through in slices, so no more than a slice's ids are held at a time.
+    """
+    def run(batches):
+        s = _sampler(path, alpha)
+        for b in batches:
+            for at in range(0, b.num_rows, 1024):
+                part = b.slice(at, 1024)
+                ids = _encoded(s, part["text"], part["key"], seed)
+                same = [x is None or s.decode(x.tolist()) == t for x, t in zip(ids, part["text"].to_pylist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [part["id"], pa.array([None if x is None else len(x) for x in ids], pa.int32()),
+                     pa.array(same, pa.bool_()), _lists(ids)], ["id", "n_tokens", "lossless", "ids"])
 
-    return docs.withColumn(to, F.pandas_udf(run, "string")(F.col(ids_col)))
+    t = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), _row_key(id_col).alias("key"))
+    kind = t.schema["id"].dataType.simpleString()
+    out = t.mapInArrow(run, f"id {kind}, n_tokens int, lossless boolean, ids array<int>")
+    return out.withColumnRenamed("id", id_col)
 
 
 def query(spark, sf_dir) -> DataFrame:
     """Ids of every text, and whether decoding them gave the text back."""
-    path = model_path()
-    t = encode_sampled(read(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    t = decode_ids(t, path)
-    return t.select("doc_id", F.size("ids").alias("n_tokens"), F.col("decoded").eqNullSafe(F.col("text")).alias("lossless"),
-                    "ids")
+    return round_trip(read(spark, sf_dir, "documents").select("doc_id", "text"), model_path())
