@@ -18,10 +18,12 @@ leave the output right.
 
 Readers map the files into memory (one task per part) and add the base.
 
-Encoding uses the tokenizers library.  The tokenizer normalizes and splits
-at white space, so ids of a text are the ids of its pieces between spaces
-and line ends, one after another; each task encodes a piece once and keeps
-the ids of the pieces it has seen (bounded by ``CACHE_PIECES``).
+Encoding uses the tokenizers library.  The tokenizer splits a normalized text
+into pieces before it merges anything, so ids of a text are the ids of its
+pieces, one after another.  Texts of plain characters (up to Latin
+Extended-A) are split by the same rule here, and the library encodes each
+distinct piece once, as long as the worker remembers it (``MEMORY_BITS``);
+any other text goes through the library whole.
 
 Cases: null and empty texts are documents of the end id alone.  Null ids
 come first, equal ids stay in the order of their rows.  An empty table gives
@@ -42,11 +44,13 @@ from pyspark.sql.window import Window
 from .common import read, shared_path, whole_text
 
 END_ID = 1
+#: how the vocabulary marks the end of a piece
+END_MARK = "</w>"
 NULL_ID = -(1 << 63)
-#: pieces whose ids a task keeps, about 100 bytes each
-CACHE_PIECES = 400_000
-#: ids that a task gathers before it writes them
-WRITE_IDS = 1 << 20
+#: size of a worker's memory of pieces: six tenths of two to this power, some 30 bytes each
+MEMORY_BITS = 22
+#: characters that are split together
+BLOCK_CHARS = 1 << 21
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -55,8 +59,82 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+_SPACE, _LETTER, _NUMBER, _OTHER, _ODD = range(5)
+_U = np.uint64
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class, lower-case form and a random 64-bit code of each character up to Latin Extended-A.
+
+    A text without an odd character is its own NFC form, lower-cases letter by
+    letter and has no white space but ASCII's; the last entry stands for all
+    further characters, which are odd.
+    """
+    import unicodedata
+
+    kinds = {"L": _LETTER, "N": _NUMBER}
+    cls = []
+    for c in range(0x181):
+        odd = c < 9 or 13 < c < 32 or 0x7f <= c <= 0xa0 or c in (0x130, 0x180)
+        cls.append(_ODD if odd else _SPACE if c <= 32 else kinds.get(unicodedata.category(chr(c))[0], _OTHER))
+    low = [c if cls[c] == _ODD else ord(chr(c).lower()) for c in range(0x181)]
+    code = np.random.default_rng(9).integers(1, 1 << 63, 0x181, dtype=np.uint64)
+    return np.array(cls, np.int8), np.array(low, np.int32), code
+
+
+class _Memory:
+    """Ids of pieces by 64-bit hash, in flat arrays: some 30 bytes a piece."""
+
+    def __init__(self, bits: int, dtype):
+        self.shift, self.mask = _U(64 - bits), (1 << bits) - 1
+        self.key = np.zeros(1 << bits, np.uint64)
+        self.place = np.zeros(1 << bits, np.int32)
+        self.room = (1 << bits) * 6 // 10
+        self.offset, self.flat, self.n, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, dtype), 0, 0
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Number of each piece, -1 if unknown."""
+        out = np.full(len(h), -1, np.int64)
+        open_, at = np.arange(len(h)), (h >> self.shift).astype(np.int64)
+        while len(open_):
+            key = self.key[at]
+            hit = key == h[open_]
+            out[open_[hit]] = self.place[at[hit]]
+            go = ~hit & (key != 0)
+            open_, at = open_[go], (at[go] + 1) & self.mask
+        return out
+
+    def add(self, h: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+        """Remember distinct unknown pieces; returns their numbers."""
+        size = np.array([len(x) for x in ids], np.int64)
+        while self.n + len(ids) + 1 > len(self.offset):
+            self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
+        while self.used + int(size.sum()) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        number = np.arange(self.n, self.n + len(ids))
+        self.offset[number + 1] = self.used + np.cumsum(size)
+        self.flat[self.used:self.used + int(size.sum())] = np.concatenate(ids)
+        self.n, self.used = self.n + len(ids), self.used + int(size.sum())
+        open_, at = np.arange(len(h)), (h >> self.shift).astype(np.int64)
+        while len(open_):
+            free = self.key[at] == 0
+            self.key[at[free]] = h[open_[free]]  # of two that want one slot, one gets it
+            own = self.key[at] == h[open_]
+            self.place[at[own]] = number[open_[own]]
+            open_, at = open_[~own], (at[~own] + 1) & self.mask
+        return number
+
+
 class _Encoder:
-    """Ids of whole texts as bytes, piece by piece."""
+    """Ids of whole texts; kept by the worker from task to task.
+
+    The tokenizer's splitting rule (contractions; runs of letters; single
+    numbers; runs of anything else but white space) is applied to arrays of
+    characters.  Pieces are told apart by 64-bit hashes; each distinct piece
+    is encoded by the library once, while it is remembered.
+    """
+
+    _BASE = _U(0x9E3779B97F4A7C15)
 
     def __init__(self, path: str):
         import os
@@ -65,35 +143,122 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.dtype = np.dtype("<u2" if self.tok.get_vocab_size() <= 1 << 16 else "<u4")
-        self.seen: dict[str, bytes] = {"": b""}
-
-    def learn(self, pieces):
-        new = [p for p in pieces if p not in self.seen]
-        if len(self.seen) + len(new) > CACHE_PIECES:
-            self.seen = {"": b""}
-            new = list(pieces)
-        for at in range(0, len(new), 4096):
-            part = new[at:at + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.seen[p] = np.array(e.ids, self.dtype).tobytes()
+        n = self.tok.get_vocab_size()
+        self.dtype = np.dtype("<u2" if n <= 1 << 16 else "<u4")
+        # the last id of a piece carries the end-of-word mark: joined pieces come apart again there
+        self.ends = np.zeros(n + 1, bool)
+        for token, i in self.tok.get_vocab().items():
+            self.ends[i] = token.endswith(END_MARK)
+        self.cls, self.low, self.code = _tables()
+        self.memory = _Memory(MEMORY_BITS, self.dtype)
+        self._powers(BLOCK_CHARS)
+
+    def _powers(self, n: int):
+        """Powers of the odd base and of its inverse modulo 2**64."""
+        inverse = _U(pow(int(self._BASE), -1, 1 << 64))
+        self.up = np.cumprod(np.concatenate([[_U(1)], np.full(n, self._BASE)]), dtype=np.uint64)
+        self.down = np.cumprod(np.concatenate([[_U(1)], np.full(n, inverse)]), dtype=np.uint64)
+
+    def split(self, cps: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starts and ends of the pieces of lower-cased plain characters, and those characters."""
+        low, cls = self.low[cps], self.cls[cps]
+        begin = np.ones(len(cps), bool)
+        begin[1:] = (cls[1:] != cls[:-1]) | (cls[1:] == _NUMBER)
+        # contractions: an apostrophe that begins and ends a run, then certain letters
+        far = np.concatenate([low, [32, 32]])
+        at = np.nonzero(begin & (low == 39))[0]
+        at = at[cls[np.minimum(at + 1, len(cls) - 1)] == _LETTER]
+        one, two = far[at + 1], far[at + 2]
+        short = np.isin(one, [ord(c) for c in "stmd"])
+        long = ((one == ord("r")) | (one == ord("v"))) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))
+        for hit, size in ((at[short], 2), (at[long], 3)):
+            begin[hit + 1] = False
+            after = hit + size
+            after = after[after < len(cls)]
+            begin[after[cls[after] == _LETTER]] = True
+        starts = np.nonzero(begin & (cls != _SPACE))[0]
+        edges = np.append(np.nonzero(begin)[0], len(cps))
+        return starts, edges[np.searchsorted(edges, starts, side="right")], low
+
+    def _learn(self, pieces: list[str]) -> list[np.ndarray]:
+        ids = np.array(self.tok.encode(" ".join(pieces), add_special_tokens=False).ids, self.dtype)
+        cuts = np.nonzero(self.ends[ids])[0] + 1
+        if len(cuts) == len(pieces) and cuts[-1] == len(ids):
+            return np.split(ids, cuts[:-1])
+        return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    def _known(self, h: np.ndarray, text_of) -> np.ndarray:
+        """Numbers, in the memory, of distinct pieces."""
+        number = self.memory.find(h)
+        missing = np.nonzero(number < 0)[0]
+        if self.memory.n + len(missing) > self.memory.room:  # full: start afresh
+            self.memory = _Memory(MEMORY_BITS, self.dtype)
+            missing = np.arange(len(h))
+        if len(missing):
+            ids = [x for at in range(0, len(missing), 4096) for x in self._learn([text_of(k) for k in missing[at:at + 4096].tolist()])]
+            number[missing] = self.memory.add(h[missing], ids)
+        return number
 
     def batches(self, texts):
-        """Ids of each text, a bounded number of characters at a time."""
+        """Ids of each text in turn, a bounded number of characters at a time."""
         block, chars = [], 0
         for t in texts:
-            block.append(t.replace("\n", " ").split(" "))
-            chars += len(t)
-            if chars > 1 << 20:
-                yield from self._flush(block)
+            if block and chars + len(t) + 1 > BLOCK_CHARS:
+                yield from self._block(block)
                 block, chars = [], 0
-        yield from self._flush(block)
+            block.append(t)
+            chars += len(t) + 1
+        yield from self._block(block)
+
+    def _block(self, texts: list[str]):
+        if not texts:
+            return
+        cps = np.frombuffer("\n".join(texts).encode("utf-32-le"), "<u4")
+        cps = np.minimum(cps, 0x180).astype(np.int32)
+        text_end = np.cumsum([len(t) + 1 for t in texts])
+        odd = {int(k) for k in np.unique(np.searchsorted(text_end, np.nonzero(self.cls[cps] == _ODD)[0], side="right"))}
+        odd |= {k for k, t in enumerate(texts) if "<|" in t or len(t) >= BLOCK_CHARS}
+        if not odd:
+            yield from self._plain(cps, text_end)
+            return
+        rest = self._block([t for k, t in enumerate(texts) if k not in odd])
+        for k, t in enumerate(texts):
+            yield np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if k in odd else next(rest)
+
+    def _plain(self, cps: np.ndarray, text_end: np.ndarray):
+        if not len(cps):
+            yield from (np.zeros(0, self.dtype) for _ in text_end)
+            return
+        starts, ends, low = self.split(cps)
+        # hash of a piece: its part of a running sum, moved back to power zero
+        run = np.concatenate([[_U(0)], np.cumsum(self.code[low] * self.up[:len(low)], dtype=np.uint64)])
+        h = ((run[ends] - run[starts]) * self.down[starts]) | _U(1)
+        index, distinct = pd.factorize(h)
+        first = np.zeros(len(distinct), np.int64)
+        first[index[::-1]] = np.arange(len(index))[::-1]
+        s, e = starts[first], ends[first]
+
+        def text_of(k: int) -> str:
+            return low[s[k]:e[k]].astype("<u4").tobytes().decode("utf-32-le")
+
+        number = self._known(distinct, text_of)
+        m = self.memory
+        place, size = m.offset[number], m.offset[number + 1] - m.offset[number]
+        n = size[index]
+        done = np.cumsum(n)
+        ids = m.flat[np.repeat(place[index] - (done - n), n) + np.arange(done[-1] if len(done) else 0)]
+        # each text's pieces are those that start in it
+        cuts = np.concatenate([[0], done])[np.searchsorted(starts, text_end)]
+        yield from np.split(ids, cuts[:-1])
+
+
+_ENCODERS: dict[str, _Encoder] = {}
+
 
-    def _flush(self, block):
-        self.learn({p for b in block for p in b})
-        get = self.seen.__getitem__
-        for b in block:
-            yield b"".join(map(get, b))
+def _encoder(path: str) -> _Encoder:
+    if path not in _ENCODERS:
+        _ENCODERS[path] = _Encoder(path)
+    return _ENCODERS[path]
 
 
 def _open(uri: str):
@@ -116,14 +281,14 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, id_col: str =
             if not len(b):
                 continue
             if enc is None:  # no file for an empty partition
-                enc = _Encoder(tokenizer)
+                enc = _encoder(tokenizer)
                 fs_, root = _open(path)
                 ids, off, doc_ids = (fs_.open_output_stream(f"{root}/{k}-{part:05d}-{name}") for k in ("ids", "offsets", "docs"))
                 end, at, held, sizes = np.array([end_id], enc.dtype).tobytes(), 0, [], [0]
             doc_ids.write(b["__id"].to_numpy(np.int64).astype("<i8").tobytes())
             for x in enc.batches(b["__text"]):
-                held += [x, end]
-                at += len(x) // enc.dtype.itemsize + 1
+                held += [x.tobytes(), end]
+                at += len(x) + 1
                 sizes.append(at)
                 n += 1
                 if len(sizes) > 1 << 12:
