@@ -43,7 +43,7 @@ from .common import delete_stored, ordered_positions, read, stored
 DEGREE, TREES, DEPTH, BLOCK = 32, 4, 16, 256
 ROUNDS, FORWARD, REVERSE = 3, 24, 20
 #: nodes a query keeps, expands per round, starts from, and scores exactly
-POOL, WIDTH, ENTRIES, RERANK = 448, 112, 8, 128
+POOL, WIDTH, ENTRIES, RERANK = 384, 96, 8, 128
 SEED = 5
 
 
@@ -110,8 +110,13 @@ def _dots(q: np.ndarray, scale: np.ndarray) -> np.ndarray:
     return (f @ f.T) * scale[:, None] * scale[None, :]
 
 
-def _matrix(column, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.int8).reshape(-1, dim)
+def _matrix(packed: bytes, dim: int) -> np.ndarray:
+    return np.frombuffer(packed, np.int8).reshape(-1, dim)
+
+
+def _packed(vectors):
+    """An array of 8-bit vectors as one binary: one object for Python, not one per vector."""
+    return F.aggregate(vectors, F.unhex(F.lit("")), lambda a, x: F.concat(a, x))
 
 
 def _block_neighbours(dim: int, degree: int):
@@ -121,7 +126,7 @@ def _block_neighbours(dim: int, degree: int):
         k = min(degree, n - 1)
         if k < 1:
             return pd.DataFrame({"a": [], "b": [], "sim": []})
-        s = _dots(_matrix(group["q"], dim), group["scale"].to_numpy())
+        s = _dots(_matrix(b"".join(group["q"]), dim), group["scale"].to_numpy())
         np.fill_diagonal(s, -np.inf)
         best = np.argpartition(-s, k - 1, axis=1)[:, :k]
         return pd.DataFrame({"a": np.repeat(ids, k), "b": ids[best].ravel(), "sim": np.take_along_axis(s, best, 1).ravel()})
@@ -181,7 +186,7 @@ def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, rounds: int = R
         hood = hood.join(own, "node").groupBy("at").agg(F.collect_list(F.struct(
             "node", F.coalesce("thr", F.lit(float("-inf")).cast("float")).alias("thr"), "scale", "q")).alias("m"))
         hood = hood.select(F.col("m.node").alias("nodes"), F.col("m.thr").alias("thr"), F.col("m.scale").alias("scales"),
-                           F.col("m.q").alias("qs"))
+                           _packed(F.col("m.q")).alias("qs"))
         found = hood.mapInPandas(_local_join(dim), "a long, b long, sim float")
         new = stored(_lists(found.unionAll(e), degree), f"graph-{k + 1}")
         delete_stored(graph)
@@ -195,7 +200,7 @@ def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
     v = nodes.select(F.col("node").alias("b"), "q", "scale")
     # a list per node, of bounded length
     return e.join(v, "b").groupBy(F.col("a").alias("node")).agg(F.collect_list(F.struct("b", "scale", "q")).alias("m")).select(
-        "node", F.col("m.b").alias("ids"), F.col("m.scale").alias("scales"), F.col("m.q").alias("qs"))
+        "node", F.col("m.b").alias("ids"), F.col("m.scale").alias("scales"), _packed(F.col("m.q")).alias("qs"))
 
 
 def _score_hop(dim: int):
