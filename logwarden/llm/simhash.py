@@ -44,6 +44,8 @@ SHINGLE, MAX_BITS = 4, 4
 ESTIMATE_SAMPLE = 4096
 #: cost of one probe row in candidate comparisons
 PROBE_COST = 40.0
+#: values a fingerprint may probe in one partition; a threshold that needs more is not considered
+MAX_PROBES = 2000
 #: fingerprints in one bucket above which it is split by further bits
 HOT_BUCKET = 50_000
 _ONE = np.uint64(1)
@@ -146,12 +148,13 @@ def allocate(n: int, p: np.ndarray, corr: np.ndarray, sample: np.ndarray,
              max_bits: int = MAX_BITS) -> list[tuple[list[int], int]]:
     """``(bits, threshold)`` of each probed partition, of least estimated cost."""
     best = None
-    for m in range(1, max_bits + 3):
+    for m in range(2, max_bits + 3):
         groups = group_bits(corr, m)
         costs = []
         for g in groups:
             agree = _agreement(g, p, sample, max_bits)
-            costs.append([0.0] + [PROBE_COST * n * _ball(len(g), t) + 0.5 * n * n * agree[t] * (1 + t)
+            balls = [_ball(len(g), t) for t in range(max_bits + 1)]
+            costs.append([0.0] + [np.inf if balls[t] > MAX_PROBES else PROBE_COST * n * balls[t] + 0.5 * n * n * agree[t] * (1 + t)
                                   for t in range(max_bits + 1)])
         # least[b]: cheapest way to spend b = sum of (T_i + 1) on the partitions so far
         least = [(0.0, [])] + [(np.inf, [])] * (max_bits + 1)

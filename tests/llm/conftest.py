@@ -2,6 +2,8 @@ import os
 
 import pytest
 
+from .helpers import LONG, SHARED
+
 DATA = "/root/testdata"
 
 
@@ -13,10 +15,6 @@ def sf():
     return path
 
 
-LONG = "wordy " * 60_000
-SHARED = "the quick brown fox jumps over the lazy dog near the old river bank every single sunny day"
-
-
 @pytest.fixture(scope="session")
 def messy(spark):
     """Documents with nulls everywhere, empty and very long texts, copies, repeated rows and clashing names."""
@@ -45,23 +43,3 @@ def messy(spark):
 def labels(spark):
     return spark.createDataFrame([(1, 1, 0), (2, 0, None), (None, 1, 1), (77, 0, 1), (6, 1, 1), (6, 1, 0)],
                                  "doc_id long, quality int, toxic int")
-
-
-def oracle_equal(spark, sf_dir, name):
-    """Rows of a query and of its SQL, compared like the driver does."""
-    import duckdb
-    from oracle_check import TABLES, digest
-
-    from logwarden.llm.registry import ORACLE_SQL, QUERIES
-
-    con = duckdb.connect()
-    con.execute("SET TimeZone='UTC'")
-    for t in TABLES:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
-    df = QUERIES[name](spark, sf_dir)
-    rel = con.sql(ORACLE_SQL[name])
-    rows, want = [tuple(r) for r in df.collect()], rel.fetchall()
-    assert sorted(df.columns) == sorted(rel.columns)
-    assert len(rows) == len(want)
-    assert digest(df.columns, rows)[0] == digest(rel.columns, want)[0]
-    return rows

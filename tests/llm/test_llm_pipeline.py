@@ -2,13 +2,14 @@
 
 import corpus_pipeline as CP
 import pytest
-from conftest import SHARED
 from pyspark.sql import functions as F
 
 from logwarden.llm import decontaminate as DC
 from logwarden.llm import simhash as SH
 from logwarden.llm import toxicity as TX
 
+from .helpers import SHARED
+
 
 def stage(name):
     return dict(CP.STAGES)[name]
