@@ -8,7 +8,9 @@ large both in total and per character.
 
 The models are trained from labelled samples.  Random: the values that the
 base patterns find in the corpus, and generated strings over the usual key
-alphabets.  Ordinary: every identifier run of the corpus outside base spans.
+alphabets.  Ordinary: every identifier run of the corpus outside base spans,
+with a share of steps kept for joints (camelCase, digits, separators), which
+prose hardly shows.
 Both are transition counts over all documents, added up by Spark; only two
 128 x 128 count tables reach the driver, whatever the corpus size.
 
@@ -47,6 +49,8 @@ KEY_ALPHABETS = (
 
 #: shortest run the models judge, and what the log-likelihood ratio (nats) must reach
 MIN_RUN, MIN_TOTAL, MIN_PER_CHAR = 16, 12.0, 0.6
+#: share of an ordinary identifier's steps that join two words (camelCase, digits, separators)
+JOINT = 0.05
 #: generated strings of each key alphabet in the random sample, their length and seed
 GENERATED, GENERATED_LEN, GENERATED_SEED = 2000, 32, 7
 
@@ -132,10 +136,25 @@ def train_markov(docs: DataFrame, text_col: str = "text") -> list[float]:
         m = c.reshape(_N, _N)[np.ix_(ident, ident)]
         one = (m.sum(0) + 1) / (m.sum() + len(ident))
         p = (m + 20 * one) / (m.sum(1, keepdims=True) + 20)
+        if name == "plain":
+            p = (1 - JOINT) * p + JOINT * _joints(ident, one)
         table[np.ix_(ident, ident)] += np.log(p) * (1 if name == "random" else -1)
     return [round(float(x), 9) for x in table.ravel()]
 
 
+def _joints(ident: np.ndarray, frequency: np.ndarray) -> np.ndarray:
+    """What follows where an identifier joins words: half upper case, else digits and separators."""
+    upper, digit = (ident >= 65) & (ident <= 90), (ident >= 48) & (ident <= 57)
+    out = np.zeros(len(ident))
+    # words begin with capitals as often as they hold the letter at all
+    lower = np.array([frequency[np.nonzero(ident == c + 32)[0][0]] for c in ident[upper]])
+    out[upper] = 0.5 * lower / lower.sum()
+    out[digit] = 0.25 / digit.sum()
+    rest = ~upper & ~digit & ~((ident >= 97) & (ident <= 122))
+    out[rest] = 0.25 / rest.sum()
+    return out
+
+
 def _has_mix(run: str) -> bool:
     """Letters of both cases, or letters and digits: plain words and plain numbers are no candidates."""
     digit = any(c.isdigit() for c in run)

@@ -88,7 +88,7 @@ def test_markov_spans_random_strings_only(spark, sf):
                     for _ in range(200))
         assert found > 185, alphabet
     for plain in ("thntintionreonststshandtherof", "max_connection_pool_size", "4242424242424242", "HTTPResponseHeaders",
-                  "Theandthering_oferandthe"):
+                  "Theandthering_oferandthe", "getTheseOneandThere2", "com/theread/en/Ander12", "reloadThinTheother"):
         assert SE.secret_spans(plain, t) == [], plain
 
 
