@@ -7,9 +7,10 @@ Each NN-descent round is a chain of Spark joins: every node gathers its
 neighbours and a sample of the nodes that point at it (``FORWARD`` and
 ``REVERSE`` of them), with their vectors; all pairs of such a neighbourhood,
 neighbours of neighbours, are compared in one small matrix, and pairs that
-improve a list are sent to it.  No list is longer than ``DEGREE``, no
-neighbourhood larger than FORWARD + REVERSE, and hubs are cut to the sampled
-size before any shuffle.
+improve a list are sent to it; entries new to a list are sampled first.
+Rounds go on until one changes at most a share ``DELTA`` of all entries.  No
+list is longer than ``DEGREE``, no neighbourhood larger than FORWARD +
+REVERSE, and hubs are cut to the sampled size before any shuffle.
 
 Search.  A query starts at its own node, if its vector is in the index, and
 at ``ENTRIES`` fixed nodes.  It keeps the ``POOL`` best nodes seen.  Each
@@ -30,6 +31,8 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+from itertools import count
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
@@ -39,11 +42,13 @@ from pyspark.sql.window import Window
 
 from .common import delete_stored, ordered_positions, read, stored
 
-#: neighbours of a node; start trees, their depth and block size; descent rounds and neighbourhood
+#: neighbours of a node; start trees, their depth and block size; sampled neighbourhood
 DEGREE, TREES, DEPTH, BLOCK = 32, 4, 16, 256
-ROUNDS, FORWARD, REVERSE = 3, 24, 20
+FORWARD, REVERSE = 24, 20
+#: the descent ends with a round that changes at most this share of the list entries
+DELTA = 0.01
 #: nodes a query keeps, expands per round, starts from, and scores exactly
-POOL, WIDTH, ENTRIES, RERANK = 384, 96, 8, 128
+POOL, WIDTH, ENTRIES, RERANK = 448, 112, 8, 128
 SEED = 5
 
 
@@ -88,6 +93,9 @@ def _mean(classes: DataFrame) -> np.ndarray:
     return np.array([x["m"] for x in r])
 
 
+NODES = "node long, q binary, scale float, codes array<int>"
+
+
 def _coded(mean: np.ndarray):
     planes = np.random.default_rng(SEED).standard_normal((TREES, DEPTH, len(mean)))
     powers = 1 << np.arange(DEPTH - 1, -1, -1)
@@ -135,15 +143,16 @@ def _block_neighbours(dim: int, degree: int):
 
 
 def _lists(edges: DataFrame, degree: int) -> DataFrame:
-    """Edges ``(a, b, sim)`` -> ``(node, nbrs)``: the best ``degree`` distinct neighbours, best first."""
+    """Edges ``(a, b, sim, old)`` -> ``(node, nbrs)``: the best ``degree`` distinct neighbours, best first."""
     at = F.row_number().over(Window.partitionBy("a").orderBy(F.desc("sim"), "b"))
-    e = edges.groupBy("a", "b").agg(F.max("sim").alias("sim")).withColumn("__at", at).where(F.col("__at") <= degree)
+    e = edges.groupBy("a", "b").agg(F.max("sim").alias("sim"), F.max("old").alias("old"))
+    e = e.withColumn("__at", at).where(F.col("__at") <= degree)
     return e.groupBy(F.col("a").alias("node")).agg(
-        F.sort_array(F.collect_list(F.struct("sim", "b")), asc=False).alias("nbrs"))
+        F.sort_array(F.collect_list(F.struct("sim", "b", "old")), asc=False).alias("nbrs"))
 
 
 def _edges(graph: DataFrame) -> DataFrame:
-    return graph.select(F.col("node").alias("a"), F.inline("nbrs")).select("a", "b", "sim")
+    return graph.select(F.col("node").alias("a"), F.inline("nbrs")).select("a", "b", "sim", "old")
 
 
 def _local_join(dim: int):
@@ -165,19 +174,19 @@ def _local_join(dim: int):
     return run
 
 
-def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
-    """``nodes(node, q, scale, codes)`` -> ``(node, nbrs array<struct<sim, b>>)``."""
+def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, delta: float = DELTA) -> DataFrame:
+    """``nodes(node, q, scale, codes)`` -> ``(node, nbrs array<struct<sim, b, old>>)``."""
     trees = nodes.select("node", "q", "scale", F.posexplode("codes").alias("tree", "code"))
     blocks = ordered_positions(trees, ["tree", "code", "node"], "tree-order").withColumn(
         "block", F.floor(F.col("__pos") / BLOCK).cast("long")).select("block", "node", "q", "scale")
     start = blocks.groupBy("block").applyInPandas(_block_neighbours(dim, degree), "a long, b long, sim float")
-    graph = stored(_lists(start, degree), "graph-0")
+    graph = stored(_lists(start.withColumn("old", F.lit(False)), degree), "graph-0")
     vectors = nodes.select("node", "q", "scale")
-    for k in range(rounds):
+    for k in count():  # least similarities only grow and lists are bounded, so changes die out
         e = _edges(graph)
-        some = F.xxhash64("a", "b", F.lit(k))
-        forward = e.withColumn("__at", F.row_number().over(Window.partitionBy("a").orderBy(some)))
-        reverse = e.withColumn("__at", F.row_number().over(Window.partitionBy("b").orderBy(some)))
+        some = ["old", F.xxhash64("a", "b", F.lit(k))]
+        forward = e.withColumn("__at", F.row_number().over(Window.partitionBy("a").orderBy(*some)))
+        reverse = e.withColumn("__at", F.row_number().over(Window.partitionBy("b").orderBy(*some)))
         hood = forward.where(F.col("__at") <= FORWARD).select(F.col("a").alias("at"), F.col("b").alias("node")).unionAll(
             reverse.where(F.col("__at") <= REVERSE).select(F.col("b").alias("at"), F.col("a").alias("node"))).distinct()
         # a node's list is full if its last similarity bounds what can improve it
@@ -188,10 +197,13 @@ def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, rounds: int = R
         hood = hood.select(F.col("m.node").alias("nodes"), F.col("m.thr").alias("thr"), F.col("m.scale").alias("scales"),
                            _packed(F.col("m.q")).alias("qs"))
         found = hood.mapInPandas(_local_join(dim), "a long, b long, sim float")
-        new = stored(_lists(found.unionAll(e), degree), f"graph-{k + 1}")
+        found = found.withColumn("old", F.lit(False)).unionAll(e.withColumn("old", F.lit(True)))
+        new = stored(_lists(found, degree), f"graph-{k + 1}")
         delete_stored(graph)
         graph = new
-    return graph
+        entries, changed = graph.agg(F.sum(F.size("nbrs")), F.sum(F.size(F.filter("nbrs", lambda x: ~x["old"])))).first()
+        if (changed or 0) <= delta * (entries or 0):
+            return graph
 
 
 def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -274,8 +286,7 @@ def nearest(table: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     asked = stored(asked.join(classes.select("vec", "node"), "vec").select("query_id", "node"), "queries")
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    nodes = stored(classes.select("node", "vec").mapInPandas(
-        _coded(_mean(classes)), "node long, q binary, scale float, codes array<int>"), "nodes")
+    nodes = stored(classes.select("node", "vec").mapInPandas(_coded(_mean(classes)), NODES), "nodes")
     graph = nn_descent(nodes, dim)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # partitioned once by node; every hop of the search joins against it without moving it

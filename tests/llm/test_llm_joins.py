@@ -14,7 +14,7 @@ from logwarden.llm import decontaminate as DC
 from logwarden.llm import simhash as SH
 from logwarden.llm import url_filter as UF
 from logwarden.llm import warc_audit as WA
-from logwarden.llm.common import connected_components, ordered_positions
+from logwarden.llm.common import connected_components, ordered_positions, stored
 
 from .helpers import oracle_equal
 
@@ -242,6 +242,20 @@ def test_neighbours_reach_the_recall(spark):
         assert all(abs(s - float(v[q] @ v[i])) < 1e-12 for _, i, s in x)
 
 
+def test_descent_runs_until_the_lists_settle(spark):
+    rng = np.random.default_rng(8)
+    v = rng.standard_normal((12_000, 64))
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    t = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(v)], "node long, vec array<double>")
+    nodes = stored(t.mapInPandas(AN._coded(v.mean(0)), AN.NODES), "nodes")
+    got = {r.node: {x.b for x in r.nbrs} for r in AN.nn_descent(nodes, 64).collect()}
+    some = range(0, 12_000, 40)
+    sims = v[some] @ v.T
+    sims[np.arange(len(some)), some] = -np.inf
+    true = np.argpartition(-sims, 31, axis=1)[:, :32]
+    assert np.mean([len(got[i] & set(w.tolist())) / 32 for i, w in zip(some, true, strict=True)]) > 0.82
+
+
 def test_neighbours_edges(spark):
     rng = np.random.default_rng(6)
     base = [[float(x) for x in r] for r in rng.standard_normal((60, 8))]
