@@ -2,7 +2,8 @@
 
 Index.  Equal vectors are one class, under their smallest id; the graph is
 built over classes, and every row is in a class.  A start graph comes from
-``TREES`` random-hyperplane orders cut into blocks of ``BLOCK`` vectors.
+``TREES`` random-hyperplane orders cut into blocks of ``BLOCK`` vectors;
+vectors of one code, such as near copies, are dealt anew in each.
 Each NN-descent round is a chain of Spark joins: every node gathers its
 neighbours and a sample of the nodes that point at it (``FORWARD`` and
 ``REVERSE`` of them), with their vectors; all pairs of such a neighbourhood,
@@ -18,9 +19,10 @@ round joins the ``WIDTH`` best nodes it has not yet expanded with their
 neighbours (the adjacency is partitioned once and stays so) and scores
 these; it ends when its whole pool is expanded.
 
-Neighbourhoods and adjacency carry 8-bit vectors.  The ``RERANK`` best of a
-pool are then scored in double precision on the original vectors, with all
-members of their classes.
+Neighbourhoods and adjacency carry the original vectors, as float if the
+column holds floats and as double otherwise, and every score on the way is a
+double.  Of a pool, what rounding could place among the best is scored once
+more in a fixed order of additions, with all members of the classes.
 
 Cases: rows with a null id, and vectors null, zero, with a null or
 non-finite component, or of another length than most, take no part, neither
@@ -47,9 +49,11 @@ DEGREE, TREES, DEPTH, BLOCK = 32, 4, 16, 256
 FORWARD, REVERSE = 24, 20
 #: the descent ends with a round that changes at most this share of the list entries
 DELTA = 0.01
-#: nodes a query keeps, expands per round, starts from, and scores exactly
-POOL, WIDTH, ENTRIES, RERANK = 448, 112, 8, 128
+#: nodes a query keeps, expands per round, and starts from
+POOL, WIDTH, ENTRIES = 448, 112, 8
 SEED = 5
+#: bytes of neighbourhoods or adjacency handed to a Python worker at a time
+BATCH_BYTES = 4 << 20
 
 
 def clean_vectors(table: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -74,11 +78,6 @@ def _stack(column) -> np.ndarray:
     return np.stack([np.asarray(x, np.float64) for x in column])
 
 
-def _quantize(v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    scale = np.maximum(np.abs(v).max(1), 1e-30) / 127.0
-    return np.rint(v / scale[:, None]).astype(np.int8), scale.astype(np.float32)
-
-
 def _mean(classes: DataFrame) -> np.ndarray:
     def sums(batches):
         total, n = 0.0, 0
@@ -93,10 +92,10 @@ def _mean(classes: DataFrame) -> np.ndarray:
     return np.array([x["m"] for x in r])
 
 
-NODES = "node long, q binary, scale float, codes array<int>"
+NODES = "node long, q binary, codes array<int>"
 
 
-def _coded(mean: np.ndarray):
+def _coded(mean: np.ndarray, kind: str = "f8"):
     planes = np.random.default_rng(SEED).standard_normal((TREES, DEPTH, len(mean)))
     powers = 1 << np.arange(DEPTH - 1, -1, -1)
 
@@ -105,36 +104,31 @@ def _coded(mean: np.ndarray):
             if not len(b):
                 continue
             v = _stack(b["vec"])
-            q, scale = _quantize(v)
             codes = np.einsum("nd,tkd->ntk", v - mean, planes) > 0
-            yield pd.DataFrame({"node": b["node"].to_numpy(), "q": [x.tobytes() for x in q], "scale": scale,
+            yield pd.DataFrame({"node": b["node"].to_numpy(), "q": [x.tobytes() for x in v.astype(kind)],
                                 "codes": list((codes @ powers).astype(np.int32))})
 
     return run
 
 
-def _dots(q: np.ndarray, scale: np.ndarray) -> np.ndarray:
-    f = q.astype(np.float32)
-    return (f @ f.T) * scale[:, None] * scale[None, :]
-
-
-def _matrix(packed: bytes, dim: int) -> np.ndarray:
-    return np.frombuffer(packed, np.int8).reshape(-1, dim)
+def _matrix(packed: bytes, dim: int, kind: str) -> np.ndarray:
+    return np.frombuffer(packed, kind).reshape(-1, dim).astype(np.float64, copy=False)
 
 
 def _packed(vectors):
-    """An array of 8-bit vectors as one binary: one object for Python, not one per vector."""
+    """An array of vectors as one binary: one object for Python, not one per vector."""
     return F.aggregate(vectors, F.unhex(F.lit("")), lambda a, x: F.concat(a, x))
 
 
-def _block_neighbours(dim: int, degree: int):
+def _block_neighbours(dim: int, degree: int, kind: str):
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("node")
         ids, n = group["node"].to_numpy(), len(group)
         k = min(degree, n - 1)
         if k < 1:
             return pd.DataFrame({"a": [], "b": [], "sim": []})
-        s = _dots(_matrix(b"".join(group["q"]), dim), group["scale"].to_numpy())
+        m = _matrix(b"".join(group["q"]), dim, kind)
+        s = m @ m.T
         np.fill_diagonal(s, -np.inf)
         best = np.argpartition(-s, k - 1, axis=1)[:, :k]
         return pd.DataFrame({"a": np.repeat(ids, k), "b": ids[best].ravel(), "sim": np.take_along_axis(s, best, 1).ravel()})
@@ -155,13 +149,13 @@ def _edges(graph: DataFrame) -> DataFrame:
     return graph.select(F.col("node").alias("a"), F.inline("nbrs")).select("a", "b", "sim", "old")
 
 
-def _local_join(dim: int):
+def _local_join(dim: int, kind: str):
     def run(batches):
         for b in batches:
             out = []
-            for nodes, thr, scale, q in zip(b["nodes"], b["thr"], b["scales"], b["qs"], strict=True):
-                nodes, thr, scale = np.asarray(nodes), np.asarray(thr), np.asarray(scale, np.float32)
-                s = _dots(_matrix(q, dim), scale)
+            for nodes, thr, q in zip(b["nodes"], b["thr"], b["qs"], strict=True):
+                nodes, thr, m = np.asarray(nodes), np.asarray(thr), _matrix(q, dim, kind)
+                s = m @ m.T
                 i, j = np.nonzero(np.triu(s > np.minimum(thr[:, None], thr[None, :]), 1))
                 v = s[i, j]
                 for x, y in ((i, j), (j, i)):
@@ -174,14 +168,14 @@ def _local_join(dim: int):
     return run
 
 
-def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, delta: float = DELTA) -> DataFrame:
-    """``nodes(node, q, scale, codes)`` -> ``(node, nbrs array<struct<sim, b, old>>)``."""
-    trees = nodes.select("node", "q", "scale", F.posexplode("codes").alias("tree", "code"))
-    blocks = ordered_positions(trees, ["tree", "code", "node"], "tree-order").withColumn(
-        "block", F.floor(F.col("__pos") / BLOCK).cast("long")).select("block", "node", "q", "scale")
-    start = blocks.groupBy("block").applyInPandas(_block_neighbours(dim, degree), "a long, b long, sim float")
+def nn_descent(nodes: DataFrame, dim: int, kind: str = "f8", degree: int = DEGREE, delta: float = DELTA) -> DataFrame:
+    """``nodes(node, q, codes)`` -> ``(node, nbrs array<struct<sim, b, old>>)``."""
+    trees = nodes.select("node", "q", F.posexplode("codes").alias("tree", "code")).withColumn("deal", F.xxhash64("tree", "node"))
+    blocks = ordered_positions(trees, ["tree", "code", "deal", "node"], "tree-order").withColumn(
+        "block", F.floor(F.col("__pos") / BLOCK).cast("long")).select("block", "node", "q")
+    start = blocks.groupBy("block").applyInPandas(_block_neighbours(dim, degree, kind), "a long, b long, sim double")
     graph = stored(_lists(start.withColumn("old", F.lit(False)), degree), "graph-0")
-    vectors = nodes.select("node", "q", "scale")
+    vectors = nodes.select("node", "q")
     for k in count():  # least similarities only grow and lists are bounded, so changes die out
         e = _edges(graph)
         some = ["old", F.xxhash64("a", "b", F.lit(k))]
@@ -191,12 +185,11 @@ def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, delta: float =
             reverse.where(F.col("__at") <= REVERSE).select(F.col("b").alias("at"), F.col("a").alias("node"))).distinct()
         # a node's list is full if its last similarity bounds what can improve it
         least = F.when(F.size("nbrs") >= degree, F.element_at("nbrs", -1)["sim"]).otherwise(F.lit(float("-inf")))
-        own = vectors.join(graph.select("node", least.cast("float").alias("thr")), "node", "left")
+        own = vectors.join(graph.select("node", least.alias("thr")), "node", "left")
         hood = hood.join(own, "node").groupBy("at").agg(F.collect_list(F.struct(
-            "node", F.coalesce("thr", F.lit(float("-inf")).cast("float")).alias("thr"), "scale", "q")).alias("m"))
-        hood = hood.select(F.col("m.node").alias("nodes"), F.col("m.thr").alias("thr"), F.col("m.scale").alias("scales"),
-                           _packed(F.col("m.q")).alias("qs"))
-        found = hood.mapInPandas(_local_join(dim), "a long, b long, sim float")
+            "node", F.coalesce("thr", F.lit(float("-inf"))).alias("thr"), "q")).alias("m"))
+        hood = hood.select(F.col("m.node").alias("nodes"), F.col("m.thr").alias("thr"), _packed(F.col("m.q")).alias("qs"))
+        found = hood.mapInPandas(_local_join(dim, kind), "a long, b long, sim double")
         found = found.withColumn("old", F.lit(False)).unionAll(e.withColumn("old", F.lit(True)))
         new = stored(_lists(found, degree), f"graph-{k + 1}")
         delete_stored(graph)
@@ -207,22 +200,22 @@ def nn_descent(nodes: DataFrame, dim: int, degree: int = DEGREE, delta: float =
 
 
 def adjacency(graph: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``(node, ids, scales, qs)``: each node and its neighbours with their 8-bit vectors."""
+    """``(node, ids, qs)``: each node and its neighbours with their vectors."""
     e = _edges(graph).select("a", "b").unionAll(nodes.select(F.col("node").alias("a"), F.col("node").alias("b")))
-    v = nodes.select(F.col("node").alias("b"), "q", "scale")
+    v = nodes.select(F.col("node").alias("b"), "q")
     # a list per node, of bounded length
-    return e.join(v, "b").groupBy(F.col("a").alias("node")).agg(F.collect_list(F.struct("b", "scale", "q")).alias("m")).select(
-        "node", F.col("m.b").alias("ids"), F.col("m.scale").alias("scales"), _packed(F.col("m.q")).alias("qs"))
+    return e.join(v, "b").groupBy(F.col("a").alias("node")).agg(F.collect_list(F.struct("b", "q")).alias("m")).select(
+        "node", F.col("m.b").alias("ids"), _packed(F.col("m.q")).alias("qs"))
 
 
-def _score_hop(dim: int):
+def _score_hop(dim: int, kind: str):
     def run(batches):
         for b in batches:
             if not len(b):
                 continue
             ids, sims = [], []
-            for x, scale, q, v, thr in zip(b["ids"], b["scales"], b["qs"], b["qvec"], b["thr"], strict=True):
-                s = (_matrix(q, dim).astype(np.float32) @ np.frombuffer(v, np.float32)) * np.asarray(scale, np.float32)
+            for x, q, v, thr in zip(b["ids"], b["qs"], b["qvec"], b["thr"], strict=True):
+                s = _matrix(q, dim, kind) @ np.frombuffer(v, np.float64)
                 ok = s > thr
                 ids.append(np.asarray(x)[ok])
                 sims.append(s[ok])
@@ -236,7 +229,7 @@ def _merge(pool: int, width: int):
         out = []
         for r in state.itertuples():
             ids = np.concatenate([np.asarray(r.ids, np.int64), *[np.asarray(x, np.int64) for x in answers["ids"]]])
-            sims = np.concatenate([np.asarray(r.sims, np.float32), *[np.asarray(x, np.float32) for x in answers["sims"]]])
+            sims = np.concatenate([np.asarray(r.sims, np.float64), *[np.asarray(x, np.float64) for x in answers["sims"]]])
             ids, at = np.unique(ids, return_index=True)
             sims = sims[at]
             best = np.lexsort((ids, -sims))[:pool]
@@ -251,21 +244,21 @@ def _merge(pool: int, width: int):
     return run
 
 
-_STATE = "query long, qvec binary, ids array<long>, sims array<float>, done array<long>, todo array<long>, thr float"
+_STATE = "query long, qvec binary, ids array<long>, sims array<double>, done array<long>, todo array<long>, thr double"
 
 
-def graph_search(adj: DataFrame, queries: DataFrame, dim: int, pool: int = POOL, width: int = WIDTH) -> DataFrame:
+def graph_search(adj: DataFrame, queries: DataFrame, dim: int, kind: str = "f8", pool: int = POOL, width: int = WIDTH) -> DataFrame:
     """``queries(query, qvec, todo)`` -> pools ``(query, ids, sims)``; ``adj`` is kept partitioned by node."""
     empty = F.array()
-    state = stored(queries.select("query", "qvec", empty.cast("array<long>").alias("ids"), empty.cast("array<float>").alias("sims"),
+    state = stored(queries.select("query", "qvec", empty.cast("array<long>").alias("ids"), empty.cast("array<double>").alias("sims"),
                                   empty.cast("array<long>").alias("done"), "todo",
-                                  F.lit(float("-inf")).cast("float").alias("thr")), "search")
+                                  F.lit(float("-inf")).alias("thr")), "search")
     while True:
         ask = state.select("query", "qvec", "thr", F.explode("todo").alias("node"))
         if ask.isEmpty():
             return state.select("query", "ids", "sims")
-        answers = ask.join(adj, "node").select("query", "qvec", "thr", "ids", "scales", "qs").mapInPandas(
-            _score_hop(dim), "query long, ids array<long>, sims array<float>")
+        answers = ask.join(adj, "node").select("query", "qvec", "thr", "ids", "qs").mapInPandas(
+            _score_hop(dim, kind), "query long, ids array<long>, sims array<double>")
         new = stored(state.groupBy("query").cogroup(answers.groupBy("query")).applyInPandas(_merge(pool, width), _STATE),
                      "search")
         delete_stored(state)
@@ -273,6 +266,17 @@ def graph_search(adj: DataFrame, queries: DataFrame, dim: int, pool: int = POOL,
 
 
 def nearest(table: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """``_nearest`` with the bytes that a Python worker gets at a time bounded by ``BATCH_BYTES``."""
+    conf, name = table.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(name, None)
+    conf.set(name, BATCH_BYTES)
+    try:
+        return _nearest(table, is_query, k, id_col, vec_col)
+    finally:
+        conf.unset(name) if before is None else conf.set(name, before)
+
+
+def _nearest(table: DataFrame, is_query, k: int, id_col: str, vec_col: str) -> DataFrame:
     """The ``k`` nearest rows by inner product of each row that ``is_query`` (a Column) picks.
 
     ``query_id, rank, vec_id, score``, nearest first, the query's own row left out.
@@ -286,8 +290,10 @@ def nearest(table: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     asked = stored(asked.join(classes.select("vec", "node"), "vec").select("query_id", "node"), "queries")
     if not dim:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    nodes = stored(classes.select("node", "vec").mapInPandas(_coded(_mean(classes)), NODES), "nodes")
-    graph = nn_descent(nodes, dim)
+    # floats travel as floats: nothing is lost, and half the bytes
+    kind = "f4" if table.schema[vec_col].dataType.elementType.typeName() == "float" else "f8"
+    nodes = stored(classes.select("node", "vec").mapInPandas(_coded(_mean(classes), kind), NODES), "nodes")
+    graph = nn_descent(nodes, dim, kind)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # partitioned once by node; every hop of the search joins against it without moving it
     adj = stored(adjacency(graph, nodes), "adjacency").repartition(parts, "node").persist(StorageLevel.MEMORY_AND_DISK)
@@ -300,12 +306,17 @@ def nearest(table: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     def packed(batches):
         for b in batches:
             yield pd.DataFrame({"query": b["query"], "todo": b["todo"],
-                                "qvec": [np.asarray(v, np.float32).tobytes() for v in b["vec"]]})
+                                "qvec": [np.asarray(v, np.float64).tobytes() for v in b["vec"]]})
 
     starts = starts.mapInPandas(packed, "query long, todo array<long>, qvec binary")
-    pools = graph_search(adj, starts, dim)
+    pools = graph_search(adj, starts, dim, kind)
     adj.unpersist()
-    near = pools.select("query", F.explode(F.slice("ids", 1, max(RERANK, 2 * k))).alias("node"))
+    # twice the rounding of a sum of products, for two sums: nodes below it cannot be among the best k + 1
+    norm = lambda v: F.sqrt(F.aggregate(v, F.lit(0.0), lambda a, x: a + x * x))
+    slack = 4 * dim * 2.0 ** -52 * classes.agg(F.max(norm("vec"))).first()[0] ** 2
+    least = F.get("sims", F.lit(k)) - F.lit(slack)
+    near = pools.select("query", least.alias("least"), F.inline(F.arrays_zip("ids", "sims"))).where(
+        "least IS NULL OR sims >= least").select("query", F.col("ids").alias("node"))
     vec_of = classes.select(F.col("node").alias("query"), F.col("vec").alias("qvec"))
     near = near.join(vec_of, "query").join(classes, "node")
     score = F.aggregate(F.zip_with("qvec", "vec", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)

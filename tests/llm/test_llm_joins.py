@@ -256,6 +256,21 @@ def test_descent_runs_until_the_lists_settle(spark):
     assert np.mean([len(got[i] & set(w.tolist())) / 32 for i, w in zip(some, true, strict=True)]) > 0.82
 
 
+@pytest.mark.parametrize("unit", [True, False])
+def test_neighbours_within_a_group_of_near_copies(spark, unit):
+    rng = np.random.default_rng(9)
+    v = np.concatenate([rng.standard_normal((1000, 32)), rng.standard_normal(32) * (1 + 0.003 * rng.standard_normal((4000, 32)))])
+    v = (v / np.linalg.norm(v, axis=1)[:, None] if unit else v).astype(np.float32)
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    got: dict = {}
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    for r in AN.nearest(t, lambda i: i % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute_nearest(rows, lambda i: i % 50 == 0, 20)
+    assert set(got) == set(want)
+    assert np.mean([len(got[q] & {i for i, _ in x}) / 20 for q, x in want.items() if q >= 1000]) >= 0.9
+
+
 def test_neighbours_edges(spark):
     rng = np.random.default_rng(6)
     base = [[float(x) for x in r] for r in rng.standard_normal((60, 8))]
