@@ -4,7 +4,10 @@ Base spans come from three fixed patterns (assignments, access keys, long
 hex runs).  Further spans (kind ``markov``) come from two first-order
 character models, one of random strings and one of ordinary identifiers: a
 run of identifier characters is a secret if its log-likelihood ratio is
-large both in total and per character.
+large both in total and per character.  Where a run's case tells nothing (one
+case, a capitalised word, digits alone) it is folded, only steps between
+letters and digits count, and more is asked per step.  Digits alone never
+reach it: the models know no difference between a random and another number.
 
 The models are trained from labelled samples.  Random: the values that the
 base patterns find in the corpus, and generated strings over the usual key
@@ -49,6 +52,8 @@ KEY_ALPHABETS = (
 
 #: shortest run the models judge, and what the log-likelihood ratio (nats) must reach
 MIN_RUN, MIN_TOTAL, MIN_PER_CHAR = 16, 12.0, 0.6
+#: per step of a run without mixed case or digits among letters: one word, and words with separators
+MIN_PER_STEP, MIN_PER_JOINED_STEP = 1.0, 2.0
 #: share of an ordinary identifier's steps that join two words (camelCase, digits, separators)
 JOINT = 0.05
 #: generated strings of each key alphabet in the random sample, their length and seed
@@ -89,6 +94,8 @@ def _transitions(text: str) -> np.ndarray:
 _IDENT = np.zeros(256, bool)
 for _c in b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-":
     _IDENT[_c] = True
+_WORD = _IDENT.copy()
+_WORD[list(b"+/_=-")] = False
 
 
 def _count_batches(batches):
@@ -156,22 +163,32 @@ def _joints(ident: np.ndarray, frequency: np.ndarray) -> np.ndarray:
 
 
 def _has_mix(run: str) -> bool:
-    """Letters of both cases, or letters and digits: plain words and plain numbers are no candidates."""
+    """Letters of both cases, or letters and digits: what plain words and plain numbers lack."""
     digit = any(c.isdigit() for c in run)
     return (digit and any(c.isalpha() for c in run)) or (run != run.lower() and not run[1:].islower() and run != run.upper())
 
 
+def _is_random(run: str, table: np.ndarray) -> bool:
+    """Whether the models call the run random."""
+    if _has_mix(run):
+        a = np.frombuffer(run.encode("ascii"), np.uint8)
+        llr = float(table[a[:-1], a[1:]].sum())
+        return llr >= MIN_TOTAL and llr >= MIN_PER_CHAR * (len(run) - 1)
+    a = np.frombuffer(run.lower().encode("ascii"), np.uint8)
+    inner = _WORD[a[:-1]] & _WORD[a[1:]]
+    llr = float(table[a[:-1], a[1:]][inner].sum())
+    return llr >= MIN_TOTAL and llr >= (MIN_PER_STEP if inner.all() else MIN_PER_JOINED_STEP) * inner.sum()
+
+
 def secret_spans(text: str, table: np.ndarray, patterns=None, runs=None) -> list[tuple[int, int, str]]:
     """All spans of a text by start, then kind in listing order."""
     spans = [x[:3] for x in base_spans(text, patterns)]
     base = list(spans)
     for m in (runs or re.compile(_RUN % MIN_RUN)).finditer(text):
         run = m.group()
-        if not _has_mix(run) or any(s <= m.start() and m.end() <= e for s, e, _ in base):
+        if any(s <= m.start() and m.end() <= e for s, e, _ in base):
             continue
-        a = np.frombuffer(run.encode("ascii"), np.uint8)
-        llr = float(table[a[:-1], a[1:]].sum())
-        if llr >= MIN_TOTAL and llr >= MIN_PER_CHAR * (len(run) - 1):
+        if _is_random(run, table):
             spans.append((m.start(), m.end(), "markov"))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2])))
 

@@ -92,6 +92,22 @@ def test_markov_spans_random_strings_only(spark, sf):
         assert SE.secret_spans(plain, t) == [], plain
 
 
+def test_markov_spans_random_strings_of_one_case(spark, sf):
+    docs = spark.read.parquet(f"{sf.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    t = np.array(SE.train_markov(docs)).reshape(128, 128)
+    rng = np.random.default_rng(2)
+    for alphabet in ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"):
+        for size in (16, 32):
+            made = ["".join(rng.choice(list(alphabet), size)) for _ in range(200)]
+            joined = ["-".join(x[k:k + size // 4] for k in range(0, size, size // 4)) for x in made]
+            for least, runs in ((190, made), (150, joined)):
+                found = sum(SE.secret_spans(f"the {x} of", t) == [(4, 4 + len(x), "markov")] for x in runs)
+                assert found > least, (alphabet, size, least)
+    for plain in ("internationalization", "INTERNATIONALIZATION", "CONFIGURATIONERROR", "Donaudampfschifffahrt", "aaaaaaaaaaaaaaaaaaaa",
+                  "DEFAULT_CONNECTION_TIMEOUT", "-" * 20, "=" * 20, "path/to/some/file/name", "5927243074273351"):
+        assert SE.secret_spans(plain, t) == [], plain
+
+
 def test_secret_query_is_whole_and_consistent(spark, sf):
     import hashlib
 
