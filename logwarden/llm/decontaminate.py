@@ -19,7 +19,10 @@ where it is and no text is shuffled or read twice.
 
 Words are runs of letters and digits, lower-cased.  Cases: null and empty
 texts, and texts and items of fewer than ``WINDOW`` words, match nothing.
-Items with the same words count as one, under their smallest id.  Documents
+Items with the same words count as one, under their smallest id.  Items
+without an id are benchmark texts like any other: a document that overlaps
+some is reported once with a null item, and ``drop_contaminated`` drops it;
+only the registered query leaves null items out, as its SQL does.  Documents
 that agree in the key columns are one.  Empty tables give no rows.
 """
 
@@ -119,7 +122,7 @@ def _bit(seed: Column) -> Column:
 def benchmark_seeds(bench: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """Seeds of the distinct items: ``item, seed, mask, ipos, iat, iwords``."""
     b = bench.select(F.col(id_col).alias("__item"), word_hashes(whole_text(text_col)).alias("__words"))
-    b = b.where("__item IS NOT NULL").groupBy("__words").agg(F.min("__item").alias("__item"))
+    b = b.groupBy("__words").agg(F.min("__item").alias("__item"))
     t = _seeds(fenced(b.select("__item", F.col("__words").alias("__w")), __words=F.col("__w")).drop("__w"), ["__item"])
     return t.select(F.col("__item").alias("item"), "seed", "mask", F.col("pos").alias("ipos"),
                     F.col("at").alias("iat"), F.col("words").alias("iwords"))
@@ -204,4 +207,5 @@ ORACLE = _windows_sql()
 
 
 def query(spark, sf_dir) -> DataFrame:
-    return contaminated(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))
+    docs, bench = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")
+    return contaminated(docs, bench.where("item_id IS NOT NULL"))

@@ -205,6 +205,15 @@ def test_overlaps_equal_brute_force(spark):
     assert DC.drop_contaminated(d, b.limit(0)).count() == len(docs)
 
 
+def test_items_without_id_are_benchmark_texts(spark):
+    one, two = (" ".join(f"{c}{k}" for k in range(15)) for c in "xy")
+    items = spark.createDataFrame([(None, one), (None, one + " more"), (7, two)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"a {one} b"), (2, f"{two} {one}"), (3, "clean " * 20), (4, two)], "doc_id long, text string")
+    got = sorted((tuple(r) for r in DC.contaminated(docs, items).collect()), key=str)
+    assert got == sorted([(1, None, 13, 1), (2, 7, 13, 0), (2, None, 13, 15), (4, 7, 13, 0)], key=str)
+    assert [r.doc_id for r in DC.drop_contaminated(docs, items).collect()] == [3]
+
+
 def test_native_operators_run_no_python(spark, sf):
     for make in (lambda: DC.query(spark, sf), lambda: UF.query(spark, sf), lambda: CH.query(spark, sf)):
         plan = make()._jdf.queryExecution().executedPlan().toString()
