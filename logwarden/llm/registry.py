@@ -7,8 +7,8 @@ import os
 
 import corpus_pipeline
 
-from . import (ann, chat_perspectives, decontaminate, secrets, sentencepiece_sampling, simhash, token_files, toxicity,
-               url_filter, warc_audit)
+from . import (ann, chat_perspectives, decontaminate, merkle_manifest, secrets, sentencepiece_sampling, simhash,
+               token_files, toxicity, url_filter, warc_audit)
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,6 +37,7 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_url_filter": url_filter.query,
     "op10_decontaminate": decontaminate.query,
+    "op13_merkle_manifest": merkle_manifest.query,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -47,4 +48,5 @@ ORACLE_SQL = {
     "op3_chat_perspectives": chat_perspectives.ORACLE,
     "op9_url_filter": url_filter.ORACLE,
     "op10_decontaminate": decontaminate.ORACLE,
+    "op13_merkle_manifest": merkle_manifest.ORACLE,
 }
