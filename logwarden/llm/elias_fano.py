@@ -89,35 +89,32 @@ class EliasFano:
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """Numbers at the places ``i``."""
-        ones_before = lambda w: U(64) * w.astype(np.uint64) - self.zeros[w]
-        lo, hi, i = np.zeros(len(i), np.int64), np.full(len(i), len(self.zeros), np.int64), i.astype(np.uint64)
-        while len(i) and (hi - lo).max() > 1:  # the last word with at most i ones before it
-            mid = (lo + hi) >> 1
-            up = ones_before(np.minimum(mid, len(self.zeros) - 1)) <= i
-            up &= mid < hi
-            lo, hi = np.where(up, mid, lo), np.where(up, hi, np.maximum(mid, lo + 1))
-        bit = _nth_bit(self.bits[lo], i - ones_before(lo))
+        i = i.astype(np.uint64)
+        ones = np.arange(len(self.zeros), dtype=np.uint64) * U(64) - self.zeros  # before each word
+        lo = np.searchsorted(ones, i, side="right") - 1
+        bit = _nth_bit(self.bits[lo], i - ones[lo])
         high = lo.astype(np.uint64) * U(64) + bit - i
         return (high << U(self.width)) | self._lows(i)
 
-    def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Place of the first number >= x in [start, end), else end; ``x`` ascending."""
+    def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first number >= x in [start, end), else end, and whether it is x; ``x`` ascending."""
         high = x >> U(self.width)
         new = np.concatenate([[True], high[1:] != high[:-1]]) if len(high) else np.zeros(0, bool)
         of = np.cumsum(new) - 1
         distinct = high[new]
-        lo = np.maximum(self._rank(distinct)[of], start)
-        hi = np.minimum(self._rank(distinct + U(1))[of], end)
         low = x & ((U(1) << U(self.width)) - U(1))
-        lo, hi = np.minimum(lo, end), np.maximum(np.minimum(lo, end), hi)
-        on = np.flatnonzero(lo < hi)
+        lo = np.clip(self._rank(distinct)[of], start, end)
+        hi = np.clip(self._rank(distinct + U(1))[of], lo, end)
+        last, on = hi.copy(), np.flatnonzero(lo < hi)
         while len(on):
             mid = (lo[on] + hi[on]) >> 1
             up = self._lows(mid) < low[on]
             lo[on] = np.where(up, mid + 1, lo[on])
             hi[on] = np.where(up, hi[on], mid)
             on = on[lo[on] < hi[on]]
-        return lo
+        same = lo < last  # else every number of this high part is smaller
+        same[same] = self._lows(lo[same]) == low[same]
+        return lo, same
 
     def all(self) -> np.ndarray:
         """Every number, in order."""

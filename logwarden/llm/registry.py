@@ -7,8 +7,8 @@ import os
 
 import corpus_pipeline
 
-from . import (ann, chat_perspectives, decontaminate, merkle_manifest, secrets, sentencepiece_sampling, simhash,
-               spelling, token_files, toxicity, url_filter, warc_audit)
+from . import (ann, chat_perspectives, decontaminate, lm_scoring, merkle_manifest, secrets, sentencepiece_sampling,
+               simhash, spelling, token_files, toxicity, url_filter, warc_audit)
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -37,6 +37,7 @@ QUERIES = {
     "op8_token_files": token_files.query,
     "op9_url_filter": url_filter.query,
     "op10_decontaminate": decontaminate.query,
+    "op11_lm_scoring": lm_scoring.query,
     "op12_spelling_variants": spelling.query,
     "op13_merkle_manifest": merkle_manifest.query,
     "pipeline": corpus_pipeline.run,
