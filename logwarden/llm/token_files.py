@@ -47,7 +47,7 @@ END_ID = 1
 #: how the vocabulary marks the end of a piece
 END_MARK = "</w>"
 NULL_ID = -(1 << 63)
-#: size of a worker's memory of pieces: six tenths of two to this power, some 30 bytes each
+#: size of a worker's memory of pieces: six tenths of two to this power, some 50 bytes each
 MEMORY_BITS = 22
 #: characters that are split together
 BLOCK_CHARS = 1 << 21
@@ -82,8 +82,17 @@ def _tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array(cls, np.int8), np.array(low, np.int32), code
 
 
+def _equal(x: np.ndarray, x_at: np.ndarray, y: np.ndarray, y_at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether the ranges of x and y that begin at these places are equal."""
+    owner = np.repeat(np.arange(len(size)), size)
+    within = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    out = np.ones(len(size), bool)
+    out[owner[x[x_at[owner] + within] != y[y_at[owner] + within]]] = False
+    return out
+
+
 class _Memory:
-    """Ids of pieces by 64-bit hash, in flat arrays: some 30 bytes a piece."""
+    """Ids of pieces by 64-bit hash, and the pieces, in flat arrays: some 50 bytes a piece."""
 
     def __init__(self, bits: int, dtype):
         self.shift, self.mask = _U(64 - bits), (1 << bits) - 1
@@ -91,6 +100,7 @@ class _Memory:
         self.place = np.zeros(1 << bits, np.int32)
         self.room = (1 << bits) * 6 // 10
         self.offset, self.flat, self.n, self.used = np.zeros(1 << 16, np.int64), np.zeros(1 << 18, dtype), 0, 0
+        self.text_offset, self.text = np.zeros(1 << 16, np.int64), np.zeros(1 << 19, np.uint16)
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Number of each piece, -1 if unknown."""
@@ -104,11 +114,24 @@ class _Memory:
             open_, at = open_[go], (at[go] + 1) & self.mask
         return out
 
-    def add(self, h: np.ndarray, ids: list[np.ndarray]) -> np.ndarray:
+    def holds(self, number: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the pieces of these numbers are the given ones: pieces of one hash need not be equal."""
+        at, size = self.text_offset[number], end - start
+        out = self.text_offset[number + 1] - at == size
+        out[out] = _equal(self.text, at[out], low, start[out], size[out])
+        return out
+
+    def add(self, h: np.ndarray, ids: list[np.ndarray], pieces: list[str]) -> np.ndarray:
         """Remember distinct unknown pieces; returns their numbers."""
         size = np.array([len(x) for x in ids], np.int64)
         while self.n + len(ids) + 1 > len(self.offset):
             self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
+            self.text_offset = np.concatenate([self.text_offset, np.zeros_like(self.text_offset)])
+        text, at = np.frombuffer("".join(pieces).encode("utf-16-le"), "<u2"), int(self.text_offset[self.n])
+        while at + len(text) > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros_like(self.text)])
+        self.text[at:at + len(text)] = text
+        self.text_offset[self.n + 1:self.n + len(ids) + 1] = at + np.cumsum([len(x) for x in pieces])
         while self.used + int(size.sum()) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         number = np.arange(self.n, self.n + len(ids))
@@ -130,8 +153,9 @@ class _Encoder:
 
     The tokenizer's splitting rule (contractions; runs of letters; single
     numbers; runs of anything else but white space) is applied to arrays of
-    characters.  Pieces are told apart by 64-bit hashes; each distinct piece
-    is encoded by the library once, while it is remembered.
+    characters.  Pieces are looked up by 64-bit hashes and then compared;
+    each distinct piece is encoded by the library once, while it is remembered.
+    A text with a piece whose hash another piece holds goes through whole.
     """
 
     _BASE = _U(0x9E3779B97F4A7C15)
@@ -187,17 +211,21 @@ class _Encoder:
             return np.split(ids, cuts[:-1])
         return [np.array(e.ids, self.dtype) for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
-    def _known(self, h: np.ndarray, text_of) -> np.ndarray:
-        """Numbers, in the memory, of distinct pieces."""
+    def _known(self, h: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers, in the memory, of pieces of distinct hashes, and which of them are other pieces there."""
         number = self.memory.find(h)
         missing = np.nonzero(number < 0)[0]
         if self.memory.n + len(missing) > self.memory.room:  # full: start afresh
             self.memory = _Memory(MEMORY_BITS, self.dtype)
             missing = np.arange(len(h))
+        other = np.zeros(len(h), bool)
+        held = np.setdiff1d(np.arange(len(h)), missing, assume_unique=True)
+        other[held] = ~self.memory.holds(number[held], low, start[held], end[held])
         if len(missing):
-            ids = [x for at in range(0, len(missing), 4096) for x in self._learn([text_of(k) for k in missing[at:at + 4096].tolist()])]
-            number[missing] = self.memory.add(h[missing], ids)
-        return number
+            pieces = [low[s:e].astype("<u4").tobytes().decode("utf-32-le") for s, e in zip(start[missing], end[missing], strict=True)]
+            ids = [x for at in range(0, len(missing), 4096) for x in self._learn(pieces[at:at + 4096])]
+            number[missing] = self.memory.add(h[missing], ids, pieces)
+        return number, other
 
     def batches(self, texts):
         """Ids of each text in turn, a bounded number of characters at a time."""
@@ -219,13 +247,13 @@ class _Encoder:
         odd = {int(k) for k in np.unique(np.searchsorted(text_end, np.nonzero(self.cls[cps] == _ODD)[0], side="right"))}
         odd |= {k for k, t in enumerate(texts) if "<|" in t or len(t) >= BLOCK_CHARS}
         if not odd:
-            yield from self._plain(cps, text_end)
+            yield from self._plain(cps, text_end, texts)
             return
         rest = self._block([t for k, t in enumerate(texts) if k not in odd])
         for k, t in enumerate(texts):
             yield np.array(self.tok.encode(t, add_special_tokens=False).ids, self.dtype) if k in odd else next(rest)
 
-    def _plain(self, cps: np.ndarray, text_end: np.ndarray):
+    def _plain(self, cps: np.ndarray, text_end: np.ndarray, texts: list[str]):
         if not len(cps):
             yield from (np.zeros(0, self.dtype) for _ in text_end)
             return
@@ -236,12 +264,14 @@ class _Encoder:
         index, distinct = pd.factorize(h)
         first = np.zeros(len(distinct), np.int64)
         first[index[::-1]] = np.arange(len(index))[::-1]
-        s, e = starts[first], ends[first]
-
-        def text_of(k: int) -> str:
-            return low[s[k]:e[k]].astype("<u4").tobytes().decode("utf-32-le")
-
-        number = self._known(distinct, text_of)
+        # every piece is compared with the one that stands for its hash
+        size = ends - starts
+        wrong = size != size[first][index]
+        same = np.flatnonzero(~wrong)
+        wrong[same] = ~_equal(low, starts[same], low, starts[first][index[same]], size[same])
+        number, other = self._known(distinct, low, starts[first], ends[first])
+        wrong |= other[index]
+        whole = set(np.searchsorted(text_end, starts[wrong], side="right").tolist())
         m = self.memory
         place, size = m.offset[number], m.offset[number + 1] - m.offset[number]
         n = size[index]
@@ -249,7 +279,8 @@ class _Encoder:
         ids = m.flat[np.repeat(place[index] - (done - n), n) + np.arange(done[-1] if len(done) else 0)]
         # each text's pieces are those that start in it
         cuts = np.concatenate([[0], done])[np.searchsorted(starts, text_end)]
-        yield from np.split(ids, cuts[:-1])
+        for k, own in enumerate(np.split(ids, cuts[:-1])):
+            yield np.array(self.tok.encode(texts[k], add_special_tokens=False).ids, self.dtype) if k in whole else own
 
 
 _ENCODERS: dict[str, _Encoder] = {}

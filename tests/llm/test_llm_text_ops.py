@@ -278,3 +278,33 @@ def test_token_files_of_nothing(spark, messy, tmp_path):
     path = f"file://{tmp_path}/none"
     TF.write_token_files(messy.limit(0), path, TF.tokenizer_path())
     assert TF.read_token_files(spark, path).count() == 0
+
+
+def thue_morse(k, a, b):
+    """A word of 2**k letters and its complement: equal under every polynomial hash modulo 2**64 of odd base."""
+    bits = [0]
+    for _ in range(k):
+        bits += [1 - x for x in bits]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+def test_pieces_of_one_hash_keep_their_own_ids():
+    """Colliding words in one text, in one batch, and across batches of one worker; and one hash for all pieces."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(TF.tokenizer_path())
+    want = lambda t: tok.encode(t, add_special_tokens=False).ids
+    texts = ["plain words", ""]
+    for k in (10, 11, 12):
+        x, y = thue_morse(k, "a", "b")
+        texts += [x, f"before {y} after", f"{x} {y}"]
+    enc = TF._Encoder(TF.tokenizer_path())
+    for batch in (texts, texts[::-1], texts * 2):
+        assert [x.tolist() for x in enc.batches(batch)] == [want(t) for t in batch]
+    enc.code[:] = 1  # pieces of equal length share a hash
+    rng = random.Random(1)
+    batch = [" ".join(rng.choices("one two neo owt eerht three it's don't 12 21 a b".split(), k=9)) for _ in range(60)]
+    for b in (batch, batch[::-1]):
+        assert [x.tolist() for x in enc.batches(b)] == [want(t) for t in b]
