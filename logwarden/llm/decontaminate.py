@@ -21,9 +21,10 @@ Words are runs of letters and digits, lower-cased.  Cases: null and empty
 texts, and texts and items of fewer than ``WINDOW`` words, match nothing.
 Items with the same words count as one, under their smallest id.  Items
 without an id are benchmark texts like any other: a document that overlaps
-some is reported once with a null item, and ``drop_contaminated`` drops it;
-only the registered query leaves null items out, as its SQL does.  Documents
-that agree in the key columns are one.  Empty tables give no rows.
+some is reported once with a null item, and ``drop_contaminated`` drops it.
+Documents that agree in the key columns are one.  Empty tables give no rows.
+A passage that many items and many documents share is reported for each pair
+of them.
 """
 
 from __future__ import annotations
@@ -186,15 +187,15 @@ def _windows_sql() -> str:
     need, w = WINDOW - MAX_SUBSTITUTIONS, WINDOW
     return f"""
 WITH d AS (SELECT doc_id, list_transform(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+'), lambda x: hash(x)) AS w FROM documents),
-b AS (SELECT min(item_id) AS item_id, w FROM (SELECT item_id, list_transform(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+'), lambda x: hash(x)) AS w
-      FROM benchmark WHERE item_id IS NOT NULL) GROUP BY w),
+b AS (SELECT min(item_id) AS item_id, row_number() OVER () AS k, w FROM (SELECT item_id, list_transform(regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+'), lambda x: hash(x)) AS w
+      FROM benchmark) GROUP BY w),
 dg AS (SELECT doc_id, unnest(range(1, len(w) - 2)) AS p, w FROM d WHERE len(w) >= {w}),
-bg AS (SELECT item_id, unnest(range(1, len(w) - 2)) AS p, w FROM b WHERE len(w) >= {w}),
+bg AS (SELECT k, unnest(range(1, len(w) - 2)) AS p, w FROM b WHERE len(w) >= {w}),
 dk AS (SELECT doc_id, p, hash(w[p], w[p+1], w[p+2], w[p+3]) AS g FROM dg),
-bk AS (SELECT item_id, p, hash(w[p], w[p+1], w[p+2], w[p+3]) AS g FROM bg),
-diag AS (SELECT DISTINCT dk.doc_id, bk.item_id, dk.p - bk.p AS shift FROM dk JOIN bk ON dk.g = bk.g),
-al AS (SELECT x.doc_id, x.item_id, x.shift, greatest(1, 1 + x.shift) AS lo, least(len(d.w), len(b.w) + x.shift) AS hi, d.w AS dw, b.w AS bw
-       FROM diag x JOIN d ON d.doc_id = x.doc_id JOIN b ON b.item_id = x.item_id),
+bk AS (SELECT k, p, hash(w[p], w[p+1], w[p+2], w[p+3]) AS g FROM bg),
+diag AS (SELECT DISTINCT dk.doc_id, bk.k, dk.p - bk.p AS shift FROM dk JOIN bk ON dk.g = bk.g),
+al AS (SELECT x.doc_id, b.item_id, x.shift, greatest(1, 1 + x.shift) AS lo, least(len(d.w), len(b.w) + x.shift) AS hi, d.w AS dw, b.w AS bw
+       FROM diag x JOIN d ON d.doc_id = x.doc_id JOIN b ON b.k = x.k),
 eq AS (SELECT doc_id, item_id, lo, list_transform(range(lo, hi + 1), lambda q: CASE WHEN dw[q] = bw[q - shift] THEN 1 ELSE 0 END) AS e FROM al WHERE hi - lo + 1 >= {w}),
 win AS (SELECT doc_id, item_id, lo + s - 2 AS first_word, list_sum(e[s:s + {w - 1}]) AS n
         FROM (SELECT doc_id, item_id, lo, e, unnest(range(1, len(e) - {w - 2})) AS s FROM eq))
@@ -207,5 +208,4 @@ ORACLE = _windows_sql()
 
 
 def query(spark, sf_dir) -> DataFrame:
-    docs, bench = read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark")
-    return contaminated(docs, bench.where("item_id IS NOT NULL"))
+    return contaminated(read(spark, sf_dir, "documents").select("doc_id", "text"), read(spark, sf_dir, "benchmark"))

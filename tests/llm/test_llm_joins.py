@@ -214,6 +214,22 @@ def test_items_without_id_are_benchmark_texts(spark):
     assert [r.doc_id for r in DC.drop_contaminated(docs, items).collect()] == [3]
 
 
+def test_query_reports_items_without_id(spark, tmp_path):
+    """Only an item without id matches document 1; the query and its SQL report it."""
+    import duckdb
+
+    passage = " ".join(f"p{k}" for k in range(20))
+    spark.createDataFrame([(None, passage), (None, passage + " q"), (3, " ".join(f"z{k}" for k in range(14)))],
+                          "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, f"so {passage} on"), (2, "nothing of the kind")],
+                          "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    for t in ("benchmark", "documents"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet/*.parquet')")
+    rows = [tuple(r) for r in DC.query(spark, str(tmp_path)).collect()]
+    assert rows == [(1, None, 13, 1)] == con.sql(DC.ORACLE).fetchall()
+
+
 def test_native_operators_run_no_python(spark, sf):
     for make in (lambda: DC.query(spark, sf), lambda: UF.query(spark, sf), lambda: CH.query(spark, sf)):
         plan = make()._jdf.queryExecution().executedPlan().toString()
