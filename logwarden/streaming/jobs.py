@@ -10,14 +10,19 @@ checkpoint).
   counts.  Counts add up, so readers sum them: lines that arrive late count
   like any other and no state is held.  ``append`` mode is the stateful form:
   a watermark closes windows and each is written once.
-* W3 ``stream_alerts``: brute-force tiers and the error-rate rule over the
-  windows a micro-batch touched, partitioned by channel.
+* W3 ``stream_alerts``: brute-force tiers and the error-rate rule.  Totals per
+  window and address are kept as state (a streaming aggregate), so a batch
+  costs what it touches, not what was ever read; a climb to a new tier is told
+  by the alerts that the touched days already hold.
 * W4 ``stream_dedup``: one copy of each line, whenever its repeats arrive.
+  Lines seen lately are state; only folders of the touched days that are older
+  than the state are looked up.
 
-Sinks are idempotent: a micro-batch writes to ``query=<id>/batch_id=<n>`` with
-``mode('overwrite')``, so a batch replayed after a failure rewrites its own
-folder, and a job restarted with a new checkpoint (a new query id) overwrites
-nothing.  ``compact`` folds the folders of a job into one.
+Sinks are idempotent: a micro-batch writes to a folder of its own, named by
+query id and batch number, so a batch replayed after a failure rewrites it,
+and a job restarted with a new checkpoint (a new query id) overwrites
+nothing.  ``compact``, ``compact_alerts`` and ``compact_lines`` fold the folders
+of a table (see ``delta``), ``drop_days`` ends a table's retention.
 
 Checkpoint and output folders must be on shared storage on a cluster; the
 caller passes them in.
@@ -35,19 +40,24 @@ from ..functions import columns as X
 from ..operators import filters as FL
 from ..operators.alerts import ALERT_COLUMNS, alert, error_rate_rule, ssh_tier_rule
 from ..sources.files import log_type_of
+from . import delta as D
 from .windows import KEYS, WATERMARK, WINDOW, add_up, failed_login_events, window_counts, window_table
 
 
 def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
-                 exclude=()) -> DataFrame:
-    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream."""
+                 exclude=(), with_block: bool = False) -> DataFrame:
+    """New files under ``path`` -> ``(line, source_file, log_type)`` as a stream.
+
+    ``with_block`` adds ``_block``, the file and the block of it that a line is in.
+    """
     r = (spark.readStream.format("text").option("recursiveFileLookup", "true")
          .option("lineSep", "\n"))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = r.load(path)
     df = raw.select(F.regexp_replace("value", r"\r$", "").alias("line"),
-                    F.col("_metadata.file_name").alias("source_file"))
+                    F.col("_metadata.file_name").alias("source_file"),
+                    *([F.xxhash64("_metadata.file_path", "_metadata.file_block_start").alias("_block")] if with_block else []))
     excl = list(exclude or ())
     if excl:
         df = df.where(~F.col("source_file").isin(excl))
@@ -115,32 +125,20 @@ def stream_failed_login_windows(spark: SparkSession, in_path: str, checkpoint: s
     return _start(t, checkpoint, sink, "append", available_now, processing_time, "failed_login_windows")
 
 
-WINDOW_SCHEMA = ("window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint, errors bigint, "
-                 "query string, batch_id bigint")
+WINDOW_SCHEMA = "window_start timestamp_ntz, window_end timestamp_ntz, ip string, cnt bigint, errors bigint"
 ALERT_SCHEMA = ("engine string, severity string, category string, ip string, metric_value bigint, "
                 "threshold bigint, message string, action string, in_main_log boolean, "
-                "window_start timestamp_ntz, query string, batch_id bigint, channel string")
-LINE_SCHEMA = "line string, source_file string, log_type string, event_ts timestamp_ntz, query string, batch_id bigint"
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table of batch folders with a fixed schema; empty before the first write."""
-    from pyspark.errors import AnalysisException
-
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+                "window_start timestamp_ntz, climbed boolean, channel string")
+LINE_SCHEMA = "line string, source_file string, log_type string, event_ts timestamp_ntz"
+#: how long a line is remembered as state, counted from its arrival
+HORIZON = "1 day"
+#: folders of a batch in the tables by day
+DAY_LEVELS, LINE_LEVELS = ("query", "batch_id"), ("query", "arrived", "batch_id")
 
 
 def window_totals(spark: SparkSession, out_path: str) -> DataFrame:
-    """The window table of all lines that a W2 or W3 job has read so far."""
-    return add_up(_read(spark, out_path, WINDOW_SCHEMA))
+    """The window table of all lines that a W2 job has read so far."""
+    return add_up(D.read(spark, D.paths(spark, out_path), WINDOW_SCHEMA))
 
 
 def latest_window_counts(spark: SparkSession, out_path: str) -> DataFrame:
@@ -149,23 +147,55 @@ def latest_window_counts(spark: SparkSession, out_path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, out_path: str) -> int:
-    """Fold all batch folders of a W2 job (between its runs) into one; returns the rows kept.
+    """Fold the batch folders of a W2 job, whether it runs or not; returns the rows of the table.
 
-    The sum is written beside the folders before any of them is deleted, and
-    takes their place by one rename; a crash leaves the old or the new form
-    and a folder ``<out>.compact`` that the next call replaces.
+    No step can lose or double a count: see ``delta``.
     """
-    from pyspark.sql import Observation
+    D.compact(spark, out_path, WINDOW_SCHEMA, add_up)
+    return window_totals(spark, out_path).count()
+
+
+# ---- tables by day: <out>/day=<d>/<batch folders>
+
+def _day_folder(out: str, day) -> str:
+    return f"{out.rstrip('/')}/day={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+
 
-    seen, new = Observation(), f"{out_path.rstrip('/')}.compact"
-    rows = window_totals(spark, out_path).observe(seen, F.count(F.lit(1)).alias("n"))
-    rows.write.mode("overwrite").parquet(f"{new}/query=compact/batch_id=0")
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    old_p, new_p = (jvm.org.apache.hadoop.fs.Path(p) for p in (out_path, new))
-    fs = old_p.getFileSystem(conf)
-    fs.delete(old_p, True)
-    fs.rename(new_p, old_p)
-    return int(seen.get["n"])
+def _day_folders(spark: SparkSession, out: str) -> list[str]:
+    return sorted(D._glob(spark, f"{out.rstrip('/')}/day=*"))
+
+
+def _read_days(spark: SparkSession, out: str, schema: str, levels) -> DataFrame:
+    return D.read(spark, [p for f in _day_folders(spark, out) for p in D.paths(spark, f, levels)], schema)
+
+
+def _write_by_day(rows: DataFrame, out: str, values: dict) -> None:
+    """Add a batch's rows, which have a column ``day``, to their days; a replay writes the same folders again."""
+    for k, v in values.items():
+        rows = rows.withColumn(k, F.lit(v))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", *values).parquet(out)
+
+
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    """A batch's rows written once: a streaming plan read twice would run twice."""
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def _days(rows: DataFrame) -> list:
+    """The days of a batch: as many as it has in its lines, not more than the log has."""
+    return [r.day for r in rows.select("day").distinct().collect()]
+
+
+def drop_days(spark: SparkSession, out_path: str, before: str) -> list[str]:
+    """Retention of a table by day: delete the days before a date (ISO); returns them.  Untimed rows stay."""
+    gone = []
+    for f in _day_folders(spark, out_path):
+        day = f.rsplit("day=", 1)[1]
+        if day[:1].isdigit() and day < before:
+            D.delete(spark, f)
+            gone.append(day)
+    return gone
 
 
 def window_alerts(counts: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:
@@ -187,67 +217,134 @@ def stream_alerts(spark: SparkSession, in_path: str, checkpoint: str, out_path:
                   cfg: Thresholds = DEFAULT, available_now: bool = True,
                   processing_time: str | None = None,
                   max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """W3 job: alerts of the windows each micro-batch touched, partitioned by channel.
-
-    A batch writes its window counts to ``<out>/counts`` and, from the counts
-    of all batches, the alerts of its windows to ``<out>/alerts``: an alert
-    appears as soon as its window reaches a tier and again when it climbs;
-    the reader keeps the newest row per rule and window.
+    """W3 job: alerts of the windows each micro-batch touched, below ``<out>/alerts`` by day and channel.
+
+    Every touched window (and address) that stands in a tier gives a row with
+    its new total; ``climbed`` marks those whose rule and severity the window
+    had not reached before, which are the ones to notify of.  Late lines add
+    to their window, untimed ones to the null window.  Totals are streaming
+    state, one row per window and address; a batch reads no earlier counts,
+    and of earlier alerts only those of the days it touches.
     """
-    counts_path, alerts_path = f"{out_path.rstrip('/')}/counts", f"{out_path.rstrip('/')}/alerts"
+    alerts_path = f"{out_path.rstrip('/')}/alerts"
+    tier = ["engine", "category", "severity", "ip", "window_start"]
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        own = _folder(spark, counts_path, checkpoint, batch_id)
-        _write(window_table(batch, cfg), own)
-        touched = spark.read.parquet(own).select(F.col("window_start").alias("w"), F.col("ip").alias("i"))
-        now = window_totals(spark, counts_path)
-        now = now.join(touched, F.col("window_start").eqNullSafe(F.col("w")) & F.col("ip").eqNullSafe(F.col("i")), "left_semi")
-        _write(window_alerts(now, cfg), _folder(spark, alerts_path, checkpoint, batch_id), partition_by="channel")
+        query = _query_id(spark, checkpoint)
+        now = window_alerts(batch, cfg).withColumn("day", F.to_date("window_start"))
+        now = _staged(now, f"{out_path.rstrip('/')}/_staged/query={query}")
+        before = D.read(spark, alerts_before(spark, alerts_path, _days(now), query, batch_id), ALERT_SCHEMA)
+        told = before.select(*[F.col(c).alias(f"_{c}") for c in tier]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in tier]
+        rows = now.join(told.withColumn("_told", F.lit(True)), same, "left").withColumn("climbed", F.col("_told").isNull())
+        _write_by_day(rows.select(*now.columns, "climbed").drop("query", "batch_id"), alerts_path,
+                      {"query": query, "batch_id": batch_id})
 
-    return _start(stream_lines(spark, in_path, max_files_per_trigger), checkpoint, sink, "append", available_now,
-                  processing_time, "stream_alerts")
+    lines = stream_lines(spark, in_path, max_files_per_trigger)
+    return _start(window_table(lines, cfg), checkpoint, sink, "update", available_now, processing_time, "stream_alerts")
 
 
-def latest_stream_alerts(spark: SparkSession, out_path: str) -> DataFrame:
-    """The newest row per rule (engine, category), address and window."""
-    t = _read(spark, f"{out_path.rstrip('/')}/alerts", ALERT_SCHEMA)
+def alerts_before(spark: SparkSession, alerts_path: str, days: list, query: str, batch_id: int) -> list[str]:
+    """The folders of earlier alerts of some days."""
+    return [p for day in days for p in D.paths(
+        spark, _day_folder(alerts_path, day), DAY_LEVELS, lambda b: (b.query, b.number) != (query, batch_id))]
+
+
+def stream_alert_rows(spark: SparkSession, out_path: str) -> DataFrame:
+    """All rows that a W3 job has written."""
+    return _read_days(spark, f"{out_path.rstrip('/')}/alerts", ALERT_SCHEMA, DAY_LEVELS)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    """The newest row per rule (engine, category), address and window; ``climbed`` if any had climbed."""
     keys = ["engine", "category", "ip", "window_start"]
-    cols = [c for c in t.columns if c not in (*keys, "query", "batch_id")]
+    cols = [c for c in rows.columns if c not in (*keys, "climbed")]
     # counts only grow, so of several writes the largest is the newest, whatever job wrote it
-    return (t.groupBy(*keys).agg(F.max_by(F.struct(*cols), "metric_value").alias("l"))
-            .select(*keys, "l.*"))
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "metric_value").alias("l")).select(*keys, "l.*")
+
+
+def latest_stream_alerts(spark: SparkSession, out_path: str) -> DataFrame:
+    """The newest row per rule (engine, category), address and window."""
+    return _newest(stream_alert_rows(spark, out_path))
+
+
+def compact_alerts(spark: SparkSession, out_path: str) -> None:
+    """Fold each day of a W3 job's alerts: one row per rule, severity, address and window, that of the largest total."""
+    def fold(rows: DataFrame) -> DataFrame:
+        keys = ["engine", "category", "severity", "ip", "window_start"]
+        cols = [c for c in rows.columns if c not in (*keys, "climbed")]
+        t = rows.groupBy(*keys).agg(F.max_by(F.struct(*cols), "metric_value").alias("l"), F.bool_or("climbed").alias("climbed"))
+        return t.select(*keys, "l.*", "climbed").select(*rows.columns)
+
+    for f in _day_folders(spark, f"{out_path.rstrip('/')}/alerts"):
+        D.compact(spark, f, ALERT_SCHEMA, fold, DAY_LEVELS)
+
+
+def first_copies(lines: DataFrame, horizon: str = HORIZON) -> DataFrame:
+    """A stream of lines without those that came before within ``horizon``; lines without a time all stay.
+
+    Lines are remembered from their arrival, so none is ever too late.  Copies
+    of a line are first told apart by the block of the file they are in: a
+    line that fills the log is folded by many tasks before one task sees one
+    copy from each.
+    """
+    key = F.when(F.col("event_ts").isNotNull(), F.col("line")).otherwise(F.uuid())
+    t = lines.withColumn("_key", key).withColumn("arrived", F.current_timestamp()).withWatermark("arrived", horizon)
+    t = t.dropDuplicatesWithinWatermark(["_key", "_block"]).dropDuplicatesWithinWatermark(["_key"])
+    return t.drop("_key", "_block")
+
+
+def lines_before(spark: SparkSession, out_path: str, days: list, query: str, batch_id: int, since: int) -> list[str]:
+    """The folders of some days that the state of a job does not cover: older ones, other jobs', and snapshots."""
+    def uncovered(b: D.Batch) -> bool:
+        return b.query != query or (b.number != batch_id and int(b.values["arrived"]) < since)
+
+    return [p for day in days if day is not None for p in D.paths(spark, _day_folder(out_path, day), LINE_LEVELS, uncovered)]
 
 
 def stream_dedup(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,
                  cfg: Thresholds = DEFAULT, available_now: bool = True,
                  processing_time: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = None, horizon: str = HORIZON) -> StreamingQuery:
     """W4 job: one copy of each line; lines without a readable time pass through as they are.
 
-    Equal lines have equal times, so a line's earlier copies are in the
-    output of its day: each batch keeps one copy of its own lines (a plain
-    aggregate that folds a hot line before the shuffle) and drops those that
-    the days it touches already hold.  However late a repeat comes, it is
-    dropped, and a late new line is kept.
+    Repeats that arrive within ``horizon`` of the first copy are dropped by
+    the stream's state.  What passes is looked up in the output of its day
+    (equal lines have equal times), but for the batches that the state still
+    covers.  So a line of today reads nothing, a late line reads its own day,
+    and no batch reads more as the log grows.  However late a repeat comes, it
+    is dropped, and a late new line is kept.
     """
     from ..operators.parse import with_event_time
 
+    span = f"unix_seconds(timestamp'1970-01-01 00:00:00Z' + INTERVAL {horizon})"
+    seconds = spark.range(1).select(F.expr(span)).first()[0]
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        own = _folder(spark, out_path, checkpoint, batch_id)
-        t = with_event_time(batch, cfg)
-        timed = t.where("event_ts IS NOT NULL").groupBy("line").agg(
-            F.min_by(F.struct("source_file", "log_type", "event_ts"), F.struct("source_file", "log_type", "event_ts")).alias("f"))
-        timed = timed.select("line", "f.*").withColumn("day", F.to_date("event_ts"))
-        if _exists(spark, out_path):
-            before = _read(spark, out_path, LINE_SCHEMA + ", day date")
-            before = before.where(~((F.col("query") == _query_id(spark, checkpoint)) & (F.col("batch_id") == batch_id)))
-            timed = timed.join(before.where("day IS NOT NULL").select("day", "line"), ["day", "line"], "left_anti")
-        untimed = t.where("event_ts IS NULL").withColumn("day", F.lit(None).cast("date"))
-        cols = ["line", "source_file", "log_type", "event_ts", "day"]
-        _write(timed.select(*cols).unionAll(untimed.select(*cols)), own, partition_by="day")
-
-    return _start(stream_lines(spark, in_path, max_files_per_trigger), checkpoint, sink, "append", available_now,
-                  processing_time, "stream_dedup")
+        query = _query_id(spark, checkpoint)
+        t = batch.withColumn("day", F.to_date("event_ts")).withColumn("arrived", F.unix_seconds("arrived"))
+        t = _staged(t, f"{out_path.rstrip('/')}/_staged/query={query}")
+        at = t.agg(F.max("arrived")).first()[0]
+        if at is None:
+            return
+        before = D.read(spark, lines_before(spark, out_path, _days(t), query, batch_id, at - seconds), LINE_SCHEMA)
+        timed = t.where("event_ts IS NOT NULL").join(before.select("line"), "line", "left_anti")
+        rows = timed.select(*t.columns).unionAll(t.where("event_ts IS NULL"))
+        _write_by_day(rows.drop("arrived"), out_path, {"query": query, "arrived": at, "batch_id": batch_id})
+
+    lines = with_event_time(stream_lines(spark, in_path, max_files_per_trigger, with_block=True), cfg)
+    return _start(first_copies(lines, horizon), checkpoint, sink, "append", available_now, processing_time, "stream_dedup")
+
+
+def stream_dedup_lines(spark: SparkSession, out_path: str) -> DataFrame:
+    """All lines that a W4 job has kept."""
+    return _read_days(spark, out_path, LINE_SCHEMA, LINE_LEVELS)
+
+
+def compact_lines(spark: SparkSession, out_path: str) -> None:
+    """Fold the batch folders of each day of a W4 job."""
+    for f in _day_folders(spark, out_path):
+        D.compact(spark, f, LINE_SCHEMA, lambda rows: rows.hint("rebalance"), LINE_LEVELS)
 
 
 def stream_failed_lines(spark: SparkSession, in_path: str, checkpoint: str, out_path: str,
