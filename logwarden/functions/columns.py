@@ -95,6 +95,11 @@ def matches(pattern: str, c="line", folded: str | None = None) -> Column:
     return out
 
 
+def quoted(name: str) -> str:
+    """A column name as it is, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def sql_str(s: str) -> str:
     """A Spark SQL string literal (backslash escapes, as the default parser reads them)."""
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -187,13 +192,14 @@ def _utc_wall_clock(ts: Column) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
 
 
-def syslog_time(year: int, c="line") -> Column:
+def syslog_time(year: int | Column, c="line") -> Column:
     """Event time of a syslog-framed line (``MMM dd HH:mm:ss`` + year), in UTC.
 
     Real syslog pads one-digit days with a space; both paddings parse.
     """
     stamp = F.regexp_replace(F.substring(C(c), 1, 15), "  +", " ")
-    return _utc_wall_clock(F.try_to_timestamp(F.concat(F.lit(f"{year} "), stamp, F.lit(" +0000")),
+    year = F.concat(year.cast("string"), F.lit(" ")) if isinstance(year, Column) else F.lit(f"{year} ")
+    return _utc_wall_clock(F.try_to_timestamp(F.concat(year, stamp, F.lit(" +0000")),
                                               F.lit(P.SYSLOG_TIME_FORMAT + " Z")))
 
 

@@ -22,13 +22,14 @@ from ..functions import columns as X
 from ..functions import patterns as P
 from . import filters as flt
 from . import parse as prs
+from .rules import Rule, builtin_rules, pairs
 from .tagging import line_facts, token_weight
 
 
 def long_form(row: DataFrame, names: list[str], key: str = "metric", value: str = "cnt") -> DataFrame:
     """Unpivot a one-row aggregate into ``(metric, cnt)`` rows (order kept)."""
-    cols = [F.col(f"`{n}`").cast("bigint").alias(n) for n in names]
-    return row.select(*cols).unpivot([], names, key, value)
+    cols = [F.col(X.quoted(n)).cast("bigint").alias(n) for n in names]
+    return row.select(*cols).unpivot([], [F.col(X.quoted(n)) for n in names], key, value)
 
 
 def _sum_n(cond: Column) -> Column:
@@ -168,22 +169,15 @@ def errors_per_service(lines: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- categories
 
-ANOMALY_RULES = (
-    # --- fixed values: stage-3 anomaly categories (label, rule) in print order ---
-    (P.ANOMALY_FAILED_SSH, X.has, P.LIT_FAILED_PASSWORD),
-    (P.ANOMALY_INVALID, X.has, P.LIT_INVALID_USER),
-    (P.ANOMALY_HTTP, X.matches, P.RX_HTTP_ERR),
-    (P.ANOMALY_SYSTEM, X.has, P.LIT_ERROR_COLON),
-    (P.ANOMALY_SENSITIVE, X.matches, P.RX_SENS_STAGE3),
-)
+USAGE_NAMES = ["total_lines", "total_errors", "total_success", "total_success_strict", "unique_ips"]
 
 
-ANOMALY_NAMES = [n for n, _, _ in ANOMALY_RULES] + [P.TOTAL]
-USAGE_NAMES = ["total_lines", "total_errors", "total_success", "total_success_strict", "unique_ips"]
+def anomaly_names(rules: list[Rule] | None = None) -> list[str]:
+    return [n for n, _ in pairs(rules or builtin_rules(), "count")] + [P.TOTAL]
 
 
-def line_stats(lines: DataFrame) -> DataFrame:
-    """A13 + A14 in ONE scan: ``(metric, cnt)`` for every anomaly category and usage metric.
+def line_stats(lines: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """A13 + A14 in ONE scan: ``(metric, cnt)`` for every anomaly category (rule of kind ``count``) and usage metric.
 
     Each line is exploded into its IP tokens (or one null row); line-level
     counts only look at the first row of a line, and the single distinct
@@ -195,33 +189,30 @@ def line_stats(lines: DataFrame) -> DataFrame:
     Reports read this one table several times; the branches share one plan,
     so Spark reuses its exchanges instead of scanning the lines again.
     """
-    def test(fn, arg):
-        return fn(arg, folded=X.FOLDED) if fn is X.matches else fn(arg)
-
+    cats = pairs(rules or builtin_rules(), "count")
     x = X.with_folded(lines.select("line")).select(
         flt.not_comment().alias("nc"),
         flt.is_server_error(X.FOLDED).alias("err"),
         X.matches(P.RX_SUCCESS_LOOSE).alias("ok_loose"),
         X.matches(P.RX_SUCCESS_STRICT).alias("ok_strict"),
-        *[test(fn, arg).alias(n) for n, fn, arg in ANOMALY_RULES],
+        *[X.matches(rx, folded=X.FOLDED).alias(f"_c{k}") for k, (_, rx) in enumerate(cats)],
         F.posexplode_outer(X.ip_tokens("line")).alias("pos", "ip"))
     first = F.coalesce(F.col("pos") == 0, F.lit(True))
-    cats = [n for n, _, _ in ANOMALY_RULES]
     row = x.agg(
-        *[F.count_if(first & F.col(f"`{n}`")).alias(n) for n in cats],
+        *[F.count_if(first & F.col(f"_c{k}")).alias(n) for k, (n, _) in enumerate(cats)],
         F.count_if(first & F.col("nc")).alias("total_lines"),
         F.count_if(first & F.col("err")).alias("total_errors"),
         F.count_if(first & F.col("ok_loose")).alias("total_success"),
         F.count_if(first & F.col("ok_strict")).alias("total_success_strict"),
         F.count_distinct("ip").alias("unique_ips"))
-    row = row.withColumn(P.TOTAL, sum((F.col(f"`{n}`") for n in cats), F.lit(0)))
-    return long_form(row, ANOMALY_NAMES + USAGE_NAMES)
+    row = row.withColumn(P.TOTAL, sum((F.col(X.quoted(n)) for n, _ in cats), F.lit(0)))
+    return long_form(row, anomaly_names(rules) + USAGE_NAMES)
 
 
-def anomaly_counts(lines: DataFrame, stats: DataFrame | None = None) -> DataFrame:
-    """Five category line counts and their ``TOTAL`` (from ``line_stats``)."""
-    stats = stats if stats is not None else line_stats(lines)
-    return stats.where(F.col("metric").isin(ANOMALY_NAMES))
+def anomaly_counts(lines: DataFrame, stats: DataFrame | None = None, rules: list[Rule] | None = None) -> DataFrame:
+    """Five category line counts and their ``TOTAL`` (from ``line_stats``); other categories by ``rules``."""
+    stats = stats if stats is not None else line_stats(lines, rules)
+    return stats.where(F.col("metric").isin(anomaly_names(rules)))
 
 
 def usage_stats(lines: DataFrame, stats: DataFrame | None = None) -> DataFrame:

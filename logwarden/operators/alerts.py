@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from .. import config as K
 from ..config import DEFAULT, Thresholds
 from ..functions import columns as X
+from .rules import Rule, builtin_rules, metrics
+from .rules import alerts as alert_rules
 from .tagging import incidents, line_facts
 
 ALERT_COLUMNS = ["engine", "severity", "category", "ip", "metric_value", "threshold",
@@ -145,42 +147,24 @@ def _ssh_tiers(cfg: Thresholds) -> list[Column]:
     return [ssh_tier_rule(is_ip(), "failed", cfg)]
 
 
+def compiled(rules: list[Rule]) -> list[Column]:
+    """Alert rules as structs over the row of totals; in a group, a rule fires where none before it does."""
+    out, before = [], {}
+    for r in alert_rules(rules):
+        n, bound = F.col(r.metric), F.lit(r.bound)
+        holds = n > bound if r.op == ">" else n >= bound
+        cond = is_total() & holds if r.guard is None else is_total() & (F.col(r.guard) > 0) & holds
+        group = r.grp or r.name
+        if group in before:
+            cond = cond & ~before[group]
+        before[group] = before[group] | holds if group in before else holds
+        out.append(alert(cond, "detailed", r.severity, r.category, None, n, r.bound, X.template(r.message, n=r.metric),
+                         X.template(r.action, n=r.metric) if r.action is not None else None))
+    return out
+
+
 def _global_rules(cfg: Thresholds) -> list[Column]:
-    c = F.col
-    hi5, mid5 = cfg.web_5xx
-    hi4, mid4 = cfg.web_4xx
-    web = is_total() & (c("susp_lines") > 0)        # the web check is skipped on an empty F2
-    sysok = is_total() & (c("total_errors") > 0)    # the system check is skipped on an empty F3
-    ssh = is_total() & (c("failed_lines") > 0)      # the SSH check is skipped on an empty F1
-
-    def rule(severity: str, category: str, cond: Column, n: str, threshold: int, text: tuple) -> Column:
-        return alert(cond, "detailed", severity, category, None, c(n), threshold,
-                     X.template(text[0], n=n), X.template(text[1], n=n))
-
-    return [
-        # L6 (count over all lines: the original searched F1, which never holds such lines)
-        rule("HIGH", "SSH", ssh & (c("invalid_users") > cfg.invalid_users), "invalid_users", cfg.invalid_users,
-             K.SSH_INVALID),
-        # L7
-        rule("CRITICAL", "WEB", web & (c("err5xx") >= hi5), "err5xx", hi5, K.WEB_5XX_CRIT),
-        rule("HIGH", "WEB", web & (c("err5xx") < hi5) & (c("err5xx") >= mid5), "err5xx", mid5, K.WEB_5XX_HIGH),
-        # L8
-        rule("HIGH", "WEB", web & (c("err4xx") >= hi4), "err4xx", hi4, K.WEB_4XX_HIGH),
-        rule("MEDIUM", "WEB", web & (c("err4xx") < hi4) & (c("err4xx") >= mid4), "err4xx", mid4, K.WEB_4XX_MED),
-        # L9-L11
-        rule("CRITICAL", "WEB", web & (c("env_hits") > 0), "env_hits", 0, K.WEB_ENV),
-        rule("HIGH", "WEB", web & (c("admin_hits") > cfg.admin_probe), "admin_hits", cfg.admin_probe, K.WEB_ADMIN),
-        rule("MEDIUM", "WEB", web & (c("wp_hits") > 0), "wp_hits", 0, K.WEB_WP),
-        # L12
-        rule("CRITICAL", "SYSTEM", sysok & (c("total_errors") >= cfg.error_storm), "total_errors",
-             cfg.error_storm, K.SYS_STORM),
-        rule("HIGH", "SYSTEM", sysok & (c("total_errors") < cfg.error_storm) & (c("total_errors") >= cfg.error),
-             "total_errors", cfg.error, K.SYS_HIGH),
-        # L13-L15
-        rule("CRITICAL", "SYSTEM", sysok & (c("oom") > 0), "oom", 0, K.SYS_OOM),
-        rule("CRITICAL", "SYSTEM", sysok & (c("segfault") > 0), "segfault", 0, K.SYS_SEGFAULT),
-        rule("HIGH", "SYSTEM", sysok & (c("disk") > 0), "disk", 0, K.SYS_DISK),
-    ]
+    return compiled(builtin_rules(cfg))
 
 
 def _reputation(cfg: Thresholds) -> list[Column]:
@@ -219,6 +203,12 @@ def all_alerts(lines: DataFrame | None, cfg: Thresholds = DEFAULT, facts=None, t
     return _fire(table if table is not None else incident_table(lines, facts), [*stage4_rules(cfg), *detailed_rules(cfg)])
 
 
+def rule_alerts(lines: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The alerts of a rule table (kinds ``metric`` and ``alert``), from one scan like the built-in ones."""
+    own = metrics(rules)
+    return _fire(incidents(line_facts(lines, own), own), compiled(rules))
+
+
 def alert_severity_counts(alerts: DataFrame) -> DataFrame:
     """Alerts per (severity, channel) — the true severity, never a shifted counter."""
     return alerts.groupBy("severity", "channel").agg(F.count(F.lit(1)).alias("cnt"))

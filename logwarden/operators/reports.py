@@ -102,7 +102,7 @@ def final_report(lines: DataFrame | None, cfg: Thresholds = DEFAULT, generated_a
     ips = _rows(_ip_rows(table, cfg), SEC_IPS, -F.col("occurrences"), "ip",
                 F.concat_ws(" ", F.col("occurrences").cast("string"), F.col("risk")))
     return (_header(table, generated_at).unionByName(exec_rows)
-            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.ANOMALY_NAMES))
+            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.anomaly_names()))
             .unionByName(ips)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
@@ -136,7 +136,7 @@ def alert_digest(lines: DataFrame | None, cfg: Thresholds = DEFAULT, generated_a
     return (_header(table, generated_at).unionByName(exec_rows).unionByName(status)
             .unionByName(_alert_rows(alerts, "critical", SEC_CRIT))
             .unionByName(_alert_rows(alerts, "warning", SEC_WARN))
-            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.ANOMALY_NAMES))
+            .unionByName(_long_rows(A.anomaly_counts(lines, stats), SEC_ANOMALY, A.anomaly_names()))
             .unionByName(top_rows).unionByName(action_rows))
 
 

@@ -455,7 +455,7 @@ FROM we WHERE errors >= {cfg.error}"""
 
 
 def build(cfg: Thresholds = DEFAULT, alt: Thresholds | None = None,
-          generated_at: str = "2024-02-01 00:00:00") -> dict[str, str]:
+          generated_at: str = "2024-02-01 00:00:00", user_rules=()) -> dict[str, str]:
     """name -> DuckDB SQL over the pre-registered driver tables."""
     W = with_lines
     A = cte_auth(cfg)
@@ -627,12 +627,86 @@ FROM (SELECT {event_ts} AS ts, unnest({ips_of()}) AS ip FROM log_lines WHERE {F1
        WHEN v * 100 // 450 >= {cfg.warn_pct} THEN 'WARNING' ELSE 'OK' END AS status
 FROM (SELECT f[7] AS path, TRY_CAST(f[9] AS BIGINT) AS v FROM (SELECT {FIELDS} AS f FROM log_lines WHERE log_type = 'apache'))""")
     out.update(_report_sql(out, cfg, generated_at))
+    out.update(_rule_table_sql(list(user_rules)))
+    out.update(_file_sql())
+    out.update(_day_sql(event_ts))
     for name in DOCUMENT_QUERIES:
         out[f"doc_{name}"] = over_documents(out[name])
     return out
 
 
+def _rule_table_sql(user) -> dict[str, str]:
+    """The built-in rules and the user's, written out."""
+    out = {}
+    scan = [(P.SCAN_SSH, P.RX_SSH_BF), (P.SCAN_WEB, P.RX_WEB_PROBE), (P.SCAN_HTTP, P.RX_HTTP_ERR), (P.SCAN_SYS, P.RX_SYS_ERR),
+            *((r.name, r.pattern) for r in user if r.kind == "scan")]
+    out["rule_scan"] = with_lines(" UNION ALL ".join(
+        f"SELECT line, {q(n)} AS anomaly_type FROM log_lines WHERE {m(r)}" for n, r in scan))
+    out["rule_scan_summary"] = with_lines(
+        "SELECT coalesce(anomaly_type, 'TOTAL') AS anomaly_type, count(line) AS cnt FROM t GROUP BY GROUPING SETS ((anomaly_type), ())",
+        "t AS (" + " UNION ALL ".join(f"SELECT line, {q(n)} AS anomaly_type FROM log_lines WHERE {m(r)}" for n, r in scan) + ")")
+    counts = [(P.ANOMALY_FAILED_SSH, P.LIT_FAILED_PASSWORD), (P.ANOMALY_INVALID, P.LIT_INVALID_USER), (P.ANOMALY_HTTP, P.RX_HTTP_ERR),
+              (P.ANOMALY_SYSTEM, P.LIT_ERROR_COLON), (P.ANOMALY_SENSITIVE, P.RX_SENS_STAGE3),
+              *((r.name, r.pattern) for r in user if r.kind == "count")]
+    each = " UNION ALL ".join(f"SELECT {q(n)} AS metric, count(*) AS cnt FROM log_lines WHERE {m(r)}" for n, r in counts)
+    out["rule_counts"] = with_lines("SELECT * FROM c UNION ALL SELECT 'TOTAL', CAST(sum(cnt) AS BIGINT) FROM c", f"c AS ({each})")
+    ctes, body = detailed_sql(DEFAULT)
+    scope = {"all": "log_lines WHERE TRUE", "failed": f"log_lines WHERE {F1}", "suspicious": "susp WHERE TRUE", "errors": f"log_lines WHERE {F3}"}
+    own = ", ".join(f"(SELECT count(*) FROM {scope[r.scope]} AND {m(r.pattern)}) AS {r.name}" for r in user if r.kind == "metric")
+    arms, before = [], {}
+    for r in (r for r in user if r.kind == "alert"):
+        holds = f"{r.metric} {r.op} {r.bound}"
+        cond = " AND ".join([holds, *([f"{r.guard} > 0"] if r.guard else []), *(f"NOT ({b})" for b in before.get(r.grp or r.name, []))])
+        before.setdefault(r.grp or r.name, []).append(holds)
+        action = "CAST(NULL AS VARCHAR)" if r.action is None else tmpl(r.action, n=r.metric)
+        arms.append(f"SELECT 'detailed', {q(r.severity)}, {q(r.category)}, CAST(NULL AS VARCHAR), {r.metric}, {r.bound}, "
+                    f"{tmpl(r.message, n=r.metric)}, {action}, {_route(q(r.severity))}, TRUE FROM det_c, user_c WHERE {cond}")
+    # of the built-in ones, those over totals
+    built_in = f"SELECT * FROM ({body}) WHERE ip IS NULL"
+    out["rule_alerts"] = _alerts_query(([*ctes, f"user_c AS (SELECT {own})"], "\nUNION ALL\n".join([built_in, *arms])))
+    return out
+
+
+def _file_sql() -> dict[str, str]:
+    shape = _log_type().split("WHEN source_file = 'apache.log' THEN 'apache'")[1]
+    types = f"""shapes AS (SELECT source_file, CASE {shape} AS shape FROM log_lines),
+votes AS (SELECT source_file, count(*) AS n_lines, count(*) FILTER (WHERE shape = 'apache') AS a, count(*) FILTER (WHERE shape = 'auth') AS u,
+  count(*) FILTER (WHERE shape = 'syslog') AS s FROM shapes GROUP BY source_file),
+types AS (SELECT source_file, n_lines, CASE WHEN source_file = 'auth.log' THEN 'auth' WHEN source_file = 'syslog' THEN 'syslog'
+    WHEN source_file = 'apache.log' THEN 'apache' WHEN a > 0 AND a >= u AND a >= s THEN 'apache' WHEN u > 0 AND u >= s THEN 'auth'
+    WHEN s > 0 THEN 'syslog' ELSE 'unknown' END AS log_type,
+  (a > 0)::INT + (u > 0)::INT + (s > 0)::INT > 1 AS mixed FROM votes)"""
+    out = {"classify_files": with_lines("SELECT source_file, log_type, mixed, n_lines FROM types", types),
+           "file_type_lines": with_lines(
+               "SELECT l.line_id, l.source_file, t.log_type FROM log_lines l JOIN types t ON l.source_file IS NOT DISTINCT FROM t.source_file", types)}
+    start = f"TIMESTAMP '{D.LONG_START}'"
+    stretched = LOG_LINES.replace("FROM events),", f"FROM (SELECT * REPLACE ({start} + (ts - {start}) * {D.STRETCH} AS ts) FROM events)),")
+    any_year = syslog_ts(2024)
+    out["event_time_inferred"] = f"""WITH {stretched},
+p AS (SELECT *, CASE WHEN log_type <> 'apache' THEN {any_year} END AS st FROM log_lines WHERE NOT contains(line, {q(D.FIXED_DATE_MARK)})),
+g AS (SELECT *, month(st) AS mo, last_value(month(st) IGNORE NULLS) OVER (PARTITION BY source_file ORDER BY line_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pm FROM p),
+s AS (SELECT *, sum(CASE WHEN mo - pm <= -6 THEN 1 WHEN mo - pm >= 6 THEN -1 ELSE 0 END) OVER (PARTITION BY source_file ORDER BY line_id) AS turns FROM g),
+f AS (SELECT source_file, arg_max(turns, line_id) AS last_turns, max_by(st, line_id) FILTER (WHERE st IS NOT NULL) AS last_st FROM s GROUP BY source_file),
+e AS (SELECT {start} + (max(ts) - {start}) * {D.STRETCH} AS fin FROM events),
+y AS (SELECT s.*, year(fin) - CASE WHEN strftime(last_st, '%m%d%H%M%S') > strftime(fin, '%m%d%H%M%S') THEN 1 ELSE 0 END - last_turns + turns AS yr
+  FROM s JOIN f USING (source_file) CROSS JOIN e)
+SELECT line_id, CASE WHEN log_type = 'apache' THEN {apache_ts()} ELSE
+  try_strptime(CAST(yr AS INTEGER) || ' ' || regexp_replace(substr(line, 1, 15), '  +', ' ', 'g'), '%Y %b %d %H:%M:%S') END AS event_ts FROM y"""
+    return out
+
+
+def _day_sql(event_ts: str) -> dict[str, str]:
+    days = f"t AS (SELECT CAST(ts AS DATE) AS day, ip FROM (SELECT {event_ts} AS ts, unnest({ips_of()}) AS ip FROM log_lines))"
+    between = "day BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"
+    return {
+        "unique_ips_by_day": with_lines("SELECT CAST(day AS VARCHAR) AS day, count(*) AS tokens, count(DISTINCT ip) AS unique_ips FROM t GROUP BY day", days),
+        "unique_ips_merged": with_lines(f"SELECT count(DISTINCT ip) AS unique_ips, TRUE AS within FROM t WHERE {between}", days),
+        "top_ips_merged": with_lines(f"SELECT ip, count(*) AS cnt FROM t WHERE {between} GROUP BY ip ORDER BY cnt DESC, ip DESC LIMIT 11", days),
+    }
+
+
 #: questions that are also asked of the documents' lines
-DOCUMENT_QUERIES = ("classify_source", "event_time", "extract_ips", "strip_comments", "dedup_lines", "normal_anomaly_split",
+DOCUMENT_QUERIES = ("classify_source", "classify_files", "event_time", "extract_ips", "strip_comments", "dedup_lines", "normal_anomaly_split",
                     "suspicious_lines", "anomaly_summary", "usage_stats", "ip_summary", "detailed_alerts", "threshold_scan",
                     "final_report")

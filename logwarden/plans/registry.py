@@ -18,9 +18,13 @@ from ..operators import alerts as AL
 from ..operators import filters as FL
 from ..operators import parse as PR
 from ..operators import reports as RP
+from ..operators import rules as RU
+from ..operators import sketches as SK
 from ..operators import tagging as TG
 from ..operators import thresholds as TH
-from ..sources.derived import load_document_lines, load_log_lines
+from ..operators import years as YR
+from ..sources import files as FI
+from ..sources.derived import load_document_lines, load_log_lines, load_long_log_lines
 from ..streaming import jobs as J
 from ..streaming import windows as W
 
@@ -30,6 +34,24 @@ ALT = Thresholds(failed_login=3, error=2000, tiers=(30, 25, 20), warn_pct=50,
                  ssh_extreme=6, ssh_critical=5, ssh_medium=2, invalid_users=1000,
                  web_5xx=(1000, 300), web_4xx=(5000, 1000), admin_probe=1000, error_storm=5000)
 GENERATED_AT = "2024-02-01 00:00:00"
+# rules that a user adds to the built-in ones: every kind and scope, tiers, a guard, one that never fires
+USER_RULES = [
+    RU.Rule("scan", "Log Rotation", 10, pattern="rotated|nightly copy"),
+    RU.Rule("scan", "Numbered Host `7`", 11, pattern="^[A-Z][a-z]{2} .* server sshd\\[7[0-9]*\\]"),
+    RU.Rule("count", "Scripted Clients", 10, pattern="(?i)CURL/|python-requests"),
+    RU.Rule("metric", "curl_hits", scope="suspicious", pattern="curl/"),
+    RU.Rule("metric", "root_logins", scope="failed", pattern="for root "),
+    RU.Rule("metric", "kernel_lines", scope="all", pattern="kernel\\[[0-9]+\\]"),
+    RU.Rule("metric", "refused", scope="errors", pattern="Connection refused"),
+    RU.Rule("alert", "curl_many", 20, category="CLIENTS", severity="HIGH", metric="curl_hits", grp="curl", op=">=", bound=100000,
+            message="{n} requests by scripts", action="Block scripts"),
+    RU.Rule("alert", "curl_some", 21, category="CLIENTS", severity="MEDIUM", metric="curl_hits", grp="curl", op=">=", bound=1,
+            message="{n} requests by scripts, now and then", action="Watch ({n})"),
+    RU.Rule("alert", "root", 22, category="SSH", severity="CRITICAL", metric="root_logins", guard="failed_lines", op=">", bound=3,
+            message="root was tried {n} times"),
+    RU.Rule("alert", "kernel", 23, category="SYSTEM", severity="LOW", metric="kernel_lines", op=">=", bound=1, message="{n} kernel lines"),
+    RU.Rule("alert", "refused", 24, category="SYSTEM", severity="LOW", metric="refused", op=">", bound=10 ** 12, message="never {n}"),
+]
 # --- end of fixed values ---
 
 Q = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +61,11 @@ def _L(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_log_lines(spark, sf_dir)
 
 
+def _rules(spark: SparkSession) -> list[RU.Rule]:
+    """The built-in rules and a user's, by way of a table."""
+    return RU.load_rules(RU.rule_table(spark, RU.builtin_rules() + USER_RULES))
+
+
 def _lines(fn) -> Q:
     return lambda spark, sf: fn(_L(spark, sf))
 
@@ -73,6 +100,19 @@ REGISTRY: dict[str, Q] = {
     # tagging
     "anomaly_scan": _lines(TG.anomaly_scan),
     "anomaly_summary": _lines(TG.anomaly_summary),
+    # rules as a table
+    "rule_scan": lambda s, d: TG.anomaly_scan(_L(s, d), _rules(s)),
+    "rule_scan_summary": lambda s, d: TG.anomaly_summary(_L(s, d), _rules(s)),
+    "rule_counts": lambda s, d: A.anomaly_counts(_L(s, d), rules=_rules(s)),
+    "rule_alerts": lambda s, d: AL.rule_alerts(_L(s, d), _rules(s)),
+    # files
+    "classify_files": lambda s, d: FI.classify_files(_L(s, d)),
+    "file_type_lines": lambda s, d: FI.with_file_type(_L(s, d)).select("line_id", "source_file", "log_type"),
+    "event_time_inferred": lambda s, d: YR.with_inferred_time(load_long_log_lines(s, d)).select("line_id", "event_ts"),
+    # summaries of days that add up
+    "unique_ips_by_day": lambda s, d: SK.unique_ips_by_day(_L(s, d)).withColumn("day", F.col("day").cast("string")),
+    "unique_ips_merged": lambda s, d: SK.estimate_error(_L(s, d), "2024-01-05", "2024-01-20"),
+    "top_ips_merged": lambda s, d: SK.top_between(_L(s, d), SK.daily_top(_L(s, d), keep=40), 11, "2024-01-05", "2024-01-20"),
     # aggregates
     "ip_summary": _lines(A.ip_summary),
     "ip_summary_alt_tiers": lambda s, d: A.ip_summary(_L(s, d), ALT),
@@ -138,6 +178,7 @@ REGISTRY: dict[str, Q] = {
 #: the same operators over the lines of the documents
 DOCUMENT_LINES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "classify_source": lambda t: t,
+    "classify_files": FI.classify_files,
     "event_time": lambda t: PR.with_event_time(t).select("line_id", "log_type", "event_ts"),
     "extract_ips": lambda t: PR.extract_ips(t, keep=("line_id",)),
     "strip_comments": lambda t: _ids(FL.strip_comments(t)),

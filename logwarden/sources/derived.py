@@ -145,6 +145,29 @@ def load_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_log_lines(events)
 
 
+#: the long log: days of ``events`` as so many days
+STRETCH = 24
+#: what the lines of a fixed date have in common
+FIXED_DATE_MARK = "from 10.66.0."
+LONG_START = "2024-01-01 00:00:00"
+
+
+def load_long_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log lines with their times stretched over years, and each line's place in its file.
+
+    Adds ``source_path``, ``source_block`` (chunks of 500 lines), ``source_row``
+    and ``source_modified``, as collecting files does.  The bursts, whose date
+    is fixed, are left out: the lines of a log are in the order of their times.
+    """
+    events = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    start = f"TIMESTAMP_NTZ'{LONG_START}'"
+    t = events.withColumn("ts", F.expr(f"{start} + (ts - {start}) * {STRETCH}"))
+    end = t.agg(F.max("ts").alias("source_modified"))
+    lines = event_log_lines(t).select("*", F.col("source_file").alias("source_path"), F.expr("line_id div 500").alias("source_block"),
+                                      F.col("line_id").alias("source_row"))
+    return lines.where(~F.col("line").contains(FIXED_DATE_MARK)).join(F.broadcast(end))  # one row
+
+
 def load_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as a log line: ``(line_id, line, source_file, log_type)``.
 

@@ -34,24 +34,61 @@ def content_log_type(line="line") -> Column:
             .otherwise("unknown"))
 
 
-def log_type_of(source_file="source_file", line="line") -> Column:
-    """File name -> log type; content shape when the name is unknown or holds mixed formats."""
+#: shapes of lines, in the order that breaks a tie of a file's lines
+SHAPES = ("apache", "auth", "syslog")
+
+
+def _named_type(source_file) -> Column:
+    """The log type of a known file name, else null."""
     name = C(source_file)
     out = None
     for fname, ltype in P.SOURCE_FILES.items():
         if fname in P.DERIVED_SOURCE_FILES:
             continue
         out = F.when(name == fname, ltype) if out is None else out.when(name == fname, ltype)
-    return out.otherwise(content_log_type(line))
+    return out
+
+
+def log_type_of(source_file="source_file", line="line") -> Column:
+    """File name -> log type; content shape when the name is unknown or holds mixed formats."""
+    return _named_type(source_file).otherwise(content_log_type(line))
+
+
+def classify_files(lines: DataFrame, file: str = "source_file") -> DataFrame:
+    """S4 by file: ``(source_file, log_type, mixed, n_lines)``, one type for each file.
+
+    A known name decides; else the type that most of the file's lines have
+    the shape of (ties: apache, then auth, then syslog; unknown without any).
+    ``mixed`` says that lines of more than one type stand in the file.  Counts
+    are folded before the shuffle, so a file of any size is a few rows of it.
+    """
+    shape = content_log_type("line")
+    t = lines.groupBy(F.col(file).alias("source_file")).agg(
+        F.count(F.lit(1)).alias("n_lines"), *[F.count_if(shape == k).alias(f"_{k}") for k in SHAPES])
+    most = F.greatest(*[F.col(f"_{k}") for k in SHAPES])
+    vote = F.lit("unknown")
+    for k in reversed(SHAPES):
+        vote = F.when((F.col(f"_{k}") == most) & (most > 0), k).otherwise(vote)
+    kinds = sum((F.when(F.col(f"_{k}") > 0, 1).otherwise(0) for k in SHAPES), F.lit(0))
+    return t.select("source_file", F.coalesce(_named_type("source_file"), vote).alias("log_type"),
+                    (kinds > 1).alias("mixed"), "n_lines")
+
+
+def with_file_type(lines: DataFrame, file: str = "source_file") -> DataFrame:
+    """Lines with the ``log_type`` of their file (``classify_files``) instead of their own shape's."""
+    types = classify_files(lines, file).select(F.col("source_file").alias("_file"), F.col("log_type").alias("_type"))
+    t = lines.drop("log_type").join(types, F.col(file).eqNullSafe(F.col("_file")), "left")
+    return t.withColumn("log_type", F.col("_type")).drop("_file", "_type")
 
 
 def collect_logs(spark: SparkSession, paths: str | Sequence[str],
-                 exclude: Iterable[str] = ()) -> DataFrame:
+                 exclude: Iterable[str] = (), with_place: bool = False) -> DataFrame:
     """S1 + S3 + S4: every regular file under ``paths`` -> ``(line, source_file, log_type)``.
 
     Every file is collected; ``exclude`` names files to leave out, such as a
     merged copy of the others, which would count every event twice.  Lines are split on ``\\n`` only and a trailing ``\\r``
-    is removed, so CRLF files read like LF files.
+    is removed, so CRLF files read like LF files.  ``with_place`` adds the
+    line's order in its split and the file's last change (see ``operators.years``).
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     raw = (spark.read.option("recursiveFileLookup", "true")
@@ -61,6 +98,8 @@ def collect_logs(spark: SparkSession, paths: str | Sequence[str],
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_path").alias("source_path"),
         F.col("_metadata.file_block_start").alias("source_block"),
+        *([F.monotonically_increasing_id().alias("source_row"), F.col("_metadata.file_modification_time").alias("source_modified")]
+          if with_place else []),
     )
     excl = list(exclude or ())
     if excl:
