@@ -627,6 +627,9 @@ FROM (SELECT {event_ts} AS ts, unnest({ips_of()}) AS ip FROM log_lines WHERE {F1
        WHEN v * 100 // 450 >= {cfg.warn_pct} THEN 'WARNING' ELSE 'OK' END AS status
 FROM (SELECT f[7] AS path, TRY_CAST(f[9] AS BIGINT) AS v FROM (SELECT {FIELDS} AS f FROM log_lines WHERE log_type = 'apache'))""")
     out.update(_report_sql(out, cfg, generated_at))
+    out["diff_ip_counts"] = f"""SELECT coalesce(a.ip, b.ip) AS ip,
+  CASE WHEN a.ip IS NULL THEN 'added' WHEN b.ip IS NULL THEN 'removed' ELSE 'changed' END AS change, a.cnt AS before_cnt, b.cnt AS after_cnt
+FROM ({out['failed_by_ip']}) a FULL JOIN ({out['requests_per_ip']}) b ON a.ip = b.ip WHERE a.cnt IS DISTINCT FROM b.cnt"""
     out.update(_rule_table_sql(list(user_rules)))
     out.update(_file_sql())
     out.update(_day_sql(event_ts))

@@ -33,6 +33,7 @@ from ..operators import reports as RP
 from ..operators.tagging import incidents, line_facts
 from ..sources.derived import load_log_lines
 from ..sources.sinks import filtered_lines
+from . import contents as C
 from . import manifest as M
 
 #: every table that a finished stage leaves
@@ -48,14 +49,14 @@ def table_path(out_dir: str, run_id: str, name: str) -> str:
     return f"{out_dir.rstrip('/')}/run_id={run_id}/{name}"
 
 
-def _write(df: DataFrame, path: str, *partition_by: str) -> int:
-    """Write a table and return its rows, counted while they are written."""
+def _write(df: DataFrame, path: str, *partition_by: str) -> dict:
+    """Write a table and return its rows and content digest, taken while they are written."""
     seen = Observation()
-    w = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+    w = df.observe(seen, *C.content_exprs(df)).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(seen.get["rows"])
+    return seen.get
 
 
 def read_table(spark: SparkSession, out_dir: str, run_id: str, name: str) -> DataFrame:
@@ -94,8 +95,11 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
     if first is not None and any(status.get(s) == "COMPLETE" for s in M.STAGES if s > first):
         M.rollback(spark, out_dir, run_id, first)  # a stage runs on its predecessors' outputs: later ones are stale
 
+    written: dict[str, dict] = {}
+
     def write(name: str, df: DataFrame, *partition_by: str) -> int:
-        return _write(df, table_path(out_dir, run_id, name), *partition_by)
+        written[name] = _write(df, table_path(out_dir, run_id, name), *partition_by)
+        return int(written[name]["rows"])
 
     def read(name: str) -> DataFrame:
         return read_table(spark, out_dir, run_id, name)
@@ -131,11 +135,18 @@ def run_pipeline(spark: SparkSession, source: Callable[[SparkSession], DataFrame
             alerts = read("alerts").where("engine = 'stage4'").select(*AL.ALERT_COLUMNS)
             write("final_report", RP.final_report(None, cfg, generated_at, table, stats, alerts))
             write("run_summary", RP.run_summary(None, cfg, generated_at, table, stats, alerts))
+        C.record(spark, out_dir, run_id, written)
+        written.clear()
         M.record_stage(spark, out_dir, run_id, stage, n)
 
     return M.stage_status(spark, out_dir, run_id)
 
 
+def check_run(spark: SparkSession, out_dir: str, run_id: str) -> DataFrame:
+    """``(name, rows, found_rows, status)``: whether each table of a run still holds what was written."""
+    return C.check_outputs(spark, out_dir, run_id, lambda name: table_path(out_dir, run_id, name))
+
+
 def pipeline_tables(spark: SparkSession, sf_dir: str, cfg: Thresholds = DEFAULT) -> dict[str, DataFrame]:
     """Every stage output as a lazy DataFrame, for measuring and inspection; ``run_pipeline`` is the durable form."""
     lines = load_log_lines(spark, sf_dir)

@@ -25,6 +25,7 @@ from ..operators import thresholds as TH
 from ..operators import years as YR
 from ..sources import files as FI
 from ..sources.derived import load_document_lines, load_log_lines, load_long_log_lines
+from . import contents as CO
 from ..streaming import jobs as J
 from ..streaming import windows as W
 
@@ -113,6 +114,8 @@ REGISTRY: dict[str, Q] = {
     "unique_ips_by_day": lambda s, d: SK.unique_ips_by_day(_L(s, d)).withColumn("day", F.col("day").cast("string")),
     "unique_ips_merged": lambda s, d: SK.estimate_error(_L(s, d), "2024-01-05", "2024-01-20"),
     "top_ips_merged": lambda s, d: SK.top_between(_L(s, d), SK.daily_top(_L(s, d), keep=40), 11, "2024-01-05", "2024-01-20"),
+    # what changes from one table to the next
+    "diff_ip_counts": lambda s, d: CO.diff(A.failed_by_ip(_L(s, d)), A.requests_per_ip(_L(s, d)), ["ip"]),
     # aggregates
     "ip_summary": _lines(A.ip_summary),
     "ip_summary_alt_tiers": lambda s, d: A.ip_summary(_L(s, d), ALT),

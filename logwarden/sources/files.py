@@ -12,6 +12,7 @@ file listing that Spark already produces for the scan.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -121,8 +122,7 @@ def source_health(spark: SparkSession, path: str,
     Sizes come from a ``binaryFile`` scan of the expected names projected to
     ``(path, length)``: no file body is read, and one row per expected name
     comes back, however many hosts ship a file of that name.  That scan skips
-    empty files, so a name it does not find is looked up by a listing that
-    stops at the first file.
+    empty files, so the names it does not find are listed, all at once.
     """
     want = list(dict.fromkeys(expected))
     found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
@@ -130,21 +130,18 @@ def source_health(spark: SparkSession, path: str,
              .load(path).select(F.element_at(F.split("path", "/"), -1).alias("source"), "length")
              .where(F.col("source").isin(want)).groupBy("source").agg(F.sum("length").alias("bytes")))
     sizes = {r["source"]: r["bytes"] for r in found.collect()}  # at most one row per expected name
+    empty = _listed(spark, path, [n for n in want if n not in sizes])
     rows = []
     for name in want:
-        size = sizes.get(name)
-        if size is None:
-            size = 0 if _any_file(spark, path, name) else None
+        size = sizes.get(name, 0 if name in empty else None)
         rows.append((name, size, "MISSING" if size is None else "OK" if size else "EMPTY"))
     return spark.createDataFrame(rows, "source string, bytes bigint, status string")
 
 
-def _any_file(spark: SparkSession, path: str, name: str) -> bool:
-    """Whether a file of that name exists below ``path``; the walk ends at the first."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    walk = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
-    while walk.hasNext():
-        if walk.next().getPath().getName() == name:
-            return True
-    return False
+def _listed(spark: SparkSession, path: str, names: Sequence[str]) -> set[str]:
+    """Which of the names exist below ``path``, by one listing for all, which Spark spreads over the folders."""
+    if not names:
+        return set()
+    files = (spark.read.option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "{" + ",".join(_glob_escape(n) for n in names) + "}").text(path).inputFiles())
+    return {unquote(f.rsplit("/", 1)[1]) for f in files} & set(names)
