@@ -6,8 +6,10 @@ loss mask covers exactly the participant's own words and their end mark.
 System turns stay system turns in every view and take no view of their own.
 
 A turn is rendered as ``<|im_start|>ROLE name=NAME\\nTEXT<|im_end|>\\n``; the
-assistant and the system carry no name.  A marker inside a text or a name is
-broken with a space (``< |``), so no text can forge a turn.
+assistant and the system carry no name.  A name's spaces are written as
+``_``, and ``_``, ``%`` and other white space as ``%`` and two hex digits, so that
+different speakers have different names.  A marker inside a text or a name
+is broken with a space (``< |``), so no text can forge a turn.
 
 Long dialogues are rendered in parts of ``PART_TURNS`` turns: the parts of a
 view, in order, are the whole rendering, and no task ever holds more than a
@@ -17,7 +19,7 @@ turns is spread like any other.
 
 Cases: turns are ordered by turn number (nulls first), then speaker and
 text; repeated rows are repeated turns.  A null or blank speaker is rendered
-as the user ``unknown`` and takes no view.  A null text is an empty turn.
+as a user without a name and takes no view.  A null text is an empty turn.
 Rows without a conversation id form one conversation, with a null id.  A
 conversation of system turns alone, and an empty table, give no rows.
 """
@@ -34,7 +36,7 @@ PART_TURNS = 64
 # --- fixed values: markers and role names ---
 START, END = "<|im_start|>", "<|im_end|>"
 SYSTEM_ROLES = ("system",)
-UNKNOWN = "unknown"
+NAME_ESCAPES = (("%", "%25"), ("_", "%5F"), (" ", "_"), ("\t", "%09"), ("\n", "%0A"), ("\x0b", "%0B"), ("\f", "%0C"), ("\r", "%0D"))
 # --- end of fixed values ---
 
 
@@ -42,6 +44,12 @@ def _safe(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
+def _name(c: Column) -> Column:
+    for plain, written in NAME_ESCAPES:
+        c = F.replace(c, F.lit(plain), F.lit(written))
+    return c
+
+
 def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", speaker_col: str = "role",
                  text_col: str = "text", part_turns: int = PART_TURNS) -> DataFrame:
     """One row per conversation, participant and part.
@@ -52,7 +60,7 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     """
     speaker = F.trim(F.coalesce(F.col(speaker_col).cast("string"), F.lit("")))
     t = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("__turn"),
-                     F.when(speaker == "", F.lit(UNKNOWN)).otherwise(speaker).alias("__speaker"),
+                     speaker.alias("__speaker"),
                      (speaker == "").alias("__anonymous"), whole_text(text_col).alias("__text"))
     t = ordered_positions(t, ["conv_id", "__turn", "__speaker", "__text"], "turns")
     # the place within the conversation: minus the conversation's first place
@@ -73,8 +81,8 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
     def render(x: Column) -> Column:
         mine = (x["__speaker"] == me) & ~x["__anonymous"]
         head = F.when(mine, F.lit("assistant")).when(
-            x["__speaker"].isin(*SYSTEM_ROLES) & ~x["__anonymous"], F.lit("system")).otherwise(
-            F.concat(F.lit("user name="), _safe(F.regexp_replace(x["__speaker"], r"\s+", "_"))))
+            x["__speaker"].isin(*SYSTEM_ROLES), F.lit("system")).when(
+            x["__anonymous"], F.lit("user")).otherwise(F.concat(F.lit("user name="), _safe(_name(x["__speaker"]))))
         return F.struct(F.concat(F.lit(START), head, F.lit("\n")).alias("head"),
                         F.concat(_safe(x["__text"]), F.lit(END)).alias("body"), mine.alias("mine"))
 
@@ -95,17 +103,22 @@ def perspectives(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "t
                     F.aggregate("mask", F.lit(0), lambda a, s: a + s["end"] - s["start"]).alias("n_masked"))
 
 
+def _name_sql(c: str) -> str:
+    for plain, written in NAME_ESCAPES:
+        c = f"replace({c}, chr({ord(plain)}), '{written}')"
+    return c
+
+
 ORACLE = f"""
 WITH t AS (
-  SELECT conv_id, turn, CASE WHEN trim(coalesce(role, '')) = '' THEN '{UNKNOWN}' ELSE trim(role) END AS speaker,
-         trim(coalesce(role, '')) = '' AS anonymous, coalesce(text, '') AS text FROM conversations),
+  SELECT conv_id, turn, trim(coalesce(role, '')) AS speaker, trim(coalesce(role, '')) = '' AS anonymous, coalesce(text, '') AS text FROM conversations),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, speaker, text) - 1 AS place FROM t),
 who AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system' AND NOT anonymous),
 r AS (
   SELECT n.conv_id, perspective, place // {PART_TURNS} AS part, place, (speaker = perspective AND NOT anonymous) AS mine,
     '{START}' || CASE WHEN speaker = perspective AND NOT anonymous THEN 'assistant'
-                      WHEN speaker = 'system' AND NOT anonymous THEN 'system'
-                      ELSE 'user name=' || replace(regexp_replace(speaker, '\\s+', '_', 'g'), '<|', '< |') END || chr(10) AS head,
+                      WHEN speaker = 'system' THEN 'system' WHEN anonymous THEN 'user'
+                      ELSE 'user name=' || replace({_name_sql("speaker")}, '<|', '< |') END || chr(10) AS head,
     replace(text, '<|', '< |') || '{END}' AS body
   FROM n JOIN who ON n.conv_id IS NOT DISTINCT FROM who.conv_id),
 p AS (

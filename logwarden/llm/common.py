@@ -7,7 +7,10 @@ whatever they are called, never clash with a working column.
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +20,37 @@ from pyspark.sql.window import Window
 from ..session import ensure_checkpoint_dir
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for an application: they need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED:
+        return
+    _SHIPPED.add(app)
+    raw = io.BytesIO()
+    with zipfile.ZipFile(raw, "w") as z:
+        for folder, _, names in os.walk(os.path.join(_ROOT, "logwarden")):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), _ROOT))
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark).rstrip('/')}/logwarden-{app}.zip")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(raw.getvalue()))
+    out.close()
+    spark.sparkContext.addPyFile(path.toString())
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder that ``spark.checkpoint.dir`` names."""
+    ship_package(spark)
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

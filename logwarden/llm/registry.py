@@ -2,30 +2,11 @@
 
 from __future__ import annotations
 
-import functools
-import os
-
 import corpus_pipeline
 
 from . import (ann, chat_perspectives, decontaminate, lm_scoring, merkle_manifest, secrets, sentencepiece_sampling,
                simhash, spelling, token_files, toxicity, url_filter, warc_audit)
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
-
-def _importable(query):
-    """The query, with this package on the import path of the Python workers."""
-    @functools.wraps(query)
-    def run(spark, sf_dir):
-        env = spark.sparkContext.environment
-        paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
-        if ROOT not in paths:
-            env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
-        return query(spark, sf_dir)
-
-    return run
-
-
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_warc_audit": warc_audit.query,
@@ -43,8 +24,6 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-QUERIES = {name: _importable(q) for name, q in QUERIES.items()}
-
 ORACLE_SQL = {
     "op2_warc_audit": warc_audit.ORACLE,
     "op3_chat_perspectives": chat_perspectives.ORACLE,

@@ -43,6 +43,7 @@ BASE_PATTERNS = (
 )
 KEY_ALPHABETS = (
     "0123456789abcdef",
+    "0123456789ABCDEF",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
@@ -51,7 +52,7 @@ KEY_ALPHABETS = (
 # --- end of fixed values ---
 
 #: shortest run the models judge, and what the log-likelihood ratio (nats) must reach
-MIN_RUN, MIN_TOTAL, MIN_PER_CHAR = 16, 12.0, 0.6
+MIN_RUN, MIN_TOTAL, MIN_PER_CHAR = 12, 12.0, 0.6
 #: per step of a run without mixed case or digits among letters: one word, and words with separators
 MIN_PER_STEP, MIN_PER_JOINED_STEP = 1.0, 2.0
 #: share of an ordinary identifier's steps that join two words (camelCase, digits, separators)

@@ -2,24 +2,29 @@
 
 ``warc_records`` renders pages as WARC/1.0 response records in ordered
 volumes of ``VOLUME_RECORDS`` records; the catalogue gives every record its
-volume, number and byte range.  A replica is a set of records under the
-catalogue's places.
+volume, number and byte range.  A replica is a set of records with their
+volume and number, and the byte ranges they have there.
 
 ``merkle_tree`` hashes a replica: a leaf is the SHA-256 of 0x00 and the
 record's bytes; a node covers up to ``FANOUT`` consecutive nodes, so an
 ordered byte range of the volume, and is the SHA-256 of 0x01 and, for each
-child, its number and hash.  A record the replica lost is a leaf ``missing``.
-Each level is one aggregation over a FANOUT-th of the rows of the level
-below, and no group is larger than FANOUT.
+child, its number, its byte range and its hash.  So a record at another
+offset changes the root like another content.  A catalogued record that the
+replica lost is a leaf ``missing``, and a record that the catalogue does not
+know is a leaf of the replica's tree.  Each level is one aggregation over a
+FANOUT-th of the rows of the level below, and no group is larger than FANOUT.
 
 ``audit`` compares the roots of the volumes of two replicas and descends
 only into children of nodes that differ: each level joins the two trees'
-nodes under the differing parents alone, down to the damaged records.
+nodes under the differing parents alone, down to the damaged records.  All
+damage is found this way.
 
 Cases: pages are ordered by id (nulls first), then URL and content; repeated
-rows are repeated records, null URL or content is empty.  A record outside
-the catalogue is reported as ``extra``.  Two copies of one catalogue place
-in a replica are damage unless equal.  Empty tables give no rows.
+rows are repeated records, null URL or content is empty.  A replica without
+byte ranges is read at the catalogue's.  Damage is ``missing``, ``extra`` (not
+in the catalogue), ``conflict`` (two unequal records at one place), ``corrupt``
+(other content) or ``moved`` (same content, other byte range).  Empty tables
+give no rows.
 """
 
 from __future__ import annotations
@@ -69,19 +74,26 @@ def warc_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
 def merkle_tree(catalogue: DataFrame, replica: DataFrame | None = None) -> DataFrame:
     """All nodes ``level, volume, node, start, end, hash``; level 0 is the records, level ``LEVELS`` the roots.
 
-    ``replica(volume, record, leaf)`` holds the leaf hashes of a copy; None is the catalogue itself.
+    ``replica(volume, record, leaf[, start, end])`` holds the leaf hashes of a
+    copy; None is the catalogue itself.
     """
     c = catalogue.select("volume", F.col("record").alias("node"), "start", "end", "leaf")
     if replica is not None:
+        own = F.struct(*([F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end")] if "start" in replica.columns else [
+            F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end")]), "leaf")
         r = replica.groupBy("volume", F.col("record").alias("node")).agg(
-            F.when(F.min("leaf") == F.max("leaf"), F.min("leaf")).otherwise(F.lit("conflict")).alias("leaf"))
-        c = c.drop("leaf").join(r, ["volume", "node"], "left")
+            F.min(own).alias("r"), (F.min(own) != F.max(own)).alias("conflict"))
+        c = c.withColumnsRenamed({"start": "c_start", "end": "c_end"}).drop("leaf").join(r, ["volume", "node"], "full_outer").select(
+            "volume", "node", F.coalesce("r.start", "c_start").alias("start"), F.coalesce("r.end", "c_end").alias("end"),
+            F.when(F.col("conflict"), "conflict").otherwise(F.col("r.leaf")).alias("leaf"))
     level = c.select(F.lit(0).alias("level"), "volume", "node", "start", "end",
                      F.coalesce("leaf", F.lit("missing")).alias("hash"))
     out = level
+    place = lambda x: F.coalesce(x.cast("string"), F.lit("-"))
     for k in range(1, LEVELS + 1):
-        kids = F.sort_array(F.collect_list(F.struct("node", "hash")))
-        joined = F.array_join(F.transform(kids, lambda x: F.concat(x["node"].cast("string"), F.lit(":"), x["hash"])), ",")
+        kids = F.sort_array(F.collect_list(F.struct("node", "start", "end", "hash")))
+        joined = F.array_join(F.transform(kids, lambda x: F.concat_ws(
+            ":", x["node"].cast("string"), place(x["start"]), place(x["end"]), x["hash"])), ",")
         level = level.groupBy("volume", F.floor(F.col("node") / FANOUT).cast("int").alias("parent")).agg(
             F.min("start").alias("start"), F.max("end").alias("end"),
             F.sha2(F.concat(F.unhex(F.lit("01")), F.encode(joined, "UTF-8")), 256).alias("hash")).select(
@@ -91,7 +103,10 @@ def merkle_tree(catalogue: DataFrame, replica: DataFrame | None = None) -> DataF
 
 
 def audit(tree_a: DataFrame, tree_b: DataFrame) -> DataFrame:
-    """Records in which the replicas differ: ``volume, record, start, end, hash_a, hash_b``."""
+    """Records in which the replicas differ: ``volume, record, start, end, hash_a, hash_b`` (and ``start_b``, ``end_b``).
+
+    A hash is null where a tree has no such record.
+    """
     def pairs(level: int, parents: DataFrame | None) -> DataFrame:
         a, b = (t.where(F.col("level") == level) for t in (tree_a, tree_b))
         if parents is not None:
@@ -102,16 +117,19 @@ def audit(tree_a: DataFrame, tree_b: DataFrame) -> DataFrame:
                     up, ["volume", "parent"], "left_semi").drop("parent")
 
             a, b = below(a), below(b)
-        b = b.select("volume", "node", F.col("hash").alias("hash_b"))
+        b = b.select("volume", "node", F.col("start").alias("start_b"), F.col("end").alias("end_b"), F.col("hash").alias("hash_b"))
         j = a.withColumnRenamed("hash", "hash_a").join(b, ["volume", "node"], "full_outer")
-        return j.where(~F.col("hash_a").eqNullSafe(F.col("hash_b")))
+        same = F.lit(True)
+        for x, y in (("hash_a", "hash_b"), ("start", "start_b"), ("end", "end_b")):
+            same = same & F.col(x).eqNullSafe(F.col(y))
+        return j.where(~same)
 
     differ = None
     for level in range(LEVELS, -1, -1):
         differ = pairs(level, differ)
         if level:
             differ = stored(differ, f"differing-{level}")  # small: read by the next level's two sides
-    return differ.select("volume", F.col("node").alias("record"), "start", "end", "hash_a", "hash_b")
+    return differ.select("volume", F.col("node").alias("record"), "start", "end", "hash_a", "hash_b", "start_b", "end_b")
 
 
 # --- fixed values: the damage of the second replica of the registered query, by page id ---
@@ -143,16 +161,12 @@ def fixity_report(catalogue: DataFrame, replica: DataFrame) -> DataFrame:
     a = stored(merkle_tree(catalogue), "tree-a")
     b = stored(merkle_tree(catalogue, replica), "tree-b")
     d = audit(a, b)
-    outside = replica.select("volume", "record", F.col("leaf").alias("hash_b")).join(
-        catalogue.select("volume", "record"), ["volume", "record"], "left_anti")
-    kind = F.when(F.col("hash_b") == "missing", "missing").when(F.col("hash_b") == "conflict", "conflict").otherwise("corrupt")
+    kind = (F.when(F.col("hash_a").isNull(), "extra").when(F.col("hash_b") == "missing", "missing").when(F.col("hash_b") == "conflict", "conflict")
+            .when(F.col("hash_a") == F.col("hash_b"), "moved").otherwise("corrupt"))
     pages = catalogue.select("volume", "record", "page_id")
-    rows = d.join(pages, ["volume", "record"]).select("page_id", "volume", "record", "start", "end", "hash_a", "hash_b",
-                                                      kind.alias("damage"))
-    extra = outside.select(F.lit(None).cast(catalogue.schema["page_id"].dataType).alias("page_id"), "volume", "record",
-                           F.lit(None).cast("long").alias("start"), F.lit(None).cast("long").alias("end"),
-                           F.lit(None).cast("string").alias("hash_a"), "hash_b", F.lit("extra").alias("damage"))
-    return rows.unionAll(extra)
+    return d.join(pages, ["volume", "record"], "left").select(
+        "page_id", "volume", "record", F.coalesce("start", "start_b").alias("start"), F.coalesce("end", "end_b").alias("end"),
+        "hash_a", "hash_b", kind.alias("damage"))
 
 
 _REC = """'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '')

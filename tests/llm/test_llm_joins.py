@@ -362,11 +362,34 @@ def test_merkle_roots_equal_a_plain_tree(spark):
     rec = (f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://x/3\r\nContent-Type: text/html\r\n"
            f"Content-Length: {len(body.encode())}\r\n\r\n{body}\r\n\r\n").encode()
     assert hashlib.sha256(b"\0" + rec).hexdigest() in hashes
+    nodes = [(r.start, r.end, r.leaf) for r in leaves]
     for _ in range(WA.LEVELS):
-        hashes = [hashlib.sha256(b"\1" + ",".join(f"{k + j}:{h}" for j, h in enumerate(hashes[k:k + WA.FANOUT])).encode()).hexdigest()
-                  for k in range(0, len(hashes), WA.FANOUT)]
+        runs = [nodes[k:k + WA.FANOUT] for k in range(0, len(nodes), WA.FANOUT)]
+        nodes = [(run[0][0], run[-1][1], hashlib.sha256(b"\1" + ",".join(
+            f"{n * WA.FANOUT + j}:{s}:{e}:{h}" for j, (s, e, h) in enumerate(run)).encode()).hexdigest()) for n, run in enumerate(runs)]
     roots = WA.merkle_tree(cat).where(F.col("level") == WA.LEVELS).collect()
-    assert [r.hash for r in roots] == hashes
+    assert [(r.start, r.end, r.hash) for r in roots] == nodes
+
+
+def test_moved_and_extra_records_change_the_root_and_are_found(spark):
+    """By descent alone: the trees differ, and no record is looked for outside them."""
+    pages = spark.createDataFrame([(i, f"u{i}", "b" * i) for i in range(70)], "page_id long, url string, html string")
+    cat = WA.warc_records(pages)
+    good = cat.select("volume", "record", "start", "end", "leaf")
+    root = lambda r: [x.hash for x in WA.merkle_tree(cat, r).where(F.col("level") == WA.LEVELS).orderBy("volume", "node").collect()]
+    want = root(None)
+    assert root(good) == want and root(good.select("volume", "record", "leaf")) == want
+    shift = lambda cond: good.withColumns({c: F.when(cond, F.col(c) + 100).otherwise(F.col(c)) for c in ("start", "end")})
+    new = spark.sql("SELECT 0L AS volume, 70 AS record, 9000L AS start, 9100L AS end, 'new' AS leaf")
+    far = spark.sql("SELECT 0L AS volume, 5000 AS record, 9000L AS start, 9100L AS end, 'new' AS leaf")
+    other = spark.sql("SELECT 7L AS volume, 0 AS record, 0L AS start, 10L AS end, 'new' AS leaf")
+    for replica, found in ((shift(F.lit(True)), {(0, r, "moved") for r in range(70)}), (shift(F.col("record") == 33), {(0, 33, "moved")}),
+                           (good.unionAll(new), {(0, 70, "extra")}), (good.unionAll(far), {(0, 5000, "extra")}),
+                           (good.unionAll(other), {(7, 0, "extra")}), (good.where("record <> 69"), {(0, 69, "missing")})):
+        assert root(replica) != want
+        a, b = WA.merkle_tree(cat), WA.merkle_tree(cat, replica)
+        assert {(r.volume, r.record) for r in WA.audit(a, b).collect()} == {x[:2] for x in found}
+        assert {(r.volume, r.record, r.damage) for r in WA.fixity_report(cat, replica).collect()} == found
 
 
 def test_audit_finds_every_kind_of_damage(spark):
@@ -388,8 +411,8 @@ def test_audit_finds_every_kind_of_damage(spark):
 def render(turns, me):
     out, mask = "", []
     for speaker, text in turns:
-        head = "assistant" if speaker == me else "system" if speaker == "system" else "user name=" + re.sub(
-            r"\s+", "_", speaker).replace("<|", "< |")
+        name = "".join({" ": "_"}.get(c, f"%{ord(c):02X}" if c in "%_\t\n\x0b\f\r" else c) for c in speaker).replace("<|", "< |")
+        head = "assistant" if speaker == me else "system" if speaker == "system" else f"user name={name}" if speaker else "user"
         out += f"<|im_start|>{head}\n"
         at = len(out)
         out += text.replace("<|", "< |") + "<|im_end|>"
@@ -399,6 +422,15 @@ def render(turns, me):
     return out, mask
 
 
+def test_different_speakers_have_different_names(spark):
+    names = ["a b", "a_b", "a  b", "a\tb", "a%5Fb", "a%b", "unknown", "user", "a<|b", "a< |b", "a\nb", None]
+    t = spark.createDataFrame([(1, k, s, "hi") for k, s in enumerate(["me", *names])], "conv_id long, turn long, role string, text string")
+    view = CH.perspectives(t).where("perspective = 'me'").first().text
+    heads = re.findall(r"<\|im_start\|>(.*)\n", view)
+    assert heads[0] == "assistant" and heads[-1] == "user"
+    assert len(set(heads)) == len(heads) == len(names) + 1
+
+
 def test_views_of_long_and_odd_dialogues(spark):
     rng = random.Random(1)
     talk = [(1, k, rng.choice(["ann", "bob", "system"]), f"turn {k} é <|im_start|>") for k in range(150)]
@@ -417,5 +449,5 @@ def test_views_of_long_and_odd_dialogues(spark):
         for k, p in enumerate(parts):
             text, mask = render(turns[64 * k:64 * k + 64], me)
             assert (p.text, [tuple(m) for m in p.mask], p.n_masked) == (text, mask, sum(e - s for s, e in mask))
-    assert got[2, "ann lee"][0].text == render([("unknown", ""), ("ann lee", "x"), ("ann lee", "x"), ("unknown", "anonymous")], "ann lee")[0]
+    assert got[2, "ann lee"][0].text == render([("", ""), ("ann lee", "x"), ("ann lee", "x"), ("", "anonymous")], "ann lee")[0]
     assert CH.perspectives(t.limit(0)).count() == 0
