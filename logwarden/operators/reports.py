@@ -157,6 +157,27 @@ def parse_alert_lines(text: DataFrame) -> DataFrame:
         F.trim(F.get(parts, 2)).alias("detail"))
 
 
+def render_detailed_alerts(alerts: DataFrame, generated_at: str) -> DataFrame:
+    """Detailed alert text lines: ``[ts] [SEV] [CATEGORY] message | ACTION: action``; no action is an empty one."""
+    return alerts.select(F.concat(
+        F.lit(f"[{generated_at}] ["), F.col("severity"), F.lit("] ["), F.col("category"), F.lit("] "), F.col("message"),
+        F.lit(" | ACTION: "), F.coalesce("action", F.lit(""))).alias("line"))
+
+
+RX_DETAILED = r"^\[([^\]]*)\] \[([A-Z]+)\] \[([^\]]*)\] (.*) \| ACTION: (.*)$"
+
+
+def parse_detailed_alerts(text: DataFrame) -> DataFrame:
+    """Detailed alert text -> ``(ts, severity, category, message, action)``; the action is what follows the last mark.
+
+    Lines of another form have null columns, an empty action is null.
+    """
+    fits = F.col("line").rlike(RX_DETAILED)
+    part = lambda k: F.when(fits, F.regexp_extract("line", RX_DETAILED, k))
+    return text.select(part(1).alias("ts"), part(2).alias("severity"), part(3).alias("category"), part(4).alias("message"),
+                       F.nullif(part(5), F.lit("")).alias("action"))
+
+
 def render_ip_summary(summary: DataFrame) -> DataFrame:
     """IP summary text rows; short fields are padded, long ones never cut."""
     return summary.select(F.format_string("%-20s | %-12s | %s", "ip", F.col("occurrences").cast("string"),

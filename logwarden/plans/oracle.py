@@ -78,10 +78,16 @@ def _log_type() -> str:
 
 
 LOG_LINES = _lines_cte()
-DOC_LINES = f"""log_d AS (
-  SELECT doc_id, source AS source_file, unnest(string_split(text, chr(10))) AS line,
-    generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place
-  FROM documents),
+DOC_LINES = f"""log_e AS (SELECT *, '10.' || doc_id % 3 || '.' || doc_id % 7 || '.' || doc_id % 50 AS ip,
+    lpad(CAST(doc_id % 60 AS VARCHAR), 2, '0') AS sec FROM documents),
+log_d AS (
+  SELECT doc_id, source AS source_file, unnest(w) AS line, generate_subscripts(w, 1) - 1 AS place
+  FROM (SELECT doc_id, source, list_concat(coalesce(string_split(text, chr(10)), []), CASE WHEN doc_id IS NULL THEN [] ELSE [CASE
+    WHEN doc_id % 9 = 0 THEN 'Jan 05 10:00:' || sec || ' server sshd[7]: Failed password for root from ' || ip || ' port 22 ssh2'
+    WHEN doc_id % 9 = 1 THEN 'Jan 05 10:00:' || sec || ' server kernel[7]: ERROR: Disk I/O error for ' || ip
+    ELSE ip || ' - - [05/Jan/2024:10:00:' || sec || ' +0000] "GET ' || CASE doc_id % 5 WHEN 0 THEN '/admin' WHEN 1 THEN '/.env' ELSE '/doc' END
+      || ' HTTP/1.1" ' || CASE doc_id % 4 WHEN 0 THEN '404' WHEN 1 THEN '500' ELSE '200' END || ' ' || coalesce(n_chars, 0) || ' "-" "-"' END] END) AS w
+    FROM log_e)),
 log_lines AS (SELECT doc_id || ':' || place AS line_id, line, source_file, {_log_type()} AS log_type FROM log_d)"""
 
 
@@ -391,6 +397,7 @@ def _report_sql(out: dict[str, str], cfg: Thresholds, generated_at: str) -> dict
   trim(regexp_replace(head, '^\[[A-Z]+\]', '')) AS ts, trim(parts[2]) AS type, trim(parts[3]) AS detail
 FROM (SELECT parts, trim(parts[1]) AS head FROM (SELECT string_split(line, '|') AS parts FROM {src}))"""
     res["parse_alert_line"] = parsed.format(src=rendered)
+    res["parse_detailed_alert"] = f"SELECT {q(generated_at)} AS ts, severity, category, message, action FROM {sub('detailed_alerts')}"
     crit_rendered = rendered.replace(f"FROM {S4})", f"FROM {S4} WHERE channel = 'critical')")
     res["run_summary"] = "\nUNION ALL ".join([
         row(SEC_EXEC, 1, q("Total Log Lines Processed"), "cnt", usage, "metric = 'total_lines'"),
@@ -710,6 +717,6 @@ def _day_sql(event_ts: str) -> dict[str, str]:
 
 
 #: questions that are also asked of the documents' lines
-DOCUMENT_QUERIES = ("classify_source", "classify_files", "event_time", "extract_ips", "strip_comments", "dedup_lines", "normal_anomaly_split",
+DOCUMENT_QUERIES = ("classify_source", "classify_files", "failed_by_ip", "requests_per_ip", "error_code_breakdown", "event_time", "extract_ips", "strip_comments", "dedup_lines", "normal_anomaly_split",
                     "suspicious_lines", "anomaly_summary", "usage_stats", "ip_summary", "detailed_alerts", "threshold_scan",
                     "final_report")

@@ -168,6 +168,7 @@ REGISTRY: dict[str, Q] = {
     "run_summary": lambda s, d: RP.run_summary(_L(s, d), DEFAULT, GENERATED_AT),
     "parse_alert_line": lambda s, d: RP.parse_alert_lines(
         RP.render_stage4_alerts(AL.stage4_alerts(_L(s, d)), GENERATED_AT)),
+    "parse_detailed_alert": lambda s, d: RP.parse_detailed_alerts(RP.render_detailed_alerts(AL.detailed_alerts(_L(s, d)), GENERATED_AT)),
     "parse_ip_summary": lambda s, d: RP.parse_ip_summary(RP.render_ip_summary(A.ip_summary(_L(s, d)))),
     # windows (batch form of the streaming rule)
     "failed_login_windows": lambda s, d: W.failed_login_windows(_L(s, d)),
@@ -193,6 +194,9 @@ DOCUMENT_LINES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ip_summary": A.ip_summary,
     "detailed_alerts": AL.detailed_alerts,
     "threshold_scan": TH.threshold_scan,
+    "failed_by_ip": A.failed_by_ip,
+    "requests_per_ip": A.requests_per_ip,
+    "error_code_breakdown": A.error_code_breakdown,
     "final_report": lambda t: RP.final_report(t, DEFAULT, GENERATED_AT),
 }
 REGISTRY.update({f"doc_{name}": (lambda s, d, fn=fn: fn(load_document_lines(s, d))) for name, fn in DOCUMENT_LINES.items()})

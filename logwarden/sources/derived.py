@@ -168,15 +168,30 @@ def load_long_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.where(~F.col("line").contains(FIXED_DATE_MARK)).join(F.broadcast(end))  # one row
 
 
+# --- fixed values: the access record that each document's delivery leaves ---
+DOC_RECORD = """CASE
+  WHEN doc_id % 9 = 0 THEN concat('Jan 05 10:00:', sec, ' server sshd[7]: Failed password for root from ', ip, ' port 22 ssh2')
+  WHEN doc_id % 9 = 1 THEN concat('Jan 05 10:00:', sec, ' server kernel[7]: ERROR: Disk I/O error for ', ip)
+  ELSE concat(ip, ' - - [05/Jan/2024:10:00:', sec, ' +0000] "GET ', CASE doc_id % 5 WHEN 0 THEN '/admin' WHEN 1 THEN '/.env' ELSE '/doc' END,
+    ' HTTP/1.1" ', CASE doc_id % 4 WHEN 0 THEN '404' WHEN 1 THEN '500' ELSE '200' END, ' ', coalesce(n_chars, 0), ' "-" "-"') END"""
+# --- end of fixed values ---
+
+
 def load_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of every document as a log line: ``(line_id, line, source_file, log_type)``.
+    """Every line of every document as a log line, and after them the record of the document's delivery.
 
-    The lines repeat, are in several languages, hold addresses and junk, and
-    come from names no classifier knows.  ``line_id`` is ``doc_id:place``.
+    ``(line_id, line, source_file, log_type)``.  The documents' lines repeat,
+    are in several languages, hold addresses and junk, and come from names no
+    classifier knows; the records are logins, errors and requests, so every
+    rule has lines to find among them.  ``line_id`` is ``doc_id:place``.
     """
     from .files import log_type_of
 
-    docs = spark.read.schema("doc_id bigint, text string, source string").parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    t = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n", -1)).alias("place", "line"))
+    docs = spark.read.schema("doc_id bigint, text string, source string, n_chars bigint").parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = docs.selectExpr("*", "concat('10.', doc_id % 3, '.', doc_id % 7, '.', doc_id % 50) AS ip",
+                           "lpad(cast(doc_id % 60 AS string), 2, '0') AS sec")
+    lines = F.concat(F.coalesce(F.split("text", "\n", -1), F.array().cast("array<string>")),
+                     F.when(F.col("doc_id").isNull(), F.array().cast("array<string>")).otherwise(F.array(F.expr(DOC_RECORD))))
+    t = docs.select("doc_id", "source", F.posexplode(lines).alias("place", "line"))
     return t.select(F.concat_ws(":", "doc_id", "place").alias("line_id"), "line", F.col("source").alias("source_file"),
                     log_type_of("source", "line").alias("log_type"))
