@@ -9,9 +9,17 @@
     python -m logwarden.cli check VALUE THRESHOLD [LABEL]
     python -m logwarden.cli show
     python -m logwarden.cli health --logs DIR
-    python -m logwarden.cli alerts (--logs DIR | --run DIR) --out DIR [--run-id ID]
+    python -m logwarden.cli alerts (--logs DIR [--rules FILE] | --run DIR) --out DIR [--run-id ID]
+    python -m logwarden.cli rules --out FILE
+    python -m logwarden.cli verify --out DIR [--run-id ID]
     python -m logwarden.cli digest (--logs DIR | --run DIR) --out DIR [--run-id ID]
-    python -m logwarden.cli stream --logs DIR --checkpoint DIR --out DIR [--continuous SECONDS]
+    python -m logwarden.cli stream [alerts|windows|dedup] --logs DIR --checkpoint DIR --out DIR [--continuous SECONDS]
+    python -m logwarden.cli compact alerts|windows|dedup --out DIR [--before DATE]
+
+``rules`` writes the built-in rules as JSON lines; an edited copy is read by
+``alerts --rules``.  ``verify`` compares a run's tables with the digests taken
+when they were written (exit code 1 if one differs).  ``compact`` folds the
+batch folders of a stream's output and drops the days before a date.
 
 ``--run DIR`` reads the tables of a finished run instead of scanning raw logs.
 Every bound can be set: ``--config FILE`` (JSON, names as in ``Thresholds``),
@@ -178,10 +186,38 @@ def cmd_alerts(spark, args) -> int:
     from .operators import alerts as AL
     from .sources.sinks import write_alerts
 
-    write_alerts(AL.all_alerts(None, _config(args), table=_incidents(spark, args)), args.out, _run_id(args))
+    if args.rules:
+        from .operators.rules import load_rules, read_rules
+
+        if args.run:
+            print("--rules needs --logs: the tables of a run hold the counts of its own rules")
+            return 2
+        alerts = AL.all_alerts_by_rules(_lines(spark, args), load_rules(read_rules(spark, args.rules)), _config(args))
+    else:
+        alerts = AL.all_alerts(None, _config(args), table=_incidents(spark, args))
+    write_alerts(alerts, args.out, _run_id(args))
+    return 0
+
+
+def cmd_rules(spark, args) -> int:
+    from dataclasses import asdict
+
+    from .operators.rules import builtin_rules
+
+    with open(args.out, "w") as f:  # a file to edit by hand: one line for each rule
+        f.writelines(json.dumps({k: v for k, v in asdict(r).items() if v is not None}) + "\n" for r in builtin_rules(_config(args)))
     return 0
 
 
+def cmd_verify(spark, args) -> int:
+    from .plans.pipeline import check_run
+
+    rows = check_run(spark, args.out, _run_id(args)).orderBy("name").collect()
+    for r in rows:
+        print(" | ".join(str(v) for v in r))
+    return 0 if rows and all(r.status == "OK" for r in rows) else 1
+
+
 def cmd_digest(spark, args) -> int:
     from .operators import reports as RP
     from .plans.pipeline import read_table
@@ -197,13 +233,26 @@ def cmd_digest(spark, args) -> int:
 def cmd_stream(spark, args) -> int:
     from .streaming import jobs as J
 
-    q = J.stream_alerts(spark, args.logs, args.checkpoint, args.out, _config(args),
-                        available_now=args.continuous is None,
-                        processing_time=f"{args.continuous} seconds" if args.continuous else None)
+    job = {"alerts": J.stream_alerts, "windows": J.stream_failed_login_windows, "dedup": J.stream_dedup}[args.job]
+    q = job(spark, args.logs, args.checkpoint, args.out, _config(args), available_now=args.continuous is None,
+            processing_time=f"{args.continuous} seconds" if args.continuous else None)
     q.awaitTermination()
     return 0
 
 
+def cmd_compact(spark, args) -> int:
+    from .streaming import jobs as J
+
+    {"alerts": J.compact_alerts, "windows": J.compact, "dedup": J.compact_lines}[args.job](spark, args.out)
+    if args.before:
+        if args.job == "windows":
+            print("windows are not kept by day: nothing was dropped")
+            return 2
+        out = f"{args.out.rstrip('/')}/alerts" if args.job == "alerts" else args.out
+        print("dropped:", ", ".join(J.drop_days(spark, out, args.before)) or "nothing")
+    return 0
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="logwarden", description="Spark security-log analytics")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -241,9 +290,16 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("label", nargs="?", default="metric")
     add("show", cmd_show)
     add("health", cmd_health, logs)
-    add("alerts", cmd_alerts, logs_or_run, out, rid)
+    add("alerts", cmd_alerts, logs_or_run, out, rid).add_argument("--rules", default=None, help="rule table: JSON lines, CSV or Parquet")
+    add("rules", cmd_rules, out)
+    add("verify", cmd_verify, out, rid)
     add("digest", cmd_digest, logs_or_run, out, rid)
+    jobs = ("alerts", "windows", "dedup")
+    s = add("compact", cmd_compact, out)
+    s.add_argument("job", choices=jobs)
+    s.add_argument("--before", default=None, help="drop the days before this date")
     s = add("stream", cmd_stream, logs, out)
+    s.add_argument("job", nargs="?", choices=jobs, default="alerts")
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--continuous", type=int, default=None, help="trigger interval in seconds")
     return p

@@ -209,6 +209,12 @@ def rule_alerts(lines: DataFrame, rules: list[Rule]) -> DataFrame:
     return _fire(incidents(line_facts(lines, own), own), compiled(rules))
 
 
+def all_alerts_by_rules(lines: DataFrame, rules: list[Rule], cfg: Thresholds = DEFAULT) -> DataFrame:
+    """Both engines, with the rules over totals taken from a rule table instead of the built-in ones."""
+    own = metrics(rules)
+    return _fire(incidents(line_facts(lines, own), own), [*stage4_rules(cfg), *_ssh_tiers(cfg), *compiled(rules), *_reputation(cfg)])
+
+
 def alert_severity_counts(alerts: DataFrame) -> DataFrame:
     """Alerts per (severity, channel) — the true severity, never a shifted counter."""
     return alerts.groupBy("severity", "channel").agg(F.count(F.lit(1)).alias("cnt"))

@@ -72,3 +72,37 @@ def test_cli_bounds_year_and_excluded_files(spark, tmp_path, capsys):
     assert main(["scan", "--logs", logs, "--exclude", "auth.log", "--exclude", "syslog", "--exclude", "apache.log"], spark) == 0
     assert main(["health", "--logs", logs], spark) == 0
     assert "sample_logs.log |  | MISSING" in capsys.readouterr().out
+
+
+def test_cli_rules_verify_and_compact(spark, tmp_path, capsys):
+    """The built-in rules, edited in a file; a run's tables; a stream's output folded and cut."""
+    import json
+
+    logs, rules = _logs(tmp_path), str(tmp_path / "rules.json")
+    assert main(["rules", "--out", rules], spark) == 0
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    assert main(["alerts", "--logs", logs, "--out", a], spark) == 0
+    assert main(["alerts", "--logs", logs, "--rules", rules, "--out", b], spark) == 0
+    read = lambda p: sorted(str(r) for r in spark.read.parquet(p).drop("run_id").collect())
+    assert read(a) == read(b)
+    rows = [json.loads(x) for x in open(rules)]
+    rows += [{"kind": "metric", "name": "pings", "pattern": "sshd", "scope": "all"},
+             {"kind": "alert", "name": "ping", "category": "OWN", "severity": "LOW", "metric": "pings", "op": ">=", "bound": 1, "message": "{n} pings"}]
+    with open(rules, "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in rows)
+    assert main(["alerts", "--logs", logs, "--rules", rules, "--out", b], spark) == 0
+    more = set(read(b)) - set(read(a))
+    assert len(more) == 1 and "pings" in more.pop()
+    run = str(tmp_path / "run")
+    assert main(["run", "--logs", logs, "--out", run, "--run-id", "r"], spark) == 0
+    assert main(["verify", "--out", run, "--run-id", "r"], spark) == 0
+    spark.range(3).write.mode("overwrite").parquet(f"{run}/run_id=r/usage_stats")
+    assert main(["verify", "--out", run, "--run-id", "r"], spark) == 1
+    assert "usage_stats" in capsys.readouterr().out
+    ck, out = str(tmp_path / "ck"), str(tmp_path / "w4")
+    assert main(["stream", "dedup", "--logs", logs, "--checkpoint", ck, "--out", out], spark) == 0
+    from logwarden.streaming.jobs import stream_dedup_lines
+
+    n = stream_dedup_lines(spark, out).count()
+    assert main(["compact", "dedup", "--out", out, "--before", "2000-01-01"], spark) == 0
+    assert stream_dedup_lines(spark, out).count() == n > 0
