@@ -1,14 +1,25 @@
-"""The corpus pipeline's stages against brute force, and on messy documents."""
+"""The corpus pipeline against a plain version of its stages, and on messy documents.
+
+What the toxicity machine scores, and which runs the Markov models call
+random, is taken from those models; every decision on it is made again here.
+"""
+
+import re
 
 import corpus_pipeline as CP
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from logwarden.llm import decontaminate as DC
+from logwarden.llm import secrets as SE
+from logwarden.llm import sentencepiece_sampling as SP
 from logwarden.llm import simhash as SH
 from logwarden.llm import toxicity as TX
 
 from .helpers import SHARED
+from .test_llm_joins import plain_fingerprint, union_find, words
+from .test_llm_text_ops import brute_spans
 
 
 def stage(name):
@@ -66,3 +77,75 @@ def test_stages_decide_like_brute_force(spark, sf):
     out = CP.run(spark, sf)
     assert 0 < out.count() < docs.count()
     assert out.where("ids IS NULL").count() == out.where("text IS NULL").count()
+
+
+def plain_near_duplicates(docs):
+    docs = sorted(docs.items())
+    fps = [plain_fingerprint(t or "") for _, t in docs]
+    pairs = [(i, j) for i in range(len(fps)) for j in range(i) if bin(fps[i] ^ fps[j]).count("1") <= 4]
+    root = union_find(len(fps), pairs)
+    return {k: t for n, (k, t) in enumerate(docs) if root[n] == n}  # the smallest of each component
+
+
+def leaks(text, items):
+    """Whether 11 of some 13 words agree with an item's: then 4 in a row do, which give the shifts to look at."""
+    w = words(text)
+    at = {}
+    for k in range(len(w) - 3):
+        at.setdefault(tuple(w[k:k + 4]), []).append(k)
+    for v in items:
+        for shift in {p - k for k in range(len(v) - 3) for p in at.get(tuple(v[k:k + 4]), ())}:
+            lo, hi = max(0, shift), min(len(w), shift + len(v))
+            eq = np.array([w[q] == v[q - shift] for q in range(lo, hi)], int)
+            if len(eq) >= 13 and np.convolve(eq, np.ones(13, int), "valid").max() >= 11:
+                return True
+    return False
+
+
+def plain_redaction(text, table):
+    """Spans, merged where they overlap, become marks."""
+    if text is None:
+        return None
+    spans = sorted([(s, e) for s, e, _ in brute_spans(text)] + [(s, e) for s, e, k in SE.secret_spans(text, table) if k == "markov"])
+    out, at = "", 0
+    for s, e in spans:
+        if s >= at:
+            out += text[at:s] + "[SECRET]"
+        at = max(at, e)
+    return out + text[at:] if spans else text
+
+
+def plain_text(sp, ids):
+    """Pieces put together by their names alone."""
+    raw = b"".join(bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) and sp.is_byte(i) else p.replace("\u2581", " ").encode()
+                   for i, p in ((i, sp.id_to_piece(i)) for i in ids))
+    return raw.decode()[1:]
+
+
+def test_run_equals_a_plain_version(spark, sf, tmp_path):
+    import sentencepiece
+
+    own, sf = sf, str(tmp_path)
+    item = next(r.text for r in spark.read.parquet(f"{own}/benchmark.parquet").collect() if len(words(r.text)) >= 15)
+    prose = "a plain note about rivers and hills that nobody else has written down in quite this way, "
+    secret = f'{prose} with password = "hunter2xyz" and the key Zq8vT3mXw9LrB5nKd7Jc in it\n'
+    more = spark.createDataFrame([(900001, secret), (900002, f"{prose} then {item} and no more of it"), (900003, secret), (900004, None)],
+                                 "doc_id long, text string").selectExpr("*", "'en' AS lang", "'s' AS source", "CAST(length(text) AS BIGINT) AS n_chars")
+    spark.read.parquet(f"{own}/documents.parquet").unionByName(more).write.parquet(f"{sf}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{own}/{t}.parquet").write.parquet(f"{sf}/{t}.parquet")
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    toxic = {r.doc_id for r in TX.query(spark, sf).where("predicted = 1").collect()}
+    left = plain_near_duplicates({k: t for k, t in docs.items() if k not in toxic})
+    items = [words(r.text or "") for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    left = {k: t for k, t in left.items() if not leaks(t or "", items)}
+    kept = spark.read.parquet(f"{sf}/documents.parquet").where(F.col("doc_id").isin(list(left)))
+    table = np.array(SE.train_markov(kept)).reshape(128, 128)
+    want = {k: plain_redaction(t, table) for k, t in left.items()}
+    assert want[900001].count("[SECRET]") == 2 and 900002 not in want and 900003 not in want
+    rows = CP.run(spark, sf).collect()
+    assert {r.doc_id: r.text for r in rows} == want and len(rows) == len(want)
+    sp = sentencepiece.SentencePieceProcessor(model_file=SP.model_path())
+    for r in rows:
+        assert (r.ids is None and r.text is None) or (plain_text(sp, r.ids) == r.text and r.n_pieces == len(r.ids))
+        assert r.text == docs[r.doc_id] or r.n_chars == len(r.text)
