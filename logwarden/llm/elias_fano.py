@@ -50,16 +50,26 @@ def encode(x: np.ndarray, bound: int) -> list[np.ndarray]:
     return [_packed(x & ((U(1) << U(width)) - U(1)), width), bits, zeros]
 
 
+_BYTES = U(0x0101010101010101)
+#: place of the n-th set bit of a byte
+_IN_BYTE = np.zeros((256, 8), np.uint8)
+for _byte in range(256):
+    for _n, _place in enumerate(k for k in range(8) if _byte >> k & 1):
+        _IN_BYTE[_byte, _n] = _place
+_IN_BYTE = _IN_BYTE.reshape(-1)
+
+
 def _nth_bit(x: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Place of the n-th set bit (from 0) of each word."""
-    place, n = np.zeros(len(x), np.uint64), n.astype(np.uint64)
-    for half in (32, 16, 8, 4, 2, 1):
-        below = np.bitwise_count(x & U((1 << half) - 1)).astype(np.uint64)
-        up = n >= below
-        n = np.where(up, n - below, n)
-        x = np.where(up, x >> U(half), x)
-        place += np.where(up, U(half), U(0))
-    return place
+    # bits of every byte, summed up from the lowest byte on
+    s = x - ((x >> U(1)) & U(0x5555555555555555))
+    s = (s & U(0x3333333333333333)) + ((s >> U(2)) & U(0x3333333333333333))
+    s = ((s + (s >> U(4))) & U(0x0F0F0F0F0F0F0F0F)) * _BYTES
+    # bytes up to which there are no more than n bits
+    full = ((n * _BYTES | (_BYTES << U(7))) - s) & (_BYTES << U(7))
+    place = np.bitwise_count(full).astype(np.uint64) << U(3)
+    n = n - ((s << U(8)) >> place & U(0xFF))
+    return place + _IN_BYTE[(((x >> place) & U(0xFF)) << U(3) | n).astype(np.int64)]
 
 
 class EliasFano:
@@ -96,15 +106,14 @@ class EliasFano:
         high = lo.astype(np.uint64) * U(64) + bit - i
         return (high << U(self.width)) | self._lows(i)
 
-    def successor(self, x: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place of the first number >= x in [start, end), else end, and whether it is x; ``x`` ascending."""
+    def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of the first number >= x, and whether it is x; ``x`` ascending."""
         high = x >> U(self.width)
         new = np.concatenate([[True], high[1:] != high[:-1]]) if len(high) else np.zeros(0, bool)
         of = np.cumsum(new) - 1
         distinct = high[new]
         low = x & ((U(1) << U(self.width)) - U(1))
-        lo = np.clip(self._rank(distinct)[of], start, end)
-        hi = np.clip(self._rank(distinct + U(1))[of], lo, end)
+        lo, hi = self._rank(distinct)[of], self._rank(distinct + U(1))[of]
         last, on = hi.copy(), np.flatnonzero(lo < hi)
         while len(on):
             mid = (lo[on] + hi[on]) >> 1

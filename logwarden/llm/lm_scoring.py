@@ -19,16 +19,18 @@ of the context, plus what was discounted times the probability after the
 shorter context; D = n1 / (n1 + 2 n2) of the level.  Words have (count + 1) /
 (N + V + 1), unknown ones 1 / (N + V + 1).
 
-Counting is one pass a level.  A task counts a block of texts, cuts the
+Texts are cut into words once and kept as word numbers; when level 2 is
+there, the place of each pair is looked up once and kept beside them.
+Counting is one pass a level over those.  A task counts a block, cuts the
 counts at bounds of the key and sends each part as one compressed row; a part
 is merged and written by one task.  Bounds come from the level above, whose
 counts say how many occurrences lie in a range, and they split a frequent
 context's children too.  So a part holds about ``PART_TOKENS`` occurrences
 at most, whatever one word's or pair's share.
 
-``score`` maps the files and asks them for the distinct n-grams of a block
-at a time: the context's range by its pointers, then the child's successor
-in that range.  So a task holds one block, not the model.
+Scoring maps the files and asks them for the distinct n-grams of a block at
+a time, for triples first and for pairs where there is no triple: the successor of the child among the numbers of its context, then
+the byte at its place.  So a task holds one block, not the model.
 
 Cases: A-Z is lower-cased, words are ``[^\\x20\\x09-\\x0D]+``, and each text is
 closed by an end token; null texts are empty, so of the end alone.  Rows
@@ -49,7 +51,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import word_arrays as WA
-from .common import read, shared_path, whole_text
+from .common import delete_stored, read, shared_path, stored, whole_text
 from .elias_fano import EliasFano, encode
 from .token_files import _mapped, _open
 
@@ -57,6 +59,8 @@ from .token_files import _mapped, _open
 END = b" "
 #: occurrences that a file of a level is made for
 PART_TOKENS = 1 << 21
+#: bytes of text that a task counts or scores at a time
+BLOCK_BYTES = 4 << 20
 #: files of a level that a worker keeps mapped
 MAPPED = 4096
 _WORDS = "part int, file string, n long, first long, tokens long"
@@ -120,6 +124,16 @@ def _keep(open_files: dict) -> None:
         open_files.clear()
 
 
+def _by_part(part: np.ndarray):
+    """Each file's number, and the places of what it is asked for."""
+    if not len(part):
+        return
+    order = np.argsort(part.astype(np.uint16) if part.max() < 1 << 16 else part, kind="stable")
+    cut = np.flatnonzero(np.concatenate([[True], part[order][1:] != part[order][:-1]]))
+    for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(part)], strict=True):
+        yield int(part[order[s]]), order[s:e]
+
+
 class _Level1:
     """Words: number, count and cumulated count."""
 
@@ -145,10 +159,9 @@ class _Level1:
             return out
         h = _hash(names.to_pylist())
         order = np.argsort(h)
-        part = np.maximum(np.searchsorted(self.first, h[order], side="right") - 1, 0)
-        for k in np.unique(part).tolist():
+        for k, at in _by_part(np.maximum(np.searchsorted(self.first, h[order], side="right") - 1, 0)):
             key, _, stored, _ = self.part(k)
-            at = order[part == k]
+            at = order[at]
             place = np.searchsorted(key, h[at])
             while len(at):  # words of one hash stand side by side
                 on = place < len(key)
@@ -162,9 +175,7 @@ class _Level1:
 
     def _gather(self, number: np.ndarray, get) -> np.ndarray:
         out = np.zeros(len(number), np.int64)
-        part = np.searchsorted(self.base, number, side="right") - 1
-        for k in np.unique(part).tolist():
-            at = np.flatnonzero(part == k)
+        for k, at in _by_part(np.searchsorted(self.base, number, side="right") - 1):
             out[at] = get(self.part(k), number[at] - self.base[k], k)
         return out
 
@@ -229,26 +240,19 @@ class _Level:
             return out
         order = np.argsort(parent.astype(np.uint64) * np.uint64(self.width) + child.astype(np.uint64))
         a, b = parent[order], child[order]
-        part = self._where(a, b)
-        for k in np.unique(part).tolist():
-            on = np.flatnonzero((part == k) & (a >= self.lo[k]) & (a <= self.hi[k]))
+        for k, on in _by_part(self._where(a, b)):
+            on = on[(a[on] >= self.lo[k]) & (a[on] <= self.hi[k])]
             if not len(on):
                 continue
             p = self.part(k)
-            own, x = a[on] - p.lo, b[on]
-            new = np.concatenate([[True], own[1:] != own[:-1]])
-            of, distinct = np.cumsum(new) - 1, own[new]
-            start, end = p.pointers[distinct].astype(np.int64)[of], p.pointers[distinct + 1].astype(np.int64)[of]
-            key = own.astype(np.uint64) * np.uint64(self.width) + x.astype(np.uint64)
-            place, hit = p.children.successor(key, start, end)
+            # the child's successor from the context's own numbers on
+            place, hit = p.children.successor((a[on] - p.lo).astype(np.uint64) * np.uint64(self.width) + b[on].astype(np.uint64))
             out[order[on[hit]]] = self.base[k] + place[hit]
         return out
 
     def _gather(self, place: np.ndarray, get, dtype) -> np.ndarray:
         out = np.zeros(len(place), dtype)
-        part = np.searchsorted(self.base, place, side="right") - 1
-        for k in np.unique(part).tolist():
-            at = np.flatnonzero(part == k)
+        for k, at in _by_part(np.searchsorted(self.base, place, side="right") - 1):
             out[at] = get(self.part(k), place[at] - self.base[k])
         return out
 
@@ -271,9 +275,8 @@ class _Level:
         out = np.full(len(parent), none, dtype)
         if not self.parts:
             return out
-        part = self._where(parent, np.zeros(len(parent), np.int64))
-        for k in np.unique(part).tolist():
-            at = np.flatnonzero((part == k) & (parent >= self.lo[k]) & (parent <= self.hi[k]))
+        for k, at in _by_part(self._where(parent, np.zeros(len(parent), np.int64))):
+            at = at[(parent[at] >= self.lo[k]) & (parent[at] <= self.hi[k])]
             out[at] = get(self.part(k), parent[at] - self.lo[k], k)
         return out
 
@@ -351,16 +354,96 @@ def _tokens(batch: pa.RecordBatch, numbers) -> tuple[np.ndarray, np.ndarray]:
     return out, text
 
 
-def _distinct(*columns: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-    """For each row the place of its values among the distinct rows, and those."""
-    key = columns[0]
-    for c in columns[1:]:
-        more, values = pd.factorize(c)
-        key = pd.factorize(key)[0] * (len(values) + 1) + more
+def _distinct(key: np.ndarray, width: int = 1) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each row the place of its value among the distinct ones, and those, split as ``width`` * x + y."""
     index, values = pd.factorize(key)
-    first = np.empty(len(values), np.int64)
-    first[index[::-1]] = np.arange(len(index))[::-1]
-    return index, [c[first] for c in columns]
+    if width == 1:
+        return index, values, values
+    x, y = np.divmod(values, np.uint64(width))
+    return index, x.astype(np.int64), y.astype(np.int64)
+
+
+def _joint(x: np.ndarray, y: np.ndarray, width: int) -> np.ndarray:
+    return x.astype(np.uint64) * np.uint64(width) + y.astype(np.uint64)
+
+
+def _split(x: np.ndarray, text: np.ndarray, rows: int, kind) -> pa.Array:
+    """Values of each text as a binary."""
+    raw = x.astype(kind)
+    at = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=rows))]) * raw.dtype.itemsize
+    return pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def _unrolled(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all texts one after another, and each value's text."""
+    off = WA._offsets(column)
+    flat = np.frombuffer(column.buffers()[2], np.uint8, off[-1] - off[0], off[0]).view(kind) if off[-1] > off[0] else np.zeros(0, kind)
+    return flat.astype(np.int64), np.repeat(np.arange(len(column)), np.diff(off) // np.dtype(kind).itemsize)
+
+
+def _kind(n: int):
+    """The smallest type for places below n, and -1."""
+    return np.int32 if n < 1 << 31 else np.int64
+
+
+def _encoded(model: Model, batch: pa.RecordBatch) -> tuple[np.ndarray, ...]:
+    """Token numbers and their texts; per text: tokens, known tokens, base score."""
+    one, rows = model.level1(), batch.num_rows
+    token, text = _tokens(batch, one.numbers)
+    index, number, _ = _distinct(token)
+    count = np.zeros(len(number), np.int64)
+    count[number >= 0] = one.counts(number[number >= 0])
+    base = model.word_prob(count)
+    return (token, text, np.bincount(text, minlength=rows).astype(np.int64),
+            np.bincount(text, (token >= 0).astype(float), rows).astype(np.int64), np.bincount(text, base[index], rows))
+
+
+def _placed(model: Model, token: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """For each token the place of the pair that it ends in level 2; -1 without."""
+    out = np.full(len(token), -1, np.int64)
+    on = np.flatnonzero((text[1:] == text[:-1]) & (token[1:] >= 0) & (token[:-1] >= 0))
+    two = model.level(2)
+    index, x, y = _distinct(_joint(token[on], token[on + 1], two.width), two.width)
+    out[on + 1] = two.find(x, y)[index]
+    return out
+
+
+def _triples(model: Model, token: np.ndarray, text: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Tokens after a pair that level 2 holds: which, the pair's place, and the rank of the token's own pair; -1 without."""
+    at = np.flatnonzero((text[2:] == text[:-2]) & (place[1:-1] >= 0)) + 2
+    index, last, _ = _distinct(token[at - 1])
+    begin = model.level(2).first_place(last)[index]
+    return at, place[at - 1], np.where(place[at] >= 0, place[at] - begin, -1)
+
+
+def _score(model: Model, token: np.ndarray, text: np.ndarray, place: np.ndarray, rows: int) -> np.ndarray:
+    """log10 of the probability of each text."""
+    prob, done = np.zeros(len(token)), np.zeros(len(token), bool)
+    if model.tokens:
+        two, three = model.level(2), model.level(3)
+        at, context, rank = _triples(model, token, text, place)
+        index, x, y = _distinct(_joint(context, rank + 1, three.width + 1), three.width + 1)  # 0 is no rank
+        found = np.full(len(x), -1, np.int64)
+        found[y > 0] = three.find(x[y > 0], y[y > 0] - 1)
+        p = np.zeros(len(x))
+        hit = found >= 0
+        p[hit] = three.prob(found[hit])
+        p[~hit] = three.back_off(x[~hit])
+        prob[at], done[at] = p[index], hit[index]
+        # after the last word alone
+        at = np.flatnonzero(~done & (place >= 0))
+        prob[at] += two.prob(place[at])
+        done[at] = True
+        at = np.flatnonzero(~done[1:] & (text[1:] == text[:-1]) & (token[:-1] >= 0)) + 1
+        index, last, _ = _distinct(token[at - 1])
+        prob[at] += two.back_off(last)[index]
+    # by itself
+    at = np.flatnonzero(~done)
+    count = np.zeros(len(at), np.int64)
+    known = token[at] >= 0
+    count[known] = model.level1().counts(token[at][known])
+    prob[at] += model.word_prob(count)
+    return np.bincount(text, prob, rows)
 
 
 # ---- training
@@ -375,7 +458,7 @@ def _train_words(docs: DataFrame, path: str) -> DataFrame:
 
     def count(batches):
         for batch in batches:
-            for b in WA.blocks(batch, "text"):
+            for b in WA.blocks(batch, "text", BLOCK_BYTES):
                 found, _ = WA.words(b.column(0), WA.not_blank)
                 enc = found.dictionary_encode()
                 n = np.bincount(enc.indices.to_numpy(), minlength=len(enc.dictionary))
@@ -422,17 +505,17 @@ def _merged(blobs) -> tuple[np.ndarray, np.ndarray]:
     return key[first], np.add.reduceat(n, first)
 
 
-def _count_level(docs: DataFrame, path: str, level: int, keys, parts_of, width: int) -> DataFrame:
+def _count_level(rows: DataFrame, path: str, level: int, keys, parts_of, width: int) -> DataFrame:
     """Count a level's n-grams and write its files without probabilities.
 
-    ``keys(batch)`` gives each n-gram occurrence of a block as (parent, child);
-    ``parts_of(parent, child)`` the part of ascending keys.
+    ``keys(batch)`` gives each n-gram occurrence of a block of encoded rows as
+    (parent, child); ``parts_of(parent, child)`` the part of ascending keys.
     """
-    spark = docs.sparkSession
+    spark = rows.sparkSession
 
     def count(batches):
         for batch in batches:
-            for b in WA.blocks(batch, "text"):
+            for b in WA.blocks(batch, "numbers", BLOCK_BYTES):
                 parent, child = keys(b)
                 if not len(parent):
                     continue
@@ -462,7 +545,7 @@ def _count_level(docs: DataFrame, path: str, level: int, keys, parts_of, width:
             "n1": [int((n == 1).sum())], "n2": [int((n == 2).sum())],
             "hot": [[{"place": int(k), "n": int(n[k])} for k in hot]]})
 
-    t = docs.select("text").mapInArrow(count, "part int, blob binary")
+    t = rows.mapInArrow(count, "part int, blob binary")
     t.groupBy("part").applyInPandas(write, _PART).write.parquet(f"{path}/level{level}")
     return spark.read.parquet(f"{path}/level{level}")
 
@@ -531,33 +614,82 @@ def _smooth_level(spark, model: Model, level: int) -> list[dict]:
     return [p | {"codes": done[k].codes, "scale": list(done[k].scale)} for k, p in enumerate(parts)]
 
 
-def _pairs(model: Model, batch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens and texts of a block, and which tokens follow one of the same text."""
-    token, text = _tokens(batch, model.level1().numbers)
-    return token[:-1], token[1:], text[1:] == text[:-1], text
+_ROW = "__id string, __train boolean, n_tokens long, n_known long, base_score double, numbers binary"
 
 
-def train(docs: DataFrame, is_training: Column, text_col: str = "text") -> Model:
-    """A model of the texts of the rows that ``is_training`` holds for."""
-    spark = docs.sparkSession
+def _encode_rows(t: DataFrame, model: Model) -> DataFrame:
+    """``(__id, __train, text)`` -> ``_ROW``: token numbers of every text, and what words alone give."""
+    kind = _kind(model.meta["words"])
+
+    def encode(batches):
+        for batch in batches:
+            for b in WA.blocks(batch, "text", BLOCK_BYTES):
+                token, text, n, known, base = _encoded(model, b)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array(n), pa.array(known), pa.array(base), _split(token, text, b.num_rows, kind)],
+                    ["__id", "__train", "n_tokens", "n_known", "base_score", "numbers"])
+
+    return t.select("__id", "__train", "text").mapInArrow(encode, _ROW)
+
+
+def _place_rows(rows: DataFrame, model: Model) -> DataFrame:
+    """Encoded rows with the places of their pairs."""
+    kind, place_kind = _kind(model.meta["words"]), _kind(model.meta["pairs"])
+
+    def place(batches):
+        for batch in batches:
+            for b in WA.blocks(batch, "numbers", BLOCK_BYTES):
+                token, text = _unrolled(b.column(5), kind)
+                own = _split(_placed(model, token, text), text, b.num_rows, place_kind) if model.tokens else pa.array([None] * b.num_rows, pa.binary())
+                yield pa.RecordBatch.from_arrays([*b.columns, own], [*b.schema.names, "places"])
+
+    return rows.mapInArrow(place, f"{_ROW}, places binary")
+
+
+def _score_rows(rows: DataFrame, model: Model) -> DataFrame:
+    """Placed rows -> ``__id, n_tokens, n_known, train_tokens, base_score, score``."""
+    kind, place_kind = _kind(model.meta["words"]), _kind(model.meta["pairs"])
+
+    def run(batches):
+        for batch in batches:
+            for b in WA.blocks(batch, "numbers", BLOCK_BYTES):
+                token, text = _unrolled(b.column(5), kind)
+                place = _unrolled(b.column(6), place_kind)[0] if model.tokens else np.full(len(token), -1, np.int64)
+                score = _score(model, token, text, place, b.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(2), b.column(3), pa.array(np.full(b.num_rows, model.tokens, np.int64)), b.column(4), pa.array(score)],
+                    ["__id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    return rows.mapInArrow(run, "__id string, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+
+
+def _prepared(docs: DataFrame, is_training: Column, id_col: str | None, text_col: str) -> DataFrame:
+    own = F.lit(None).cast("string") if id_col is None else F.col(id_col).cast("string")
+    return docs.select(own.alias("__id"), F.coalesce(is_training, F.lit(False)).alias("__train"), whole_text(text_col).alias("text"))
+
+
+def _train(t: DataFrame) -> tuple[Model, DataFrame]:
+    """The model of the training rows of ``(__id, __train, text)``, and all rows, placed."""
+    spark = t.sparkSession
     path = shared_path(spark, "ngram-trie")
     fs_, root = _open(path)
     fs_.create_dir(root)
-    own = docs.where(F.coalesce(is_training, F.lit(False))).select(whole_text(text_col).alias("text"))
-    words = _rows(_train_words(own, path))
+    words = _rows(_train_words(t.where("__train"), path))
     tokens, vocabulary = sum(p["tokens"] for p in words), sum(p["n"] for p in words)
     if vocabulary >= 1 << 32:
         raise ValueError("more than 2**32 words")
-    meta = {"stage": 1, "tokens": tokens, "words": vocabulary, "level1": words, "level2": [], "level3": [],
+    meta = {"stage": 1, "tokens": tokens, "words": vocabulary, "pairs": 0, "level1": words, "level2": [], "level3": [],
             "width2": max(1, vocabulary), "width3": 1}
     model = Model(path, dict(meta))
+    rows = stored(_encode_rows(t, model), "encoded")
     if not tokens:
-        return model
-    n_parts = -(-tokens // PART_TOKENS)
+        return model, _place_rows(rows, model)
+    n_parts, kind = -(-tokens // PART_TOKENS), _kind(vocabulary)
 
-    def pairs(batch):
-        a, b, same, _ = _pairs(model, batch)
-        return a[same], b[same]
+    def pairs(b):
+        token, text = _unrolled(b.column(5), kind)
+        at = np.flatnonzero(text[1:] == text[:-1])
+        return token[at], token[at + 1]
 
     def pair_parts(a, b):
         # the share of all pairs before (a, b), if words were independent: ascending, and even for frequent words
@@ -566,39 +698,38 @@ def train(docs: DataFrame, is_training: Column, text_col: str = "text") -> Model
         u = one.cumulated(first)[of] + one.counts(first)[of] * (one.cumulated(b) / tokens)
         return np.minimum((u * (n_parts / tokens)).astype(np.int64), n_parts - 1)
 
-    meta["level2"] = _rows(_count_level(own, path, 2, pairs, pair_parts, meta["width2"]))
-    meta |= {"stage": 2}
+    meta["level2"] = _rows(_count_level(rows.where("__train"), path, 2, pairs, pair_parts, meta["width2"]))
+    meta |= {"stage": 2, "pairs": sum(p["n"] for p in meta["level2"])}
     model2 = Model(path, dict(meta))
     meta["level2"] = _smooth_level(spark, model2, 2)
     # a parent's children may lie in several files
     meta["width3"] = max([1, *(p["top"] for p in meta["level2"]), *model2.level(2).split.values()])
     meta |= {"stage": 3}
     model3 = Model(path, dict(meta))
+    placed = stored(_place_rows(rows, model3), "placed")
+    delete_stored(rows)
+    place_kind = _kind(meta["pairs"])
 
-    def triples(batch):
-        a, b, same, _ = _pairs(model3, batch)
-        two = model3.level(2)
-        index, (x, y) = _distinct(a[same], b[same])
-        place = np.full(len(a), -1, np.int64)
-        found = two.find(x, y)
-        place[same] = found[index]
-        rank = np.full(len(a), -1, np.int64)
-        first, inv = np.unique(x, return_inverse=True)
-        rank[same] = (found - two.first_place(first)[inv])[index]
-        both = same[1:] & same[:-1]
-        return place[:-1][both], rank[1:][both]
+    def triples(b):
+        token, text = _unrolled(b.column(5), kind)
+        _, context, rank = _triples(model3, token, text, _unrolled(b.column(6), place_kind)[0])
+        return context, rank
 
     bounds = _triple_bounds(model3)
 
     def triple_parts(parent, child):
-        key = parent.astype(np.uint64) * np.uint64(meta["width3"]) + child.astype(np.uint64)
-        return np.searchsorted(bounds, key, side="right")
+        return np.searchsorted(bounds, _joint(parent, child, meta["width3"]), side="right")
 
-    meta["level3"] = _rows(_count_level(own, path, 3, triples, triple_parts, meta["width3"]))
+    meta["level3"] = _rows(_count_level(placed.where("__train"), path, 3, triples, triple_parts, meta["width3"]))
     meta |= {"stage": 4}
     meta["level3"] = _smooth_level(spark, Model(path, dict(meta)), 3)
     meta |= {"stage": 5}
-    return Model(path, dict(meta))
+    return Model(path, dict(meta)), placed
+
+
+def train(docs: DataFrame, is_training: Column, text_col: str = "text") -> Model:
+    """A model of the texts of the rows that ``is_training`` holds for."""
+    return _train(_prepared(docs, is_training, None, text_col).where("__train"))[0]
 
 
 def _triple_bounds(model: Model) -> np.ndarray:
@@ -616,59 +747,20 @@ def _triple_bounds(model: Model) -> np.ndarray:
 
 # ---- scoring
 
-def _scores(model: Model, batch) -> tuple[np.ndarray, ...]:
-    """Per text of a block: tokens, known tokens, base score, score."""
-    one = model.level1()
-    token, text = _tokens(batch, one.numbers)
-    rows = batch.num_rows
-    index, (number,) = _distinct(token)
-    count = np.where(number >= 0, one.counts(np.maximum(number, 0)) if model.tokens else 0, 0)
-    base = model.word_prob(count)[index]
-    prob = base.copy()
-    if model.tokens and len(token) > 1:
-        a, b = token[:-1], token[1:]
-        same = text[1:] == text[:-1]
-        two, three = model.level(2), model.level(3)
-        on = same & (a >= 0)
-        index, (x, y) = _distinct(a[on], b[on])
-        found = np.full(len(x), -1, np.int64)
-        known = y >= 0
-        found[known] = two.find(x[known], y[known])
-        first, inv = np.unique(x, return_inverse=True)
-        begin, weight = two.first_place(first)[inv], two.back_off(first)[inv]
-        p2 = np.where(found >= 0, 0.0, weight)
-        p2[found >= 0] = two.prob(found[found >= 0])
-        place, rank = np.full(len(a), -1, np.int64), np.full(len(a), -1, np.int64)
-        place[on], rank[on] = found[index], np.where(found >= 0, found - begin, -1)[index]
-        prob[1:][on] = p2[index] + np.where(found[index] >= 0, 0.0, base[1:][on])
-        # contexts of two words that level 2 holds
-        on = same[1:] & same[:-1] & (place[:-1] >= 0)
-        index, (x, y) = _distinct(place[:-1][on], rank[1:][on])
-        found = np.full(len(x), -1, np.int64)
-        known = y >= 0
-        found[known] = three.find(x[known], y[known])
-        context, inv = np.unique(x, return_inverse=True)
-        p3 = three.back_off(context)[inv]
-        p3[found >= 0] = three.prob(found[found >= 0])
-        hit = found[index] >= 0
-        prob[2:][on] = p3[index] + np.where(hit, 0.0, prob[2:][on])
-    total = lambda x: np.bincount(text, x, rows)
-    return (np.bincount(text, minlength=rows).astype(np.int64), total((token >= 0).astype(float)).astype(np.int64), total(base), total(prob))
+def _named(t: DataFrame, docs: DataFrame, id_col: str) -> DataFrame:
+    return t.withColumn("__id", F.col("__id").cast(docs.schema[id_col].dataType)).withColumnRenamed("__id", id_col)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_tokens, n_known, train_tokens, base_score, score`` of every row."""
-    def run(batches):
-        for batch in batches:
-            for b in WA.blocks(batch, "text"):
-                n, known, base, prob = _scores(model, b)
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), *map(pa.array, (n, known, np.full(len(n), model.tokens, np.int64), base, prob))],
-                    [id_col, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    rows = _encode_rows(_prepared(docs, F.lit(False), id_col, text_col), model)
+    return _named(_score_rows(_place_rows(rows, model), model), docs, id_col)
+
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    t = docs.select(F.col(id_col), whole_text(text_col).alias("text"))
-    return t.mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+def train_and_score(docs: DataFrame, is_training: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Scores of all rows by a model of some: as ``score`` with ``train``, but texts are cut and pairs looked up once."""
+    model, placed = _train(_prepared(docs, is_training, id_col, text_col))
+    return _named(_score_rows(placed, model), docs, id_col)
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -678,6 +770,5 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def query(spark, sf_dir) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    model = train(docs, ~held_out())
-    t = score(docs, model)
+    t = train_and_score(docs, ~held_out())
     return t.select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
