@@ -121,7 +121,7 @@ def ip_tokens(c="line") -> Column:
 
 def awk_fields(c="line") -> Column:
     """Fields split on runs of blanks, leading/trailing blanks ignored (AWK NF)."""
-    stripped = F.regexp_replace(C(c), r"^[ \t]+|[ \t]+$", "")
+    stripped = F.btrim(C(c), F.lit(" \t"))
     return F.when(stripped == "", F.array().cast("array<string>")).otherwise(
         F.split(stripped, r"[ \t]+"))
 
@@ -188,8 +188,7 @@ def template(text: str, **cols) -> Column:
 
 def _utc_wall_clock(ts: Column) -> Column:
     """The UTC wall-clock time of an instant, whatever the session's zone."""
-    seconds = (F.unix_micros(ts) / F.lit(1_000_000)).cast("decimal(18,6)")
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.expr("INTERVAL '0.000001' SECOND") * F.unix_micros(ts)
 
 
 def syslog_time(year: int | Column, c="line") -> Column:
