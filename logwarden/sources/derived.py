@@ -98,10 +98,10 @@ def event_log_lines(events: DataFrame) -> DataFrame:
 
     A rule index picks, from literal arrays, the text segments of the line's
     template and which value fills each gap; the line is one ``concat`` of
-    those lookups.  It is written as SQL expressions: one round trip to the
-    JVM instead of hundreds of ``Column`` calls.
+    those lookups.  It is written as one SQL query: a round trip to the JVM
+    and an analysis instead of hundreds of ``Column`` calls.
     """
-    from .files import log_type_of
+    from .files import log_type_sql
 
     lits, slots = _segments()
     width = len(slots[0])
@@ -114,25 +114,21 @@ def event_log_lines(events: DataFrame) -> DataFrame:
     srcs = ", ".join(sql_str(src) for _, _, src, _ in LINE_RULES)
     # a line shows one stamp at most, in the layout of its rule
     clf = ", ".join("true" if "{w}" in t else "false" for _, _, _, t in LINE_RULES)
-    b = events.selectExpr(
-        "event_id AS line_id",
-        f"{_rule_index_sql()} AS rule",
-        "concat('10.', user_id % 3, '.', user_id % 7, '.', user_id % 50) AS ip",
-        "ts", "user_id", "event_id")
-    b = b.selectExpr("*", f"if(element_at(array({clf}), rule), date_format(ts, '{CLF_STAMP}'), "
-                          f"date_format(ts, '{SYSLOG_STAMP}')) AS stamp")
     vals = ("array(concat(stamp, ' server '), concat(ip, ' - - [', stamp, ' +0000] \"'), "
             "cast(1000 + event_id % 9000 AS string), cast(user_id AS string), ip, "
             "cast(50000 + event_id % 10000 AS string), cast(200 + event_id % 50000 AS string), '')")
-    b = b.selectExpr("line_id", "rule", f"{vals} AS vals")
     # The one-element explode makes ``line`` a real column, as it is for a
     # text source: filters on it stay above this node instead of being
     # rewritten over the whole rendering expression (once per predicate).
-    b = b.selectExpr(
-        "line_id",
-        "explode(array(concat(" + ", ".join(parts) + "))) AS line",
-        f"element_at(array({srcs}), rule) AS source_file")
-    return b.select("line_id", "line", "source_file", log_type_of().alias("log_type"))
+    query = f"""SELECT line_id, line, source_file, {log_type_sql("source_file", "line")} AS log_type FROM (
+      SELECT line_id, explode(array(concat({", ".join(parts)}))) AS line, element_at(array({srcs}), rule) AS source_file FROM (
+        SELECT line_id, rule, {vals} AS vals FROM (
+          SELECT *, if(element_at(array({clf}), rule), date_format(ts, '{CLF_STAMP}'), date_format(ts, '{SYSLOG_STAMP}')) AS stamp FROM (
+            SELECT event_id AS line_id, {_rule_index_sql()} AS rule,
+              concat('10.', user_id % 3, '.', user_id % 7, '.', user_id % 50) AS ip, ts, user_id, event_id FROM {{events}}))))"""
+    # braces of patterns are text, {events} is the table
+    query = query.replace("{", "{{").replace("}", "}}").replace("{{events}}", "{events}")
+    return events.sparkSession.sql(query, events=events)
 
 
 # the four ``events`` columns the rendering reads, with the driver's types; an

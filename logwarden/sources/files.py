@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import patterns as P
-from ..functions.columns import C
+from ..functions.columns import C, sql_str
 
 # content fallbacks for files whose name is not one of the known logs
 _RX_APACHE_LINE = r'^\S+ \S+ \S+ \[[^\]]+\] "'
@@ -26,13 +26,20 @@ _RX_SYSLOG_FRAME = r"^[A-Z][a-z]{2} [ 0-9][0-9] [0-9]{2}:[0-9]{2}:[0-9]{2} \S+ [
 _RX_AUTH_LINE = r"^[A-Z][a-z]{2} [ 0-9][0-9] [0-9]{2}:[0-9]{2}:[0-9]{2} \S+ (sshd|sudo|su|login|passwd)(\[[0-9]+\])?:"
 
 
-def content_log_type(line="line") -> Column:
+def _shape_sql(line: str) -> str:
+    arms = ((_RX_APACHE_LINE, "apache"), (_RX_AUTH_LINE, "auth"), (_RX_SYSLOG_FRAME, "syslog"))
+    return " ".join(f"WHEN {line} RLIKE {sql_str(rx)} THEN '{kind}'" for rx, kind in arms) + " ELSE 'unknown' END"
+
+
+def log_type_sql(source_file: str, line: str) -> str:
+    """``log_type_of`` as a SQL expression over two column names."""
+    names = [(n, t) for n, t in P.SOURCE_FILES.items() if n not in P.DERIVED_SOURCE_FILES]
+    return "CASE " + " ".join(f"WHEN {source_file} = {sql_str(n)} THEN '{t}'" for n, t in names) + " " + _shape_sql(line)
+
+
+def content_log_type(line: str = "line") -> Column:
     """Log type from the shape of a line: apache, auth, syslog or unknown."""
-    line = C(line)
-    return (F.when(line.rlike(_RX_APACHE_LINE), "apache")
-            .when(line.rlike(_RX_AUTH_LINE), "auth")
-            .when(line.rlike(_RX_SYSLOG_FRAME), "syslog")
-            .otherwise("unknown"))
+    return F.expr("CASE " + _shape_sql(line))
 
 
 #: shapes of lines, in the order that breaks a tie of a file's lines
@@ -50,9 +57,9 @@ def _named_type(source_file) -> Column:
     return out
 
 
-def log_type_of(source_file="source_file", line="line") -> Column:
+def log_type_of(source_file: str = "source_file", line: str = "line") -> Column:
     """File name -> log type; content shape when the name is unknown or holds mixed formats."""
-    return _named_type(source_file).otherwise(content_log_type(line))
+    return F.expr(log_type_sql(source_file, line))
 
 
 def classify_files(lines: DataFrame, file: str = "source_file") -> DataFrame:
