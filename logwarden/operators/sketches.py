@@ -56,10 +56,13 @@ def estimate_error(lines: DataFrame, start: str | None = None, end: str | None =
                    cfg: Thresholds = DEFAULT) -> DataFrame:
     """``(unique_ips, within)``: the exact count of a range of days, and whether the merged sketches come as close as allowed."""
     exact = _between(ip_days(lines, cfg), start, end).agg(F.count_distinct("ip").cast("bigint").alias("unique_ips"))
-    guess = unique_ips_between(daily_sketches(lines, cfg), start, end).select(F.col("unique_ips").alias("_guess"))
-    # two tables of one row
-    return exact.join(F.broadcast(guess)).select(
-        "unique_ips", (F.abs(F.col("_guess") - F.col("unique_ips")) <= F.greatest(F.lit(1.0), F.col("unique_ips") * allowed)).alias("within"))
+    guess = unique_ips_between(daily_sketches(lines, cfg), start, end)
+    none = F.lit(None).cast("bigint")
+    # two tables of one row, put side by side
+    one = exact.select("unique_ips", none.alias("_guess")).unionAll(guess.select(none, "unique_ips")).agg(
+        F.max("unique_ips").alias("unique_ips"), F.max("_guess").alias("_guess"))
+    return one.select("unique_ips", (F.abs(F.col("_guess") - F.col("unique_ips")) <= F.greatest(
+        F.lit(1.0), F.col("unique_ips") * allowed)).alias("within"))
 
 
 def unique_ips_by_day(lines: DataFrame, cfg: Thresholds = DEFAULT) -> DataFrame:

@@ -158,10 +158,11 @@ def load_long_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.schema(EVENTS_READ_SCHEMA).parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     start = f"TIMESTAMP_NTZ'{LONG_START}'"
     t = events.withColumn("ts", F.expr(f"{start} + (ts - {start}) * {STRETCH}"))
-    end = t.agg(F.max("ts").alias("source_modified"))
+    end = t.agg(F.max("ts").cast("string")).first()[0]
+    end = F.lit(None).cast("timestamp_ntz") if end is None else F.expr(f"TIMESTAMP_NTZ'{end}'")
     lines = event_log_lines(t).select("*", F.col("source_file").alias("source_path"), F.expr("line_id div 500").alias("source_block"),
                                       F.col("line_id").alias("source_row"))
-    return lines.where(~F.col("line").contains(FIXED_DATE_MARK)).join(F.broadcast(end))  # one row
+    return lines.where(~F.col("line").contains(FIXED_DATE_MARK)).withColumn("source_modified", end)
 
 
 # --- fixed values: the access record that each document's delivery leaves ---
