@@ -90,7 +90,7 @@ def typos(rng, count):
     return out
 
 
-@pytest.mark.parametrize(("few", "share"), [(200, 8192), (3, 8192), (0, 20)])
+@pytest.mark.parametrize(("few", "share"), [(3, 8192), (0, 20)])
 def test_dictionaries_do_not_change_the_result(spark, monkeypatch, few, share):
     """Whatever the dictionary extends, the pairs are the same; ties in counts go to the smaller word."""
     monkeypatch.setattr(SP, "MIN_FREQ", few)
@@ -143,15 +143,13 @@ def test_words_of_messy_documents(spark, messy):
     assert got(SP.variants(SP.word_counts(tagged, change=SP.lossy))) == brute_variants(counts)
 
 
-def test_empty_table_and_lone_word(spark):
+def test_empty_table(spark):
     assert got(SP.variants(SP.word_counts(spark.createDataFrame([], "doc_id long, text string")))) == {}
-    lone = spark.createDataFrame([("solitary", 5)], "word string, n long")
-    assert got(SP.variants(lone)) == {"solitary": (None, "solitary", 5, 0, None)}
 
 
 def test_chain_of_forms(spark):
-    """Each word's form has twice its count; the root is at the end of a chain of 20."""
-    words = {"x" * (k + 5): 2 ** k for k in range(20)}
+    """Each word's form has twice its count; the root is at the end of a chain of 20.  A lone word is its own root."""
+    words = {"x" * (k + 5): 2 ** k for k in range(20)} | {"solitary": 5}
     df = spark.createDataFrame(list(words.items()), "word string, n long")
     assert got(SP.variants(df)) == brute_variants(words)
 
