@@ -1,8 +1,10 @@
 """SimHash, decontamination, neighbours, URL filters, audit and chat views against brute force."""
 
 import hashlib
+import os
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -296,6 +298,40 @@ def test_neighbours_within_a_group_of_near_copies(spark, unit):
     assert np.mean([len(got[q] & {i for i, _ in x}) / 20 for q, x in want.items() if q >= 1000]) >= 0.9
 
 
+def test_no_round_leaves_shuffle_files_behind(spark, monkeypatch):
+    rng = np.random.default_rng(11)
+    t = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.standard_normal((1500, 16)))],
+                              "vec_id long, embedding array<double>")
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in disk.getAllFiles().mkString("\n").splitlines() if f.endswith(".data")}
+    before, left = shuffled(), []
+
+    def held():
+        return sum(os.path.getsize(f) for f in shuffled() - before if os.path.exists(f))
+
+    def watched(df, name):
+        out = stored(df, name)
+        # the search keeps the adjacency, which its first hop makes
+        most = 1000 + max((n for x, n in left if x == "search"), default=0)
+        for _ in range(30):  # executors delete files soon after a step, not within it
+            if held() <= most:
+                break
+            time.sleep(0.1)
+        left.append((name, held()))
+        return out
+
+    monkeypatch.setattr(AN, "stored", watched)
+    conf = {name: spark.conf.get(name, None) for name in AN.SETTINGS}
+    found = AN.nearest(t, lambda i: i % 20 == 0)
+    assert {name: spark.conf.get(name, None) for name in AN.SETTINGS} == conf
+    assert sum(name.startswith("graph") for name, _ in left) > 2
+    assert all(n <= 1000 for name, n in left if name != "search")
+    hops = [n for name, n in left if name == "search"]
+    # every list of 33 vectors once, and little else
+    assert len(hops) > 3 and hops[0] <= 1000 and max(hops) <= hops[1] + 10_000 < 1.5 * 1500 * 33 * 16 * 8
+    assert found.count() == 75 * 20
+
+
 def test_neighbours_edges(spark):
     rng = np.random.default_rng(6)
     base = [[float(x) for x in r] for r in rng.standard_normal((60, 8))]
