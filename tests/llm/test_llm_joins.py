@@ -332,6 +332,52 @@ def test_no_round_leaves_shuffle_files_behind(spark, monkeypatch):
     assert found.count() == 75 * 20
 
 
+def test_no_entry_of_a_list_becomes_a_row(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    t = spark.createDataFrame([(i, [float(x) for x in r]) for i, r in enumerate(rng.standard_normal((1500, 16)))],
+                              "vec_id long, embedding array<double>")
+    rounds = []
+
+    def watched(df, name):
+        if re.match(r"graph-[1-9]|search", name):
+            rounds.append((name, df.count(), df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, name)
+
+    monkeypatch.setattr(AN, "stored", watched)
+    assert AN.nearest(t, lambda i: i % 20 == 0).count() == 75 * 20
+    assert {name for name, *_ in rounds} > {"graph-1", "graph-2", "search"}
+    rounds.remove(next(x for x in rounds if x[0] == "search"))  # what the search begins with
+    # joining, ranking or collecting entries as rows took most of the time
+    assert not any(re.search("Join|Window|Generate|Aggregate|Pandas", plan) for *_, plan in rounds)
+    assert all(rows <= 75 if name == "search" else rows <= 8 for name, rows, _ in rounds)
+
+
+def test_best_entries_of_a_place():
+    rng = np.random.default_rng(13)
+    for low, high in ((0, 50), (-1 << 62, 1 << 62), (0, 1 << 48)):  # ids that fit into one number with their place, and others
+        n = 3000
+        a, old = rng.integers(0, 40, n), rng.integers(0, 2, n).astype(np.uint8)
+        b, sim = rng.integers(low, high, 300)[rng.integers(0, 300, n)], np.round(rng.random(n), 2)
+        best: dict = {}
+        for i, j, s, o in zip(a.tolist(), b.tolist(), sim.tolist(), old.tolist(), strict=True):
+            x = best.setdefault(i, {}).get(j, (-1, 0))
+            best[i][j] = max(x[0], s), max(x[1], o)
+        want = [(i, j, s, o) for i in range(40) for j, (s, o) in sorted(best[i].items(), key=lambda x: (-x[1][0], x[0]))[:5]]
+        assert [tuple(x) for x in zip(*[x.tolist() for x in AN._best_entries(a, b, sim, 5, old)], strict=True)] == want
+
+
+def test_neighbours_of_any_ids(spark):
+    rng = np.random.default_rng(14)
+    ids = [int(x) for x in rng.integers(-1 << 62, 1 << 62, 600)] + [-1, 0, (1 << 63) - 1, -1 << 63]
+    rows = [(i, [float(x) for x in r]) for i, r in zip(ids, rng.standard_normal((len(ids), 12)), strict=True)]
+    t = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = brute_nearest(rows, lambda i: i % 20 == 0, 20)
+    got: dict = {}
+    for r in AN.nearest(t, lambda i: F.pmod(i, F.lit(20)) == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, round(r.score, 9)))
+    assert got == {q: [(i, round(s, 9)) for i, s in x] for q, x in want.items()}
+
+
 def test_neighbours_edges(spark):
     rng = np.random.default_rng(6)
     base = [[float(x) for x in r] for r in rng.standard_normal((60, 8))]
